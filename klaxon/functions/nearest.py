@@ -116,11 +116,17 @@ def _place_in_run(rows: np.ndarray) -> np.ndarray:
 def common_runs(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions of equal keys on both sides, one pair of position arrays per key."""
     left_order, right_order = np.argsort(left, kind="stable"), np.argsort(right, kind="stable")
-    left_sorted, right_sorted = left[left_order], right[right_order]
-    for key in np.intersect1d(left_sorted, right_sorted):
-        lows = np.searchsorted(left_sorted, key, "left"), np.searchsorted(right_sorted, key, "left")
-        highs = (
-            np.searchsorted(left_sorted, key, "right"),
-            np.searchsorted(right_sorted, key, "right"),
+    left_keys, left_starts, left_sizes = np.unique(
+        left[left_order], return_index=True, return_counts=True
+    )
+    right_keys, right_starts, right_sizes = np.unique(
+        right[right_order], return_index=True, return_counts=True
+    )
+    _, left_at, right_at = np.intersect1d(
+        left_keys, right_keys, assume_unique=True, return_indices=True
+    )
+    for i, j in zip(left_at, right_at):
+        yield (
+            left_order[left_starts[i]:left_starts[i] + left_sizes[i]],
+            right_order[right_starts[j]:right_starts[j] + right_sizes[j]],
         )
-        yield left_order[lows[0]:highs[0]], right_order[lows[1]:highs[1]]

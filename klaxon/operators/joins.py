@@ -40,7 +40,18 @@ def left_join_measured(
     it is broadcast, so ``left`` does not move. Past them both sides shuffle, and the rows
     of hot keys spread over several tasks.
     """
-    right = settle(right)
+    return left_join_settled(left, settle(right), on, max_rows, max_bytes, rows_per_task)
+
+
+def left_join_settled(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """:func:`left_join_measured` for a right side that is settled or stored already."""
     if fits_broadcast(right, max_rows, max_bytes):
         return left.join(F.broadcast(right), list(on), "left")
     return left_join_spread(left, right, on, rows_per_task)

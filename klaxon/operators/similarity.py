@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from klaxon.functions.nearest import Nearest, common_runs, matrix, sortable_ids
-from klaxon.operators.joins import left_join_measured
-from klaxon.session import store
+from klaxon.operators.joins import left_join_settled
+from klaxon.session import settle, store
 
 # Bytes of vectors that may be sent to every task, and vectors per side of one cell.
 SHIP_BYTES = 64 << 20
@@ -118,15 +118,17 @@ def knn_lsh(
         .groupBy("_bucket")
         .agg(F.sum("_q").alias("_q"), F.sum("_c").alias("_c"))
     )
-    full = sizes.filter((F.col("_q") > cell_rows) | (F.col("_c") > cell_rows)).select(
-        "_bucket",
-        F.greatest(F.ceil(F.col("_q") / cell_rows), F.lit(1)).cast("int").alias("_q_cells"),
-        F.greatest(F.ceil(F.col("_c") / cell_rows), F.lit(1)).cast("int").alias("_c_cells"),
+    full = settle(
+        sizes.filter((F.col("_q") > cell_rows) | (F.col("_c") > cell_rows)).select(
+            "_bucket",
+            F.greatest(F.ceil(F.col("_q") / cell_rows), F.lit(1)).cast("int").alias("_q_cells"),
+            F.greatest(F.ceil(F.col("_c") / cell_rows), F.lit(1)).cast("int").alias("_c_cells"),
+        )
     )
     slots = max(1, math.ceil(tables * (queries.count() + corpus.count()) / cell_rows))
 
     def placed(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
-        rows = left_join_measured(df.select(key, vector, bucket), full, ["_bucket"])
+        rows = left_join_settled(df.select(key, vector, bucket), full, ["_bucket"])
         own_cells = F.coalesce(F.col(own + "s"), F.lit(1))
         other_cells = F.coalesce(F.col(other + "s"), F.lit(1))
         return rows.select(

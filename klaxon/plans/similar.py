@@ -31,13 +31,15 @@ def similar_incidents(
     """Every alert with its ``k`` nearest past incidents: ``similar_id``, ``l2``, ``rank``.
 
     Alerts repeat few texts, so vectors and neighbours are computed once per distinct
-    text. An alert without a complete text keeps one row without neighbour.
+    text. A digest stands for the text from there on, so that whole texts shuffle once.
+    An alert without a complete text keeps one row without neighbour.
     """
-    texted = alerts.withColumn("_text", incident_text("message"))
-    texts = texted.select("_text").filter(F.col("_text").isNotNull()).distinct()
-    # Written, as the neighbour search measures its input before it reads it.
-    vectors = store(embedder(texts.withColumnRenamed("_text", "text")), "vectors")
+    digest = F.sha2("text", 256).alias("_digest")
+    texts = alerts.select(incident_text("message").alias("text"))
+    distinct = texts.filter(F.col("text").isNotNull()).distinct()
+    # Stored, as the neighbour search measures its input before it reads it.
+    vectors = store(embedder(distinct).select(digest, "embedding"), "vectors")
     past = corpus.select(F.col(corpus_id).alias("similar_id"), "embedding")
-    found = knn_exact(vectors, past, k, query_id="text", corpus_id="similar_id")
-    neighbours = found.withColumnRenamed("text", "_text")
-    return left_join_measured(texted, neighbours, ["_text"]).drop("_text")
+    found = knn_exact(vectors, past, k, query_id="_digest", corpus_id="similar_id")
+    keyed = alerts.withColumn("_digest", F.sha2(incident_text("message"), 256))
+    return left_join_measured(keyed, found, ["_digest"]).drop("_digest")
