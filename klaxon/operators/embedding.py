@@ -5,7 +5,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import HashingTF, Normalizer, Tokenizer
+from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,17 +19,18 @@ def embed(
 ) -> DataFrame:
     """Hashed word frequencies of unit length as ``array<float>``; NULL for NULL text.
 
+    Words are what whitespace separates, in lower case; a text without words has length 0.
     Needs no model and no pass over the data, so equal texts have equal vectors in every
     run. Runs in the JVM and moves no rows.
     """
+    words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), "")
     steps = PipelineModel(
         [
-            Tokenizer(inputCol="_text", outputCol="_words"),
             HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dimension),
             Normalizer(inputCol="_counts", outputCol="_unit", p=2.0),
         ]
     )
-    hashed = steps.transform(df.withColumn("_text", F.coalesce(text, F.lit(""))))
+    hashed = steps.transform(df.withColumn("_words", words))
     vector = F.when(F.col(text).isNotNull(), vector_to_array("_unit", "float32"))
     return hashed.select(*df.columns, vector.alias(output))
 

@@ -1,0 +1,126 @@
+from datetime import datetime
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from klaxon import sinks, sources
+from klaxon.schema import HISTORY, METRIC
+
+HEADER = "system,high_severity_count,window_start,window_end"
+START, END = datetime(2026, 1, 2, 10, 10), datetime(2026, 1, 2, 10, 10, 10)
+
+
+def put(folder, name, *lines):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text("".join(line + "\n" for line in lines))
+
+
+def test_counts_stay_text_until_cast(spark, tmp_path):
+    put(tmp_path / "run", "a.csv", HEADER, "A,3,2026-01-02T10:10:00.000Z,2026-01-02T10:10:10.000Z", ",x,bad,")
+    counts = sources.read_counts(spark, str(tmp_path / "run"))
+    assert {kind for _, kind in counts.dtypes} == {"string"}
+    assert [tuple(row) for row in counts.collect()][1] == (None, "x", "bad", None)
+
+
+def test_counts_of_all_runs(spark, tmp_path):
+    line = "A,3,2026-01-02T10:10:00.000Z,2026-01-02T10:10:10.000Z"
+    put(tmp_path / "run_1", "a.csv", HEADER, line)
+    put(tmp_path / "run_1", "empty.csv", HEADER)
+    put(tmp_path / "run_2" / "batch_id=0", "b.csv", HEADER, line)
+    put(tmp_path / "run_2", "notes.txt", "no counts")
+    counts = sources.read_counts(spark, str(tmp_path), all_runs=True)
+    assert counts.count() == 2
+    assert len(counts.columns) == 4
+
+
+def test_counts_with_another_header_fail(spark, tmp_path):
+    put(tmp_path / "run", "a.csv", "high_severity_count,system,window_start,window_end", "3,A,s,e")
+    with pytest.raises(Exception, match="header"):
+        sources.read_counts(spark, str(tmp_path / "run")).collect()
+
+
+def test_metrics_round_trip(spark, tmp_path):
+    rows = [("A", 5, START, END, 6, 3.0), (None, 3, START, END, None, None)]
+    metrics = spark.createDataFrame(rows, METRIC)
+    for options in ({}, {"single_file": True}, {"file_format": "parquet"}):
+        sinks.write_metrics(metrics, str(tmp_path / "out"), **options)
+        if "file_format" not in options:
+            back = sources.read_metrics(spark, str(tmp_path / "out"))
+            assert back.dtypes == metrics.dtypes
+            assert {tuple(row) for row in back.collect()} == set(rows)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_single_file_and_partitions(spark, tmp_path):
+    df = spark.range(100).repartition(8).withColumn("day", F.col("id") % 2)
+    sinks.write_metrics(df, str(tmp_path / "one"), single_file=True)
+    assert len(list((tmp_path / "one").glob("*.csv"))) == 1
+    sinks.write_metrics(df, str(tmp_path / "days"), "parquet", partition_by=["day"])
+    assert {path.name for path in (tmp_path / "days").glob("day=*")} == {"day=0", "day=1"}
+
+
+def test_metrics_are_read_from_the_top_level_only(spark, tmp_path):
+    put(tmp_path, "a.csv", HEADER, "A,3,2026-01-02T10:10:00.000Z,2026-01-02T10:10:10.000Z")
+    put(tmp_path, "b.txt", "junk")
+    put(tmp_path / "deep", "c.csv", HEADER, "B,3,2026-01-02T10:10:00.000Z,2026-01-02T10:10:10.000Z")
+    assert [row.system for row in sources.read_metrics(spark, str(tmp_path)).collect()] == ["A"]
+
+
+def test_metrics_with_drifting_headers_unite_by_name(spark, tmp_path):
+    put(tmp_path, "a.csv", "system,high_severity_count,window_start", "A,3,2026-01-02T10:10:00Z", "A,4,2026-01-02T10:10:00Z")
+    put(tmp_path, "b.csv", "window_end,system,avg_per_window", "2026-01-02T10:10:10Z,B,2.5")
+    put(tmp_path, "c.csv", "system,high_severity_count,window_start", "C,5,2026-01-02T10:10:00Z")
+    metrics = sources.read_metrics(spark, str(tmp_path), drifting=True)
+    columns = ["system", "high_severity_count", "window_start", "window_end", "avg_per_window"]
+    assert {tuple(row) for row in metrics.select(columns).collect()} == {
+        ("A", 3, START, None, None),
+        ("A", 4, START, None, None),
+        ("B", None, None, END, 2.5),
+        ("C", 5, START, None, None),
+    }
+
+
+def test_missing_columns_are_filled_with_zero(spark, tmp_path):
+    put(tmp_path, "a.csv", "window_start", "2026-01-02T10:10:00Z")
+    (row,) = sources.read_metrics(spark, str(tmp_path)).collect()
+    assert row.asDict() == {
+        "window_start": START,
+        "system": "0",
+        "high_severity_count": 0,
+        "window_end": datetime(1970, 1, 1),
+    }
+
+
+@pytest.mark.parametrize("drifting", [False, True])
+def test_folder_without_files_is_empty_and_without_folder_fails(spark, tmp_path, drifting):
+    metrics = sources.read_metrics(spark, str(tmp_path), drifting)
+    assert metrics.isEmpty() and metrics.schema == METRIC
+    with pytest.raises(AnalysisException):
+        sources.read_metrics(spark, str(tmp_path / "nowhere"), drifting)
+
+
+def test_bad_bounds_fail_or_are_null(spark):
+    df = spark.createDataFrame([("bad",)], "window_start string")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        sources.typed_metrics(df).collect()
+    assert sources.typed_metrics(df, strict=False).first()[0] is None
+
+
+def test_history(spark, tmp_path):
+    put(
+        tmp_path, "history.csv", ",".join(HISTORY.fieldNames()),
+        'INC1,A,$B,C,"it broke, twice",restart,12', "INC2,A,$B,C,it broke,,x",
+    )
+    history = sources.read_history(spark, str(tmp_path))
+    assert history.schema == HISTORY
+    assert [row.mean_time_to_fix for row in history.collect()] == [12, None]
+    assert history.first().description == "it broke, twice"
+
+
+def test_vector_table(spark, tmp_path):
+    df = spark.createDataFrame([("INC1", "text", [1.0, 2.0])], "incident_id string, text string, embedding array<float>")
+    assert sinks.write_vectors(df, str(tmp_path / "v")) == 1
+    assert spark.read.parquet(str(tmp_path / "v")).schema == df.schema
+    with pytest.raises(ValueError):
+        sinks.write_vectors(df.drop("embedding"), str(tmp_path / "v"))

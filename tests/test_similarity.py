@@ -1,0 +1,234 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from klaxon.functions.nearest import Nearest
+from klaxon.operators import similarity
+from klaxon.operators.embedding import embed, embed_with
+from klaxon.operators.similarity import knn_exact, knn_lsh
+from klaxon.plans import index_history, similar_incidents
+
+QUERY, CORPUS = "query_id {}, embedding array<float>", "id {}, embedding array<float>"
+
+
+def vectors(rows, dim=8, seed=0, copies=0):
+    made = np.random.default_rng(seed).normal(size=(rows, dim)).astype(np.float32)
+    # A third of the rows may be one vector.
+    made[:copies] = made[0]
+    return made
+
+
+def brute_force(queries, corpus, k, ids=None):
+    ids = list(range(len(corpus))) if ids is None else ids
+    result = {}
+    for i, query in enumerate(queries.astype(np.float64)):
+        distances = ((corpus.astype(np.float64) - query) ** 2).sum(axis=1)
+        order = sorted(range(len(corpus)), key=lambda j: (distances[j], ids[j]))[:k]
+        result[i] = [(ids[j], round(distances[j], 9)) for j in order]
+    return result
+
+
+def frames(spark, queries, corpus, ids=None):
+    ids = list(range(len(corpus))) if ids is None else ids
+    kind = "string" if isinstance(ids[0], str) else "bigint"
+    left = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(queries)], QUERY.format("bigint"))
+    right = spark.createDataFrame(list(zip(ids, (v.tolist() for v in corpus))), CORPUS.format(kind))
+    return left.repartition(3), right.repartition(5)
+
+
+def answers(found):
+    result = {}
+    for row in sorted(found.collect(), key=lambda r: (r.query_id, r["rank"])):
+        result.setdefault(row.query_id, []).append((row["id"], round(row.l2, 9)))
+        assert row["rank"] == len(result[row.query_id])
+    return result
+
+
+# The corpus is sent, the queries are sent, neither is.
+ROUTES = {
+    "corpus sent": {},
+    "queries sent": {"ship_bytes": 8 * 8 * 60},
+    "cells": {"ship_bytes": 0, "cell_rows": 37},
+}
+
+
+@pytest.mark.parametrize("route", ROUTES)
+@pytest.mark.parametrize("copies", [0, 100])
+def test_exact_equals_brute_force(spark, route, copies):
+    queries, corpus = vectors(50, seed=1), vectors(300, seed=2, copies=copies)
+    queries[:10] = corpus[:10]
+    found = knn_exact(*frames(spark, queries, corpus), 7, **ROUTES[route])
+    assert answers(found) == brute_force(queries, corpus, 7)
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_text_ids_break_ties_in_text_order(spark, route):
+    queries, corpus = vectors(20, seed=1), vectors(90, seed=2, copies=30)
+    queries[0] = corpus[0]
+    ids = [f"INC{i}" for i in range(90)]
+    found = knn_exact(*frames(spark, queries, corpus, ids), 12, **ROUTES[route])
+    assert answers(found) == brute_force(queries, corpus, 12, ids)
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_fewer_rows_than_k(spark, route):
+    queries, corpus = vectors(70, seed=1), vectors(4, seed=2)
+    found = knn_exact(*frames(spark, queries, corpus), 10, **ROUTES[route])
+    assert answers(found) == brute_force(queries, corpus, 10)
+
+
+def test_routes_are_the_ones_meant(spark):
+    sides = frames(spark, vectors(50, seed=1), vectors(300, seed=2))
+
+    def plan(**options):
+        return knn_exact(*sides, 5, **options)._jdf.queryExecution().executedPlan().toString()
+
+    sent = plan(**ROUTES["corpus sent"])
+    assert "Window" not in sent and "hashpartitioning" not in sent
+    assert "FlatMapCoGroups" not in plan(**ROUTES["queries sent"])
+    assert "FlatMapCoGroups" in plan(**ROUTES["cells"])
+    for route in ("queries sent", "cells"):
+        text = plan(**ROUTES[route])
+        assert text.count("WindowGroupLimit") == 4
+        assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_null_vectors_take_no_part_and_mixed_lengths_fail(spark, route):
+    queries, corpus = frames(spark, vectors(3, seed=1), vectors(80, seed=2))
+    nothing = spark.createDataFrame([(99, None)], QUERY.format("bigint"))
+    with_null = corpus.union(spark.createDataFrame([(99, None)], CORPUS.format("bigint")))
+    assert answers(knn_exact(queries.union(nothing), with_null, 2, **ROUTES[route])) == answers(
+        knn_exact(queries, corpus, 2, **ROUTES[route])
+    )
+    mixed = corpus.union(spark.createDataFrame([(99, [1.0])], CORPUS.format("bigint")))
+    with pytest.raises(Exception, match="elements"):
+        knn_exact(queries, mixed, 2, **ROUTES[route]).collect()
+
+
+def test_empty_sides(spark):
+    queries, corpus = frames(spark, vectors(3), vectors(5))
+    for left, right in ((queries.limit(0), corpus), (queries, corpus.limit(0))):
+        assert knn_exact(left, right, 3).isEmpty()
+        assert knn_lsh(left, right, 3, bucket_length=1.0).isEmpty()
+
+
+def test_number_of_queries_sent_is_bounded_by_what_tasks_would_emit(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "EMIT_ROWS", 100)
+    queries, corpus = vectors(50, seed=1), vectors(300, seed=2)
+    found = knn_exact(*frames(spark, queries, corpus), 7, ship_bytes=8 * 8 * 60, cell_rows=50)
+    assert "FlatMapCoGroups" in found._jdf.queryExecution().executedPlan().toString()
+    assert answers(found) == brute_force(queries, corpus, 7)
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-6, 1e6])
+def test_nearest_over_many_blocks(monkeypatch, scale):
+    monkeypatch.setattr("klaxon.functions.nearest.QUERY_BLOCK", 7)
+    monkeypatch.setattr("klaxon.functions.nearest.CORPUS_BLOCK", 11)
+    monkeypatch.setattr("klaxon.functions.nearest.PAIR_BLOCK", 13)
+    queries, corpus = vectors(40, seed=1) * scale, vectors(200, seed=2, copies=60) * scale
+    # Far outliers make the bound in single precision loose.
+    corpus[100:110] *= 1000
+    queries[:5] = corpus[:5]
+    nearest = Nearest(queries, 9)
+    for start in range(0, 200, 50):
+        nearest.add(np.arange(start, start + 50), corpus[start:start + 50])
+    found = {}
+    for row, key, rank in zip(nearest.rows, nearest.ids, nearest.ranks()):
+        found.setdefault(int(row), []).append(int(key))
+        assert len(found[int(row)]) == rank
+    expected = brute_force(queries, corpus, 9)
+    assert found == {row: [key for key, _ in pairs] for row, pairs in expected.items()}
+
+
+def clustered(rows, seed):
+    rng = np.random.default_rng(seed)
+    centres = np.random.default_rng(99).normal(size=(20, 8)) * 5
+    return (centres[rng.integers(0, 20, rows)] + rng.normal(size=(rows, 8)) * 0.1).astype(np.float32)
+
+
+# Without and with buckets that are cut into cells.
+@pytest.mark.parametrize("cell_rows", [100_000, 40])
+def test_lsh_finds_most_neighbours_at_exact_distances(spark, cell_rows):
+    queries, corpus = clustered(60, 1), clustered(600, 2)
+    # A third of the corpus is one vector, and some queries are that vector.
+    corpus[:200] = corpus[0]
+    queries[:20] = corpus[0]
+    found = answers(knn_lsh(*frames(spark, queries, corpus), 5, bucket_length=2.0, cell_rows=cell_rows))
+    expected = brute_force(queries, corpus, 5)
+    distances = ((queries[:, None].astype(np.float64) - corpus[None]) ** 2).sum(axis=2)
+    hits = 0
+    for query, pairs in found.items():
+        assert len({key for key, _ in pairs}) == len(pairs) <= 5
+        assert pairs == sorted(pairs, key=lambda pair: (pair[1], pair[0]))
+        for key, distance in pairs:
+            assert distance == round(distances[query, key], 9)
+        hits += len({key for key, _ in pairs} & {key for key, _ in expected[query]})
+    assert hits / (60 * 5) > 0.9
+    # Equal vectors share every bucket, so copies of a query are always found.
+    assert found[0] == expected[0]
+
+
+def test_lsh_does_not_depend_on_cells(spark):
+    sides = frames(spark, clustered(60, 1), clustered(600, 2))
+    whole = knn_lsh(*sides, 5, bucket_length=2.0)
+    cut = knn_lsh(*sides, 5, bucket_length=2.0, cell_rows=25)
+    assert answers(whole) == answers(cut)
+
+
+def test_lsh_on_one_bucket_is_exact(spark):
+    queries, corpus = vectors(30, seed=1), vectors(200, seed=2)
+    found = knn_lsh(*frames(spark, queries, corpus), 5, bucket_length=1e6, tables=8, cell_rows=50)
+    # Hashes are cut at 0, so this leaves few buckets rather than one.
+    expected = brute_force(queries, corpus, 5)
+    hits = sum(len(set(found_pairs) & set(expected[q])) for q, found_pairs in answers(found).items())
+    assert hits / (30 * 5) > 0.9
+
+
+def test_embedding_is_unit_length_deterministic_and_keeps_null(spark):
+    df = spark.createDataFrame([(1, "Disk full on A"), (2, "disk  FULL on a"), (3, None), (4, "")], "id int, text string")
+    rows = {row.id: row for row in embed(df).collect()}
+    assert rows[1].embedding is not None and len(rows[1].embedding) == 256
+    assert np.isclose(np.linalg.norm(rows[1].embedding), 1.0)
+    assert rows[3].embedding is None
+    assert rows[3].text is None
+    assert not any(rows[4].embedding)
+    assert dict(embed(df).dtypes) == {"id": "int", "text": "string", "embedding": "array<float>"}
+    assert len(embed(df, dimension=32).first().embedding) == 32
+
+
+def test_words_far_into_a_text_count(spark):
+    long = "x " * 50_000
+    df = spark.createDataFrame([(1, long + "alpha"), (2, long + "omega")], "id int, text string")
+    first, second = (row.embedding for row in embed(df).orderBy("id").collect())
+    assert first != second
+
+
+def test_embedding_with_a_model_of_the_caller(spark):
+    def load():
+        return lambda texts: np.array([[len(text), text.count("a")] for text in texts])
+
+    df = spark.createDataFrame([(1, "banana"), (2, None), (3, "kiwi")], "id int, text string").coalesce(1)
+    vectors_ = embed_with(df, load, output="v")
+    assert dict(vectors_.dtypes) == {"id": "int", "text": "string", "v": "array<float>"}
+    assert {row.id: row.v for row in vectors_.collect()} == {1: [6.0, 3.0], 2: None, 3: [4.0, 0.0]}
+
+
+def test_similar_incidents(spark, tmp_path):
+    history = spark.createDataFrame(
+        [("INC1", "A", "db", "LOCK", "locks exhausted"), ("INC2", "A", "web", "HTTP", "errors served")],
+        "incident_id string, system string, component string, alert_type string, description string",
+    )
+    assert index_history(history, str(tmp_path / "corpus")) == 2
+    corpus = spark.read.parquet(str(tmp_path / "corpus"))
+    assert {"incident_id", "text", "embedding", "description"} <= set(corpus.columns)
+    alerts = spark.createDataFrame(
+        [(i, "A", "db", "LOCK", "locks exhausted") for i in range(50)]
+        + [(50, "A", "web", "HTTP", "errors served again"), (51, "A", "web", "HTTP", None)],
+        "n int, system string, component string, alert_type string, message string",
+    )
+    found = similar_incidents(alerts, corpus, k=1)
+    rows = {row.n: (row.similar_id, row["rank"]) for row in found.collect()}
+    assert found.columns == [*alerts.columns, "similar_id", "l2", "rank"]
+    assert rows == {**{i: ("INC1", 1) for i in range(50)}, 50: ("INC2", 1), 51: (None, None)}
+    assert found.filter("n < 50").agg(F.max("l2")).first()[0] == 0.0
