@@ -9,8 +9,8 @@ from __future__ import annotations
 
 import os
 import sys
-from collections.abc import Callable
-from datetime import date, datetime, timedelta
+from collections.abc import Callable, Sequence
+from datetime import date, timedelta
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from klaxon import operators, plans, sinks, sources, streaming
 from klaxon.functions import decode_alerts, encode_alerts, event_time, incident_text, is_normal
-from klaxon.operators.embedding import embed
+from klaxon.operators.embedding import embed, embed_with
 from klaxon.operators.similarity import knn_exact, knn_lsh
 from klaxon.session import new_folder, store
 
@@ -317,6 +317,21 @@ def embed_text(spark, sf_dir):
     return embed(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def _load_lengths() -> Callable[[Sequence[str]], list[list[int]]]:
+    """Stands in for a model: characters and lines of a text."""
+    return lambda texts: [[len(text), text.count("\n") + 1] for text in texts]
+
+
+def embed_model(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    vectors = embed_with(documents, _load_lengths, output="v")
+    return vectors.select(
+        "doc_id",
+        F.col("v")[0].cast("bigint").alias("characters"),
+        F.col("v")[1].cast("bigint").alias("lines"),
+    )
+
+
 def vector_table(spark, sf_dir):
     path = new_folder(spark, "vectors")
     sinks.write_vectors(_table(spark, sf_dir, "embeddings"), path, key="vec_id")
@@ -397,6 +412,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "knn_cells": knn_cells,
         "knn_lsh": knn_near,
         "embed_text": embed_text,
+        "embed_model": embed_model,
         "vector_table": vector_table,
         "indexed_count": indexed_count,
         "similar_incidents": similar_incidents,
@@ -513,6 +529,8 @@ def oracle_sql() -> dict[str, str]:
              CAST(length(incident_id) AS INTEGER) AS mean_time_to_fix FROM alerts""",
         "knn_exact": neighbours,
         "knn_cells": neighbours,
+        "embed_model": """SELECT doc_id, length(text) AS characters,
+             len(string_split(text, chr(10))) AS lines FROM documents""",
         "vector_table": """SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dimension
              FROM embeddings""",
         "indexed_count": "SELECT count(*) AS indexed FROM embeddings",

@@ -63,18 +63,18 @@ def left_join_spread(
     """Left equi join that cuts hot keys of ``left`` into pieces of ``rows_per_task`` rows.
 
     Only the rows of hot keys are repeated on the right, once per piece. NULL keys match
-    nothing but still have to come out, and are cut as well. The frame of hot keys has at
-    most ``left`` rows / ``rows_per_task`` rows by construction, hence the broadcast.
+    nothing but still have to come out, and are cut as well. Should there be too many hot
+    keys to broadcast, the pieces grow until there are few enough.
     """
     hot = settle(
-        left.groupBy(*on)
+        left.groupBy(*[F.col(name).alias(f"_hot_{name}") for name in on])
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > rows_per_task)
-        .select(
-            *[F.col(name).alias(f"_hot_{name}") for name in on],
-            F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_pieces"),
-        )
     )
+    while not fits_broadcast(hot):
+        rows_per_task *= 4
+        hot = hot.filter(F.col("_rows") > rows_per_task)
+    hot = hot.withColumn("_pieces", F.ceil(F.col("_rows") / rows_per_task).cast("int"))
 
     def with_pieces(side: DataFrame) -> DataFrame:
         same = [side[name].eqNullSafe(hot[f"_hot_{name}"]) for name in on]

@@ -89,17 +89,17 @@ def knn_lsh(
     first = corpus.select(vector).first()
     if first is None:
         return queries.sparkSession.createDataFrame([], schema)
-    copies = Window.partitionBy(vector).orderBy(corpus_id)
-    corpus = corpus.withColumn("_copy", F.row_number().over(copies))
-    corpus = corpus.filter(F.col("_copy") <= k).drop("_copy")
-
+    # Fitting draws random directions and takes no more than the dimension from its input.
+    zero = F.array_repeat(F.lit(0.0), len(first[0]))
+    sample = queries.sparkSession.range(1).select(array_to_vector(zero).alias("_vector"))
     hasher = BucketedRandomProjectionLSH(
         inputCol="_vector",
         outputCol="_hashes",
         bucketLength=bucket_length,
         numHashTables=tables * hashes_per_table,
         seed=seed,
-    ).fit(corpus.limit(1).select(array_to_vector(vector).alias("_vector")))
+    ).fit(sample)
+    corpus = _without_surplus_copies(corpus, k, max(k, cell_rows // 100))
 
     def hashed(df: DataFrame) -> DataFrame:
         """Rows with their bucket of each table, written once and read three times."""
@@ -146,8 +146,8 @@ def knn_lsh(
         ["_slot", "_q_cell", "_c_cell"],
         k, len(first[0]), schema, (query_id, corpus_id, vector, "_bucket"),
     )
-    # A pair may share several buckets.
-    return _best(found.dropDuplicates([query_id, corpus_id]), k, query_id, corpus_id)
+    # A pair that shares several buckets comes once for each, with equal rank.
+    return _best(found, k, query_id, corpus_id).distinct()
 
 
 def _keyed(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -278,9 +278,33 @@ def _best(found: DataFrame, k: int, query_id: str, corpus_id: str) -> DataFrame:
     part = Window.partitionBy(query_id, "_part").orderBy(*by_distance)
     whole = Window.partitionBy(query_id).orderBy(*by_distance)
     parts = found.drop("rank").withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(256)))
-    some = parts.withColumn("rank", F.row_number().over(part)).filter(F.col("rank") <= k)
+    some = parts.withColumn("rank", F.dense_rank().over(part)).filter(F.col("rank") <= k)
     return (
         some.drop("rank", "_part")
-        .withColumn("rank", F.row_number().over(whole))
+        .withColumn("rank", F.dense_rank().over(whole))
         .filter(F.col("rank") <= k)
     )
+
+
+def _without_surplus_copies(corpus: DataFrame, k: int, many: int) -> DataFrame:
+    """Keep the ``k`` smallest ids of every vector that occurs more than ``many`` times.
+
+    Digests of the vectors find the candidates; only rows with such a digest shuffle.
+    """
+    key, vector = corpus.columns
+    digest = F.xxhash64(vector).alias("_digest")
+    frequent = settle(
+        corpus.groupBy(digest).agg(F.count(F.lit(1)).alias("_copies")).filter(F.col("_copies") > many)
+    )
+    if frequent.isEmpty():
+        return corpus
+    marked = left_join_settled(corpus.select("*", digest), frequent, ["_digest"])
+    # Digests may collide, so the vector stays part of the key.
+    copies = Window.partitionBy("_digest", vector).orderBy(key)
+    first_ones = (
+        marked.filter(F.col("_copies").isNotNull())
+        .withColumn("_copy", F.row_number().over(copies))
+        .filter(F.col("_copy") <= k)
+    )
+    others = marked.filter(F.col("_copies").isNull())
+    return others.select(key, vector).union(first_ones.select(key, vector))

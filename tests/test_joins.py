@@ -49,7 +49,6 @@ def test_broadcast_only_within_bounds(sides):
 
 def test_spread_join_cuts_hot_and_null_keys(spark, sides):
     left, right = sides
-    joined = left_join_spread(left, right, ["key", "kind"], rows_per_task=50)
     # 500 rows of a hot key in 8 input partitions end up in 8 pieces rather than in one.
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -69,6 +68,20 @@ def test_spread_join_cuts_hot_and_null_keys(spark, sides):
         spark.conf.set("spark.sql.shuffle.partitions", 4)
 
 
+def test_pieces_grow_until_the_hot_keys_fit(sides, monkeypatch):
+    left, right = sides
+    asked = []
+
+    def fits(df, *bounds):
+        asked.append(df.count())
+        return asked[-1] <= 2
+
+    monkeypatch.setattr("klaxon.operators.joins.fits_broadcast", fits)
+    joined = left_join_spread(left, right, ["key", "kind"], rows_per_task=5)
+    assert asked[0] > 4 >= asked[-1] and len(asked) > 1
+    assert rows(joined) == rows(left.join(right, ["key", "kind"], "left"))
+
+
 def test_measure(spark):
     df = settle(spark.range(100))
     assert fits_broadcast(df)
