@@ -15,6 +15,9 @@ EVENT_TIME_PATTERNS = {
 # Fixed value: a window with at least this many alerts is a spike.
 SPIKE_THRESHOLD = 3
 
+# Column that holds the day a window starts on, where a table is partitioned by it.
+WINDOW_DATE = "window_date"
+
 
 def event_time(text: Column | str, fraction: str = "required") -> Column:
     """Timestamp of an ISO text without zone; NULL where the text does not fit.

@@ -22,7 +22,10 @@ def matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     values = pc.list_flatten(column)
     if values.null_count:
         raise ValueError("a vector holds a NULL element")
-    return values.to_numpy(zero_copy_only=False).reshape(-1, dim)
+    vectors = values.to_numpy(zero_copy_only=False).reshape(-1, dim)
+    if not np.isfinite(vectors).all():
+        raise ValueError("a vector holds an element that is no finite number")
+    return vectors
 
 
 def sortable_ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:

@@ -44,7 +44,8 @@ def embed_with(
     """Vectors from a model of the caller's choice as ``array<float>``; NULL for NULL text.
 
     ``load_model`` runs once per task and returns a function from texts to one row of
-    numbers per text. With long texts lower ``spark.sql.execution.arrow.maxRecordsPerBatch``.
+    numbers per text. A call gets one Arrow batch of texts, which
+    ``spark.sql.execution.arrow.maxBytesPerBatch`` and ``maxRecordsPerBatch`` bound.
     """
     schema = T.StructType([*df.schema.fields, T.StructField(output, T.ArrayType(T.FloatType()))])
 

@@ -5,12 +5,18 @@ join leaves windows without system without statistics. Averages are over the win
 exist; a window without any alert has no row.
 """
 
-from datetime import date, datetime, time, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from klaxon.functions.conversions import SPIKE_THRESHOLD, as_count, as_window_date, is_spike
+from klaxon.functions.conversions import (
+    SPIKE_THRESHOLD,
+    WINDOW_DATE,
+    as_count,
+    as_window_date,
+    is_spike,
+)
 from klaxon.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, left_join_measured
 
 COUNT = "high_severity_count"
@@ -24,23 +30,18 @@ def typed_counts(counts: DataFrame) -> DataFrame:
 def for_day(counts: DataFrame, as_of: date | str | None = None) -> DataFrame:
     """Windows that start on one day, by default the current one.
 
-    On typed window bounds the day is a half-open range, so files and partitions can be
-    skipped; on text bounds every cell is parsed and bad ones drop out.
+    A table partitioned by ``window_date`` skips the folders of other days, and on typed
+    window bounds the half-open range of the day skips row groups. On text bounds every
+    cell is parsed, and bad ones drop out.
     """
+    day = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
+    if WINDOW_DATE in counts.columns:
+        counts = counts.filter(F.col(WINDOW_DATE) == day)
     start = F.col("window_start")
     kind = counts.schema["window_start"].dataType
     if not kind.typeName().startswith("timestamp"):
-        day = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
         return counts.filter(as_window_date(start) == day)
-    if as_of is None:
-        first = F.current_date().cast(kind)
-        last = F.date_add(F.current_date(), 1).cast(kind)
-    else:
-        day = date.fromisoformat(as_of) if isinstance(as_of, str) else as_of
-        midnight = datetime.combine(day, time())
-        first = F.lit(midnight.isoformat()).cast(kind)
-        last = F.lit((midnight + timedelta(days=1)).isoformat()).cast(kind)
-    return counts.filter((start >= first) & (start < last))
+    return counts.filter((start >= day.cast(kind)) & (start < F.date_add(day, 1).cast(kind)))
 
 
 def system_stats(counts: DataFrame) -> DataFrame:

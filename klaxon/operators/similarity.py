@@ -1,7 +1,8 @@
 """Neighbours by L2 distance between vectors stored in ``array<float>`` columns.
 
 Id columns are keys of their frame: unique and not NULL, numbers or text. Rows whose
-vector is NULL neither find nor are neighbours. Results have the two ids, ``l2`` (squared
+vector is NULL neither find nor are neighbours; vectors of mixed lengths are an error.
+Frames are measured before they are searched, so pass stored ones rather than long plans. Results have the two ids, ``l2`` (squared
 distance, double) and ``rank`` from 1; equal distances rank by corpus id.
 """
 

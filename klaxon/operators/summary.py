@@ -45,7 +45,7 @@ def system_list(counts: DataFrame) -> DataFrame:
     return (
         counts.groupBy("system")
         .agg(F.min("window_start").alias("first_seen"))
-        .orderBy(F.asc_nulls_last("first_seen"), F.asc("system"))
+        .orderBy(F.asc_nulls_last("first_seen"), F.asc_nulls_last("system"))
     )
 
 
@@ -67,13 +67,16 @@ def series(
 
 
 def in_time_order(counts: DataFrame) -> DataFrame:
-    """Global sort by window start, then system; equals keep their input order.
+    """Global sort by window start, then system, then whatever else a row holds.
 
-    The input position as last key also lets the range partitioner cut a run of equal
-    windows, so that no task has to sort all of it. Sort at the output only.
+    The input partition as last key lets the range partitioner cut a run of equal rows, so
+    that no task has to sort all of it. Unlike a row number it is the same when a task runs
+    again. Sort at the output only.
     """
+    keys = ["window_start", "system"]
+    keys += [name for name in counts.columns if name not in keys]
     return (
-        counts.withColumn("_position", F.monotonically_increasing_id())
-        .orderBy(F.asc_nulls_last("window_start"), F.asc_nulls_last("system"), "_position")
-        .drop("_position")
+        counts.withColumn("_part", F.spark_partition_id())
+        .orderBy(*[F.asc_nulls_last(key) for key in keys], "_part")
+        .drop("_part")
     )

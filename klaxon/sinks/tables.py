@@ -3,6 +3,9 @@
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from klaxon.functions.conversions import WINDOW_DATE, as_window_date
 
 
 def write_metrics(
@@ -15,9 +18,11 @@ def write_metrics(
     """Replace the metrics at ``path``, as CSV with header or as Parquet.
 
     ``single_file`` sends every row through one task; leave it off unless the result is
-    known to be small. Partitioning a Parquet table by date lets readers of a day skip
-    the other days.
+    known to be small. Partitioned by ``window_date``, which is derived where it is
+    missing, a table lets ``for_day`` skip the folders of other days.
     """
+    if WINDOW_DATE in partition_by and WINDOW_DATE not in metrics.columns:
+        metrics = metrics.withColumn(WINDOW_DATE, as_window_date(F.col("window_start")))
     rows = metrics.coalesce(1) if single_file else metrics
     writer = rows.write.mode("overwrite").partitionBy(*partition_by)
     if file_format == "csv":

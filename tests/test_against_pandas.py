@@ -1,0 +1,84 @@
+"""The overview against what pandas makes of the same windows, on random ones with gaps."""
+
+from datetime import datetime, timedelta
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from klaxon import operators as ops
+
+SCHEMA = "system string, high_severity_count int, window_start timestamp, window_end timestamp"
+
+
+def random_windows(seed, rows=200):
+    rng = np.random.default_rng(seed)
+    base = datetime(2026, 1, 2)
+    made = []
+    for _ in range(rows):
+        start = base + timedelta(seconds=10 * int(rng.integers(0, 40)))
+        system = None if rng.random() < 0.1 else "ABCDE"[rng.integers(0, 5)]
+        count = None if rng.random() < 0.2 or system == "E" else int(rng.integers(0, 6))
+        made.append((system, count, start, start + timedelta(seconds=10)))
+    return made
+
+
+@pytest.fixture(scope="module", params=range(3))
+def both(spark, request):
+    rows = random_windows(request.param)
+    columns = [part.split()[0] for part in SCHEMA.split(", ")]
+    return spark.createDataFrame(rows, SCHEMA).repartition(4), pd.DataFrame(rows, columns=columns)
+
+
+def test_summary(both):
+    counts, frame = both
+    groups = frame.groupby("system")["high_severity_count"]
+    expected = [
+        (system, int(group.sum()), None if np.isnan(group.mean()) else group.mean(), int((group >= 3).sum()))
+        for system, group in groups
+    ]
+    found = [tuple(row) for row in ops.system_summary(counts).collect()]
+    assert [row[:2] + row[3:] for row in found] == [row[:2] + row[3:] for row in expected]
+    assert [row[2] for row in found] == pytest.approx([row[2] for row in expected])
+
+
+def test_kpis(both):
+    counts, frame = both
+    column = frame["high_severity_count"]
+    row = ops.kpis(counts).first()
+    assert (row.total_incidents, row.spikes) == (int(column.sum()), int((column >= 3).sum()))
+    assert row.avg_per_window == pytest.approx(column.mean())
+
+
+def test_systems_in_order_of_appearance(both):
+    counts, frame = both
+    ordered = frame.sort_values(["window_start", "system"], kind="stable")
+    expected = [None if pd.isna(system) else system for system in ordered["system"].unique()]
+    assert [row.system for row in ops.system_list(counts).collect()] == expected
+
+
+@pytest.mark.parametrize("system", ["All", "B"])
+def test_series(both, system):
+    counts, frame = both
+    if system != "All":
+        frame = frame[frame["system"] == system]
+    points = ops.in_time_order(ops.series(counts, system=system)).collect()
+    starts = [point.window_start for point in points]
+    assert starts == sorted(starts)
+    for label, chosen in (
+        ("normal", frame[frame["high_severity_count"] < 3]),
+        ("spike", frame[frame["high_severity_count"] >= 3]),
+    ):
+        found = sorted((str(p.system), p.window_start, p.high_severity_count) for p in points if p.series == label)
+        assert found == sorted(
+            (str(None if pd.isna(s) else s), w.to_pydatetime(), int(n))
+            for s, w, n in zip(chosen["system"], chosen["window_start"], chosen["high_severity_count"])
+        )
+
+
+def test_totals_keep_null_sums_where_pandas_has_zero(both):
+    counts, frame = both
+    totals = {row.system: row.total_high_severity for row in ops.totals(counts).collect()}
+    for system, group in frame.groupby("system", dropna=False)["high_severity_count"]:
+        key = None if pd.isna(system) else system
+        assert totals[key] == (None if group.isna().all() else int(group.sum()))

@@ -141,11 +141,24 @@ def test_series_labels_points_in_time_order(counts):
     assert ops.series(counts, system="B").count() == 1
 
 
-def test_time_order_puts_null_last_and_keeps_input_order_of_equals(spark):
-    df = spark.createDataFrame(
-        [("A", i, window(0)[0] if i % 2 else None, None) for i in range(10)], SCHEMA
-    ).coalesce(1)
-    assert [row[1] for row in ops.in_time_order(df).collect()] == [1, 3, 5, 7, 9, 0, 2, 4, 6, 8]
+def test_time_order_puts_null_last_and_breaks_ties_by_all_columns(spark):
+    rows = [("A", i, window(0)[0] if i % 2 else None, None) for i in range(9, -1, -1)]
+    df = spark.createDataFrame([*rows, (None, 0, *window(0))], SCHEMA)
+    assert [row[1] for row in ops.in_time_order(df).collect()] == [1, 3, 5, 7, 9, 0, 0, 2, 4, 6, 8]
+
+
+def test_time_order_cuts_a_run_of_equal_rows(spark):
+    df = spark.range(0, 4000, 1, 8).selectExpr(
+        "'A' AS system", "1 AS high_severity_count", "TIMESTAMP '2026-01-02' AS window_start"
+    )
+    ordered = ops.in_time_order(df)
+    assert ordered.columns == df.columns
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = ordered.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) > 1 and sum(row["count"] for row in sizes) == 4000
 
 
 def test_parts_add_up(counts):

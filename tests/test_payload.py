@@ -1,8 +1,6 @@
 from datetime import datetime
 
 import pytest
-from pyspark.errors import PythonException, SparkRuntimeException
-from pyspark.sql import functions as F
 
 from klaxon.functions import decode_alerts, encode_alerts, event_time, incident_text
 from klaxon.schema import ALERT

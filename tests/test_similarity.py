@@ -104,6 +104,11 @@ def test_null_vectors_take_no_part_and_mixed_lengths_fail(spark, route):
     mixed = corpus.union(spark.createDataFrame([(99, [1.0])], CORPUS.format("bigint")))
     with pytest.raises(Exception, match="elements"):
         knn_exact(queries, mixed, 2, **ROUTES[route]).collect()
+    broken = corpus.union(
+        spark.createDataFrame([(99, [float("nan")] * 8)], CORPUS.format("bigint"))
+    )
+    with pytest.raises(Exception, match="finite"):
+        knn_exact(queries, broken, 2, **ROUTES[route]).collect()
 
 
 def test_empty_sides(spark):

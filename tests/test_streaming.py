@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from klaxon import sources
 from klaxon.functions import decode_alerts
-from klaxon.operators import severity_counts
 from klaxon.plans import count_stream, counts_of_stream
 from klaxon.streaming import start_both, start_stream
 
