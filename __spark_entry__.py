@@ -14,6 +14,8 @@ from datetime import date, timedelta
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -258,11 +260,13 @@ def stream_window_counts(spark, sf_dir):
 
 
 def stream_json_counts(spark, sf_dir):
-    """JSON payloads as a stream of text files, counted to files and console at once."""
+    """JSON payloads as a stream of text files, counted by the query that feeds both sinks."""
     inbox, path = new_folder(spark, "inbox"), new_folder(spark, "run")
     encode_alerts(_all_alerts(spark, sf_dir)).write.text(inbox)
     raw = sources.stream_alerts(spark, "text", inbox)
-    query = plans.count_stream(raw, path, new_folder(spark, "progress"), trigger=None, window=WINDOW)
+    query = plans.count_stream(
+        raw, path, new_folder(spark, "progress"), trigger=None, console_rows=0, window=WINDOW
+    )
     query.awaitTermination()
     return _read_back(spark, path)
 
@@ -296,15 +300,32 @@ def _vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return queries, vectors.select(F.col("vec_id").alias("id"), "embedding")
 
 
+def _centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean vector of each label: queries whose number does not grow with the table."""
+    mean = Summarizer.mean(array_to_vector("embedding"))
+    centres = _table(spark, sf_dir, "embeddings").groupBy("label").agg(mean.alias("mean"))
+    vector = vector_to_array("mean").alias("embedding")
+    return store(centres.select(F.col("label").alias("query_id"), vector), "centres")
+
+
 def knn(spark, sf_dir):
-    queries, corpus = _vectors(spark, sf_dir)
-    return knn_exact(queries, corpus, 5).withColumn("l2", _rounded("l2"))
+    """The vectors nearest to the centre of each label."""
+    found = knn_exact(_centres(spark, sf_dir), _vectors(spark, sf_dir)[1], 5)
+    return found.withColumn("l2", _rounded("l2"))
+
+
+def knn_sent(spark, sf_dir):
+    """As above by the route for few queries on a large corpus: bounds as low as these stand
+    for a corpus as large as the small tables do not have."""
+    corpus = _vectors(spark, sf_dir)[1]
+    found = knn_exact(_centres(spark, sf_dir), corpus, 5, ship_bytes=8 * 64 * 50)
+    return found.withColumn("l2", _rounded("l2"))
 
 
 def knn_cells(spark, sf_dir):
-    """The route for two large sides, which the small tables would not take by themselves."""
-    queries, corpus = _vectors(spark, sf_dir)
-    found = knn_exact(queries, corpus, 5, ship_bytes=0, cell_rows=256)
+    """As above by the route for two large sides."""
+    corpus = _vectors(spark, sf_dir)[1]
+    found = knn_exact(_centres(spark, sf_dir), corpus, 5, ship_bytes=0, cell_rows=256)
     return found.withColumn("l2", _rounded("l2"))
 
 
@@ -409,6 +430,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incident_text": incident_texts,
         "history_csv": history_csv,
         "knn_exact": knn,
+        "knn_sent": knn_sent,
         "knn_cells": knn_cells,
         "knn_lsh": knn_near,
         "embed_text": embed_text,
@@ -460,12 +482,16 @@ def oracle_sql() -> dict[str, str]:
            system, window_start, window_end, high_severity_count FROM counts"""
     closed = f"""{counts} SELECT * FROM counts WHERE window_end <=
       (SELECT max("timestamp") - INTERVAL '1 minute' FROM alerts WHERE severity = 'HIGH')"""
-    neighbours = """WITH pairs AS (
-      SELECT q.vec_id AS query_id, c.vec_id AS id,
+    neighbours = """WITH elements AS (
+      SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding) AS x
+      FROM embeddings), means AS (
+      SELECT label, i, avg(CAST(x AS DOUBLE)) AS x FROM elements GROUP BY label, i), centres AS (
+      SELECT label AS query_id, list(x ORDER BY i) AS centre FROM means GROUP BY label), pairs AS (
+      SELECT q.query_id, c.vec_id AS id,
              list_sum(list_transform(
-               list_zip(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])),
+               list_zip(q.centre, CAST(c.embedding AS DOUBLE[])),
                lambda s: (s[1] - s[2]) * (s[1] - s[2]))) AS l2
-      FROM embeddings q CROSS JOIN embeddings c), ranked AS (
+      FROM centres q CROSS JOIN embeddings c), ranked AS (
       SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY l2, id) AS place FROM pairs)
     SELECT query_id, id, round(l2, 6) AS l2, CAST(place AS INTEGER) AS rank
     FROM ranked WHERE place <= 5"""
@@ -528,6 +554,7 @@ def oracle_sql() -> dict[str, str]:
              message AS description, 'Restart, then watch' AS resolution,
              CAST(length(incident_id) AS INTEGER) AS mean_time_to_fix FROM alerts""",
         "knn_exact": neighbours,
+        "knn_sent": neighbours,
         "knn_cells": neighbours,
         "embed_model": """SELECT doc_id, length(text) AS characters,
              len(string_split(text, chr(10))) AS lines FROM documents""",

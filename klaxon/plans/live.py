@@ -30,7 +30,9 @@ def count_stream(
     path: str,
     checkpoint: str,
     trigger: str | None = TRIGGER,
+    console_rows: int = 20,
     **options: str,
 ) -> StreamingQuery:
     """Count a stream of payloads into CSV files and onto the console."""
-    return start_both(counts_of_stream(raw, **options), path, checkpoint, trigger)
+    counts = counts_of_stream(raw, **options)
+    return start_both(counts, path, checkpoint, trigger, console_rows)

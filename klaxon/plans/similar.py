@@ -27,12 +27,16 @@ def similar_incidents(
     k: int = 5,
     embedder: Callable[[DataFrame], DataFrame] = embed,
     corpus_id: str = "incident_id",
+    search: Callable[..., DataFrame] = knn_exact,
 ) -> DataFrame:
     """Every alert with its ``k`` nearest past incidents: ``similar_id``, ``l2``, ``rank``.
 
     Alerts repeat few texts, so vectors and neighbours are computed once per distinct
     text. A digest stands for the text from there on, so that whole texts shuffle once.
     An alert without a complete text keeps one row without neighbour.
+
+    Where both the distinct texts and the corpus are too many to compare all of them, pass
+    ``functools.partial(knn_lsh, bucket_length=...)`` as ``search``.
     """
     digest = F.sha2("text", 256).alias("_digest")
     texts = alerts.select(incident_text("message").alias("text"))
@@ -40,6 +44,6 @@ def similar_incidents(
     # Stored, as the neighbour search measures its input before it reads it.
     vectors = store(embedder(distinct).select(digest, "embedding"), "vectors")
     past = corpus.select(F.col(corpus_id).alias("similar_id"), "embedding")
-    found = knn_exact(vectors, past, k, query_id="_digest", corpus_id="similar_id")
+    found = search(vectors, past, k, query_id="_digest", corpus_id="similar_id")
     keyed = alerts.withColumn("_digest", F.sha2(incident_text("message"), 256))
     return left_join_measured(keyed, found, ["_digest"]).drop("_digest")

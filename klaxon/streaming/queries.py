@@ -49,13 +49,15 @@ def start_both(
 
     Each batch goes to its own folder ``batch_id=N`` and replaces what an attempt that
     failed may have left there, so a restart neither loses nor repeats rows. The console
-    gets the first ``console_rows`` rows of a batch.
+    gets the first ``console_rows`` rows of a batch, if any.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         target = f"{path.rstrip('/')}/batch_id={batch_id}"
         rows = batch if files is None else batch.repartition(files)
         rows.write.mode("overwrite").option("header", True).csv(target)
+        if console_rows == 0:
+            return
         # Show what was written rather than compute the batch again.
         written = batch.sparkSession.read.schema(batch.schema).option("header", True).csv(target)
         print(f"Batch: {batch_id}")

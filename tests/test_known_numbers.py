@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from klaxon import operators as ops
+from klaxon.operators.similarity import knn_exact
 
 ROOT = "/root/testdata"
 
@@ -45,8 +46,10 @@ def test_a_day(spark):
 
 
 def test_neighbours(spark):
-    rows = entry_module.knn(spark, f"{ROOT}/sf0.01").filter("query_id = 0 AND rank <= 3").orderBy("rank")
-    assert [(row.id, row.l2) for row in rows.collect()] == [(0, 0.0), (365, 1.260013), (334, 1.274556)]
+    queries, corpus = entry_module._vectors(spark, f"{ROOT}/sf0.01")
+    rows = knn_exact(queries, corpus, 3).filter("query_id = 0").orderBy("rank").collect()
+    found = [(row.id, round(row.l2, 6)) for row in rows]
+    assert found == [(0, 0.0), (365, 1.260013), (334, 1.274556)]
 
 
 @pytest.mark.parametrize("size,windows,alerts", [("0.001", 230, 384), ("0.01", 357, 3639), ("0.1", 357, 36456)])

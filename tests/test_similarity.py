@@ -1,3 +1,5 @@
+from functools import partial
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -237,3 +239,5 @@ def test_similar_incidents(spark, tmp_path):
     assert found.columns == [*alerts.columns, "similar_id", "l2", "rank"]
     assert rows == {**{i: ("INC1", 1) for i in range(50)}, 50: ("INC2", 1), 51: (None, None)}
     assert found.filter("n < 50").agg(F.max("l2")).first()[0] == 0.0
+    near = similar_incidents(alerts, corpus, k=1, search=partial(knn_lsh, bucket_length=0.5))
+    assert {row.similar_id for row in near.filter("n < 50").collect()} == {"INC1"}
