@@ -227,8 +227,7 @@ def normal_windows(spark, sf_dir):
 
 def union_runs(spark, sf_dir):
     counts = _counts(spark, sf_dir)
-    plain = counts.drop("high_severity_count")
-    return sources.union_runs(counts, plain)
+    return sources.union_runs(counts, counts.drop("window_end"))
 
 
 def backfilled_runs(spark, sf_dir):
@@ -541,7 +540,7 @@ def oracle_sql() -> dict[str, str]:
         "series_of_system": f"{counts} {points} WHERE system = 'MAINFRAME'",
         "normal_windows": f"{short} SELECT * FROM counts WHERE high_severity_count < 3",
         "union_runs": f"""{counts} SELECT * FROM counts UNION ALL BY NAME
-             SELECT * EXCLUDE (high_severity_count) FROM counts""",
+             SELECT * EXCLUDE (window_end) FROM counts""",
         "backfilled_runs": f"""{counts} SELECT system, window_start,
              CAST(0 AS INTEGER) AS high_severity_count,
              TIMESTAMP '1970-01-01' AS window_end FROM counts""",
