@@ -248,8 +248,9 @@ def _read_back(spark: SparkSession, path: str) -> DataFrame:
 def stream_window_counts(spark, sf_dir):
     """Events as a stream of files, counted into CSV files by a streaming aggregate."""
     schema = _table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    alerts = _alerts(events.parquet(sf_dir).filter("value >= 50"))
+    # A stream takes a pattern where it refuses the path of one file.
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+    alerts = _alerts(events.filter("value >= 50"))
     alerts = alerts.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     path = new_folder(spark, "run")
     counts = operators.severity_counts(alerts, WINDOW)
@@ -261,7 +262,7 @@ def stream_window_counts(spark, sf_dir):
 def stream_json_counts(spark, sf_dir):
     """JSON payloads as a stream of text files, counted by the query that feeds both sinks."""
     inbox, path = new_folder(spark, "inbox"), new_folder(spark, "run")
-    encode_alerts(_all_alerts(spark, sf_dir)).write.text(inbox)
+    sinks.write_alerts(_all_alerts(spark, sf_dir), "text", inbox)
     raw = sources.stream_alerts(spark, "text", inbox)
     query = plans.count_stream(
         raw, path, new_folder(spark, "progress"), trigger=None, console_rows=0, window=WINDOW

@@ -7,7 +7,7 @@ import argparse
 
 from klaxon import plans, sinks, sources
 from klaxon.functions import decode_alerts
-from klaxon.session import engine_session
+from klaxon.session import engine_session, store
 
 
 def _options(pairs: list[str]) -> dict[str, str]:
@@ -37,6 +37,7 @@ def _overview(spark, args) -> None:
     if metrics.isEmpty():
         print(f"no metrics in {args.input}")
         return
+    metrics = store(metrics, "metrics")
     for name, frame in plans.overview(metrics, system=args.system).items():
         print(name)
         frame.show(truncate=False)

@@ -14,6 +14,7 @@ from klaxon.operators.summary import (
     system_list,
     system_summary,
 )
+from klaxon.session import store
 
 
 def daily_metrics(
@@ -21,10 +22,10 @@ def daily_metrics(
 ) -> dict[str, DataFrame]:
     """Windows of a day, statistics per system, peak window, spikes and enriched windows.
 
-    All results are lazy but ``enriched``, whose statistics are computed and measured
-    here. Only results that are used cost a scan.
+    The windows of the day are stored first: the counts are parsed once, and each result
+    that is used reads only its columns. Statistics for ``enriched`` are computed here.
     """
-    day = typed_counts(for_day(counts, as_of))
+    day = store(typed_counts(for_day(counts, as_of)), "day")
     return {
         "windows": day,
         "stats": system_stats(day),

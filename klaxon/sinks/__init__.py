@@ -1,3 +1,3 @@
-from klaxon.sinks.tables import write_metrics, write_vectors
+from klaxon.sinks.tables import write_alerts, write_metrics, write_vectors
 
-__all__ = ["write_metrics", "write_vectors"]
+__all__ = ["write_alerts", "write_metrics", "write_vectors"]

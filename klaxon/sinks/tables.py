@@ -6,6 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from klaxon.functions.conversions import WINDOW_DATE, as_window_date
+from klaxon.functions.payload import encode_alerts
+
+
+def with_window_date(rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Add the day a window starts on, where a table is to be partitioned by it."""
+    if WINDOW_DATE not in partition_by or WINDOW_DATE in rows.columns:
+        return rows
+    return rows.withColumn(WINDOW_DATE, as_window_date(F.col("window_start")))
+
+
+def write_alerts(
+    alerts: DataFrame,
+    sink: str = "kafka",
+    path: str | None = None,
+    key: str | None = None,
+    **options: str,
+) -> None:
+    """Append alerts as JSON payloads, to Kafka (options ``kafka.bootstrap.servers`` and
+    ``topic``) or to text files at ``path``, where a stream of alerts can read them."""
+    writer = encode_alerts(alerts, key).write.format(sink).mode("append").options(**options)
+    writer.save(path) if path is not None else writer.save()
 
 
 def write_metrics(
@@ -21,8 +42,7 @@ def write_metrics(
     known to be small. Partitioned by ``window_date``, which is derived where it is
     missing, a table lets ``for_day`` skip the folders of other days.
     """
-    if WINDOW_DATE in partition_by and WINDOW_DATE not in metrics.columns:
-        metrics = metrics.withColumn(WINDOW_DATE, as_window_date(F.col("window_start")))
+    metrics = with_window_date(metrics, partition_by)
     rows = metrics.coalesce(1) if single_file else metrics
     writer = rows.write.mode("overwrite").partitionBy(*partition_by)
     if file_format == "csv":

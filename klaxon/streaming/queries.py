@@ -5,9 +5,13 @@ offsets of the source only apply to the first start. For a replay from the begin
 a new checkpoint and a new output folder.
 """
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from klaxon.sinks.tables import with_window_date
+
 TRIGGER = "10 seconds"
 
 
@@ -19,16 +23,21 @@ def start_stream(
     trigger: str | None = TRIGGER,
     name: str | None = None,
     files: int | None = None,
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Append a stream to a sink: ``csv`` or ``parquet`` files at ``path``, ``console``.
 
     ``trigger`` is the time between batches; ``None`` works off what is available and
     ends the query. ``files`` is the number of files per batch, by default one for every
-    state partition that has rows.
+    state partition that has rows. Parquet files partitioned by ``window_date`` let the
+    metrics of a day skip other days.
     """
+    stream = with_window_date(stream, partition_by)
     if files is not None:
         stream = stream.repartition(files)
     writer = _writer(stream, checkpoint, trigger, name).format(sink)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if sink == "csv":
         writer = writer.option("header", True)
     if sink == "console":

@@ -5,6 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from klaxon import sinks, sources
+from klaxon.functions import decode_alerts
 from klaxon.schema import HISTORY, METRIC
 
 HEADER = "system,high_severity_count,window_start,window_end"
@@ -107,6 +108,14 @@ def test_bad_bounds_fail_or_are_null(spark):
     assert sources.typed_metrics(df, strict=False).first()[0] is None
 
 
+def test_written_alerts_come_back_as_payloads(spark, tmp_path):
+    alerts = spark.createDataFrame([("INC1", START), ("INC2", None)], "incident_id string, timestamp timestamp")
+    for _ in range(2):
+        sinks.write_alerts(alerts, "text", str(tmp_path / "inbox"))
+    back = decode_alerts(sources.read_alerts(spark, path=str(tmp_path / "inbox")), columns=alerts.columns)
+    assert sorted(map(tuple, back.collect()), key=str) == [("INC1", START)] * 2 + [("INC2", None)] * 2
+
+
 def test_history(spark, tmp_path):
     put(
         tmp_path, "history.csv", ",".join(HISTORY.fieldNames()),

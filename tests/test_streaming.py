@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from klaxon import sources
 from klaxon.functions import decode_alerts
-from klaxon.plans import count_stream, counts_of_stream
+from klaxon.plans import count_stream, counts_of_stream, daily_metrics
 from klaxon.streaming import start_both, start_stream
 
 DAY = "2026-01-02T"
@@ -152,6 +152,18 @@ def test_console_and_fixed_number_of_files(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
 
 
+def test_stored_by_date_then_metrics_of_a_day(spark, tmp_path):
+    drop_files(tmp_path / "in", LATE)
+    counts = counts_of_stream(stream_of(spark, tmp_path / "in"))
+    start_stream(
+        counts, "parquet", str(tmp_path / "c"), str(tmp_path / "out"), trigger=None, partition_by=["window_date"]
+    ).awaitTermination()
+    stored = spark.read.parquet(str(tmp_path / "out"))
+    (row,) = daily_metrics(stored, "2026-01-02")["enriched"].collect()
+    assert (row.high_severity_count, row.total_high_severity, row.avg_per_window) == (4, 4, 4.0)
+    assert daily_metrics(stored, "2026-01-03")["windows"].isEmpty()
+
+
 def test_processing_time_trigger(spark, tmp_path):
     drop_files(tmp_path / "in", LATE)
     counts = counts_of_stream(stream_of(spark, tmp_path / "in"))
