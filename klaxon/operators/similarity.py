@@ -21,9 +21,9 @@ from klaxon.functions.nearest import Nearest, common_runs, matrix, sortable_ids
 from klaxon.operators.joins import left_join_settled
 from klaxon.session import settle, store
 
-# Bytes of vectors that may be sent to every task, and vectors per side of one cell.
+# Bytes of vectors that may be sent to every task, and that one side of a cell may hold.
 SHIP_BYTES = 64 << 20
-CELL_ROWS = 100_000
+CELL_BYTES = 64 << 20
 # Rows that one task may emit for queries that were sent to it.
 EMIT_ROWS = 500_000
 
@@ -36,7 +36,7 @@ def knn_exact(
     corpus_id: str = "id",
     vector: str = "embedding",
     ship_bytes: int = SHIP_BYTES,
-    cell_rows: int = CELL_ROWS,
+    cell_bytes: int = CELL_BYTES,
 ) -> DataFrame:
     """The ``k`` nearest corpus rows of every query, exactly.
 
@@ -46,6 +46,8 @@ def knn_exact(
     With both sides large, cells of bounded size are compared; that takes work in
     proportion to queries x corpus, so consider :func:`knn_lsh`.
     """
+    if k < 1:
+        raise ValueError(f"k must be at least 1, not {k}")
     queries = _keyed(queries, query_id, vector)
     corpus = _keyed(corpus, corpus_id, vector)
     schema = _result_schema(queries.schema[query_id], corpus.schema[corpus_id])
@@ -53,12 +55,13 @@ def knn_exact(
     if first is None:
         return queries.sparkSession.createDataFrame([], schema)
     dim = first[0]
-    ship_rows = max(1, ship_bytes // (8 * max(dim, 1)))
+    ship_rows = _rows_within(ship_bytes, dim)
     if not _more_than(corpus, ship_rows):
         return _scan_queries(queries, corpus, k, dim, schema)
     if not _more_than(queries, min(ship_rows, max(1, EMIT_ROWS // k))):
         found = _scan_corpus(queries, corpus, k, dim, schema)
     else:
+        cell_rows = _rows_within(cell_bytes, dim)
         found = _compare_cells(queries, corpus, k, dim, schema, cell_rows)
     return _best(found, k, query_id, corpus_id)
 
@@ -74,7 +77,7 @@ def knn_lsh(
     query_id: str = "query_id",
     corpus_id: str = "id",
     vector: str = "embedding",
-    cell_rows: int = CELL_ROWS,
+    cell_bytes: int = CELL_BYTES,
 ) -> DataFrame:
     """Up to ``k`` near corpus rows of every query, from shared hash buckets only.
 
@@ -84,14 +87,18 @@ def knn_lsh(
     are cut into cells on both sides. Surplus copies are set aside first, as of equal
     corpus vectors only the ``k`` with the smallest ids can be in a result.
     """
+    if k < 1:
+        raise ValueError(f"k must be at least 1, not {k}")
     queries = _keyed(queries, query_id, vector)
     corpus = _keyed(corpus, corpus_id, vector)
     schema = _result_schema(queries.schema[query_id], corpus.schema[corpus_id])
-    first = corpus.select(vector).first()
+    first = corpus.select(F.size(vector)).first()
     if first is None:
         return queries.sparkSession.createDataFrame([], schema)
+    dim = first[0]
+    cell_rows = _rows_within(cell_bytes, dim)
     # Fitting draws random directions and takes no more than the dimension from its input.
-    zero = F.array_repeat(F.lit(0.0), len(first[0]))
+    zero = F.array_repeat(F.lit(0.0), dim)
     sample = queries.sparkSession.range(1).select(array_to_vector(zero).alias("_vector"))
     hasher = BucketedRandomProjectionLSH(
         inputCol="_vector",
@@ -145,12 +152,17 @@ def knn_lsh(
         placed(queries, query_id, "_q_cell", "_c_cell"),
         placed(corpus, corpus_id, "_c_cell", "_q_cell"),
         ["_slot", "_q_cell", "_c_cell"],
-        k, len(first[0]), schema, (query_id, corpus_id, vector, "_bucket"),
+        k, dim, schema, (query_id, corpus_id, vector, "_bucket"),
     )
     # A pair that shares several buckets comes once for each, with equal rank.
     return _best(found, k, query_id, corpus_id).distinct()
 
 
+def _rows_within(size: int, dim: int) -> int:
+    """Vectors of double precision that fit into ``size`` bytes, at least one."""
+    return max(1, size // (8 * max(dim, 1)))
+
+
 def _keyed(df: DataFrame, key: str, vector: str) -> DataFrame:
     return df.select(key, vector).filter(F.col(vector).isNotNull())
 

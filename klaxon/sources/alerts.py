@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Defaults of the message source; options of the call win.
+# Topic and first offset of the message source. Options of the call win.
 KAFKA_DEFAULTS = {"subscribe": "incident_alerts", "startingOffsets": "earliest"}
 
 

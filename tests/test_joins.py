@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,6 +99,13 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert first != second and first.startswith(folder)
 
 
+def test_a_cluster_has_to_name_its_shared_folder():
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session)
+
+
 def test_settled_and_stored_frames_keep_rows(spark):
     df = spark.range(10)
     assert settle(df).count() == store(df, "ids").count() == 10

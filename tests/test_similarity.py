@@ -50,7 +50,7 @@ def answers(found):
 ROUTES = {
     "corpus sent": {},
     "queries sent": {"ship_bytes": 8 * 8 * 60},
-    "cells": {"ship_bytes": 0, "cell_rows": 37},
+    "cells": {"ship_bytes": 0, "cell_bytes": 8 * 8 * 37},
 }
 
 
@@ -120,10 +120,18 @@ def test_empty_sides(spark):
         assert knn_lsh(left, right, 3, bucket_length=1.0).isEmpty()
 
 
+def test_k_has_to_be_positive(spark):
+    sides = frames(spark, vectors(3), vectors(5))
+    with pytest.raises(ValueError):
+        knn_exact(*sides, 0)
+    with pytest.raises(ValueError):
+        knn_lsh(*sides, 0, bucket_length=1.0)
+
+
 def test_number_of_queries_sent_is_bounded_by_what_tasks_would_emit(spark, monkeypatch):
     monkeypatch.setattr(similarity, "EMIT_ROWS", 100)
     queries, corpus = vectors(50, seed=1), vectors(300, seed=2)
-    found = knn_exact(*frames(spark, queries, corpus), 7, ship_bytes=8 * 8 * 60, cell_rows=50)
+    found = knn_exact(*frames(spark, queries, corpus), 7, ship_bytes=8 * 8 * 60, cell_bytes=8 * 8 * 50)
     assert "FlatMapCoGroups" in found._jdf.queryExecution().executedPlan().toString()
     assert answers(found) == brute_force(queries, corpus, 7)
 
@@ -155,13 +163,13 @@ def clustered(rows, seed):
 
 
 # Without and with buckets that are cut into cells.
-@pytest.mark.parametrize("cell_rows", [100_000, 40])
-def test_lsh_finds_most_neighbours_at_exact_distances(spark, cell_rows):
+@pytest.mark.parametrize("cell_bytes", [64 << 20, 8 * 8 * 40])
+def test_lsh_finds_most_neighbours_at_exact_distances(spark, cell_bytes):
     queries, corpus = clustered(60, 1), clustered(600, 2)
     # A third of the corpus is one vector, and some queries are that vector.
     corpus[:200] = corpus[0]
     queries[:20] = corpus[0]
-    found = answers(knn_lsh(*frames(spark, queries, corpus), 5, bucket_length=2.0, cell_rows=cell_rows))
+    found = answers(knn_lsh(*frames(spark, queries, corpus), 5, bucket_length=2.0, cell_bytes=cell_bytes))
     expected = brute_force(queries, corpus, 5)
     distances = ((queries[:, None].astype(np.float64) - corpus[None]) ** 2).sum(axis=2)
     hits = 0
@@ -179,13 +187,13 @@ def test_lsh_finds_most_neighbours_at_exact_distances(spark, cell_rows):
 def test_lsh_does_not_depend_on_cells(spark):
     sides = frames(spark, clustered(60, 1), clustered(600, 2))
     whole = knn_lsh(*sides, 5, bucket_length=2.0)
-    cut = knn_lsh(*sides, 5, bucket_length=2.0, cell_rows=25)
+    cut = knn_lsh(*sides, 5, bucket_length=2.0, cell_bytes=8 * 8 * 25)
     assert answers(whole) == answers(cut)
 
 
 def test_lsh_on_one_bucket_is_exact(spark):
     queries, corpus = vectors(30, seed=1), vectors(200, seed=2)
-    found = knn_lsh(*frames(spark, queries, corpus), 5, bucket_length=1e6, tables=8, cell_rows=50)
+    found = knn_lsh(*frames(spark, queries, corpus), 5, bucket_length=1e6, tables=8, cell_bytes=8 * 8 * 50)
     # Hashes are cut at 0, so this leaves few buckets rather than one.
     expected = brute_force(queries, corpus, 5)
     hits = sum(len(set(found_pairs) & set(expected[q])) for q, found_pairs in answers(found).items())
