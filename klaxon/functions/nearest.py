@@ -11,6 +11,9 @@ QUERY_BLOCK = 512
 CORPUS_BLOCK = 8192
 PAIR_BLOCK = 1 << 16
 
+# Candidates per query and neighbour wanted, above which a block is looked at more closely.
+CROWDED = 4
+
 
 def matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     """Vectors of a list column as a 2-D array; all have to be of length ``dim``."""
@@ -37,64 +40,120 @@ def sortable_ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 class Nearest:
     """The ``k`` nearest corpus vectors of every query, over corpus blocks seen so far.
 
-    Distance is squared L2 in double precision; equal distances rank by id. A product of
-    matrices in single precision gives a lower bound of every distance, and only pairs
-    whose bound does not rule them out are measured exactly.
+    Distance is squared L2 in double precision; equal distances rank by id. ``rows``,
+    ``ids``, ``distances`` and ``ranks`` list the neighbours, ordered by query row and rank.
     """
 
     def __init__(self, queries: np.ndarray, k: int):
-        self.queries = queries
-        self.k = k
-        self.rows = np.empty(0, dtype=np.int64)
-        self.distances = np.empty(0)
-        self.ids = None
-        self._single = queries.astype(np.float32)
-        self._norms = np.einsum("ij,ij->i", queries, queries, dtype=np.float64)
-        self._worst = np.full(len(queries), np.inf)
+        self._blocks = [
+            _QueryBlock(queries[start:start + QUERY_BLOCK], k)
+            for start in range(0, len(queries), QUERY_BLOCK)
+        ]
+        self._k = k
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         for start in range(0, len(vectors), CORPUS_BLOCK):
             stop = start + CORPUS_BLOCK
-            self._add_block(ids[start:stop], vectors[start:stop])
-
-    def _add_block(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        single = vectors.astype(np.float32).T
-        norms = np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64)
-        found = [
-            self._measure(begin, single, norms, vectors)
-            for begin in range(0, len(self.queries), QUERY_BLOCK)
-        ]
-        rows = np.concatenate([part[0] for part in found] or [self.rows[:0]])
-        if len(rows) == 0:
-            return
-        columns = np.concatenate([part[1] for part in found])
-        distances = np.concatenate([part[2] for part in found])
-        known = ids[:0] if self.ids is None else self.ids
-        self._keep(
-            np.concatenate([self.rows, rows]),
-            np.concatenate([self.distances, distances]),
-            np.concatenate([known, ids[columns]]),
-        )
+            block = _CorpusBlock(ids[start:stop], vectors[start:stop])
+            for queries in self._blocks:
+                queries.add(block)
+
+    @property
+    def rows(self) -> np.ndarray:
+        starts = range(0, len(self._blocks) * QUERY_BLOCK, QUERY_BLOCK)
+        parts = [block.rows + start for block, start in zip(self._blocks, starts)]
+        return np.concatenate([np.empty(0, dtype=np.int64), *parts])
+
+    @property
+    def distances(self) -> np.ndarray:
+        return np.concatenate([np.empty(0), *(block.distances for block in self._blocks)])
+
+    @property
+    def ids(self) -> np.ndarray:
+        parts = [block.ids for block in self._blocks if len(block.rows)]
+        return np.concatenate(parts) if parts else np.empty(0)
+
+    @property
+    def ranks(self) -> np.ndarray:
+        return (_place_in_run(self.rows) + 1).astype(np.int32)
 
-    def _measure(self, begin, single, norms, vectors):
-        end = min(begin + QUERY_BLOCK, len(self.queries))
-        error = 4 * (single.shape[0] + 4) * np.finfo(np.float32).eps
-        scale = self._norms[begin:end, None] + norms[None, :]
-        bound = (1 - error) * scale - 2.0 * (self._single[begin:end] @ single)
-        limit = self._worst[begin:end]
-        if np.isinf(limit).any() and bound.shape[1] > self.k:
-            kth = np.partition(bound, self.k - 1, axis=1)[:, self.k - 1]
-            limit = np.minimum(limit, kth + 2 * error * scale.max(axis=1))
-        rows, columns = np.nonzero(bound <= limit[:, None])
-        rows += begin
-        distances = np.empty(len(rows))
+
+class _Bounds:
+    """Vectors prepared for bounding distances by a product of matrices."""
+
+    def __init__(self, vectors: np.ndarray, precision: type):
+        self.vectors = vectors.astype(precision)
+        self.norms = np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64)
+        self.error = 4 * (vectors.shape[1] + 4) * np.finfo(precision).eps
+
+
+class _CorpusBlock:
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        self.ids, self.vectors = ids, vectors
+        self.bounds = _Bounds(vectors, np.float32)
+
+    def without_surplus_copies(self, k: int) -> "_CorpusBlock":
+        """Only the ``k`` smallest ids of equal vectors, bounded in double precision.
+
+        Prepared once, for the first block of queries that needs it with this ``k``.
+        """
+        if not hasattr(self, "_closer"):
+            _, group = np.unique(self.vectors, axis=0, return_inverse=True)
+            order = np.lexsort((self.ids, group.ravel()))
+            kept = np.sort(order[_place_in_run(group.ravel()[order]) < k])
+            self._closer = _CorpusBlock(self.ids[kept], self.vectors[kept])
+            self._closer.bounds = _Bounds(self._closer.vectors, np.float64)
+        return self._closer
+
+
+class _QueryBlock:
+    """Neighbours of some queries, as parallel arrays ordered by query row and rank.
+
+    A bound from below on every distance rules most pairs out; only the others are
+    measured. Bounds in single precision are quick but loose, so where they leave many
+    pairs, because vectors are equal or almost so, bounds in double precision follow.
+    """
+
+    def __init__(self, queries: np.ndarray, k: int):
+        self.queries, self.k = queries, k
+        self.rows = np.empty(0, dtype=np.int64)
+        self.distances = np.empty(0)
+        self.ids: np.ndarray | None = None
+        self._worst = np.full(len(queries), np.inf)
+        self._bounds = {np.float32: _Bounds(queries, np.float32)}
+
+    def add(self, corpus: _CorpusBlock) -> None:
+        rows, columns = self._candidates(corpus, np.float32)
+        if len(rows) > CROWDED * self.k * len(self.queries):
+            corpus = corpus.without_surplus_copies(self.k)
+            rows, columns = self._candidates(corpus, np.float64)
         for start in range(0, len(rows), PAIR_BLOCK):
             piece = slice(start, start + PAIR_BLOCK)
-            gap = self.queries[rows[piece]].astype(np.float64) - vectors[columns[piece]]
-            distances[piece] = np.einsum("ij,ij->i", gap, gap)
-        return rows, columns, distances
-
-    def _keep(self, rows, distances, ids) -> None:
+            self._measure(corpus, rows[piece], columns[piece])
+
+    def _candidates(self, corpus: _CorpusBlock, precision: type):
+        if precision not in self._bounds:
+            self._bounds[precision] = _Bounds(self.queries, precision)
+        mine, other = self._bounds[precision], corpus.bounds
+        scale = mine.norms[:, None] + other.norms[None, :]
+        bound = (1 - mine.error) * scale - 2.0 * (mine.vectors @ other.vectors.T)
+        limit = self._worst
+        if np.isinf(limit).any() and bound.shape[1] > self.k:
+            kth = np.partition(bound, self.k - 1, axis=1)[:, self.k - 1]
+            limit = np.minimum(limit, kth + 2 * mine.error * scale.max(axis=1))
+        return np.nonzero(bound <= limit[:, None])
+
+    def _measure(self, corpus: _CorpusBlock, rows: np.ndarray, columns: np.ndarray) -> None:
+        gap = self.queries[rows].astype(np.float64) - corpus.vectors[columns]
+        distances = np.einsum("ij,ij->i", gap, gap)
+        closer = distances <= self._worst[rows]
+        rows, columns, distances = rows[closer], columns[closer], distances[closer]
+        if len(rows) == 0:
+            return
+        known = corpus.ids[:0] if self.ids is None else self.ids
+        rows = np.concatenate([self.rows, rows])
+        distances = np.concatenate([self.distances, distances])
+        ids = np.concatenate([known, corpus.ids[columns]])
         order = np.lexsort((ids, distances, rows))
         rows, distances, ids = rows[order], distances[order], ids[order]
         place = _place_in_run(rows)
@@ -103,9 +162,6 @@ class Nearest:
         last = place == self.k - 1
         self._worst[rows[last]] = distances[last]
 
-    def ranks(self) -> np.ndarray:
-        return (_place_in_run(self.rows) + 1).astype(np.int32)
-
 
 def _place_in_run(rows: np.ndarray) -> np.ndarray:
     """Position of each element among equal neighbours, from 0."""

@@ -184,12 +184,11 @@ def _more_than(df: DataFrame, rows: int) -> bool:
 
 
 def _answer(nearest: Nearest, query_ids: pa.Array, id_type: pa.DataType, names) -> pa.RecordBatch:
-    ids = nearest.ids if nearest.ids is not None else []
     columns = [
         query_ids.take(pa.array(nearest.rows)),
-        pa.array(ids, type=id_type),
+        pa.array(nearest.ids, type=id_type),
         pa.array(nearest.distances),
-        pa.array(nearest.ranks()),
+        pa.array(nearest.ranks),
     ]
     return pa.RecordBatch.from_arrays(columns, names=names)
 

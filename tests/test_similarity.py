@@ -149,13 +149,29 @@ def test_nearest_over_many_blocks(monkeypatch, scale):
     for start in range(0, 200, 50):
         nearest.add(np.arange(start, start + 50), corpus[start:start + 50])
     found = {}
-    for row, key, rank in zip(nearest.rows, nearest.ids, nearest.ranks()):
+    for row, key, rank in zip(nearest.rows, nearest.ids, nearest.ranks):
         found.setdefault(int(row), []).append(int(key))
         assert len(found[int(row)]) == rank
     expected = brute_force(queries, corpus, 9)
     assert found == {row: [key for key, _ in pairs] for row, pairs in expected.items()}
 
 
+@pytest.mark.parametrize("jitter", [0.0, 1e-7, 1e-4])
+def test_nearest_among_copies_and_near_copies(jitter):
+    rng = np.random.default_rng(3)
+    corpus = vectors(3000, dim=16, seed=2)
+    corpus[::3] = corpus[0] + jitter * rng.normal(size=(1000, 16))
+    queries = corpus[:60].copy()
+    ids = rng.permutation(3000)
+    nearest = Nearest(queries, 8)
+    nearest.add(ids, corpus)
+    expected = brute_force(queries, corpus, 8, ids.tolist())
+    found = {}
+    for row, key in zip(nearest.rows, nearest.ids):
+        found.setdefault(int(row), []).append(int(key))
+    assert found == {row: [key for key, _ in pairs] for row, pairs in expected.items()}
+
+
 def clustered(rows, seed):
     rng = np.random.default_rng(seed)
     centres = np.random.default_rng(99).normal(size=(20, 8)) * 5
