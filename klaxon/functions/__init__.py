@@ -7,7 +7,7 @@ from klaxon.functions.conversions import (
     is_normal,
     is_spike,
 )
-from klaxon.functions.payload import decode_alerts, encode_alerts
+from klaxon.functions.payload import decode_alerts, encode_alerts, payloads_mentioning
 
 __all__ = [
     "as_count",
@@ -19,4 +19,5 @@ __all__ = [
     "incident_text",
     "is_normal",
     "is_spike",
+    "payloads_mentioning",
 ]

@@ -35,6 +35,16 @@ def decode_alerts(
     return alerts
 
 
+def payloads_mentioning(raw: DataFrame, text: str, value: str = "value") -> DataFrame:
+    """Payloads in which some field may equal ``text``, found without parsing them.
+
+    Drops no other payload than those that cannot: JSON spells a text as it is, or with
+    escapes, which take a backslash.
+    """
+    payload = F.col(value).cast("string")
+    return raw.filter(payload.contains(text) | payload.contains("\\"))
+
+
 def encode_alerts(alerts: DataFrame, key: str | None = None) -> DataFrame:
     """One JSON object per alert in ``value``, ready for a message sink.
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from klaxon.functions.payload import decode_alerts
+from klaxon.functions.payload import decode_alerts, payloads_mentioning
 from klaxon.operators.windows import severity_counts
 from klaxon.session import require_utc
 from klaxon.streaming.queries import TRIGGER, start_both
@@ -21,7 +21,8 @@ def counts_of_stream(
 ) -> DataFrame:
     """Window counts of JSON payloads; also takes a bounded frame."""
     require_utc(raw.sparkSession)
-    alerts = decode_alerts(raw, fraction, COUNTED)
+    # Alerts of other severities count for nothing, so most of them need no parsing.
+    alerts = decode_alerts(payloads_mentioning(raw, severity), fraction, COUNTED)
     return severity_counts(alerts, window, severity, watermark)
 
 

@@ -1,8 +1,16 @@
+import json
 from datetime import datetime
 
 import pytest
-
-from klaxon.functions import decode_alerts, encode_alerts, event_time, incident_text
+from pyspark.sql import functions as F
+
+from klaxon.functions import (
+    decode_alerts,
+    encode_alerts,
+    event_time,
+    incident_text,
+    payloads_mentioning,
+)
 from klaxon.schema import ALERT
 
 FIELDS = ALERT.fieldNames()
@@ -54,6 +62,19 @@ def test_only_chosen_fields_are_parsed(spark):
     assert tuple(alerts.first()) == ("A", "LOW")
 
 
+@pytest.mark.parametrize("level", ["HIGH", 'a"b', "back\\slash", "größer", "tab\t"])
+@pytest.mark.parametrize("ascii_only", [True, False])
+def test_no_payload_with_the_text_is_passed_over(spark, level, ascii_only):
+    payloads = [json.dumps({"severity": level, "system": "A"}, ensure_ascii=ascii_only)]
+    payloads.append("".join(["{", '"severity":"', *(f"\\u{ord(c):04x}" for c in level), '"}']))
+    payloads += ['{"severity":"LOW"}', '{"severity":"LOW","system":"a\\nb"}', None, "", "HIGH"]
+    raw = spark.createDataFrame([(payload,) for payload in payloads], "value string")
+    kept = payloads_mentioning(raw, level)
+    wanted = decode_alerts(raw).filter(F.col("severity") == level)
+    assert decode_alerts(kept).filter(F.col("severity") == level).count() == wanted.count() == 2
+    assert '{"severity":"LOW"}' not in {row.value for row in kept.collect()}
+
+
 def test_each_payload_is_parsed_once(spark):
     raw = spark.createDataFrame([("{}",)], "value string")
     alerts = decode_alerts(raw).filter("severity = 'HIGH' AND timestamp IS NOT NULL")
