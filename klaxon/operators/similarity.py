@@ -13,12 +13,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from klaxon.functions.nearest import Nearest, common_runs, matrix, sortable_ids
-from klaxon.operators.joins import left_join_settled
+from klaxon.operators.joins import fits_broadcast, left_join_settled
 from klaxon.session import settle, store
 
 # Bytes of vectors that may be sent to every task, and that one side of a cell may hold.
@@ -126,17 +126,25 @@ def knn_lsh(
         .groupBy("_bucket")
         .agg(F.sum("_q").alias("_q"), F.sum("_c").alias("_c"))
     )
-    full = settle(
-        sizes.filter((F.col("_q") > cell_rows) | (F.col("_c") > cell_rows)).select(
-            "_bucket",
-            F.greatest(F.ceil(F.col("_q") / cell_rows), F.lit(1)).cast("int").alias("_q_cells"),
-            F.greatest(F.ceil(F.col("_c") / cell_rows), F.lit(1)).cast("int").alias("_c_cells"),
+    def cells(rows: str) -> Column:
+        return F.greatest(F.ceil(F.col(rows) / cell_rows), F.lit(1)).cast("int")
+
+    shared = settle(
+        sizes.filter((F.col("_q") > 0) & (F.col("_c") > 0)).select(
+            "_bucket", cells("_q").alias("_q_cells"), cells("_c").alias("_c_cells")
         )
     )
+    few = fits_broadcast(shared)
+    full = shared.filter((F.col("_q_cells") > 1) | (F.col("_c_cells") > 1))
     slots = max(1, math.ceil(tables * (queries.count() + corpus.count()) / cell_rows))
 
     def placed(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
-        rows = left_join_settled(df.select(key, vector, bucket), full, ["_bucket"])
+        rows = df.select(key, vector, bucket)
+        if few:
+            # Rows in buckets of one side only stay where they are.
+            rows = rows.join(F.broadcast(shared), "_bucket")
+        else:
+            rows = left_join_settled(rows, full, ["_bucket"])
         own_cells = F.coalesce(F.col(own + "s"), F.lit(1))
         other_cells = F.coalesce(F.col(other + "s"), F.lit(1))
         return rows.select(

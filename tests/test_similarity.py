@@ -200,6 +200,13 @@ def test_lsh_finds_most_neighbours_at_exact_distances(spark, cell_bytes):
     assert found[0] == expected[0]
 
 
+def test_lsh_with_too_many_buckets_to_broadcast(spark, monkeypatch):
+    sides = frames(spark, clustered(60, 1), clustered(600, 2))
+    expected = answers(knn_lsh(*sides, 5, bucket_length=2.0))
+    monkeypatch.setattr(similarity, "fits_broadcast", lambda df: False)
+    assert answers(knn_lsh(*sides, 5, bucket_length=2.0, cell_bytes=8 * 8 * 25)) == expected
+
+
 def test_lsh_does_not_depend_on_cells(spark):
     sides = frames(spark, clustered(60, 1), clustered(600, 2))
     whole = knn_lsh(*sides, 5, bucket_length=2.0)
