@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import os
 import sys
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from datetime import date, timedelta
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -337,14 +337,15 @@ def embed_text(spark, sf_dir):
     return embed(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
-def _load_lengths() -> Callable[[Sequence[str]], list[list[int]]]:
-    """Stands in for a model: characters and lines of a text."""
-    return lambda texts: [[len(text), text.count("\n") + 1] for text in texts]
+def embed_model(spark, sf_dir):
+    """A model of the caller's; here characters and lines of a text stand in for one."""
 
+    # Defined in here, so that it travels with the job and workers need not import this file.
+    def load():
+        return lambda texts: [[len(text), text.count("\n") + 1] for text in texts]
 
-def embed_model(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    vectors = embed_with(documents, _load_lengths, output="v")
+    vectors = embed_with(documents, load, output="v")
     return vectors.select(
         "doc_id",
         F.col("v")[0].cast("bigint").alias("characters"),

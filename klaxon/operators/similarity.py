@@ -24,6 +24,8 @@ from klaxon.session import settle, store
 # Bytes of vectors that may be sent to every task, and that one side of a cell may hold.
 SHIP_BYTES = 64 << 20
 CELL_BYTES = 64 << 20
+# Corpus rows per hash bucket that the default number of hashes aims at.
+BUCKET_ROWS = 50
 # Rows that one task may emit for queries that were sent to it.
 EMIT_ROWS = 500_000
 
@@ -72,7 +74,7 @@ def knn_lsh(
     k: int,
     bucket_length: float,
     tables: int = 8,
-    hashes_per_table: int = 2,
+    hashes_per_table: int | None = None,
     seed: int = 42,
     query_id: str = "query_id",
     corpus_id: str = "id",
@@ -82,7 +84,10 @@ def knn_lsh(
     """Up to ``k`` near corpus rows of every query, from shared hash buckets only.
 
     Distances are exact, but a neighbour that shares no bucket is missed. More ``tables``
-    find more; more ``hashes_per_table`` or a smaller ``bucket_length`` compare less.
+    find more; more ``hashes_per_table`` or a smaller ``bucket_length`` compare less. By
+    default the number of hashes grows with the logarithm of the corpus, so that buckets
+    stay of a size where a hash has about three common values.
+
     Every pair that shares a bucket is compared, however full the bucket is: full ones
     are cut into cells on both sides. Surplus copies are set aside first, as of equal
     corpus vectors only the ``k`` with the smallest ids can be in a result.
@@ -97,6 +102,8 @@ def knn_lsh(
         return queries.sparkSession.createDataFrame([], schema)
     dim = first[0]
     cell_rows = _rows_within(cell_bytes, dim)
+    if hashes_per_table is None:
+        hashes_per_table = max(1, round(math.log(max(1, corpus.count() / BUCKET_ROWS), 3)))
     # Fitting draws random directions and takes no more than the dimension from its input.
     zero = F.array_repeat(F.lit(0.0), dim)
     sample = queries.sparkSession.range(1).select(array_to_vector(zero).alias("_vector"))
