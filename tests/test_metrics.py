@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from klaxon import operators as ops
 from klaxon.functions import is_normal, is_spike
 from klaxon.plans import daily_metrics, overview
+from klaxon.sources import typed_metrics
 
 SCHEMA = "system string, high_severity_count int, window_start timestamp, window_end timestamp"
 
@@ -176,6 +177,9 @@ def test_daily_metrics_and_overview(counts):
     assert day["peak"].first().high_severity_count == 5
     assert day["spikes"].count() == 3
     assert daily_metrics(texts, "2026-01-03")["enriched"].isEmpty()
+    stored = overview(typed_metrics(day["enriched"]))
+    assert dict(stored["systems"].dtypes)["first_seen"] == "timestamp"
+    assert [row.system for row in stored["systems"].collect()] == ["A", "B", None]
     shown = overview(counts, system="A")
     assert shown["series"].count() == 2
     assert shown["summary"].count() == 2
