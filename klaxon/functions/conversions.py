@@ -41,7 +41,11 @@ def as_window_date(value: Column) -> Column:
 
 def as_window_time(value: Column, strict: bool = True) -> Column:
     """Timestamp of a window bound. Strict fails on bad text, otherwise it gives NULL."""
-    return value.cast("timestamp") if strict else value.try_cast("timestamp")
+    time = value.try_cast("timestamp")
+    if not strict:
+        return time
+    failure = F.raise_error(F.concat(F.lit("not a timestamp: "), value)).cast("timestamp")
+    return F.when(value.isNull() | time.isNotNull(), time).otherwise(failure)
 
 
 def incident_text(description: str = "description") -> Column:
