@@ -3,13 +3,18 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from klaxon.llm import grammar, packing
+from klaxon.llm import grammar, minhash, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_superminhash_dedup(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return minhash.near_duplicates(docs, width=3, percent=85, bands=24, rows=5)
+
+
 def op4_token_ids(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
     return grammar.token_table(_table(spark, sf_dir, "documents"), path)
@@ -22,6 +27,7 @@ def op10_best_fit_packing(spark, sf_dir):
 
 def queries():
     return {
+        "op1_superminhash_dedup": op1_superminhash_dedup,
         "op4_token_ids": op4_token_ids,
         "op10_best_fit_packing": op10_best_fit_packing,
     }
