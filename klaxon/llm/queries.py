@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from klaxon.llm import grammar, minhash, packing
+from klaxon.llm import grammar, minhash, packing, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,11 @@ def op1_superminhash_dedup(spark, sf_dir):
     return minhash.near_duplicates(docs, width=3, percent=85, bands=24, rows=5)
 
 
+def op3_kneser_ney_toxicity(spark, sf_dir):
+    labels = _table(spark, sf_dir, "labels")
+    return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), labels)
+
+
 def op4_token_ids(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
     return grammar.token_table(_table(spark, sf_dir, "documents"), path)
@@ -28,6 +33,7 @@ def op10_best_fit_packing(spark, sf_dir):
 def queries():
     return {
         "op1_superminhash_dedup": op1_superminhash_dedup,
+        "op3_kneser_ney_toxicity": op3_kneser_ney_toxicity,
         "op4_token_ids": op4_token_ids,
         "op10_best_fit_packing": op10_best_fit_packing,
     }
