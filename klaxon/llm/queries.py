@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from klaxon.llm import grammar, minhash, packing, toxicity
+from klaxon.llm import decontamination, grammar, minhash, packing, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,15 @@ def op4_token_ids(spark, sf_dir):
     return grammar.token_table(_table(spark, sf_dir, "documents"), path)
 
 
+def op8_hash_tree_sharding(spark, sf_dir):
+    return sharding.shard_documents(_table(spark, sf_dir, "documents"))
+
+
+def op9_greedy_string_tiling(spark, sf_dir):
+    benchmark = _table(spark, sf_dir, "benchmark")
+    return decontamination.contaminated(_table(spark, sf_dir, "documents"), benchmark)
+
+
 def op10_best_fit_packing(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack_documents(_table(spark, sf_dir, "documents"), path)
@@ -35,6 +44,8 @@ def queries():
         "op1_superminhash_dedup": op1_superminhash_dedup,
         "op3_kneser_ney_toxicity": op3_kneser_ney_toxicity,
         "op4_token_ids": op4_token_ids,
+        "op8_hash_tree_sharding": op8_hash_tree_sharding,
+        "op9_greedy_string_tiling": op9_greedy_string_tiling,
         "op10_best_fit_packing": op10_best_fit_packing,
     }
 
