@@ -3,7 +3,17 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from klaxon.llm import decontamination, grammar, minhash, packing, sharding, toxicity
+from klaxon.llm import (
+    decontamination,
+    grammar,
+    html_text,
+    minhash,
+    packing,
+    sharding,
+    toxicity,
+    url_rules,
+    vectors,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +35,18 @@ def op4_token_ids(spark, sf_dir):
     return grammar.token_table(_table(spark, sf_dir, "documents"), path)
 
 
+def op5_product_quantisation(spark, sf_dir):
+    return vectors.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op6_association_rules(spark, sf_dir):
+    return url_rules.filter_urls(_table(spark, sf_dir, "pages"))
+
+
+def op7_text_to_tag_ratio(spark, sf_dir):
+    return html_text.extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op8_hash_tree_sharding(spark, sf_dir):
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
@@ -44,6 +66,9 @@ def queries():
         "op1_superminhash_dedup": op1_superminhash_dedup,
         "op3_kneser_ney_toxicity": op3_kneser_ney_toxicity,
         "op4_token_ids": op4_token_ids,
+        "op5_product_quantisation": op5_product_quantisation,
+        "op6_association_rules": op6_association_rules,
+        "op7_text_to_tag_ratio": op7_text_to_tag_ratio,
         "op8_hash_tree_sharding": op8_hash_tree_sharding,
         "op9_greedy_string_tiling": op9_greedy_string_tiling,
         "op10_best_fit_packing": op10_best_fit_packing,
