@@ -2,22 +2,46 @@
 passages go, the rest is packed.
 
 Each stage takes (spark, docs, sf_dir); its result is written and read back before the next.
+All but the last return the columns of ``documents`` and keep what they do not reject.
 """
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from klaxon.llm import packing
+from klaxon.llm import decontamination, minhash, packing, toxicity
 from klaxon.session import store
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the cut."""
+    return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares 0.8 of its shingles of five words."""
+    return minhash.without_near_duplicates(docs)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold less than half the words of every benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.without_contaminated(docs, benchmark)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token ids in sequences of 2048."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("best-fit packing", pack)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near duplicates", drop_near_duplicates),
+    ("benchmark decontamination", drop_benchmark),
+    ("best-fit packing", pack),
+]
 
-# Tokenizers, language models and hashes are not within reach of SQL.
+# Models, hashes and tokenizers are not within reach of SQL; tests hold the stages against
+# brute force.
 ORACLE_SQL = None
 
 

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from klaxon.llm.batches import schema_of, to_batch
@@ -271,3 +271,33 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def without_near_duplicates(
+    docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 30, rows: int = 4
+) -> DataFrame:
+    """One row of each group of ``docs``, all columns as they are: that of the smallest doc_id.
+
+    Rows that repeat a doc_id are copies of one document, of which that with the smallest
+    text stays. Rows without doc_id stay, as they cannot be told apart.
+    """
+    groups = near_duplicates(docs, width, percent, bands, rows)
+    per_id = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.count("*").alias("n"), F.bool_and("kept").alias("kept")
+    )
+    marked = store(per_id.filter("n > 1 OR NOT kept"), "marked")
+    gone = _sendable(marked.filter("NOT kept").select(F.col("doc_id").alias("_gone")))
+    docs = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    repeated = marked.filter("kept").select(F.col("doc_id").alias("_repeated"))
+    if repeated.isEmpty():
+        return docs
+    repeated = _sendable(repeated)
+    match = docs["doc_id"] == repeated["_repeated"]
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    some = docs.join(repeated, match, "left_semi").withColumn("_n", first).filter("_n = 1")
+    return docs.join(repeated, match, "left_anti").unionByName(some.drop("_n"))
+
+
+def _sendable(ids: DataFrame) -> DataFrame:
+    """Ids with a broadcast hint if they are few, so that texts need not be shuffled."""
+    return F.broadcast(ids) if ids.count() <= MOST_SENT else ids

@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from klaxon.llm import kneserney
-from klaxon.llm.batches import schema_of, to_batch
-from klaxon.session import settle, store
+from klaxon.llm.batches import schema_of
+from klaxon.session import settle
 
 # Labelled documents of each class that the models are fitted to, at most.
 LABELLED_PER_CLASS = 20_000
@@ -117,30 +117,46 @@ def fit_models(docs: DataFrame, sample: DataFrame) -> dict | None:
     )
 
 
-def features(docs: DataFrame, model: dict) -> DataFrame:
-    """doc_id, mean and peak of every whole text; 0 and 0 without words."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+class Scorer:
+    """Features and scores of texts; words are scored once per task."""
+
+    def __init__(self, model, weights=None):
+        self.model, self.weights, self.known = model, weights, {}
+
+    def features(self, texts):
+        """(mean, peak) of each text; 0 and 0 without words."""
+        words = [kneserney.fold(text or "").split() for text in texts]
+        new = {word for some in words for word in some}
+        if len(self.known) + len(new) > WORDS_KEPT:
+            self.known = {}
+        new = [word for word in new if word not in self.known]
+        self.known.update(zip(new, kneserney.ratios(self.model, new).tolist()))
+        found = np.zeros((len(texts), 2))
+        for row, some in enumerate(words):
+            if some:
+                values = np.fromiter(map(self.known.__getitem__, some), np.float64, len(some))
+                values = np.clip(values, -HIGHEST, HIGHEST)
+                found[row] = values.mean(), np.log(np.exp(values).mean())
+        return found
+
+    def scores(self, texts):
+        if self.model is None:
+            return np.full(len(texts), self.weights)
+        place = self.features(texts) @ self.weights[:2] + self.weights[2]
+        return 1 / (1 + np.exp(-np.clip(place, -500, 500)))
+
+
+def features(docs: DataFrame, sent) -> DataFrame:
+    """doc_id, mean and peak of every whole text."""
 
     def score(batches):
-        known = {}
+        scorer = Scorer(sent.value)
         for batch in batches:
             for at in range(0, len(batch), DOCS_AT_ONCE):
                 some = batch.slice(at, DOCS_AT_ONCE)
-                texts = [kneserney.fold(t or "").split() for t in some.column(1).to_pylist()]
-                new = {word for words in texts for word in words}
-                if len(known) + len(new) > WORDS_KEPT:
-                    known = {}
-                new = [word for word in new if word not in known]
-                known.update(zip(new, kneserney.ratios(sent.value, new).tolist()))
-                rows = []
-                for doc, words in zip(some.column(0).to_pylist(), texts):
-                    values = np.fromiter(map(known.__getitem__, words), np.float64, len(words))
-                    values = np.clip(values, -HIGHEST, HIGHEST)
-                    mean = peak = 0.0
-                    if len(values):
-                        mean, peak = float(values.mean()), float(np.log(np.exp(values).mean()))
-                    rows.append((doc, mean, peak))
-                yield to_batch(rows, FEATURES)
+                found = scorer.features(some.column(1).to_pylist())
+                columns = [some.column(0), pa.array(found[:, 0]), pa.array(found[:, 1])]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema_of(FEATURES))
 
     return docs.select("doc_id", "text").mapInArrow(score, FEATURES)
 
@@ -164,38 +180,71 @@ def fit_curve(table: pd.DataFrame) -> np.ndarray:
     return w
 
 
+def _with_id(docs):
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
+
+
+def fit_scorer(docs: DataFrame, labels: DataFrame):
+    """(models, weights of the curve) as a broadcast; without documents of both classes, no
+    models and the score of all texts."""
+    context = docs.sparkSession.sparkContext
+    sample = labelled_sample(labels)
+    model = fit_models(docs, sample)
+    if model is None:
+        return context.broadcast((None, float(sample.filter("toxic = 1").count() > 0)))
+    sent = context.broadcast(model)
+    ids = sample.withColumnRenamed("doc_id", "_labelled")
+    some = docs.join(F.broadcast(ids), docs["doc_id"] == ids["_labelled"])
+    # Even the texts of the sample are read from the table, as those of the models were.
+    kept_apart = _fold("doc_id", "fit", FOLDS) == 0
+    found = features(some, sent).withColumn("unseen", kept_apart)
+    found = found.join(F.broadcast(sample), "doc_id").toPandas()
+    table = found[found["unseen"]]
+    if table["toxic"].nunique() < 2:
+        # Too few labels to keep some apart: the curve is fitted to those of the models.
+        table = found
+    return context.broadcast((model, fit_curve(table)))
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, cut: float = 0.7) -> DataFrame:
     """doc_id, held_out, score and predicted for every row of ``docs``.
 
     Only the texts enter a score. An empty or null text has the score of a text that favours
-    neither class. If the labels lack one of the classes, every score is that of the other.
-    A row without doc_id is scored like any other and counts as not held out. Other columns
-    play no part; repeated rows come back as often as they occur.
+    neither class. If the labels lack one of the classes, every score is that of the other,
+    and 0 without labels. A row without doc_id is scored like any other and counts as not
+    held out. Other columns play no part; repeated rows come back as often as they occur.
     """
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
-    sample = labelled_sample(labels)
-    model = fit_models(docs, sample)
-    if model is None:
-        only = float(sample.filter("toxic = 1").count() > 0)
-        found = docs.select("doc_id", F.lit(only).alias("score"))
-    else:
-        scored = store(features(docs, model), "features")
-        unseen = sample.filter(_fold("doc_id", "fit", FOLDS) == 0).select(
-            F.col("doc_id").alias("_unseen"), "toxic"
-        )
-        match = scored["doc_id"] == unseen["_unseen"]
-        table = scored.join(F.broadcast(unseen), match).select("toxic", "mean", "peak").toPandas()
-        if table["toxic"].nunique() < 2:
-            # Too few labels to keep some apart: the curve is fitted to those of the models.
-            every = sample.select(F.col("doc_id").alias("_seen"), "toxic")
-            match = scored["doc_id"] == every["_seen"]
-            table = scored.join(F.broadcast(every), match).select("toxic", "mean", "peak").toPandas()
-        mean, peak, constant = fit_curve(table).tolist()
-        place = F.col("mean") * mean + F.col("peak") * peak + constant
-        found = scored.select("doc_id", (1 / (1 + F.exp(-place))).alias("score"))
+    docs = _with_id(docs)
+    sent = fit_scorer(docs, labels)
+
+    def score(batches):
+        scorer = Scorer(*sent.value)
+        for batch in batches:
+            for at in range(0, len(batch), DOCS_AT_ONCE):
+                some = batch.slice(at, DOCS_AT_ONCE)
+                scores = pa.array(scorer.scores(some.column(1).to_pylist()), pa.float64())
+                yield pa.RecordBatch.from_arrays([some.column(0), scores], ["doc_id", "score"])
+
+    found = docs.mapInArrow(score, "doc_id bigint, score double")
     return found.select(
         "doc_id",
         held_out().alias("held_out"),
         "score",
         (F.col("score") >= cut).cast("int").alias("predicted"),
     )
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, cut: float = 0.7) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose texts score below ``cut``."""
+    sent = fit_scorer(_with_id(docs), labels)
+    column = docs.columns.index("text")
+
+    def keep(batches):
+        scorer = Scorer(*sent.value)
+        for batch in batches:
+            for at in range(0, len(batch), DOCS_AT_ONCE):
+                some = batch.slice(at, DOCS_AT_ONCE)
+                scores = scorer.scores(some.column(column).to_pylist())
+                yield some.filter(pa.array(scores < cut, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
