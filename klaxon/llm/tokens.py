@@ -24,8 +24,8 @@ WORD, BYTE = "word", "byte"
 # Both vocabularies cut between letters and these. The apostrophe is not among them, as it
 # may begin a contraction.
 _MARKS = ".,;:!?|%*#$&"
-# Letters below this have one lower-case form whatever stands beside them, and no other
-# composed form.
+# Letters below this have no other composed form, and the same lower-case form whatever
+# stands beside them (that of a dotted I is no letter alone).
 _PLAIN = "ʰ"
 
 
@@ -73,7 +73,7 @@ class Encoder(dict):
                 self.marks[marks] = _packed(self._piece(marks))
             return self[stem] + self.marks[marks]
         space = "" if self.kind == WORD else " "
-        if part.isalpha() and max(part) < _PLAIN:
+        if part.isalpha() and max(part) < _PLAIN and part.lower().isalpha():
             return _packed(self._piece(part.lower() if self.kind == WORD else space + part))
         if part[0] == "\n":
             return self.whole(part)

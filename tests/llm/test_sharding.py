@@ -1,0 +1,70 @@
+"""Shards against the law, and against a plain descent."""
+
+import math
+import zlib
+from collections import Counter
+
+from data import documents, odd_rows
+
+from klaxon.llm import sharding
+from klaxon.llm.numbering import ranked
+
+
+def test_columns_and_slots(spark):
+    rows = odd_rows() + [(i, f"text {i}") for i in range(100, 1100)]
+    found = sharding.shard_documents(documents(spark, rows).repartition(5)).collect()
+    texts = Counter((d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in rows)
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in found) == texts
+    for shard in range(8):
+        slots = sorted(r["slot"] for r in found if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+    assert {r["law"] for r in found} == {"key"}
+    assert len({(r["doc_id"], r["shard"], r["grown_shard"]) for r in found}) == len({d for d, _ in rows})
+
+
+def test_one_more_shard_takes_rows_only_into_itself(spark):
+    keys = spark.range(20_000)
+    from pyspark.sql import functions as F
+
+    columns = [sharding.shard_of(F.col("id"), sharding.tree_of(n)).alias(f"n{n}") for n in range(8, 13)]
+    for row in keys.select(*columns).collect():
+        for before, after, new in zip(row, row[1:], range(8, 12)):
+            assert after in (before, new)
+    counts = keys.select(columns[0]).groupBy("n8").count().collect()
+    assert len(counts) == 8 and all(abs(row["count"] - 2500) < 250 for row in counts)
+
+
+def test_weights_and_confined_movement(spark):
+    """A heavier shard draws rows in proportion, and regions whose weights stay keep theirs
+    but for what moves to the heavier one."""
+    from pyspark.sql import functions as F
+
+    def tree(weight):
+        one = sharding.subtree("r0", [sharding.Node("s0", 1.0, shard=0), sharding.Node("s1", weight, shard=1)])
+        other = sharding.subtree("r1", [sharding.Node("s2", 2.0, shard=2), sharding.Node("s3", 1.0, shard=3)])
+        return sharding.subtree("root", [one, other])
+
+    found = spark.range(20_000).select(
+        sharding.shard_of(F.col("id"), tree(1.0)).alias("a"), sharding.shard_of(F.col("id"), tree(3.0)).alias("b")
+    ).collect()
+    moved = {(r["a"], r["b"]) for r in found if r["a"] != r["b"]}
+    assert moved == {(0, 1), (2, 0), (2, 1), (3, 0), (3, 1)}
+    share = Counter(r["b"] for r in found)
+    assert all(math.isclose(share[s], 20_000 * w / 7, rel_tol=0.06) for s, w in enumerate([1, 3, 2, 1]))
+
+
+def test_ranks_are_gapless_for_one_group_of_all_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5000).selectExpr("id", "1 AS g").repartition(7).write.parquet(path)
+    found = ranked(spark.read.parquet(path), ["g"], "n").collect()
+    assert sorted(r["n"] for r in found) == list(range(5000))
+
+
+def test_empty_table(spark):
+    assert sharding.shard_documents(documents(spark, [])).isEmpty()
+
+
+def test_no_python_in_the_plan(spark, capsys):
+    sharding.shard_documents(documents(spark, odd_rows())).explain("formatted")
+    plan = capsys.readouterr().out
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))

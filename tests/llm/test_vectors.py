@@ -1,0 +1,94 @@
+"""Linked vectors against all pairs."""
+
+import itertools
+
+import numpy as np
+import pytest
+from data import plain_components
+
+from klaxon.llm import vectors
+
+
+def made_vectors(seed, number=400, dimension=24):
+    rng = np.random.default_rng(seed)
+    points = rng.normal(size=(number, dimension))
+    # Copies, scaled copies, and groups at all distances around the threshold.
+    for i in range(0, 120):
+        noise = rng.normal(size=dimension)
+        points[i] = points[i % 10] + noise * rng.uniform(0, 0.12) * np.sqrt(24 / dimension)
+    points[130], points[131], points[132] = points[5], 3 * points[5], points[130]
+    return points
+
+
+def table(spark, rows):
+    return spark.createDataFrame(
+        [(i, None if v is None else [None if x is None else float(x) for x in v], 0, 1) for i, v in rows],
+        "vec_id bigint, embedding array<float>, label int, links int",
+    )
+
+
+def all_pairs(rows, cosine):
+    units = {}
+    for i, vector in rows:
+        if vector is not None and None not in vector:
+            v = np.array(vector, np.float32).astype(np.float64)
+            if np.isfinite(v).all() and v.any():
+                units[i] = v / np.linalg.norm(v)
+    return [
+        (a, b)
+        for a, b in itertools.combinations(units, 2)
+        if len(units[a]) == len(units[b]) and units[a] @ units[b] >= cosine
+    ]
+
+
+@pytest.mark.parametrize("block", [2048, 16])
+def test_links_are_those_of_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(vectors, "BLOCK", block)
+    monkeypatch.setattr(vectors, "LOOKING", 4 * block)
+    rows = list(enumerate(made_vectors(1)))
+    odd = [None, [], [0.0] * 24, [None] + [1.0] * 23, [float("nan")] + [1.0] * 23, [float("inf")] * 24]
+    odd += [[1.0, 0.0], [0.9, 0.1], [1e-30] * 24, [1e30] * 24]
+    rows += [(1000 + i, v) for i, v in enumerate(odd)]
+    found = vectors.near_duplicate_vectors(table(spark, rows).repartition(3), 0.9, lists=12).collect()
+    pairs = all_pairs(rows, 0.9)
+    component = plain_components([i for i, _ in rows], pairs)
+    assert len(found) == len(rows) and len(pairs) > 200
+    for row in found:
+        i = row["vec_id"]
+        assert row["component_id"] == component[i]
+        assert row["n_links"] == sum(i in pair for pair in pairs)
+        assert row["kept"] == (i == component[i])
+
+
+def test_rows_without_id(spark):
+    rows = [(None, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [2.0, 0.01])]
+    found = vectors.near_duplicate_vectors(table(spark, rows)).collect()
+    assert sorted((r["vec_id"] or 0, r["n_links"], r["component_id"], r["kept"]) for r in found) == [
+        (0, 0, None, True), (1, 1, 1, True), (2, 1, 1, False)
+    ]
+
+
+def test_empty_table(spark):
+    assert vectors.near_duplicate_vectors(table(spark, [])).isEmpty()
+
+
+def test_recall_at_the_threshold():
+    """Pairs at the threshold itself, in lists as many as in production."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(20_000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    quantiser = vectors.Quantiser(x, vectors.LISTS, vectors.SUBSPACES, vectors.CODES)
+    side = rng.normal(size=(3000, 64))
+    side -= (side * x[:3000]).sum(1)[:, None] * x[:3000]
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    y = 0.9 * x[:3000] + np.sqrt(1 - 0.81) * side
+    reach = np.sqrt(0.2) * vectors.AIM / 8
+    own_x, probes_x = quantiser.lists_of(x[:3000], reach)
+    own_y, probes_y = quantiser.lists_of(y, reach)
+    at = np.arange(3000)
+    assert (probes_x[at, own_y] | probes_y[at, own_x]).mean() > 0.999
+    # No pair is lost to codes: the bound holds for each.
+    codes, error = quantiser.encode(y - quantiser.centres[own_y])
+    for i in range(300):
+        far = quantiser.distances((x[i] - quantiser.centres[own_y[i]])[None], codes[i : i + 1])
+        assert far[0, 0] <= (np.sqrt(0.2) + error[i] + 1e-6) ** 2
