@@ -1,10 +1,18 @@
 """Session settings and the shared folder for tables that a job writes on its way."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_job_folder: ContextVar[str | None] = ContextVar("job_folder", default=None)
+_local_folder: list[str] = []
+
 # Naive event times are UTC, so the session has to be as well.
 ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,22 +49,61 @@ def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local session, where driver
-    and executors are one process, may fall back to a folder of this machine.
+    and executors are one process, may fall back to a folder of this machine, which is
+    removed when the process ends.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and not _local_folder and context.getCheckpointDir() is not None:
+        folder = context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local[") and context.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="klaxon-")
+        if not _local_folder:
+            _local_folder.append(tempfile.mkdtemp(prefix="klaxon-"))
+            atexit.register(shutil.rmtree, _local_folder[0], ignore_errors=True)
+        folder = _local_folder[0]
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
-    return folder
+    return folder.rstrip("/")
+
+
+@contextmanager
+def job(spark: SparkSession, name: str) -> Iterator[str]:
+    """One folder for all a job writes on its way, removed when the job ends.
+
+    Write the job's results inside the block: they may read from the folder.
+    """
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    outer = _job_folder.set(path)
+    spark.sparkContext.setCheckpointDir(path)
+    try:
+        yield path
+    finally:
+        _job_folder.reset(outer)
+        remove_folder(spark, path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is."""
+    files, folder = _file_system(spark, path)
+    files.delete(folder, True)
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """The folders directly in a folder, by name."""
+    files, folder = _file_system(spark, path)
+    return sorted(one.getPath().toString() for one in files.listStatus(folder) if one.isDirectory())
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing else uses."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path that nothing else uses, below the job's folder or else the shared one."""
+    return f"{_job_folder.get() or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:
