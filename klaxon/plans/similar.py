@@ -35,8 +35,9 @@ def similar_incidents(
     text. A digest stands for the text from there on, so that whole texts shuffle once.
     An alert without a complete text keeps one row without neighbour.
 
-    Where both the distinct texts and the corpus are too many to compare all of them, pass
-    ``functools.partial(knn_lsh, bucket_length=...)`` as ``search``.
+    Where both the distinct texts and the corpus are too many to send, the search fails
+    rather than compare all pairs: pass ``functools.partial(knn_lsh, bucket_length=...)`` as
+    ``search``, or ``functools.partial(knn_exact, all_pairs=True)`` to insist.
     """
     digest = F.sha2("text", 256).alias("_digest")
     texts = alerts.select(incident_text("message").alias("text"))

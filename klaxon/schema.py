@@ -36,6 +36,18 @@ WINDOW_COUNT_TEXT = _struct(
     window_end=_TEXT,
 )
 
+# Options under which a CSV file gives back the text that was written to it: quotes doubled,
+# line breaks inside quotes, blanks kept, an empty text apart from a NULL. A file with line
+# breaks cannot be split, so one task reads it.
+CSV = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+# Nothing between two commas is NULL, nothing between two quotes an empty text.
+CSV_READ = {**CSV, "multiLine": True, "nullValue": "\0"}
+
 # Window count with the statistics of its system attached.
 METRIC = _struct(
     system=_TEXT,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from klaxon.functions.conversions import WINDOW_DATE, as_window_date
 from klaxon.functions.payload import encode_alerts
+from klaxon.schema import CSV
 
 
 def with_window_date(rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -46,7 +47,7 @@ def write_metrics(
     rows = metrics.coalesce(1) if single_file else metrics
     writer = rows.write.mode("overwrite").partitionBy(*partition_by)
     if file_format == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**CSV)
     writer.format(file_format).save(path)
 
 
@@ -56,10 +57,13 @@ def write_vectors(
     """Replace the vector corpus at ``path`` and return its number of rows.
 
     The table holds key, vector and all other columns, so that a neighbour's id leads to
-    its description and resolution. The number comes from the written file footers.
+    its description and resolution. A repeated key is a row of its own, as in a search; a
+    row without key could never be named and is refused. The number comes from the
+    written file footers.
     """
     for name in (key, vector):
         if name not in vectors.columns:
             raise ValueError(f"the vector table needs a column {name}")
-    vectors.write.mode("overwrite").parquet(path)
+    named = F.assert_true(F.col(key).isNotNull(), F.lit(f"a vector has no {key}")).isNull()
+    vectors.filter(named).write.mode("overwrite").parquet(path)
     return vectors.sparkSession.read.parquet(path).count()

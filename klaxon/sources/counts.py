@@ -1,4 +1,4 @@
-"""Window counts and metrics as CSV files."""
+"""Window counts and metrics as Parquet or CSV files."""
 
 from functools import reduce
 
@@ -6,22 +6,32 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from klaxon.functions.conversions import as_count, as_window_time
-from klaxon.schema import METRIC, WINDOW_COUNT_TEXT
+from klaxon.functions.conversions import WINDOW_DATE, as_count, as_window_time
+from klaxon.schema import CSV_READ, METRIC, WINDOW_COUNT_TEXT
+from klaxon.session import folders_in
 
 # Columns every overview needs. Where a file has none, 0 stands in: the text "0", the
 # number 0, the start of the epoch.
 EXPECTED = ("system", "high_severity_count", "window_start", "window_end")
 
 
-def read_counts(spark: SparkSession, path: str, all_runs: bool = False) -> DataFrame:
-    """Window counts that a stream wrote, every column as text.
+def read_counts(
+    spark: SparkSession, path: str, all_runs: bool = False, file_format: str = "parquet"
+) -> DataFrame:
+    """Window counts that a stream wrote, every column of CSV files as text.
 
     ``path`` is the folder of one run, which also honours the commit log of the sink, or
     with ``all_runs`` a folder of such folders. Several runs over the same alerts hold
-    the same windows, which then count once per run.
+    the same windows, which then count once per run. A table by ``window_date`` keeps that
+    column, so that the metrics of a day read its folders only.
     """
-    reader = spark.read.schema(WINDOW_COUNT_TEXT).option("header", True)
+    if file_format != "csv":
+        # Every run has columns among its folders, so each is a table of its own.
+        runs = folders_in(spark, path) if all_runs else [path]
+        tables = [spark.read.format(file_format).load(run) for run in runs]
+        date = [WINDOW_DATE] if all(WINDOW_DATE in rows.columns for rows in tables) else []
+        return union_runs(*[rows.select(*WINDOW_COUNT_TEXT.fieldNames(), *date) for rows in tables])
+    reader = spark.read.schema(WINDOW_COUNT_TEXT).options(**CSV_READ)
     # Columns are matched by position; a header in another order has to fail, not mix.
     reader = reader.option("enforceSchema", False)
     if all_runs:
@@ -75,7 +85,7 @@ def backfill(metrics: DataFrame) -> DataFrame:
 
 def _read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame | None:
     """CSV files as text columns named by their header, or None if there are none."""
-    reader = spark.read.option("header", True).option("pathGlobFilter", "*.csv")
+    reader = spark.read.options(**CSV_READ).option("pathGlobFilter", "*.csv")
     try:
         names = reader.csv(path).columns
     except AnalysisException as error:

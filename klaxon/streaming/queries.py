@@ -7,12 +7,17 @@ a new checkpoint and a new output folder.
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from klaxon.functions.conversions import WINDOW_DATE
+from klaxon.schema import CSV
 from klaxon.sinks.tables import with_window_date
 
 TRIGGER = "10 seconds"
+# Files that a batch leaves in each folder, at most.
+FILES = 1
 
 
 def start_stream(
@@ -39,7 +44,7 @@ def start_stream(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if sink == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**CSV)
     if sink == "console":
         writer = writer.option("truncate", False)
     return writer.start(path) if path is not None else writer.start()
@@ -52,29 +57,61 @@ def start_both(
     trigger: str | None = TRIGGER,
     console_rows: int = 20,
     name: str | None = None,
-    files: int | None = None,
+    files: int = FILES,
+    sink: str = "parquet",
 ) -> StreamingQuery:
-    """Append a stream to CSV files and show it, from one read and one state store.
+    """Append a stream of window counts to files and show it, from one read and one state store.
 
     Each batch goes to its own folder ``batch_id=N`` and replaces what an attempt that
-    failed may have left there, so a restart neither loses nor repeats rows. The console
-    gets the first ``console_rows`` rows of a batch, if any.
+    failed may have left there, so a restart neither loses nor repeats rows. Numbers of
+    batches belong to a checkpoint, so ``path`` does too: a query with another checkpoint
+    fails on its first batch rather than replace foreign ones. Parquet, the default, keeps
+    every text as it is and is partitioned by ``window_date``; CSV is for export.
+
+    A batch leaves at most ``files`` files per day. The console is a display only: it gets
+    the first ``console_rows`` rows of a batch, if any, and all rows are in the files.
     """
+    owned = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if not owned:
+            owned.append(_own(spark, path))
         target = f"{path.rstrip('/')}/batch_id={batch_id}"
-        rows = batch if files is None else batch.repartition(files)
-        rows.write.mode("overwrite").option("header", True).csv(target)
+        rows = batch.repartition(files)
+        if sink == "csv":
+            rows.write.mode("overwrite").options(**CSV).csv(target)
+        else:
+            rows = with_window_date(rows, [WINDOW_DATE])
+            rows.write.mode("overwrite").partitionBy(WINDOW_DATE).format(sink).save(target)
         if console_rows == 0:
             return
         # Show what was written rather than compute the batch again.
-        written = batch.sparkSession.read.schema(batch.schema).option("header", True).csv(target)
+        reader = spark.read.schema(batch.schema)
+        reader = reader.options(**CSV) if sink == "csv" else reader
         print(f"Batch: {batch_id}")
-        written.show(console_rows, truncate=False)
+        reader.format(sink).load(target).show(console_rows, truncate=False)
 
     return _writer(stream, checkpoint, trigger, name).foreachBatch(write).start()
 
 
+def _own(spark, path: str) -> str:
+    """Claim an output folder for the running query, or fail if another one has it."""
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    mark = f"{path.rstrip('/')}/_query"
+    try:
+        owner = spark.read.text(mark).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # Nothing is replaced: of two queries that start at once, one fails here.
+        spark.createDataFrame([(query,)], "value string").coalesce(1).write.text(mark)
+        return query
+    if owner != query:
+        raise ValueError(f"{path} belongs to the streaming query {owner}: take a new folder")
+    return owner
+
+
 def _writer(
     stream: DataFrame, checkpoint: str, trigger: str | None, name: str | None
 ) -> DataStreamWriter:

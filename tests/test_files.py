@@ -19,7 +19,7 @@ def put(folder, name, *lines):
 
 def test_counts_stay_text_until_cast(spark, tmp_path):
     put(tmp_path / "run", "a.csv", HEADER, "A,3,2026-01-02T10:10:00.000Z,2026-01-02T10:10:10.000Z", ",x,bad,")
-    counts = sources.read_counts(spark, str(tmp_path / "run"))
+    counts = sources.read_counts(spark, str(tmp_path / "run"), file_format="csv")
     assert {kind for _, kind in counts.dtypes} == {"string"}
     assert [tuple(row) for row in counts.collect()][1] == (None, "x", "bad", None)
 
@@ -30,7 +30,7 @@ def test_counts_of_all_runs(spark, tmp_path):
     put(tmp_path / "run_1", "empty.csv", HEADER)
     put(tmp_path / "run_2" / "batch_id=0", "b.csv", HEADER, line)
     put(tmp_path / "run_2", "notes.txt", "no counts")
-    counts = sources.read_counts(spark, str(tmp_path), all_runs=True)
+    counts = sources.read_counts(spark, str(tmp_path), all_runs=True, file_format="csv")
     assert counts.count() == 2
     assert len(counts.columns) == 4
 
@@ -38,7 +38,7 @@ def test_counts_of_all_runs(spark, tmp_path):
 def test_counts_with_another_header_fail(spark, tmp_path):
     put(tmp_path / "run", "a.csv", "high_severity_count,system,window_start,window_end", "3,A,s,e")
     with pytest.raises(Exception, match="header"):
-        sources.read_counts(spark, str(tmp_path / "run")).collect()
+        sources.read_counts(spark, str(tmp_path / "run"), file_format="csv").collect()
 
 
 def test_metrics_round_trip(spark, tmp_path):
@@ -133,3 +133,19 @@ def test_vector_table(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "v")).schema == df.schema
     with pytest.raises(ValueError):
         sinks.write_vectors(df.drop("embedding"), str(tmp_path / "v"))
+
+
+def test_history_by_name_with_line_breaks_and_quotes(spark, tmp_path):
+    put(
+        tmp_path,
+        "h.csv",
+        "system,mean_time_to_fix,incident_id,description,other",
+        'A,7,INC1,"first\nsecond, and ""stop"" now",x',
+        " B ,many,INC2, padded ,y",
+    )
+    rows = {row.incident_id: row for row in sources.read_history(spark, str(tmp_path)).collect()}
+    assert sources.read_history(spark, str(tmp_path)).schema == HISTORY
+    assert rows["INC1"].system == "A" and rows["INC1"].mean_time_to_fix == 7
+    assert rows["INC1"].description == 'first\nsecond, and "stop" now'
+    assert rows["INC2"].description == " padded " and rows["INC2"].mean_time_to_fix is None
+    assert rows["INC1"].component is None

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from klaxon import sources
 from klaxon.functions import decode_alerts
+from klaxon.operators import for_day
 from klaxon.plans import count_stream, counts_of_stream, daily_metrics
 from klaxon.streaming import start_both, start_stream
 
@@ -45,7 +46,7 @@ def stream_of(spark, folder):
 def run(spark, tmp_path, counts, folder="out", checkpoint="progress"):
     query = start_stream(counts, "csv", str(tmp_path / checkpoint), str(tmp_path / folder), trigger=None)
     query.awaitTermination()
-    read = sources.typed_metrics(sources.read_counts(spark, str(tmp_path / folder)))
+    read = sources.typed_metrics(sources.read_counts(spark, str(tmp_path / folder), file_format="csv"))
     return query, {tuple(row) for row in read.collect()}
 
 
@@ -116,8 +117,8 @@ def test_restart_goes_on_and_new_checkpoint_replays(spark, tmp_path):
     both.mkdir()
     for name in ("out", "replay"):
         os.symlink(tmp_path / name, both / name)
-    once = sources.read_counts(spark, str(tmp_path / "out"))
-    twice = sources.union_runs(once, sources.read_counts(spark, str(tmp_path / "replay")))
+    once = sources.read_counts(spark, str(tmp_path / "out"), file_format="csv")
+    twice = sources.union_runs(once, sources.read_counts(spark, str(tmp_path / "replay"), file_format="csv"))
     assert (once.count(), twice.count(), twice.dropDuplicates().count()) == (2, 4, 2)
 
 
@@ -134,12 +135,55 @@ def test_both_sinks_from_one_query(spark, tmp_path, capsys):
     assert all(len(p["stateOperators"]) == 1 and len(p["sources"]) == 1 for p in query.recentProgress)
 
 
-def test_a_batch_that_runs_again_replaces_its_rows(spark, tmp_path):
+def test_a_folder_belongs_to_one_query(spark, tmp_path):
     drop_files(tmp_path / "in", [[alert(1, "10:00:01.000000"), alert(2, "10:05:00.000000")]])
-    for checkpoint in ("one", "two"):
+
+    def start(checkpoint):
         counts = counts_of_stream(stream_of(spark, tmp_path / "in"))
-        start_both(counts, str(tmp_path / "out"), str(tmp_path / checkpoint), trigger=None, files=1).awaitTermination()
+        start_both(counts, str(tmp_path / "out"), str(tmp_path / checkpoint), trigger=None).awaitTermination()
+
+    start("one")
+    with pytest.raises(Exception, match="belongs to"):
+        start("two")
     assert sources.read_counts(spark, str(tmp_path / "out")).count() == 1
+    drop_files(tmp_path / "in", [[alert(3, "10:10:00.000000")]], first=1)
+    start("one")
+    assert sources.read_counts(spark, str(tmp_path / "out")).count() == 2
+
+
+@pytest.mark.parametrize("sink", ["parquet", "csv"])
+def test_odd_systems_survive_the_way_to_the_daily_job(spark, tmp_path, sink):
+    systems = ["x\ny", "", " A", "A", 'say "a"', "b,c"]
+    drop_files(
+        tmp_path / "in",
+        [[alert(i, "10:00:01.000000", "HIGH", system) for i, system in enumerate(systems)], [alert(9, "10:05:00.000000")]],
+    )
+    count_stream(
+        stream_of(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "c"), trigger=None, sink=sink
+    ).awaitTermination()
+    counts = sources.read_counts(spark, str(tmp_path / "out"), file_format=sink)
+    stats = daily_metrics(counts, "2026-01-02")["stats"].collect()
+    assert {row.system for row in stats} == set(systems)
+
+
+def test_a_day_reads_its_folder_only(spark, tmp_path, capsys):
+    drop_files(tmp_path / "in", LATE)
+    count_stream(
+        stream_of(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "c"), trigger=None
+    ).awaitTermination()
+    counts = sources.read_counts(spark, str(tmp_path / "out"))
+    for_day(counts, "2026-01-02").explain("formatted")
+    filters = [line for line in capsys.readouterr().out.splitlines() if "PartitionFilters" in line]
+    assert filters and all("window_date" in line for line in filters)
+
+
+def test_runs_are_read_together(spark, tmp_path):
+    drop_files(tmp_path / "in", LATE)
+    for run_name in ("run_1", "run_2"):
+        count_stream(
+            stream_of(spark, tmp_path / "in"), str(tmp_path / "runs" / run_name), str(tmp_path / run_name), trigger=None
+        ).awaitTermination()
+    assert sources.read_counts(spark, str(tmp_path / "runs"), all_runs=True).count() == 2
 
 
 def test_console_and_fixed_number_of_files(spark, tmp_path):
@@ -172,7 +216,7 @@ def test_processing_time_trigger(spark, tmp_path):
         query.processAllAvailable()
     finally:
         query.stop()
-    assert sources.read_counts(spark, str(tmp_path / "out")).count() == 1
+    assert sources.read_counts(spark, str(tmp_path / "out"), file_format="csv").count() == 1
 
 
 def test_needs_utc(spark):
