@@ -11,9 +11,6 @@ QUERY_BLOCK = 512
 CORPUS_BLOCK = 8192
 PAIR_BLOCK = 1 << 16
 
-# Candidates per query and neighbour wanted, above which a block is looked at more closely.
-CROWDED = 4
-
 
 def matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     """Vectors of a list column as a 2-D array; all have to be of length ``dim``."""
@@ -33,8 +30,8 @@ def matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
 
 def sortable_ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """Ids as an array that sorts as Spark sorts them: numbers, or text by code point."""
-    ids = column.to_numpy() if isinstance(column, pa.ChunkedArray) else column.to_numpy(False)
-    return ids.astype(str) if ids.dtype == object else ids
+    # Text stays as objects: an array of fixed width would pad every id to the longest one.
+    return column.to_numpy() if isinstance(column, pa.ChunkedArray) else column.to_numpy(False)
 
 
 class Nearest:
@@ -78,73 +75,49 @@ class Nearest:
         return (_place_in_run(self.rows) + 1).astype(np.int32)
 
 
-class _Bounds:
-    """Vectors prepared for bounding distances by a product of matrices."""
-
-    def __init__(self, vectors: np.ndarray, precision: type):
-        self.vectors = vectors.astype(precision)
-        self.norms = np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64)
-        self.error = 4 * (vectors.shape[1] + 4) * np.finfo(precision).eps
+def _square_sums(vectors: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", vectors, vectors)
 
 
 class _CorpusBlock:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
-        self.bounds = _Bounds(vectors, np.float32)
-
-    def without_surplus_copies(self, k: int) -> "_CorpusBlock":
-        """Only the ``k`` smallest ids of equal vectors, bounded in double precision.
-
-        Prepared once, for the first block of queries that needs it with this ``k``.
-        """
-        if not hasattr(self, "_closer"):
-            _, group = np.unique(self.vectors, axis=0, return_inverse=True)
-            order = np.lexsort((self.ids, group.ravel()))
-            kept = np.sort(order[_place_in_run(group.ravel()[order]) < k])
-            self._closer = _CorpusBlock(self.ids[kept], self.vectors[kept])
-            self._closer.bounds = _Bounds(self._closer.vectors, np.float64)
-        return self._closer
+        self.ids, self.vectors = ids, vectors.astype(np.float64)
+        self.norms = _square_sums(self.vectors)
 
 
 class _QueryBlock:
     """Neighbours of some queries, as parallel arrays ordered by query row and rank.
 
-    A bound from below on every distance rules most pairs out; only the others are
-    measured. Bounds in single precision are quick but loose, so where they leave many
-    pairs, because vectors are equal or almost so, bounds in double precision follow.
+    A product of matrices bounds every distance from below but for its rounding error, and
+    rules most pairs out; only the others are measured.
     """
 
     def __init__(self, queries: np.ndarray, k: int):
-        self.queries, self.k = queries, k
+        self.queries, self.k = queries.astype(np.float64), k
         self.rows = np.empty(0, dtype=np.int64)
         self.distances = np.empty(0)
         self.ids: np.ndarray | None = None
         self._worst = np.full(len(queries), np.inf)
-        self._bounds = {np.float32: _Bounds(queries, np.float32)}
+        self._norms = _square_sums(self.queries)
+        self._error = 4 * (queries.shape[1] + 4) * np.finfo(np.float64).eps
 
     def add(self, corpus: _CorpusBlock) -> None:
-        rows, columns = self._candidates(corpus, np.float32)
-        if len(rows) > CROWDED * self.k * len(self.queries):
-            corpus = corpus.without_surplus_copies(self.k)
-            rows, columns = self._candidates(corpus, np.float64)
+        rows, columns = self._candidates(corpus)
         for start in range(0, len(rows), PAIR_BLOCK):
             piece = slice(start, start + PAIR_BLOCK)
             self._measure(corpus, rows[piece], columns[piece])
 
-    def _candidates(self, corpus: _CorpusBlock, precision: type):
-        if precision not in self._bounds:
-            self._bounds[precision] = _Bounds(self.queries, precision)
-        mine, other = self._bounds[precision], corpus.bounds
-        scale = mine.norms[:, None] + other.norms[None, :]
-        bound = (1 - mine.error) * scale - 2.0 * (mine.vectors @ other.vectors.T)
+    def _candidates(self, corpus: _CorpusBlock):
+        scale = self._norms[:, None] + corpus.norms[None, :]
+        bound = (1 - self._error) * scale - 2.0 * (self.queries @ corpus.vectors.T)
         limit = self._worst
         if np.isinf(limit).any() and bound.shape[1] > self.k:
             kth = np.partition(bound, self.k - 1, axis=1)[:, self.k - 1]
-            limit = np.minimum(limit, kth + 2 * mine.error * scale.max(axis=1))
+            limit = np.minimum(limit, kth + 2 * self._error * scale.max(axis=1))
         return np.nonzero(bound <= limit[:, None])
 
     def _measure(self, corpus: _CorpusBlock, rows: np.ndarray, columns: np.ndarray) -> None:
-        gap = self.queries[rows].astype(np.float64) - corpus.vectors[columns]
+        gap = self.queries[rows] - corpus.vectors[columns]
         distances = np.einsum("ij,ij->i", gap, gap)
         closer = distances <= self._worst[rows]
         rows, columns, distances = rows[closer], columns[closer], distances[closer]

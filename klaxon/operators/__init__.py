@@ -5,6 +5,7 @@ from klaxon.operators.metrics import (
     for_day,
     has_spikes,
     peak_window,
+    spike_check,
     spikes,
     system_stats,
     totals,
@@ -33,6 +34,7 @@ __all__ = [
     "select_system",
     "series",
     "severity_counts",
+    "spike_check",
     "spikes",
     "system_list",
     "system_stats",

@@ -64,22 +64,23 @@ def left_join_spread(
     """Left equi join that cuts hot keys of ``left`` into pieces of ``rows_per_task`` rows.
 
     Only the rows of hot keys are repeated on the right, once per piece. NULL keys match
-    nothing but still have to come out, and are cut as well. Should there be too many hot
-    keys to broadcast, the pieces grow until there are few enough.
+    nothing but still have to come out, and are cut as well. Hot keys are broadcast within
+    bounds and joined by a shuffle past them.
     """
     hot = settle(
         left.groupBy(*[F.col(name).alias(f"_hot_{name}") for name in on])
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > rows_per_task)
     )
-    while not fits_broadcast(hot):
-        rows_per_task *= 4
-        hot = hot.filter(F.col("_rows") > rows_per_task)
+    few = fits_broadcast(hot)
     hot = hot.withColumn("_pieces", F.ceil(F.col("_rows") / rows_per_task).cast("int"))
+    # More hot keys than fit a broadcast meet their rows by a shuffle, whose large
+    # partitions the adaptive skew join divides.
+    keys = F.broadcast(hot) if few else hot
 
     def with_pieces(side: DataFrame) -> DataFrame:
         same = [side[name].eqNullSafe(hot[f"_hot_{name}"]) for name in on]
-        joined = side.join(F.broadcast(hot), _all(same), "left")
+        joined = side.join(keys, _all(same), "left")
         names = [F.col(name) for name in side.columns]
         return joined.select(*names, F.coalesce("_pieces", F.lit(1)).alias("_pieces"))
 

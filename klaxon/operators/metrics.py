@@ -77,6 +77,12 @@ def has_spikes(counts: DataFrame, threshold: int = SPIKE_THRESHOLD) -> bool:
     return not counts.filter(is_spike(threshold)).isEmpty()
 
 
+def spike_check(counts: DataFrame, threshold: int = SPIKE_THRESHOLD) -> DataFrame:
+    """One row: whether any window is a spike; needs no more than the first one found."""
+    found = counts.filter(is_spike(threshold)).limit(1)
+    return found.agg((F.count(F.lit(1)) > 0).alias("has_spikes"))
+
+
 def enrich(
     counts: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:

@@ -1,9 +1,11 @@
 """Neighbours by L2 distance between vectors stored in ``array<float>`` columns.
 
-Id columns are keys of their frame: unique and not NULL, numbers or text. Rows whose
-vector is NULL neither find nor are neighbours; vectors of mixed lengths are an error.
-Frames are measured before they are searched, so pass stored ones rather than long plans. Results have the two ids, ``l2`` (squared
-distance, double) and ``rank`` from 1; equal distances rank by corpus id.
+Ids are numbers or text, and not NULL. A query id names one query: repeated ones are an
+error. A corpus id may repeat: each of its rows is a neighbour of its own, whichever route
+a search takes. Rows whose vector is NULL neither find nor are neighbours; vectors of mixed
+lengths are an error. Frames are measured before they are searched, so pass stored ones
+rather than long plans. Results have the two ids, ``l2`` (squared distance, double) and
+``rank`` from 1; equal distances rank by corpus id.
 """
 
 import math
@@ -24,8 +26,6 @@ from klaxon.session import settle, store
 # Bytes of vectors that may be sent to every task, and that one side of a cell may hold.
 SHIP_BYTES = 64 << 20
 CELL_BYTES = 64 << 20
-# Corpus rows per hash bucket that the default number of hashes aims at.
-BUCKET_ROWS = 50
 # Rows that one task may emit for queries that were sent to it.
 EMIT_ROWS = 500_000
 
@@ -39,19 +39,22 @@ def knn_exact(
     vector: str = "embedding",
     ship_bytes: int = SHIP_BYTES,
     cell_bytes: int = CELL_BYTES,
+    all_pairs: bool = False,
 ) -> DataFrame:
     """The ``k`` nearest corpus rows of every query, exactly.
 
-    The route follows from measured sizes. A corpus within ``ship_bytes`` goes to the
-    tasks that read the queries, and nothing shuffles. Otherwise queries within bounds go
-    to the tasks that read the corpus, of which each returns its best ``k`` per query.
-    With both sides large, cells of bounded size are compared; that takes work in
-    proportion to queries x corpus, so consider :func:`knn_lsh`.
+    The route follows from measured sizes, the answer does not depend on it. A corpus
+    within ``ship_bytes`` goes to the tasks that read the queries, and no vector shuffles.
+    Otherwise queries within bounds go to the tasks that read the corpus, of which each
+    returns its best ``k`` per query. With both sides large, cells of bounded size are
+    compared. That takes work in proportion to queries x corpus and happens only with
+    ``all_pairs``; without it such sides are an error, and :func:`knn_lsh` is the way.
     """
     if k < 1:
         raise ValueError(f"k must be at least 1, not {k}")
     queries = _keyed(queries, query_id, vector)
     corpus = _keyed(corpus, corpus_id, vector)
+    _check_query_ids(queries, query_id)
     schema = _result_schema(queries.schema[query_id], corpus.schema[corpus_id])
     first = corpus.select(F.size(vector)).first()
     if first is None:
@@ -62,6 +65,11 @@ def knn_exact(
         return _scan_queries(queries, corpus, k, dim, schema)
     if not _more_than(queries, min(ship_rows, max(1, EMIT_ROWS // k))):
         found = _scan_corpus(queries, corpus, k, dim, schema)
+    elif not all_pairs:
+        raise ValueError(
+            f"queries and corpus both exceed {ship_bytes} bytes: pass all_pairs=True to compare"
+            " every pair, or use knn_lsh"
+        )
     else:
         cell_rows = _rows_within(cell_bytes, dim)
         found = _compare_cells(queries, corpus, k, dim, schema, cell_rows)
@@ -74,7 +82,7 @@ def knn_lsh(
     k: int,
     bucket_length: float,
     tables: int = 8,
-    hashes_per_table: int | None = None,
+    hashes_per_table: int = 6,
     seed: int = 42,
     query_id: str = "query_id",
     corpus_id: str = "id",
@@ -84,26 +92,24 @@ def knn_lsh(
     """Up to ``k`` near corpus rows of every query, from shared hash buckets only.
 
     Distances are exact, but a neighbour that shares no bucket is missed. More ``tables``
-    find more; more ``hashes_per_table`` or a smaller ``bucket_length`` compare less. By
-    default the number of hashes grows with the logarithm of the corpus, so that buckets
-    stay of a size where a hash has about three common values.
+    find more; more ``hashes_per_table`` or a smaller ``bucket_length`` compare less. They
+    are the caller's to choose, by the distances that matter and the size of the corpus.
 
     Every pair that shares a bucket is compared, however full the bucket is: full ones
-    are cut into cells on both sides. Surplus copies are set aside first, as of equal
-    corpus vectors only the ``k`` with the smallest ids can be in a result.
+    are cut into cells on both sides. Corpus rows with the same id at the same distance
+    count once here, as a pair may meet in several buckets.
     """
     if k < 1:
         raise ValueError(f"k must be at least 1, not {k}")
     queries = _keyed(queries, query_id, vector)
     corpus = _keyed(corpus, corpus_id, vector)
+    _check_query_ids(queries, query_id)
     schema = _result_schema(queries.schema[query_id], corpus.schema[corpus_id])
     first = corpus.select(F.size(vector)).first()
     if first is None:
         return queries.sparkSession.createDataFrame([], schema)
     dim = first[0]
     cell_rows = _rows_within(cell_bytes, dim)
-    if hashes_per_table is None:
-        hashes_per_table = max(1, round(math.log(max(1, corpus.count() / BUCKET_ROWS), 3)))
     # Fitting draws random directions and takes no more than the dimension from its input.
     zero = F.array_repeat(F.lit(0.0), dim)
     sample = queries.sparkSession.range(1).select(array_to_vector(zero).alias("_vector"))
@@ -114,7 +120,6 @@ def knn_lsh(
         numHashTables=tables * hashes_per_table,
         seed=seed,
     ).fit(sample)
-    corpus = _without_surplus_copies(corpus, k, max(k, cell_rows // 100))
 
     def hashed(df: DataFrame) -> DataFrame:
         """Rows with their bucket of each table, written once and read three times."""
@@ -169,8 +174,8 @@ def knn_lsh(
         ["_slot", "_q_cell", "_c_cell"],
         k, dim, schema, (query_id, corpus_id, vector, "_bucket"),
     )
-    # A pair that shares several buckets comes once for each, with equal rank.
-    return _best(found, k, query_id, corpus_id).distinct()
+    # A pair that shares several buckets comes once for each.
+    return _best(found.drop("rank").distinct(), k, query_id, corpus_id)
 
 
 def _rows_within(size: int, dim: int) -> int:
@@ -193,9 +198,15 @@ def _result_schema(query: T.StructField, neighbour: T.StructField) -> T.StructTy
     )
 
 
+def _check_query_ids(queries: DataFrame, query_id: str) -> None:
+    repeated = queries.groupBy(query_id).count().filter("count > 1").first()
+    if repeated is not None:
+        raise ValueError(f"query id {repeated[0]} names {repeated[1]} queries")
+
+
 def _more_than(df: DataFrame, rows: int) -> bool:
-    """Whether a frame has more than ``rows`` rows; reads no further than it has to."""
-    return len(df.select(F.lit(1)).offset(rows).limit(1).collect()) > 0
+    """Whether a frame has more than ``rows`` rows."""
+    return df.count() > rows
 
 
 def _answer(nearest: Nearest, query_ids: pa.Array, id_type: pa.DataType, names) -> pa.RecordBatch:
@@ -305,33 +316,9 @@ def _best(found: DataFrame, k: int, query_id: str, corpus_id: str) -> DataFrame:
     part = Window.partitionBy(query_id, "_part").orderBy(*by_distance)
     whole = Window.partitionBy(query_id).orderBy(*by_distance)
     parts = found.drop("rank").withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(256)))
-    some = parts.withColumn("rank", F.dense_rank().over(part)).filter(F.col("rank") <= k)
+    some = parts.withColumn("rank", F.row_number().over(part)).filter(F.col("rank") <= k)
     return (
         some.drop("rank", "_part")
-        .withColumn("rank", F.dense_rank().over(whole))
+        .withColumn("rank", F.row_number().over(whole))
         .filter(F.col("rank") <= k)
     )
-
-
-def _without_surplus_copies(corpus: DataFrame, k: int, many: int) -> DataFrame:
-    """Keep the ``k`` smallest ids of every vector that occurs more than ``many`` times.
-
-    Digests of the vectors find the candidates; only rows with such a digest shuffle.
-    """
-    key, vector = corpus.columns
-    digest = F.xxhash64(vector).alias("_digest")
-    frequent = settle(
-        corpus.groupBy(digest).agg(F.count(F.lit(1)).alias("_copies")).filter(F.col("_copies") > many)
-    )
-    if frequent.isEmpty():
-        return corpus
-    marked = left_join_settled(corpus.select("*", digest), frequent, ["_digest"])
-    # Digests may collide, so the vector stays part of the key.
-    copies = Window.partitionBy("_digest", vector).orderBy(key)
-    first_ones = (
-        marked.filter(F.col("_copies").isNotNull())
-        .withColumn("_copy", F.row_number().over(copies))
-        .filter(F.col("_copy") <= k)
-    )
-    others = marked.filter(F.col("_copies").isNull())
-    return others.select(key, vector).union(first_ones.select(key, vector))

@@ -50,7 +50,7 @@ def answers(found):
 ROUTES = {
     "corpus sent": {},
     "queries sent": {"ship_bytes": 8 * 8 * 60},
-    "cells": {"ship_bytes": 0, "cell_bytes": 8 * 8 * 37},
+    "cells": {"ship_bytes": 0, "cell_bytes": 8 * 8 * 37, "all_pairs": True},
 }
 
 
@@ -120,6 +120,28 @@ def test_empty_sides(spark):
         assert knn_lsh(left, right, 3, bucket_length=1.0).isEmpty()
 
 
+@pytest.mark.parametrize("route", ROUTES)
+def test_repeated_corpus_ids_are_rows_of_their_own(spark, route):
+    queries, corpus = vectors(50, seed=1), vectors(300, seed=2, copies=40)
+    queries[:10] = corpus[:10]
+    ids = [i // 2 for i in range(300)]
+    found = knn_exact(*frames(spark, queries, corpus, ids), 7, **ROUTES[route])
+    assert answers(found) == brute_force(queries, corpus, 7, ids)
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_repeated_query_ids_are_refused(spark, route):
+    queries, corpus = frames(spark, vectors(5, seed=1), vectors(80, seed=2))
+    with pytest.raises(ValueError, match="names 2 queries"):
+        knn_exact(queries.union(queries.limit(1)), corpus, 3, **ROUTES[route])
+
+
+def test_two_large_sides_are_compared_only_on_demand(spark):
+    sides = frames(spark, vectors(50, seed=1), vectors(300, seed=2))
+    with pytest.raises(ValueError, match="all_pairs"):
+        knn_exact(*sides, 3, ship_bytes=0)
+
+
 def test_k_has_to_be_positive(spark):
     sides = frames(spark, vectors(3), vectors(5))
     with pytest.raises(ValueError):
@@ -131,7 +153,7 @@ def test_k_has_to_be_positive(spark):
 def test_number_of_queries_sent_is_bounded_by_what_tasks_would_emit(spark, monkeypatch):
     monkeypatch.setattr(similarity, "EMIT_ROWS", 100)
     queries, corpus = vectors(50, seed=1), vectors(300, seed=2)
-    found = knn_exact(*frames(spark, queries, corpus), 7, ship_bytes=8 * 8 * 60, cell_bytes=8 * 8 * 50)
+    found = knn_exact(*frames(spark, queries, corpus), 7, ship_bytes=8 * 8 * 60, cell_bytes=8 * 8 * 50, all_pairs=True)
     assert "FlatMapCoGroups" in found._jdf.queryExecution().executedPlan().toString()
     assert answers(found) == brute_force(queries, corpus, 7)
 
@@ -142,7 +164,7 @@ def test_nearest_over_many_blocks(monkeypatch, scale):
     monkeypatch.setattr("klaxon.functions.nearest.CORPUS_BLOCK", 11)
     monkeypatch.setattr("klaxon.functions.nearest.PAIR_BLOCK", 13)
     queries, corpus = vectors(40, seed=1) * scale, vectors(200, seed=2, copies=60) * scale
-    # Far outliers make the bound in single precision loose.
+    # Far outliers make the bound loose.
     corpus[100:110] *= 1000
     queries[:5] = corpus[:5]
     nearest = Nearest(queries, 9)
@@ -185,7 +207,7 @@ def test_lsh_finds_most_neighbours_at_exact_distances(spark, cell_bytes):
     # A third of the corpus is one vector, and some queries are that vector.
     corpus[:200] = corpus[0]
     queries[:20] = corpus[0]
-    found = answers(knn_lsh(*frames(spark, queries, corpus), 5, bucket_length=2.0, cell_bytes=cell_bytes))
+    found = answers(knn_lsh(*frames(spark, queries, corpus), 5, bucket_length=2.0, hashes_per_table=2, cell_bytes=cell_bytes))
     expected = brute_force(queries, corpus, 5)
     distances = ((queries[:, None].astype(np.float64) - corpus[None]) ** 2).sum(axis=2)
     hits = 0
@@ -202,21 +224,21 @@ def test_lsh_finds_most_neighbours_at_exact_distances(spark, cell_bytes):
 
 def test_lsh_with_too_many_buckets_to_broadcast(spark, monkeypatch):
     sides = frames(spark, clustered(60, 1), clustered(600, 2))
-    expected = answers(knn_lsh(*sides, 5, bucket_length=2.0))
+    expected = answers(knn_lsh(*sides, 5, bucket_length=2.0, hashes_per_table=2))
     monkeypatch.setattr(similarity, "fits_broadcast", lambda df: False)
-    assert answers(knn_lsh(*sides, 5, bucket_length=2.0, cell_bytes=8 * 8 * 25)) == expected
+    assert answers(knn_lsh(*sides, 5, bucket_length=2.0, hashes_per_table=2, cell_bytes=8 * 8 * 25)) == expected
 
 
 def test_lsh_does_not_depend_on_cells(spark):
     sides = frames(spark, clustered(60, 1), clustered(600, 2))
-    whole = knn_lsh(*sides, 5, bucket_length=2.0)
-    cut = knn_lsh(*sides, 5, bucket_length=2.0, cell_bytes=8 * 8 * 25)
+    whole = knn_lsh(*sides, 5, bucket_length=2.0, hashes_per_table=2)
+    cut = knn_lsh(*sides, 5, bucket_length=2.0, hashes_per_table=2, cell_bytes=8 * 8 * 25)
     assert answers(whole) == answers(cut)
 
 
 def test_lsh_on_one_bucket_is_exact(spark):
     queries, corpus = vectors(30, seed=1), vectors(200, seed=2)
-    found = knn_lsh(*frames(spark, queries, corpus), 5, bucket_length=1e6, tables=8, cell_bytes=8 * 8 * 50)
+    found = knn_lsh(*frames(spark, queries, corpus), 5, bucket_length=1e6, tables=8, hashes_per_table=1, cell_bytes=8 * 8 * 50)
     # Hashes are cut at 0, so this leaves few buckets rather than one.
     expected = brute_force(queries, corpus, 5)
     hits = sum(len(set(found_pairs) & set(expected[q])) for q, found_pairs in answers(found).items())
