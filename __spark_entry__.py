@@ -9,7 +9,10 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from contextlib import redirect_stdout
 from datetime import date, timedelta
+from functools import reduce
+from io import StringIO
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -38,18 +41,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _alerts(events: DataFrame) -> DataFrame:
-    """Alerts from events."""
-    value, user = F.col("value"), F.col("user_id") % 3
+    """Alerts from events: forty systems, each with several components."""
+    value = F.col("value")
     return events.select(
-        F.concat(F.lit("INC"), "event_id").alias("incident_id"),
-        F.when(user == 0, "HPE-NONSTOP")
-        .when(user == 1, "MAINFRAME")
-        .otherwise("LINUX-OPS")
-        .alias("system"),
-        F.lit("$APPMON").alias("component"),
+        F.concat(F.lit("E"), "event_id").alias("incident_id"),
+        F.concat(F.lit("host-"), F.col("user_id") % 40).alias("system"),
+        F.concat(F.lit("unit-"), F.col("user_id") % 7).alias("component"),
         F.col("event_type").alias("alert_type"),
         F.when(value >= 50, "HIGH").when(value >= 15, "MEDIUM").otherwise("LOW").alias("severity"),
-        F.lit("Internal monitoring alert").alias("message"),
+        F.col("props").alias("message"),
         F.col("ts").alias("timestamp"),
     )
 
@@ -94,12 +94,14 @@ def window_counts_short(spark, sf_dir):
 
 
 def decode_json(spark, sf_dir):
-    decoded = decode_alerts(encode_alerts(_all_alerts(spark, sf_dir), key="incident_id"))
+    # Stored, or else the filters on the payload would repeat the encoding.
+    payloads = store(encode_alerts(_all_alerts(spark, sf_dir), key="incident_id"), "payloads")
+    decoded = decode_alerts(payloads)
     return decoded.withColumn("timestamp", F.col("timestamp").cast(NTZ))
 
 
 def decode_counts(spark, sf_dir):
-    payloads = encode_alerts(_all_alerts(spark, sf_dir))
+    payloads = store(encode_alerts(_all_alerts(spark, sf_dir)), "payloads")
     return _bounds_as_ntz(plans.counts_of_stream(payloads, WINDOW))
 
 
@@ -162,8 +164,15 @@ def spikes(spark, sf_dir):
 
 
 def spike_check(spark, sf_dir):
-    found = operators.has_spikes(_counts(spark, sf_dir))
-    return spark.range(1).select(F.lit(found).alias("has_spikes"))
+    return operators.spike_check(_counts(spark, sf_dir))
+
+
+def unknown_times(spark, sf_dir):
+    """Window counts of events of which every seventh lacks its time."""
+    known = F.when(F.col("event_id") % 7 != 0, F.col("ts")).alias("ts")
+    events = _table(spark, sf_dir, "events")
+    events = events.select(*[known if c == "ts" else c for c in events.columns])
+    return operators.severity_counts(_alerts(events), WINDOW)
 
 
 def _enriched(spark, sf_dir):
@@ -216,7 +225,7 @@ def series_points(spark, sf_dir):
 
 
 def series_of_system(spark, sf_dir):
-    points = operators.series(_counts(spark, sf_dir), threshold=10, system="MAINFRAME")
+    points = operators.series(_counts(spark, sf_dir), threshold=10, system="host-7")
     return operators.in_time_order(points)
 
 
@@ -237,13 +246,40 @@ def backfilled_runs(spark, sf_dir):
 # -- streams --------------------------------------------------------------------------
 
 
-def _read_back(spark: SparkSession, path: str) -> DataFrame:
-    counts = sources.typed_metrics(sources.read_counts(spark, path))
-    return _bounds_as_ntz(counts).withColumn(
-        "high_severity_count", F.col("high_severity_count").cast("bigint")
+def _closed_counts(spark: SparkSession, path: str, **options) -> DataFrame:
+    counts = sources.typed_metrics(sources.read_counts(spark, path, **options))
+    return _bounds_as_ntz(counts).select(
+        "system",
+        F.col("high_severity_count").cast("bigint").alias("high_severity_count"),
+        "window_start",
+        "window_end",
     )
 
 
+def _send(spark: SparkSession, alerts: DataFrame, inbox: str) -> None:
+    """One more file of JSON payloads for a stream of files."""
+    sinks.write_alerts(alerts.coalesce(1), "text", inbox)
+
+
+def _count_inbox(spark: SparkSession, inbox: str, path: str, progress: str, **options) -> None:
+    """Work off the files of an inbox, one per batch, into Parquet and onto the console."""
+    raw = sources.stream_alerts(spark, "text", inbox, maxFilesPerTrigger="1")
+    # The console sink prints; whoever runs this query reads other things there.
+    with redirect_stdout(StringIO()):
+        query = plans.count_stream(raw, path, progress, trigger=None, window=WINDOW, **options)
+        query.awaitTermination()
+
+
+def _thirds(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Alerts in three parts by time."""
+    alerts = _all_alerts(spark, sf_dir)
+    numbered = alerts.withColumn("_at", F.unix_micros(F.col("timestamp").cast("timestamp")))
+    first, second = numbered.approxQuantile("_at", [1 / 3, 2 / 3], 0.01)
+    at = F.col("_at")
+    parts = [at <= first, (at > first) & (at <= second), at > second]
+    return [numbered.filter(part).drop("_at") for part in parts]
+
+
 def stream_window_counts(spark, sf_dir):
     """Events as a stream of files, counted into CSV files by a streaming aggregate."""
     schema = _table(spark, sf_dir, "events").schema
@@ -255,19 +291,53 @@ def stream_window_counts(spark, sf_dir):
     counts = operators.severity_counts(alerts, WINDOW)
     query = streaming.start_stream(counts, "csv", new_folder(spark, "progress"), path, trigger=None)
     query.awaitTermination()
-    return _read_back(spark, path)
+    return _closed_counts(spark, path, file_format="csv")
 
 
 def stream_json_counts(spark, sf_dir):
     """JSON payloads as a stream of text files, counted by the query that feeds both sinks."""
     inbox, path = new_folder(spark, "inbox"), new_folder(spark, "run")
-    sinks.write_alerts(_all_alerts(spark, sf_dir), "text", inbox)
-    raw = sources.stream_alerts(spark, "text", inbox)
-    query = plans.count_stream(
-        raw, path, new_folder(spark, "progress"), trigger=None, console_rows=0, window=WINDOW
-    )
-    query.awaitTermination()
-    return _read_back(spark, path)
+    _send(spark, _all_alerts(spark, sf_dir), inbox)
+    _count_inbox(spark, inbox, path, new_folder(spark, "progress"))
+    return _closed_counts(spark, path)
+
+
+def stream_late(spark, sf_dir):
+    """The first third of the alerts comes again after all others, too late to count."""
+    inbox, path = new_folder(spark, "inbox"), new_folder(spark, "run")
+    thirds = _thirds(spark, sf_dir)
+    for part in (*thirds, thirds[0]):
+        _send(spark, part, inbox)
+    _count_inbox(spark, inbox, path, new_folder(spark, "progress"), console_rows=0)
+    return _closed_counts(spark, path)
+
+
+def stream_restart(spark, sf_dir):
+    """The stream ends after the first third and goes on from its checkpoint with the others."""
+    inbox, path = new_folder(spark, "inbox"), new_folder(spark, "run")
+    progress = new_folder(spark, "progress")
+    for part in _thirds(spark, sf_dir):
+        _send(spark, part, inbox)
+        _count_inbox(spark, inbox, path, progress, console_rows=0)
+    return _closed_counts(spark, path)
+
+
+def replayed_runs(spark, sf_dir):
+    """Two runs over the same alerts, read together: totals count once per run."""
+    inbox, runs = new_folder(spark, "inbox"), new_folder(spark, "runs")
+    _send(spark, _all_alerts(spark, sf_dir), inbox)
+    for run in ("run_1", "run_2"):
+        _count_inbox(spark, inbox, f"{runs}/{run}", new_folder(spark, "progress"), console_rows=0)
+    return operators.totals(_closed_counts(spark, runs, all_runs=True))
+
+
+def stream_to_day(spark, sf_dir):
+    """From payloads over the stream's table to the statistics of a day, which read its folder."""
+    inbox, path = new_folder(spark, "inbox"), new_folder(spark, "run")
+    _send(spark, _all_alerts(spark, sf_dir), inbox)
+    _count_inbox(spark, inbox, path, new_folder(spark, "progress"), console_rows=0)
+    stats = plans.daily_metrics(sources.read_counts(spark, path), DAY)["stats"]
+    return stats.withColumn("avg_per_window", _rounded("avg_per_window"))
 
 
 # -- similarity -----------------------------------------------------------------------
@@ -279,17 +349,18 @@ def incident_texts(spark, sf_dir):
 
 
 def history_csv(spark, sf_dir):
-    past = _alerts(_table(spark, sf_dir, "events")).select(
-        "incident_id",
-        "system",
-        "component",
-        "alert_type",
-        F.col("message").alias("description"),
-        F.lit("Restart, then watch").alias("resolution"),
-        F.length("incident_id").alias("mean_time_to_fix"),
+    """Documents as past incidents: texts with line breaks and quotes, columns in another order."""
+    past = _table(spark, sf_dir, "documents").select(
+        F.col("source").alias("system"),
+        F.concat(F.lit('say "'), "text", F.lit('" twice')).alias("description"),
+        F.concat(F.lit("D"), "doc_id").alias("incident_id"),
+        F.col("n_chars").alias("mean_time_to_fix"),
+        F.lit("REPORT").alias("alert_type"),
+        F.concat(F.lit("restart\n"), "lang").alias("resolution"),
+        F.col("lang").alias("component"),
     )
     path = new_folder(spark, "history")
-    past.write.option("header", True).csv(path)
+    sinks.write_metrics(past, path)
     return sources.read_history(spark, path)
 
 
@@ -324,17 +395,52 @@ def knn_sent(spark, sf_dir):
 def knn_cells(spark, sf_dir):
     """As above by the route for two large sides."""
     corpus = _vectors(spark, sf_dir)[1]
-    found = knn_exact(_centres(spark, sf_dir), corpus, 5, ship_bytes=0, cell_bytes=8 * 64 * 256)
+    found = knn_exact(_centres(spark, sf_dir), corpus, 5, ship_bytes=0, cell_bytes=8 * 64 * 256, all_pairs=True)
     return found.withColumn("l2", _rounded("l2"))
 
 
+def knn_repeated_ids(spark, sf_dir):
+    """A corpus in which every id names two vectors, by all three routes."""
+    corpus = _vectors(spark, sf_dir)[1].withColumn("id", F.floor(F.col("id") / 2))
+    centres = _centres(spark, sf_dir)
+    routes = {
+        "corpus sent": {},
+        "queries sent": {"ship_bytes": 8 * 64 * 50},
+        "cells": {"ship_bytes": 0, "cell_bytes": 8 * 64 * 256, "all_pairs": True},
+    }
+    found = [
+        knn_exact(centres, corpus, 5, **options).withColumn("route", F.lit(route))
+        for route, options in routes.items()
+    ]
+    return reduce(DataFrame.unionByName, found).withColumn("l2", _rounded("l2"))
+
+
 def knn_near(spark, sf_dir):
+    """Every vector's nearest among those in its hash buckets: itself, or an equal one."""
     queries, corpus = _vectors(spark, sf_dir)
-    return knn_lsh(queries, corpus, 5, bucket_length=0.5).withColumn("l2", _rounded("l2"))
+    found = knn_lsh(queries, corpus, 1, bucket_length=0.25, hashes_per_table=6)
+    return found.withColumn("l2", _rounded("l2"))
 
 
 def embed_text(spark, sf_dir):
-    return embed(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    """What holds for hashed vectors whatever the hash: unit length, no more entries than
+    words, equal vectors for equal texts."""
+    vectors = embed(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    words = F.array_distinct(F.array_remove(F.split(F.lower("text"), r"\s+"), ""))
+    entries = F.size(F.filter("embedding", lambda x: x != 0))
+    square = F.aggregate("embedding", F.lit(0.0).cast("double"), lambda total, x: total + x * x)
+    facts = store(
+        vectors.select(
+            "doc_id",
+            F.sha2("text", 256).alias("digest"),
+            F.round(F.sqrt(square), 4).alias("length"),
+            (entries <= F.size(words)).alias("sparse"),
+            F.xxhash64("embedding").alias("vector"),
+        ),
+        "vectors",
+    )
+    same = facts.groupBy("digest").agg((F.min("vector") == F.max("vector")).alias("one_vector"))
+    return facts.join(same, "digest").select("doc_id", "length", "sparse", "one_vector")
 
 
 def embed_model(spark, sf_dir):
@@ -360,10 +466,16 @@ def vector_table(spark, sf_dir):
 
 
 def indexed_count(spark, sf_dir):
-    rows = sinks.write_vectors(
-        _table(spark, sf_dir, "embeddings"), new_folder(spark, "vectors"), key="vec_id"
-    )
-    return spark.range(1).select(F.lit(rows).cast("bigint").alias("indexed"))
+    path = new_folder(spark, "vectors")
+    sinks.write_vectors(_table(spark, sf_dir, "embeddings"), path, key="vec_id")
+    return spark.read.parquet(path).agg(F.count("*").alias("indexed"))
+
+
+def _measures(texts: DataFrame) -> DataFrame:
+    """An embedding that SQL can state: characters, blanks and commas of a text."""
+    counts = [F.length("text")]
+    counts += [F.length("text") - F.length(F.replace("text", F.lit(sign))) for sign in (" ", ",")]
+    return texts.withColumn("embedding", F.array(*counts).cast("array<float>"))
 
 
 def similar_incidents(spark, sf_dir):
@@ -383,9 +495,9 @@ def similar_incidents(spark, sf_dir):
         F.col("text").alias("description"),
     )
     path = new_folder(spark, "corpus")
-    plans.index_history(history, path)
-    found = plans.similar_incidents(alerts, spark.read.parquet(path), 3)
-    return found.select("doc_id", "similar_id", _rounded("l2"), "rank")
+    plans.index_history(history, path, _measures)
+    found = plans.similar_incidents(alerts, spark.read.parquet(path), 3, _measures)
+    return found.select("doc_id", "similar_id", "l2", "rank")
 
 
 # -- contract -------------------------------------------------------------------------
@@ -393,7 +505,7 @@ def similar_incidents(spark, sf_dir):
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: window counts with the statistics of their system."""
-    return enriched_metrics(spark, "/root/testdata/sf0.001")
+    return enriched_metrics(spark, os.environ.get("KLAXON_ENTRY_SF", "/root/testdata/sf0.001"))
 
 
 def _training_data() -> tuple[dict, dict]:
@@ -429,6 +541,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "peak_window": peak_window,
         "spikes": spikes,
         "spike_check": spike_check,
+        "unknown_times": unknown_times,
         "enriched_metrics": enriched_metrics,
         "metrics_csv": metrics_csv,
         "replayed_totals": replayed_totals,
@@ -443,11 +556,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "backfilled_runs": backfilled_runs,
         "stream_window_counts": stream_window_counts,
         "stream_json_counts": stream_json_counts,
+        "stream_late": stream_late,
+        "stream_restart": stream_restart,
+        "replayed_runs": replayed_runs,
+        "stream_to_day": stream_to_day,
         "incident_text": incident_texts,
         "history_csv": history_csv,
         "knn_exact": knn,
         "knn_sent": knn_sent,
         "knn_cells": knn_cells,
+        "knn_repeated_ids": knn_repeated_ids,
         "knn_lsh": knn_near,
         "embed_text": embed_text,
         "embed_model": embed_model,
@@ -458,14 +576,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 _ALERTS = """alerts AS (
-  SELECT 'INC' || event_id AS incident_id,
-         CASE user_id % 3 WHEN 0 THEN 'HPE-NONSTOP' WHEN 1 THEN 'MAINFRAME'
-              ELSE 'LINUX-OPS' END AS system,
-         '$APPMON' AS component,
+  SELECT 'E' || event_id AS incident_id,
+         'host-' || (user_id % 40) AS system,
+         'unit-' || (user_id % 7) AS component,
          event_type AS alert_type,
          CASE WHEN value >= 50 THEN 'HIGH' WHEN value >= 15 THEN 'MEDIUM'
               ELSE 'LOW' END AS severity,
-         'Internal monitoring alert' AS message,
+         props AS message,
          ts AS "timestamp"
   FROM events)"""
 
@@ -498,7 +615,7 @@ def oracle_sql() -> dict[str, str]:
            system, window_start, window_end, high_severity_count FROM counts"""
     closed = f"""{counts} SELECT * FROM counts WHERE window_end <=
       (SELECT max("timestamp") - INTERVAL '1 minute' FROM alerts WHERE severity = 'HIGH')"""
-    neighbours = """WITH elements AS (
+    pairs = """WITH elements AS (
       SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding) AS x
       FROM embeddings), means AS (
       SELECT label, i, avg(CAST(x AS DOUBLE)) AS x FROM elements GROUP BY label, i), centres AS (
@@ -508,9 +625,11 @@ def oracle_sql() -> dict[str, str]:
                list_zip(q.centre, CAST(c.embedding AS DOUBLE[])),
                lambda s: (s[1] - s[2]) * (s[1] - s[2]))) AS l2
       FROM centres q CROSS JOIN embeddings c), ranked AS (
-      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY l2, id) AS place FROM pairs)
-    SELECT query_id, id, round(l2, 6) AS l2, CAST(place AS INTEGER) AS rank
-    FROM ranked WHERE place <= 5"""
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY l2, id) AS place FROM pairs)"""
+    neighbours = f"""{pairs} SELECT query_id, id, round(l2, 6) AS l2, CAST(place AS INTEGER) AS rank
+      FROM ranked WHERE place <= 5"""
+    measures = """[length(text), length(text) - length(replace(text, ' ', '')),
+      length(text) - length(replace(text, ',', ''))]"""
     return {
         **_training_data()[1],
         "severity_filter": f"{alerts} SELECT * FROM alerts WHERE severity = 'HIGH'",
@@ -555,7 +674,7 @@ def oracle_sql() -> dict[str, str]:
         "system_list": f"""{counts} SELECT system, min(window_start) AS first_seen
              FROM counts GROUP BY system""",
         "series_points": f"{counts} {points}",
-        "series_of_system": f"{counts} {points} WHERE system = 'MAINFRAME'",
+        "series_of_system": f"{counts} {points} WHERE system = 'host-7'",
         "normal_windows": f"{short} SELECT * FROM counts WHERE high_severity_count < 3",
         "union_runs": f"""{counts} SELECT * FROM counts UNION ALL BY NAME
              SELECT * EXCLUDE (window_end) FROM counts""",
@@ -564,12 +683,41 @@ def oracle_sql() -> dict[str, str]:
              TIMESTAMP '1970-01-01' AS window_end FROM counts""",
         "stream_window_counts": closed,
         "stream_json_counts": closed,
+        "stream_late": closed,
+        "stream_restart": closed,
+        "replayed_runs": f"""WITH closed AS ({closed})
+             SELECT system, 2 * {total} AS total_high_severity FROM closed GROUP BY system""",
+        "stream_to_day": f"""WITH closed AS ({closed})
+             SELECT system, {total} AS total_high_severity, {average} AS avg_per_window
+             FROM closed WHERE {day} GROUP BY system""",
+        "unknown_times": f"""{counts.replace('"timestamp" IS NOT NULL', "CAST(substr(incident_id, 2) AS BIGINT) % 7 != 0")}
+             SELECT * FROM counts""",
         "incident_text": f"""{alerts} SELECT incident_id,
              system || ' ' || component || ' ' || alert_type || ' ' || message AS text
              FROM alerts""",
-        "history_csv": f"""{alerts} SELECT incident_id, system, component, alert_type,
-             message AS description, 'Restart, then watch' AS resolution,
-             CAST(length(incident_id) AS INTEGER) AS mean_time_to_fix FROM alerts""",
+        "history_csv": """SELECT 'D' || doc_id AS incident_id, source AS system, lang AS component,
+             'REPORT' AS alert_type, 'say "' || text || '" twice' AS description,
+             'restart' || chr(10) || lang AS resolution,
+             CAST(n_chars AS INTEGER) AS mean_time_to_fix FROM documents""",
+        "knn_repeated_ids": f"""{pairs.replace("c.vec_id AS id", "c.vec_id // 2 AS id")}
+             SELECT route, query_id, id, round(l2, 6) AS l2, CAST(place AS INTEGER) AS rank
+             FROM ranked, (VALUES ('corpus sent'), ('queries sent'), ('cells')) AS routes (route)
+             WHERE place <= 5""",
+        "knn_lsh": """SELECT vec_id AS query_id, min(vec_id) OVER (PARTITION BY embedding) AS id,
+             CAST(0 AS DOUBLE) AS l2, CAST(1 AS INTEGER) AS rank FROM embeddings""",
+        "embed_text": """SELECT doc_id, CAST(trim(text) != '' AS DOUBLE) AS length,
+             true AS sparse, true AS one_vector FROM documents""",
+        "similar_incidents": f"""WITH asked AS (
+             SELECT doc_id, source || ' ' || lang || ' REPORT ' || text AS text FROM documents),
+             known AS (SELECT item_id, 'archive library REPORT ' || text AS text FROM benchmark),
+             q AS (SELECT doc_id, {measures} AS a FROM asked),
+             c AS (SELECT item_id, {measures} AS b FROM known), pairs AS (
+             SELECT doc_id, item_id AS similar_id, CAST((a[1] - b[1]) ** 2 + (a[2] - b[2]) ** 2
+               + (a[3] - b[3]) ** 2 AS DOUBLE) AS l2 FROM q CROSS JOIN c), ranked AS (
+             SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY l2, similar_id) AS place
+             FROM pairs)
+             SELECT doc_id, similar_id, l2, CAST(place AS INTEGER) AS rank FROM ranked
+             WHERE place <= 3""",
         "knn_exact": neighbours,
         "knn_sent": neighbours,
         "knn_cells": neighbours,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from klaxon import operators, sinks
+from klaxon.operators.embedding import embed
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -47,7 +48,6 @@ def test_filters_and_columns_reach_the_scan(plan):
         ("system_stats", 2),
         ("kpis", 2),
         ("incident_text", 0),
-        ("embed_text", 0),
         ("knn_exact", 0),
     ],
 )
@@ -64,6 +64,16 @@ def test_no_cross_join_and_no_collected_groups(plan, name):
         assert operator not in text
 
 
+def test_embedding_moves_nothing(spark):
+    text = plan_of(embed(spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")))
+    assert "Exchange" not in text and "Python" not in text
+
+
+@pytest.mark.parametrize("name", ["spike_check", "indexed_count"])
+def test_results_stay_in_the_plan(plan, name):
+    assert "FileScan" in plan(name)
+
+
 def test_enriching_moves_only_the_statistics(plan):
     text = plan("enriched_metrics")
     assert "BroadcastHashJoin" in text
