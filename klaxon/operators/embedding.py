@@ -52,13 +52,17 @@ def embed_with(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = None
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            given = [value for value in texts if value is not None]
+            texts = batch.column(batch.schema.get_field_index(text))
+            given = texts.drop_null().to_pylist()
             if given and model is None:
                 model = load_model()
-            rows = iter(np.asarray(model(given), dtype=np.float32) if given else ())
-            vectors = [None if value is None else next(rows) for value in texts]
-            column = pa.array(vectors, type=pa.list_(pa.float32()))
+            numbers = np.asarray(model(given) if given else np.empty((0, 0)), dtype=np.float32)
+            # NULL texts take no numbers: their offset does not move.
+            present = texts.is_valid().to_numpy(zero_copy_only=False)
+            offsets = np.concatenate([[0], np.cumsum(present * numbers.shape[1])])
+            column = pa.ListArray.from_arrays(
+                pa.array(offsets, pa.int32()), pa.array(numbers.ravel()), mask=pa.array(~present)
+            )
             names = [*batch.schema.names, output]
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=names)
 

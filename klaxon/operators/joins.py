@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 from klaxon.session import settle
 
-# A side may be broadcast up to both bounds; past either the join shuffles.
+# A side may be broadcast up to both bounds; past either the join shuffles. A row's bytes are
+# those of its text as JSON and of its place in the hashed table, where it has a key, a
+# pointer, a length and eight bytes per column.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 64
+COLUMN_BYTES = 8
 
 # When a join shuffles, rows of one key that a single task takes on.
 ROWS_PER_TASK = 5_000_000
@@ -20,10 +24,11 @@ ROWS_PER_TASK = 5_000_000
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure a settled frame: its rows, and if they are few its bytes."""
+    """Measure a settled frame: its rows, and if they are few their bytes once broadcast."""
     if df.count() > max_rows:
         return False
-    size = F.octet_length(F.to_json(F.struct("*")))
+    fixed = ROW_BYTES + COLUMN_BYTES * len(df.columns)
+    size = F.octet_length(F.to_json(F.struct("*"))) + fixed
     return df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] <= max_bytes
 
 
