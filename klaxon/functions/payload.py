@@ -1,4 +1,6 @@
-"""Alerts to and from their JSON payload."""
+"""Alerts to and import json
+
+from their JSON payload."""
 
 from collections.abc import Sequence
 
@@ -38,11 +40,15 @@ def decode_alerts(
 def payloads_mentioning(raw: DataFrame, text: str, value: str = "value") -> DataFrame:
     """Payloads in which some field may equal ``text``, found without parsing them.
 
-    Drops no other payload than those that cannot: JSON spells a text of letters as it is,
-    or with escapes, which take a backslash. Any other text may stand for a number or an
-    object that is spelled in another way, so all payloads stay.
+    Drops no other payload than those that cannot: JSON spells a text as it is, or with
+    escapes, which take a backslash. A text that is JSON itself may also come from a number
+    or an object that is spelled in another way; for such a one all payloads stay.
     """
-    if not text.isalpha():
+    try:
+        json.loads(text)
+    except ValueError:
+        pass
+    else:
         return raw
     payload = F.col(value).cast("string")
     return raw.filter(payload.contains(text) | payload.contains("\\"))

@@ -75,6 +75,13 @@ def test_no_payload_with_the_text_is_passed_over(spark, level, ascii_only):
     assert '{"severity":"LOW"}' not in {row.value for row in kept.collect()}
 
 
+def test_a_severity_that_is_an_object_is_not_passed_over(spark):
+    raw = spark.createDataFrame([('{"severity": {"a" : 1}}',), ('{"severity": 5}',)], "value string")
+    found = {row.severity for row in decode_alerts(raw).collect()}
+    for level in found:
+        assert decode_alerts(payloads_mentioning(raw, level)).filter(F.col("severity") == level).count() == 1
+
+
 def test_each_payload_is_parsed_once(spark):
     raw = spark.createDataFrame([("{}",)], "value string")
     alerts = decode_alerts(raw).filter("severity = 'HIGH' AND timestamp IS NOT NULL")
