@@ -1,7 +1,6 @@
-"""Alerts to and import json
-
-from their JSON payload."""
+"""Alerts to and from their JSON payload."""
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
