@@ -2,10 +2,11 @@
 
 Documents with equal shingle sets are one node. Nodes that share a band meet in a bucket.
 A bucket of up to ``TILE`` nodes is compared as a whole. A larger one is first compared
-with its hub, the node that meets most others: that joins most of a group of near copies
-at a cost that grows with its size. Only nodes that are then still apart from the hub are
-compared further, in tiles of ``TILE`` times ``TILE`` nodes, and tiles are left out where
-their distances to the hub rule out a link (Jaccard distance is a metric). So every pair
+with its hub, the node that meets most others, and large buckets with the same hub count
+as one: that joins most of a group of near copies at a cost that grows with its size. Only
+nodes that are then still apart from the hub are compared further, in tiles of ``TILE``
+times ``TILE`` nodes, and tiles are left out where their distances to the hub rule out a
+link (Jaccard distance is a metric). So every pair
 that shares a bucket is compared, known to be joined, or proven too far apart; no task
 holds more than two tiles' sides, and no pair becomes a row.
 
@@ -175,16 +176,21 @@ def _star_tiles(members: DataFrame) -> DataFrame:
         "bucket", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"), "node"
     )
     large = members.filter(F.col("size") > TILE)
-    # The node that meets most others stands closest to what its group has in common.
+    # The node that meets most others stands closest to what its group has in common. The
+    # bands of a group of near copies share it, so their buckets become one: with them
+    # apart, two nodes would meet in as many tiles as they share bands.
     met = large.groupBy("node").agg(F.sum("size").alias("met"))
-    hubs = large.join(met, "node").groupBy("bucket", "size").agg(
-        F.max_by("node", F.struct("met", -F.col("node"))).alias("node")
+    hubs = large.join(met, "node").groupBy("bucket").agg(
+        F.max_by("node", F.struct("met", -F.col("node"))).alias("hub")
     )
-    hub_rows = hubs.select(
-        "bucket", F.explode(F.sequence(F.lit(0), _parts(F.col("size")) - 1)).alias("i"), "node"
-    ).select("bucket", "i", F.lit(0).alias("j"), F.lit(3).alias("side"), "node")
+    stars = large.join(hubs, "bucket").select(F.col("hub").alias("bucket"), "node").distinct()
+    stars = store(stars, "stars")
+    sizes = stars.groupBy("bucket").agg(F.count("*").alias("size"))
+    hub_rows = sizes.select(
+        "bucket", F.explode(F.sequence(F.lit(0), _parts(F.col("size")) - 1)).alias("i")
+    ).select("bucket", "i", F.lit(0).alias("j"), F.lit(3).alias("side"), F.col("bucket").alias("node"))
     chunk = F.pmod(F.xxhash64("node"), _parts(F.col("size"))).cast("int")
-    others = large.select(
+    others = stars.join(sizes, "bucket").select(
         "bucket", chunk.alias("i"), F.lit(0).alias("j"), F.lit(2).alias("side"), "node"
     )
     return small.unionByName(hub_rows).unionByName(others)
