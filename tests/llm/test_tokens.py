@@ -1,0 +1,156 @@
+"""Ids, shards and packed sequences against the library and plain forms."""
+
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from data import documents, made_text, odd_rows
+from tokenizers import Tokenizer
+
+from klaxon.llm import grammar, packing, tokens
+
+WORD = public_tokenizers.path("word_bpe_49k.json")
+BYTE = public_tokenizers.path("byte_bpe_50k.json")
+
+ODD_TEXTS = [
+    "a", " a", "a ", "  a", "a  b", "a\nb", "a\n\nb", "a \nb", "a\n b", "\na", "a\n", "a\tb c", "a \tb",
+    " a  b", "it's don't 'tis x's", "Ünï Çödé straße ΑΣ ΌΔΟΣ İx", "é ö x", "1 22 333 a1 1a",
+    "a.b a,b. ...a a... !? $%& a$$$ a_b _a a_", "日本 語 текст मानक", "<|endoftext|> <|startoftext|>x", "x y z​w",
+    "\x1c a\x1cb \x85c d\x85 e", "a\r\nb c\r d", "ʰa aʰ ª º", "😀 a😀 b",
+]
+
+
+def library_ids(path, text):
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("path, kind", [(WORD, tokens.WORD), (BYTE, tokens.BYTE)])
+def test_ids_are_those_of_whole_texts(path, kind, monkeypatch):
+    monkeypatch.setattr(tokens, "PARTS_KEPT", 300)
+    encoder = tokens.Encoder(path, kind)
+    texts = [*ODD_TEXTS, *[text for _, text in odd_rows()], *[made_text(i, 200) for i in range(20)]]
+    for text, found in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(found, "<u4").tolist() == library_ids(path, text), repr(text)
+
+
+def test_grammar_gives_back_every_range():
+    rng = np.random.default_rng(1)
+    for size, kinds in [(0, 1), (1, 1), (2, 1), (3000, 1), (3001, 2), (20_000, 9), (50_000, 40_000)]:
+        ids = rng.integers(0, kinds, size).astype(np.uint32)
+        made = grammar.compress(ids)
+        decoder = grammar.Decoder(made)
+        assert (decoder.ids(0, size) == ids).all()
+        for _ in range(40 if size else 0):
+            start, end = sorted(rng.integers(0, size + 1, 2))
+            assert (decoder.ids(start, end) == ids[start:end]).all()
+
+
+def test_grammar_shortens_what_repeats():
+    made = grammar.compress(np.tile(np.arange(10, dtype=np.uint32), 2000), rounds=12)
+    assert len(made.sequence) < 4000
+    assert made.expansions.max() >= 8
+
+
+def test_token_table(spark, monkeypatch):
+    rows = odd_rows()
+    found = grammar.token_table(documents(spark, rows).repartition(3), WORD).collect()
+    order = sorted(rows, key=lambda row: (row[0] is not None, row[0] or 0))
+    start = 0
+    by_start = sorted(found, key=lambda row: row["start"])
+    assert [row["doc_id"] for row in by_start] == [doc for doc, _ in order]
+    for (_, text), row in zip(order, by_start):
+        ids = np.array([*library_ids(WORD, text), 2], "<u4")
+        assert (row["start"], row["n_tokens"]) == (start, len(ids))
+        assert row["ids_crc32"] == zlib.crc32(ids.tobytes())
+        start += len(ids)
+
+
+def test_packing(spark):
+    rows = odd_rows()
+    docs = documents(spark, rows).repartition(3)
+    found = packing.pack_documents(docs, BYTE, length=64, keep_ids=True).collect()
+    texts, pieces = Counter(), defaultdict(list)
+    for doc, text in rows:
+        texts[doc, (*library_ids(BYTE, text), 0)] += 1
+    for row in found:
+        assert row["ids_crc32"] == zlib.crc32(row["ids"])
+        assert len(row["ids"]) == 4 * row["length"] <= 4 * 64
+        pieces[row["doc_id"]].append(row)
+    for (doc, ids), times in texts.items():
+        own = sorted(pieces[doc], key=lambda row: row["piece"])
+        assert b"".join(r["ids"] for r in own[::times]) == np.array(ids, "<u4").tobytes()
+        assert [r["start"] for r in own[::times]] == np.cumsum([0, *[r["length"] for r in own[::times]]])[:-1].tolist()
+        assert len(ids) > 64 or len(own) == times
+        assert all(r["length"] == 64 for r in own if r["piece"])
+    sequences = defaultdict(list)
+    for row in found:
+        sequences[row["sequence_id"]].append((row["offset"], row["length"]))
+    for placed in sequences.values():
+        end = 0
+        for offset, length in sorted(placed):
+            assert offset == end
+            end += length
+        assert end <= 64
+
+
+def least_sequences(sizes, capacity):
+    """Fewest sequences by trying everything."""
+    best = len(sizes)
+    sizes = sorted(sizes, reverse=True)
+
+    def put(at, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if at == len(sizes):
+            best = len(rooms)
+            return
+        for room in set(rooms):
+            if room >= sizes[at]:
+                rest = list(rooms)
+                rest[rest.index(room)] -= sizes[at]
+                put(at + 1, rest)
+        put(at + 1, [*rooms, capacity - sizes[at]])
+
+    put(0, [])
+    return best
+
+
+def test_reduction_costs_no_sequence():
+    rng = np.random.default_rng(5)
+    for _ in range(150):
+        sizes = rng.integers(1, 21, rng.integers(1, 10)).tolist()
+        left = packing._Sizes(Counter(sizes))
+        fixed = sum(times for _, times in packing.reduce_by_dominance(left, 20))
+        rest = [size for size, n in left.count.items() for _ in range(n)]
+        assert fixed + (least_sequences(rest, 20) if rest else 0) == least_sequences(sizes, 20)
+
+
+def test_plan_places_every_piece_once():
+    rng = np.random.default_rng(6)
+    for _ in range(30):
+        counts = Counter(rng.integers(1, 101, rng.integers(1, 400)).tolist())
+        filled, ranks = defaultdict(list), defaultdict(list)
+        for size, first, last, sequence, each, place in packing.plan_sequences(counts, 100):
+            for rank in range(first, last):
+                ranks[size].append(rank)
+                at = rank - first
+                filled[sequence + at // each].append((place + at % each * size, size))
+        assert {size: len(r) for size, r in ranks.items()} == counts
+        assert all(sorted(r) == list(range(len(r))) for r in ranks.values())
+        for placed in filled.values():
+            end = 0
+            for start, size in sorted(placed):
+                assert start == end
+                end += size
+            assert end <= 100
+
+
+def test_empty_table(spark):
+    docs = documents(spark, [])
+    assert grammar.token_table(docs, WORD).isEmpty()
+    assert packing.pack_documents(docs, BYTE).isEmpty()
