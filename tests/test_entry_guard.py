@@ -1,0 +1,20 @@
+"""The entry module works without the package for training data and its pipeline."""
+
+import os
+import shutil
+import subprocess
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def test_entry_without_the_optional_package(tmp_path):
+    copy = tmp_path / "copy"
+    ignored = shutil.ignore_patterns("llm", "corpus_pipeline.py", "__pycache__", ".git")
+    shutil.copytree(ROOT, copy, ignore=ignored)
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), any(n[:2] == 'op' for n in e.queries()))"
+    env = {**os.environ, "PYTHONPATH": str(copy)}
+    done = subprocess.run([sys.executable, "-c", code], cwd=copy, env=env, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+    queries, oracles, optional = done.stdout.split()[-3:]
+    assert int(queries) == int(oracles) > 40 and optional == "False"
