@@ -65,16 +65,22 @@ def k_means(points: np.ndarray, number: int, rounds: int = 12) -> np.ndarray:
     return centres
 
 
-class Quantiser:
+def fit_quantiser(sample, lists, subspaces, codes):
     """Coarse centres and a code book for each subspace of the residuals."""
+    centres = k_means(sample, lists)
+    rest = sample - centres[_nearest(sample, centres).argmin(1)]
+    parts = np.array_split(np.arange(sample.shape[1]), min(subspaces, sample.shape[1]))
+    return centres, [k_means(rest[:, part], codes) for part in parts]
+
+
+class Quantiser:
+    """Lists and codes of vectors by centres and code books."""
 
-    def __init__(self, sample, lists, subspaces, codes):
-        self.centres = k_means(sample, lists)
-        rest = sample - self.centres[_nearest(sample, self.centres).argmin(1)]
-        cuts = np.linspace(0, sample.shape[1], min(subspaces, sample.shape[1]) + 1).astype(int)
-        self.spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
-        self.books = [k_means(rest[:, a:b], codes) for a, b in self.spans]
-        self.apart = np.sqrt(np.maximum(_nearest(self.centres, self.centres), 0))
+    def __init__(self, centres, books):
+        self.centres, self.books = centres, books
+        ends = np.cumsum([book.shape[1] for book in books]).tolist()
+        self.spans = list(zip([0, *ends], ends))
+        self.apart = np.sqrt(np.maximum(_nearest(centres, centres), 0))
 
     def lists_of(self, points, reach):
         """Own list, and a mask of the lists to look into."""
@@ -117,7 +123,7 @@ def usable(vector="embedding"):
 
 def _entries(nodes: DataFrame, sent, reach: float) -> DataFrame:
     def assign(batches):
-        quantiser = sent.value
+        quantiser = Quantiser(*sent.value)
         for batch in batches:
             for at in range(0, len(batch), BLOCK):
                 some = batch.slice(at, BLOCK)
@@ -229,7 +235,7 @@ def _links(entries: DataFrame, sent, cosine: float) -> DataFrame:
     ordered = sides.repartition(*tile).sortWithinPartitions(*tile, "side")
 
     def compare(batches):
-        quantiser = sent.value
+        quantiser = Quantiser(*sent.value)
 
         def found(table):
             ids = table.column("side").to_numpy()
@@ -279,7 +285,7 @@ def _linked(nodes: DataFrame, dimension: int, cosine: float, lists: int, aim: fl
     spark = nodes.sparkSession
     sample = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("embedding").toArrow()
     points = _unit_rows(sample.column(0).combine_chunks())
-    sent = spark.sparkContext.broadcast(Quantiser(points, lists, SUBSPACES, CODES))
+    sent = spark.sparkContext.broadcast(fit_quantiser(points, lists, SUBSPACES, CODES))
     reach = math.sqrt(2 - 2 * cosine) * min(1.0, aim / math.sqrt(dimension))
     return _links(store(_entries(nodes, sent, reach), "entries"), sent, cosine)
 

@@ -77,7 +77,9 @@ def test_recall_at_the_threshold():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(20_000, 64))
     x /= np.linalg.norm(x, axis=1)[:, None]
-    quantiser = vectors.Quantiser(x, vectors.LISTS, vectors.SUBSPACES, vectors.CODES)
+    quantiser = vectors.Quantiser(
+        *vectors.fit_quantiser(x, vectors.LISTS, vectors.SUBSPACES, vectors.CODES)
+    )
     side = rng.normal(size=(3000, 64))
     side -= (side * x[:3000]).sum(1)[:, None] * x[:3000]
     side /= np.linalg.norm(side, axis=1)[:, None]
