@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from klaxon.llm.batches import to_batch
+from klaxon.llm.memory import remembered
 from klaxon.llm.tiling import tiles, window_hashes
 from klaxon.llm.words import mixed
 
@@ -40,12 +41,10 @@ class _Numbers(dict):
         return self[word]
 
 
-_numbers = _Numbers()
-
-
 def word_numbers(text):
     words = text.lower().split() if text else []
-    numbers = np.fromiter(map(_numbers.__getitem__, words), np.uint64, len(words))
+    number = remembered(_Numbers, _Numbers).__getitem__
+    numbers = np.fromiter(map(number, words), np.uint64, len(words))
     return numbers[numbers != 0]
 
 

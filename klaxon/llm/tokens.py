@@ -18,7 +18,9 @@ from array import array
 
 from tokenizers import Tokenizer
 
-PARTS_KEPT = 800_000
+from klaxon.llm.memory import remembered
+
+PARTS_KEPT = 600_000
 WORD, BYTE = "word", "byte"
 
 # Both vocabularies cut between letters and these. The apostrophe is not among them, as it
@@ -110,11 +112,6 @@ class Encoder(dict):
         return [self._encode(text) if text else b"" for text in texts]
 
 
-_encoders = {}
-
-
 def encoder(path, kind):
     """The encoder of this worker process for a file."""
-    if (path, kind) not in _encoders:
-        _encoders[path, kind] = Encoder(path, kind)
-    return _encoders[path, kind]
+    return remembered((path, kind), lambda: Encoder(path, kind))

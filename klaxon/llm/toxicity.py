@@ -8,6 +8,7 @@ words in a long text decide. A logistic curve fitted to labelled documents that
 have not seen turns them into a score.
 """
 
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -18,13 +19,16 @@ from pyspark.sql import functions as F
 
 from klaxon.llm import kneserney
 from klaxon.llm.batches import schema_of
+from klaxon.llm.memory import forget, remembered
 from klaxon.session import settle
 
 # Labelled documents of each class that the models are fitted to, at most.
 LABELLED_PER_CLASS = 20_000
 # One in so many of them is kept for the curve.
 FOLDS = 5
-WORDS_KEPT = 500_000
+# Words whose counts a task sums before it hands them on, and whose ratios a worker remembers.
+WORDS_SUMMED = 200_000
+WORDS_KEPT = 400_000
 DOCS_AT_ONCE = 500
 HIGHEST = 40.0
 
@@ -76,6 +80,7 @@ def count_grams(docs: DataFrame, sample: DataFrame) -> DataFrame:
     cut into letters, and a table of words is handed on when it is full."""
 
     def count(batches):
+        forget()
         tables = [Counter(), Counter(), Counter()]
         for batch in batches:
             classes, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -85,7 +90,7 @@ def count_grams(docs: DataFrame, sample: DataFrame) -> DataFrame:
                     tables[2].update(words)
                     if kind is not None:
                         tables[1 - kind].update(words)
-                    if len(tables[2]) > WORDS_KEPT:
+                    if len(tables[2]) > WORDS_SUMMED:
                         yield _gram_counts(tables)
                         tables = [Counter(), Counter(), Counter()]
         if tables[2]:
@@ -118,17 +123,18 @@ def fit_models(docs: DataFrame, sample: DataFrame) -> dict | None:
 
 
 class Scorer:
-    """Features and scores of texts; words are scored once per task."""
+    """Features and scores of texts; a worker scores a word once per fitted model."""
 
-    def __init__(self, model, weights=None):
-        self.model, self.weights, self.known = model, weights, {}
+    def __init__(self, name, model, weights=None):
+        self.model, self.weights = model, weights
+        self.known = remembered(name, dict)
 
     def features(self, texts):
         """(mean, peak) of each text; 0 and 0 without words."""
         words = [kneserney.fold(text or "").split() for text in texts]
         new = {word for some in words for word in some}
         if len(self.known) + len(new) > WORDS_KEPT:
-            self.known = {}
+            self.known.clear()
         new = [word for word in new if word not in self.known]
         self.known.update(zip(new, kneserney.ratios(self.model, new).tolist()))
         found = np.zeros((len(texts), 2))
@@ -150,7 +156,7 @@ def features(docs: DataFrame, sent) -> DataFrame:
     """doc_id, mean and peak of every whole text."""
 
     def score(batches):
-        scorer = Scorer(sent.value)
+        scorer = Scorer(*sent.value)
         for batch in batches:
             for at in range(0, len(batch), DOCS_AT_ONCE):
                 some = batch.slice(at, DOCS_AT_ONCE)
@@ -185,14 +191,16 @@ def _with_id(docs):
 
 
 def fit_scorer(docs: DataFrame, labels: DataFrame):
-    """(models, weights of the curve) as a broadcast; without documents of both classes, no
-    models and the score of all texts."""
+    """(name, models, weights of the curve) as a broadcast; without documents of both classes,
+    no models and the score of all texts."""
     context = docs.sparkSession.sparkContext
     sample = labelled_sample(labels)
     model = fit_models(docs, sample)
     if model is None:
-        return context.broadcast((None, float(sample.filter("toxic = 1").count() > 0)))
-    sent = context.broadcast(model)
+        return context.broadcast((None, None, float(sample.filter("toxic = 1").count() > 0)))
+    # Tells the words of this model from those of another one in the same worker.
+    name = f"toxicity-{uuid.uuid4().hex}"
+    sent = context.broadcast((name, model))
     ids = sample.withColumnRenamed("doc_id", "_labelled")
     some = docs.join(F.broadcast(ids), docs["doc_id"] == ids["_labelled"])
     # Even the texts of the sample are read from the table, as those of the models were.
@@ -203,7 +211,7 @@ def fit_scorer(docs: DataFrame, labels: DataFrame):
     if table["toxic"].nunique() < 2:
         # Too few labels to keep some apart: the curve is fitted to those of the models.
         table = found
-    return context.broadcast((model, fit_curve(table)))
+    return context.broadcast((name, model, fit_curve(table)))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, cut: float = 0.7) -> DataFrame:

@@ -8,11 +8,13 @@ process.
 import numpy as np
 import xxhash
 
+from klaxon.llm.memory import remembered
+
 WORDS_KEPT = 500_000
 
 
 class WordNumbers(dict):
-    """word -> number, for a bounded number of words; one per worker process."""
+    """word -> number, for a bounded number of words."""
 
     def __missing__(self, word):
         if len(self) >= WORDS_KEPT:
@@ -21,15 +23,13 @@ class WordNumbers(dict):
         return number
 
 
-_numbers = WordNumbers()
-
-
 def word_list(text):
     return text.encode().lower().split() if text else []
 
 
 def numbers_of(words):
-    return np.fromiter(map(_numbers.__getitem__, words), np.uint64, len(words))
+    number = remembered(WordNumbers, WordNumbers).__getitem__
+    return np.fromiter(map(number, words), np.uint64, len(words))
 
 
 def mixed(x):
