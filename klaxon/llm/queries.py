@@ -2,6 +2,7 @@
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from klaxon.llm import (
     decontamination,
@@ -13,7 +14,9 @@ from klaxon.llm import (
     toxicity,
     url_rules,
     vectors,
+    warc,
 )
+from klaxon.session import new_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +28,21 @@ def op1_superminhash_dedup(spark, sf_dir):
     return minhash.near_duplicates(docs, width=3, percent=85, bands=24, rows=5)
 
 
+def op2_merkle_fixity(spark, sf_dir):
+    """All pages as an archive, and a replica with damage: one page in 211 is lost, one in 101
+    has another first byte."""
+    path, copy = new_folder(spark, "archive"), new_folder(spark, "replica")
+    warc.write_archive(_table(spark, sf_dir, "pages"), path)
+    archive = spark.read.parquet(path)
+    bad = F.concat(F.lit(b"w"), F.substring("record", 2, 1 << 30))
+    record = F.when(F.col("page_id") % 101 == 7, bad).otherwise(F.col("record"))
+    damaged = archive.filter(F.coalesce(F.col("page_id") % 211 != 5, F.lit(True)))
+    damaged.withColumn("record", record).write.parquet(copy)
+    found = warc.audit(archive, spark.read.parquet(copy))
+    # Which file a record is in depends on how Spark divides the table.
+    return found.drop("shard", "offset")
+
+
 def op3_kneser_ney_toxicity(spark, sf_dir):
     labels = _table(spark, sf_dir, "labels")
     return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), labels)
@@ -64,6 +82,7 @@ def op10_best_fit_packing(spark, sf_dir):
 def queries():
     return {
         "op1_superminhash_dedup": op1_superminhash_dedup,
+        "op2_merkle_fixity": op2_merkle_fixity,
         "op3_kneser_ney_toxicity": op3_kneser_ney_toxicity,
         "op4_token_ids": op4_token_ids,
         "op5_product_quantisation": op5_product_quantisation,
@@ -75,5 +94,23 @@ def queries():
     }
 
 
+_WARC_SQL = r"""
+WITH records AS (
+  SELECT page_id, array_to_string([
+    'WARC/1.1', 'WARC-Type: resource', 'WARC-Record-ID: <urn:page:' || coalesce(page_id::VARCHAR, 'None') || '>',
+    CASE WHEN url IS NOT NULL THEN 'WARC-Target-URI: '
+      || replace(replace(url, chr(13), '%0D'), chr(10), '%0A') END,
+    'WARC-Date: 2024-01-01T00:00:00Z', 'Content-Type: text/html',
+    'Content-Length: ' || octet_length(encode(coalesce(html, ''))), '', coalesce(html, ''), '', ''],
+    chr(13) || chr(10)) AS record
+  FROM pages)
+SELECT page_id, CASE WHEN page_id % 211 = 5 THEN 'missing' ELSE 'changed' END AS finding,
+  octet_length(encode(record)) AS length, sha256(record) AS digest,
+  CASE WHEN page_id % 211 != 5 THEN octet_length(encode(record)) END AS found_length,
+  CASE WHEN page_id % 211 != 5 THEN sha256('w' || substr(record, 2)) END AS found_digest
+FROM records WHERE page_id % 211 = 5 OR page_id % 101 = 7"""
+
+
 def oracle_sql():
-    return {}
+    """Of the others, models, hashes and tokenizers are not within reach of SQL."""
+    return {"op2_merkle_fixity": _WARC_SQL}
