@@ -1,6 +1,7 @@
 """Every registered query against its SQL on the driver's tables."""
 
 import os
+import re
 
 import pytest
 from compare import normal_rows, run_sql
@@ -35,9 +36,9 @@ def test_query_gives_what_its_sql_gives(spark, name):
     assert rows or name == "spikes"
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_query_without_sql_gives_rows(spark, name):
-    assert not QUERIES[name](spark, SF_DIR).isEmpty()
+def test_every_query_has_its_sql():
+    """But for those of the optional package, which are held against plain forms beside it."""
+    assert not [n for n in set(QUERIES) - set(ORACLES) if not re.match(r"op\d+_|pipeline$", n)]
 
 
 def test_every_sql_has_its_query():
