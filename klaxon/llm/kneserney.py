@@ -13,7 +13,7 @@ keeps those of most alphabets apart; code 0 pads the start of a word and 1 ends
 import numpy as np
 
 ORDER = 6
-SHARED = 3
+SHARED = 2
 BITS = 10
 DISCOUNT = 0.75
 

@@ -110,7 +110,7 @@ def fit_models(docs: DataFrame, sample: DataFrame) -> dict | None:
     """Tables of both classes' models, or None where a class has no document.
 
     What reaches the driver are the distinct n-grams of the bounded sample, and the short
-    ones of all documents, of which there are at most as many as letters allow.
+    ones of all documents, of which there are at most a million: pairs of 1024 codes.
     """
     counts = count_grams(docs, sample).toArrow()
     grams, toxic, ordinary = [column.to_numpy() for column in counts.columns]

@@ -30,7 +30,10 @@ def given(columns, table):
 
 
 def rows_of(spark, name):
-    return entry_module.queries()[name](spark, SF_DIR).collect()
+    found = entry_module.queries()[name](spark, SF_DIR)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    return found.collect()
 
 
 def plain_groups(docs, width, percent):
