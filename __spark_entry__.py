@@ -425,14 +425,16 @@ def knn_near(spark, sf_dir):
 def embed_text(spark, sf_dir):
     """What holds for hashed vectors whatever the hash: unit length, no more entries than
     words, equal vectors for equal texts."""
-    vectors = embed(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    # The table may be a single row group, and counting words is work for many tasks.
+    vectors = embed(documents.repartition(spark.sparkContext.defaultParallelism))
     words = F.array_distinct(F.array_remove(F.split(F.lower("text"), r"\s+"), ""))
-    entries = F.size(F.filter("embedding", lambda x: x != 0))
+    entries = F.size(F.array_remove("embedding", F.lit(0).cast("float")))
     square = F.aggregate("embedding", F.lit(0.0).cast("double"), lambda total, x: total + x * x)
     facts = store(
         vectors.select(
             "doc_id",
-            F.sha2("text", 256).alias("digest"),
+            F.xxhash64("text").alias("digest"),
             F.round(F.sqrt(square), 4).alias("length"),
             (entries <= F.size(words)).alias("sparse"),
             F.xxhash64("embedding").alias("vector"),
