@@ -18,6 +18,17 @@ def schema_of(ddl):
     return pa.schema([(name, TYPES[kind]) for name, kind in map(str.split, ddl.split(", "))])
 
 
+# Rows that a task turns into Python objects at once: a batch may hold many long texts.
+ROWS_AT_ONCE = 256
+
+
+def slices(batches, rows=ROWS_AT_ONCE):
+    """The same batches in small pieces."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def to_batch(rows, ddl):
     """A batch of row tuples; integers stay whole where values are missing."""
     schema = schema_of(ddl)

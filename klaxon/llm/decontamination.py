@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from klaxon.llm.batches import to_batch
+from klaxon.llm.batches import slices, to_batch
 from klaxon.llm.memory import remembered
 from klaxon.llm.tiling import tiles, window_hashes
 from klaxon.llm.words import mixed
@@ -25,7 +25,7 @@ TILE = 5
 COVERAGE = 0.5
 # Words of a block of items, which every task receives: 16 MB.
 BLOCK_WORDS = 500_000
-WORDS_KEPT = 500_000
+WORDS_KEPT = 300_000
 
 MATCHES = "doc_id bigint, item_id bigint, item_words int, covered int, tiles int, coverage double"
 _PUNCTUATION = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
@@ -135,7 +135,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
 
         def search(batches, sent=sent):
             seeds = Seeds(sent.value)
-            for batch in batches:
+            for batch in slices(batches):
                 rows = []
                 for doc, text in zip(*[column.to_pylist() for column in batch.columns]):
                     for item, size, covered, number in seeds.matches(text):
@@ -163,7 +163,7 @@ def without_contaminated(
 
         def keep(batches, sent=sent):
             seeds = Seeds(sent.value)
-            for batch in batches:
+            for batch in slices(batches):
                 clean = [
                     not any(covered >= coverage * size for _, size, covered, _ in found)
                     for found in map(seeds.matches, batch.column(at).to_pylist())

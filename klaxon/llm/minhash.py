@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from klaxon.llm.batches import schema_of, to_batch
+from klaxon.llm.batches import schema_of, slices, to_batch
 from klaxon.llm.components import connected_components
 from klaxon.llm.superminhash import band_numbers, signatures
 from klaxon.llm.words import mixed, shingle_set
@@ -43,28 +43,26 @@ def fingerprints(docs: DataFrame, width: int, bands: int, rows: int) -> DataFram
     salt = np.uint64(0xD6E8FEB86659FD93)
 
     def prints(batches):
-        for batch in batches:
-            for at in range(0, len(batch), 1000):
-                some = batch.slice(at, 1000)
-                sets = [shingle_set(text, width) for text in some.column(1).to_pylist()]
-                numbers = band_numbers(signatures(sets, bands * rows), bands, rows)
-                digests = [int(mixed(one).sum(dtype=np.uint64).view(np.int64)) for one in sets]
-                checks = [int(mixed(one ^ salt).sum(dtype=np.uint64).view(np.int64)) for one in sets]
-                sizes = [len(one) for one in sets]
-                offsets = np.concatenate([[0], np.cumsum([bands * (n > 0) for n in sizes])])
-                filled = np.array(sizes) > 0
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        some.column(0),
-                        pa.array(sizes, pa.int64()),
-                        pa.array(digests, pa.int64()),
-                        pa.array(checks, pa.int64()),
-                        pa.ListArray.from_arrays(
-                            pa.array(offsets, pa.int32()), pa.array(numbers[filled].ravel())
-                        ),
-                    ],
-                    schema=schema_of(PRINTS),
-                )
+        for some in slices(batches):
+            sets = [shingle_set(text, width) for text in some.column(1).to_pylist()]
+            numbers = band_numbers(signatures(sets, bands * rows), bands, rows)
+            digests = [int(mixed(one).sum(dtype=np.uint64).view(np.int64)) for one in sets]
+            checks = [int(mixed(one ^ salt).sum(dtype=np.uint64).view(np.int64)) for one in sets]
+            sizes = [len(one) for one in sets]
+            offsets = np.concatenate([[0], np.cumsum([bands * (n > 0) for n in sizes])])
+            filled = np.array(sizes) > 0
+            yield pa.RecordBatch.from_arrays(
+                [
+                    some.column(0),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(digests, pa.int64()),
+                    pa.array(checks, pa.int64()),
+                    pa.ListArray.from_arrays(
+                        pa.array(offsets, pa.int32()), pa.array(numbers[filled].ravel())
+                    ),
+                ],
+                schema=schema_of(PRINTS),
+            )
 
     chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return chosen.mapInArrow(prints, PRINTS)
@@ -118,7 +116,7 @@ def _compared(nodes, texts, left, right, hub, width, percent):
 def _tiles(batches: Iterator[pa.RecordBatch]):
     """Rows of one tile after another from rows sorted by tile."""
     key, rows = None, []
-    for batch in batches:
+    for batch in slices(batches):
         for row in zip(*[column.to_pylist() for column in batch.columns]):
             if row[:3] != key:
                 if rows:

@@ -14,7 +14,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from klaxon.llm.batches import to_batch
+from klaxon.llm.batches import slices, to_batch
 from klaxon.llm.numbering import ranked
 from klaxon.llm.tokens import BYTE, encoder
 from klaxon.session import store
@@ -42,7 +42,7 @@ def cut_documents(
 
     def cut(batches):
         encode = encoder(path, BYTE).encode
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for doc, encoded in zip(docs, encode(texts)):

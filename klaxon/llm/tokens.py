@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 
 from klaxon.llm.memory import remembered
 
-PARTS_KEPT = 600_000
+PARTS_KEPT = 500_000
 WORD, BYTE = "word", "byte"
 
 # Both vocabularies cut between letters and these. The apostrophe is not among them, as it

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from klaxon.llm import kneserney
-from klaxon.llm.batches import schema_of
+from klaxon.llm.batches import schema_of, slices
 from klaxon.llm.memory import forget, remembered
 from klaxon.session import settle
 
@@ -27,9 +27,8 @@ LABELLED_PER_CLASS = 20_000
 # One in so many of them is kept for the curve.
 FOLDS = 5
 # Words whose counts a task sums before it hands them on, and whose ratios a worker remembers.
-WORDS_SUMMED = 200_000
-WORDS_KEPT = 400_000
-DOCS_AT_ONCE = 500
+WORDS_SUMMED = 100_000
+WORDS_KEPT = 300_000
 HIGHEST = 40.0
 
 GRAMS = "gram bigint, toxic bigint, ordinary bigint"
@@ -82,7 +81,7 @@ def count_grams(docs: DataFrame, sample: DataFrame) -> DataFrame:
     def count(batches):
         forget()
         tables = [Counter(), Counter(), Counter()]
-        for batch in batches:
+        for batch in slices(batches):
             classes, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for kind, text in zip(classes, texts):
                 if text:
@@ -157,12 +156,10 @@ def features(docs: DataFrame, sent) -> DataFrame:
 
     def score(batches):
         scorer = Scorer(*sent.value)
-        for batch in batches:
-            for at in range(0, len(batch), DOCS_AT_ONCE):
-                some = batch.slice(at, DOCS_AT_ONCE)
-                found = scorer.features(some.column(1).to_pylist())
-                columns = [some.column(0), pa.array(found[:, 0]), pa.array(found[:, 1])]
-                yield pa.RecordBatch.from_arrays(columns, schema=schema_of(FEATURES))
+        for some in slices(batches):
+            found = scorer.features(some.column(1).to_pylist())
+            columns = [some.column(0), pa.array(found[:, 0]), pa.array(found[:, 1])]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema_of(FEATURES))
 
     return docs.select("doc_id", "text").mapInArrow(score, FEATURES)
 
@@ -227,11 +224,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, cut: float = 0.7) -> Data
 
     def score(batches):
         scorer = Scorer(*sent.value)
-        for batch in batches:
-            for at in range(0, len(batch), DOCS_AT_ONCE):
-                some = batch.slice(at, DOCS_AT_ONCE)
-                scores = pa.array(scorer.scores(some.column(1).to_pylist()), pa.float64())
-                yield pa.RecordBatch.from_arrays([some.column(0), scores], ["doc_id", "score"])
+        for some in slices(batches):
+            scores = pa.array(scorer.scores(some.column(1).to_pylist()), pa.float64())
+            yield pa.RecordBatch.from_arrays([some.column(0), scores], ["doc_id", "score"])
 
     found = docs.mapInArrow(score, "doc_id bigint, score double")
     return found.select(
@@ -249,10 +244,8 @@ def without_toxic(docs: DataFrame, labels: DataFrame, cut: float = 0.7) -> DataF
 
     def keep(batches):
         scorer = Scorer(*sent.value)
-        for batch in batches:
-            for at in range(0, len(batch), DOCS_AT_ONCE):
-                some = batch.slice(at, DOCS_AT_ONCE)
-                scores = scorer.scores(some.column(column).to_pylist())
-                yield some.filter(pa.array(scores < cut, pa.bool_()))
+        for some in slices(batches):
+            scores = scorer.scores(some.column(column).to_pylist())
+            yield some.filter(pa.array(scores < cut, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

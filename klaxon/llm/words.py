@@ -10,7 +10,7 @@ import xxhash
 
 from klaxon.llm.memory import remembered
 
-WORDS_KEPT = 500_000
+WORDS_KEPT = 300_000
 
 
 class WordNumbers(dict):
