@@ -1,10 +1,10 @@
 """Near-duplicate vectors by product quantisation.
 
 A coarse quantiser deals vectors to inverted lists; what is left of a vector beside its
-list's centre is coded in subspaces. A vector looks into every list whose border it may
-cross: ``y`` near ``x`` lies in list ``c`` instead of ``x``'s only if moving from ``x`` to
-``y`` gains on ``c`` what ``x`` is short of, and the reach of that move toward ``c`` is the
-link radius times ``aim``. ``aim`` 1 loses nothing; for moves in no special direction their
+list's centre is coded in subspaces. A vector looks into its own list and every earlier one
+whose border it may cross, so that two vectors meet once: ``y`` near ``x`` lies in list
+``c`` instead of ``x``'s only if moving from ``x`` to ``y`` gains on ``c`` what ``x`` is
+short of, and the reach of that move toward ``c`` is the link radius times ``aim``. ``aim`` 1 loses nothing; for moves in no special direction their
 part toward a given centre is near 1 / sqrt(dimension) of their length, and ``aim`` is a
 multiple of that. In a list, distances to the coded vectors are sums of table entries. A
 vector's own coding error bounds how far that is from the truth, so none within the radius
@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from klaxon.llm.batches import schema_of, to_batch
+from klaxon.llm.batches import to_batch
 from klaxon.llm.components import connected_components
 from klaxon.session import settle, store
 
@@ -34,8 +35,9 @@ CODES = 64
 BLOCK = 2048
 LOOKING = 8192
 # Multiple of 1 / sqrt(dimension).
-AIM = 3.0
+AIM = 3.5
 
+# Vectors travel in the type they came in and are brought to length 1 where they are used.
 ENTRIES = (
     "list int, node bigint, copies bigint, vector binary, codes binary, error double, "
     "probes array<bigint>"
@@ -83,11 +85,12 @@ class Quantiser:
         self.apart = np.sqrt(np.maximum(_nearest(centres, centres), 0))
 
     def lists_of(self, points, reach):
-        """Own list, and a mask of the lists to look into."""
+        """Own list, and a mask of the lists to look into, of which it is the last."""
         far = _nearest(points, self.centres)
         own = far.argmin(1)
         short = far - far[np.arange(len(points)), own][:, None]
-        return own, short <= 2 * reach * self.apart[own] + 1e-9
+        near = short <= 2 * reach * self.apart[own] + 1e-9
+        return own, near & (np.arange(len(self.centres)) <= own[:, None])
 
     def encode(self, rest):
         codes = [
@@ -105,16 +108,18 @@ class Quantiser:
         return total
 
 
-def _unit_rows(column):
-    """Vectors of a list column without nulls, in double precision and of length 1."""
-    rows = len(column)
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    points = flat.reshape(rows, -1)
+def _unit_rows(points):
+    """Vectors in double precision and of length 1."""
+    points = points.astype(np.float64)
     # Scaled first, so that no square overflows or vanishes.
-    points = points / np.abs(points).max(1, keepdims=True)
+    points /= np.abs(points).max(1, keepdims=True)
     return points / np.sqrt((points**2).sum(1))[:, None]
 
 
+def _matrix(column):
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
 def usable(vector="embedding"):
     """Whether a vector may be linked: not null, all components finite, one of them not 0."""
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == math.inf))
@@ -127,7 +132,8 @@ def _entries(nodes: DataFrame, sent, reach: float) -> DataFrame:
         for batch in batches:
             for at in range(0, len(batch), BLOCK):
                 some = batch.slice(at, BLOCK)
-                points = _unit_rows(some.column(2))
+                given = _matrix(some.column(2))
+                points = _unit_rows(given)
                 own, mask = quantiser.lists_of(points, reach)
                 codes, error = quantiser.encode(points - quantiser.centres[own])
                 rows = [
@@ -136,7 +142,7 @@ def _entries(nodes: DataFrame, sent, reach: float) -> DataFrame:
                         own,
                         some.column(0).to_pylist(),
                         some.column(1).to_pylist(),
-                        points,
+                        given,
                         codes,
                         error,
                         mask,
@@ -149,29 +155,24 @@ def _entries(nodes: DataFrame, sent, reach: float) -> DataFrame:
 
 def _block_links(quantiser, place, entries, looking, cosine):
     """FOUND rows of a block of list ``place``: (node, copies, vector, ...) on both sides."""
-    entry_ids, entry_copies, entry_lists = entries["node"], entries["copies"], entries["probes"]
+    entry_ids, entry_copies = entries["node"], entries["copies"]
     centre, radius = quantiser.centres[place], math.sqrt(2 - 2 * cosine)
     points = entries["vector"]
-    probed = np.zeros((len(points), len(quantiser.centres)), bool)
-    for row, lists in enumerate(entry_lists):
-        probed[row, lists] = True
     within = (radius + entries["error"] + 1e-6) ** 2
     entry_links = np.zeros(len(points), np.int64)
     ids, links, ones, others = [], [], [], []
     for start in range(0, len(looking["node"]), 512):
         cut = slice(start, start + 512)
-        x, x_ids, x_lists = looking["vector"][cut], looking["node"][cut], looking["list"][cut]
+        x, x_ids = looking["vector"][cut], looking["node"][cut]
         near = quantiser.distances(x - centre, entries["codes"]) <= within[None, :]
         rows, columns = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
         if not len(rows):
             continue
         exact = x[rows] @ points[columns].T
         linked = (exact >= cosine) & near[np.ix_(rows, columns)]
-        # A pair that meets in the lists of both is counted where the smaller id looks.
-        twice = probed[columns][:, x_lists[rows]].T
-        first = x_ids[rows][:, None] < entry_ids[columns][None, :]
-        same = x_ids[rows][:, None] == entry_ids[columns][None, :]
-        linked &= ~same & (~twice | first)
+        # Two of the same list look at each other: the larger id's look counts.
+        inside = (looking["list"][cut][rows] == place)[:, None]
+        linked &= ~inside | (x_ids[rows][:, None] > entry_ids[columns][None, :])
         r, c = np.nonzero(linked)
         if not len(r):
             continue
@@ -205,7 +206,8 @@ def _block_links(quantiser, place, entries, looking, cosine):
     return list(zip(ids.tolist(), links.tolist(), to.tolist()))
 
 
-def _links(entries: DataFrame, sent, cosine: float) -> DataFrame:
+def _links(entries: DataFrame, sent, cosine: float, kind) -> DataFrame:
+    """FOUND rows of all blocks; ``kind`` is the numpy type of the vectors."""
     # One row per list.
     sizes = {row["list"]: row["n"] for row in entries.groupBy("list").agg(F.count("*").alias("n")).collect()}
     looks = entries.select(F.explode("probes").alias("list")).groupBy("list").agg(F.count("*").alias("n"))
@@ -228,8 +230,7 @@ def _links(entries: DataFrame, sent, cosine: float) -> DataFrame:
     looking = looking.select("*", every("blocks").alias("block"), salt("groups").alias("group"))
     columns = ["place", "block", "group", "side", "list", "node", "copies", "vector"]
     none = [F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("error")]
-    none.append(F.lit(None).cast("array<bigint>").alias("probes"))
-    sides = own.withColumn("side", F.lit(0)).select(*columns, "codes", "error", "probes")
+    sides = own.withColumn("side", F.lit(0)).select(*columns, "codes", "error")
     sides = sides.unionByName(looking.withColumn("side", F.lit(1)).select(*columns, *none))
     tile = ["place", "block", "group"]
     ordered = sides.repartition(*tile).sortWithinPartitions(*tile, "side")
@@ -251,11 +252,10 @@ def _links(entries: DataFrame, sent, cosine: float) -> DataFrame:
             width = quantiser.centres.shape[1]
             one, other = table.slice(0, ends), table.slice(ends)
             entries = {name: numbers(one, name) for name in ("node", "copies", "error")}
-            entries["vector"] = matrix(one, "vector", np.float64, width)
+            entries["vector"] = _unit_rows(matrix(one, "vector", kind, width))
             entries["codes"] = matrix(one, "codes", np.uint8, len(quantiser.spans))
-            entries["probes"] = one.column("probes").to_pylist()
             looking = {name: numbers(other, name) for name in ("list", "node", "copies")}
-            looking["vector"] = matrix(other, "vector", np.float64, width)
+            looking["vector"] = _unit_rows(matrix(other, "vector", kind, width))
             place = table.column("place")[0].as_py()
             return to_batch(_block_links(quantiser, place, entries, looking, cosine), FOUND)
 
@@ -284,10 +284,12 @@ def _linked(nodes: DataFrame, dimension: int, cosine: float, lists: int, aim: fl
     """FOUND rows of nodes of one dimension."""
     spark = nodes.sparkSession
     sample = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("embedding").toArrow()
-    points = _unit_rows(sample.column(0).combine_chunks())
+    given = _matrix(sample.column(0).combine_chunks())
+    points = _unit_rows(given)
     sent = spark.sparkContext.broadcast(fit_quantiser(points, lists, SUBSPACES, CODES))
     reach = math.sqrt(2 - 2 * cosine) * min(1.0, aim / math.sqrt(dimension))
-    return _links(store(_entries(nodes, sent, reach), "entries"), sent, cosine)
+    entries = store(_entries(nodes, sent, reach), "entries")
+    return _links(entries, sent, cosine, given.dtype)
 
 
 def near_duplicate_vectors(
@@ -300,9 +302,11 @@ def near_duplicate_vectors(
     lists are searched and count as so many links. Rows without vec_id are linked with
     nothing, their component is null and they are kept. Other columns play no part.
     """
+    vector = F.col("embedding")
+    if vectors.schema["embedding"].dataType != T.ArrayType(T.FloatType()):
+        vector = vector.cast("array<double>")
     rows = vectors.select(
-        F.col("vec_id").cast("bigint").alias("vec_id"),
-        F.col("embedding").cast("array<double>").alias("embedding"),
+        F.col("vec_id").cast("bigint").alias("vec_id"), vector.alias("embedding")
     )
     rows = rows.withColumn("usable", usable() & F.col("vec_id").isNotNull())
     rows = rows.withColumns(
