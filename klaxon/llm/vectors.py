@@ -4,13 +4,14 @@ A coarse quantiser deals vectors to inverted lists; what is left of a vector bes
 list's centre is coded in subspaces. A vector looks into its own list and every earlier one
 whose border it may cross, so that two vectors meet once: ``y`` near ``x`` lies in list
 ``c`` instead of ``x``'s only if moving from ``x`` to ``y`` gains on ``c`` what ``x`` is
-short of, and the reach of that move toward ``c`` is the link radius times ``aim``. ``aim`` 1 loses nothing; for moves in no special direction their
-part toward a given centre is near 1 / sqrt(dimension) of their length, and ``aim`` is a
-multiple of that. In a list, distances to the coded vectors are sums of table entries. A
+short of, and the reach of that move toward ``c`` is at most the link radius, so that no link
+is lost whatever the vectors look like. A caller who knows that vectors vary in all dimensions
+alike may shorten it: the part of a move in no special direction toward a given centre is near
+1 / sqrt(dimension) of its length, and ``aim`` is a multiple of that. In a list, distances to the coded vectors are sums of table entries. A
 vector's own coding error bounds how far that is from the truth, so none within the radius
 is dismissed, and what remains is compared exactly in double precision.
 
-Lists are cut into blocks, and so are the vectors that look into one, so that a list may
+A vector is sent once to TOGETHER lists of which it looks into any. They are cut into blocks, and so are the vectors that look into one, so that a list may
 hold all vectors. Only numbers of links and the smallest partner leave a block, no pairs.
 """
 
@@ -34,7 +35,10 @@ CODES = 64
 # Rows of a block, and of the vectors that look into it.
 BLOCK = 2048
 LOOKING = 8192
-# Multiple of 1 / sqrt(dimension).
+# Lists that a vector is sent to at once.
+TOGETHER = 16
+# Multiple of 1 / sqrt(dimension) for vectors known to vary in all dimensions alike; others
+# lose links by it.
 AIM = 3.5
 
 # Vectors travel in the type they came in and are brought to length 1 where they are used.
@@ -136,6 +140,8 @@ def _entries(nodes: DataFrame, sent, reach: float) -> DataFrame:
                 points = _unit_rows(given)
                 own, mask = quantiser.lists_of(points, reach)
                 codes, error = quantiser.encode(points - quantiser.centres[own])
+                starts = np.arange(0, mask.shape[1], TOGETHER)
+                places = np.logical_or.reduceat(mask, starts, axis=1)
                 rows = [
                     (int(l), node, copies, p.tobytes(), c.tobytes(), float(e), np.flatnonzero(m).tolist())
                     for l, node, copies, p, c, e, m in zip(
@@ -145,7 +151,7 @@ def _entries(nodes: DataFrame, sent, reach: float) -> DataFrame:
                         given,
                         codes,
                         error,
-                        mask,
+                        places,
                     )
                 ]
                 yield to_batch(rows, ENTRIES)
@@ -206,12 +212,14 @@ def _block_links(quantiser, place, entries, looking, cosine):
     return list(zip(ids.tolist(), links.tolist(), to.tolist()))
 
 
-def _links(entries: DataFrame, sent, cosine: float, kind) -> DataFrame:
+def _links(entries: DataFrame, sent, cosine: float, reach: float, kind) -> DataFrame:
     """FOUND rows of all blocks; ``kind`` is the numpy type of the vectors."""
-    # One row per list.
-    sizes = {row["list"]: row["n"] for row in entries.groupBy("list").agg(F.count("*").alias("n")).collect()}
-    looks = entries.select(F.explode("probes").alias("list")).groupBy("list").agg(F.count("*").alias("n"))
-    looks = {row["list"]: row["n"] for row in looks.collect()}
+    together = (F.col("list") / TOGETHER).cast("int")
+    # One row per place, which is TOGETHER lists.
+    sizes = entries.groupBy(together.alias("place")).agg(F.count("*").alias("n"))
+    sizes = {row["place"]: row["n"] for row in sizes.collect()}
+    looks = entries.select(F.explode("probes").alias("place")).groupBy("place").agg(F.count("*").alias("n"))
+    looks = {row["place"]: row["n"] for row in looks.collect()}
     parts = [
         (place, -(-size // BLOCK), -(-looks.get(place, 0) // LOOKING))
         for place, size in sizes.items()
@@ -221,7 +229,7 @@ def _links(entries: DataFrame, sent, cosine: float, kind) -> DataFrame:
     )
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     salt = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
-    own = entries.withColumn("place", F.col("list")).join(parts, "place")
+    own = entries.withColumn("place", together).join(parts, "place")
     own = own.filter("groups > 0").select("*", salt("blocks").alias("block"), every("groups").alias("group"))
     looking = entries.select(
         F.explode("probes").alias("place"), "list", "node", "copies", "vector"
@@ -251,13 +259,23 @@ def _links(entries: DataFrame, sent, cosine: float, kind) -> DataFrame:
 
             width = quantiser.centres.shape[1]
             one, other = table.slice(0, ends), table.slice(ends)
-            entries = {name: numbers(one, name) for name in ("node", "copies", "error")}
+            entries = {name: numbers(one, name) for name in ("list", "node", "copies", "error")}
             entries["vector"] = _unit_rows(matrix(one, "vector", kind, width))
             entries["codes"] = matrix(one, "codes", np.uint8, len(quantiser.spans))
             looking = {name: numbers(other, name) for name in ("list", "node", "copies")}
             looking["vector"] = _unit_rows(matrix(other, "vector", kind, width))
-            place = table.column("place")[0].as_py()
-            return to_batch(_block_links(quantiser, place, entries, looking, cosine), FOUND)
+            _, mask = quantiser.lists_of(looking["vector"], reach)
+            # A vector looks into its own list and earlier ones, whatever rounding says now.
+            at = np.arange(mask.shape[1])
+            mask = (mask | (at == looking["list"][:, None])) & (at <= looking["list"][:, None])
+            rows = []
+            for place in np.unique(entries["list"]).tolist():
+                held, looks = entries["list"] == place, mask[:, place]
+                if looks.any():
+                    some = {name: column[held] for name, column in entries.items()}
+                    others = {name: column[looks] for name, column in looking.items()}
+                    rows += _block_links(quantiser, place, some, others, cosine)
+            return to_batch(rows, FOUND)
 
         key, held = None, []
         for batch in batches:
@@ -280,24 +298,27 @@ def _links(entries: DataFrame, sent, cosine: float, kind) -> DataFrame:
     return ordered.mapInArrow(compare, FOUND)
 
 
-def _linked(nodes: DataFrame, dimension: int, cosine: float, lists: int, aim: float):
+def _linked(nodes: DataFrame, dimension: int, cosine: float, lists: int, aim: float | None):
     """FOUND rows of nodes of one dimension."""
     spark = nodes.sparkSession
     sample = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("embedding").toArrow()
     given = _matrix(sample.column(0).combine_chunks())
     points = _unit_rows(given)
     sent = spark.sparkContext.broadcast(fit_quantiser(points, lists, SUBSPACES, CODES))
-    reach = math.sqrt(2 - 2 * cosine) * min(1.0, aim / math.sqrt(dimension))
+    reach = math.sqrt(2 - 2 * cosine)
+    if aim is not None:
+        reach *= min(1.0, aim / math.sqrt(dimension))
     entries = store(_entries(nodes, sent, reach), "entries")
-    return _links(entries, sent, cosine, given.dtype)
+    return _links(entries, sent, cosine, reach, given.dtype)
 
 
 def near_duplicate_vectors(
-    vectors: DataFrame, cosine: float = 0.9, lists: int = LISTS, aim: float = AIM
+    vectors: DataFrame, cosine: float = 0.9, lists: int = LISTS, aim: float | None = None
 ) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row of ``vectors``.
 
-    Vectors are linked by a cosine of at least ``cosine``; those of different dimensions, and
+    Vectors are linked by a cosine of at least ``cosine``, all of them unless ``aim`` shortens
+    the reach of the search; those of different dimensions, and
     null, zero or not finite ones, are linked with nothing. Equal vectors are one node while
     lists are searched and count as so many links. Rows without vec_id are linked with
     nothing, their component is null and they are kept. Other columns play no part.

@@ -97,3 +97,26 @@ def test_recall_at_the_threshold():
     for i in range(300):
         far = quantiser.distances((x[i] - quantiser.centres[own_y[i]])[None], codes[i : i + 1])
         assert far[0, 0] <= (np.sqrt(0.2) + error[i] + 1e-6) ** 2
+
+
+@pytest.mark.parametrize("dimension, free", [(64, 16), (64, 8), (768, 16)])
+def test_no_link_is_lost_where_vectors_vary_in_few_directions(spark, dimension, free):
+    """Planted pairs of cosine 0.90-0.92, in lists as many as in production."""
+    rng = np.random.default_rng(5)
+    basis = np.linalg.qr(rng.normal(size=(dimension, free)))[0]
+    x = rng.normal(size=(1500, free))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    side = rng.normal(size=x.shape)
+    side -= (side * x).sum(1)[:, None] * x
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    near = rng.uniform(0.9005, 0.92, len(x))[:, None]
+    points = np.concatenate([x, near * x + np.sqrt(1 - near**2) * side]) @ basis.T
+    points = points.astype(np.float32)
+    made = spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate(points)], "vec_id bigint, embedding array<float>"
+    )
+    found = vectors.near_duplicate_vectors(made).collect()
+    units = points.astype(np.float64)
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    linked = units @ units.T >= 0.9
+    assert {row["vec_id"]: row["n_links"] for row in found} == dict(enumerate((linked.sum(1) - 1).tolist()))
