@@ -5,7 +5,9 @@ A line's ratio is its letters per tag; lines in menus, adverts and the like have
 0. Ratios are smoothed by a Gaussian, and lines above a threshold, the spread of the page's
 ratios, are clustered into the element that holds most of their text: the content region
 is the innermost such element, or the article around it. All of its lines count, short
-headings too, but for those that say themselves that they are something else.
+headings too, but for those that say themselves that they are something else. A class or id
+says nothing where it follows a word like "with" or holds nearly all of the page's text, and
+none does where they leave no line.
 """
 
 import re
@@ -21,6 +23,8 @@ TEXTS = "page_id bigint, url string, text string, n_chars bigint"
 RADIUS, WIDTH = 3, 1.0
 # Share of the selected text that a content region holds.
 MOST = 0.8
+# Share of a page's text from which an element is what holds the page, whatever it is called.
+NEARLY_ALL = 0.95
 
 # Names from the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -32,6 +36,8 @@ HIDDEN = set(
     "head title script style noscript template iframe object svg math canvas audio video "
     "button select textarea option datalist dialog".split()
 )
+# What a head may hold; everything else ends it, as its end tag may be left out.
+IN_HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())
 ASIDE = set("nav aside footer form menu fieldset".split())
 ROLES = set(
     "navigation banner contentinfo complementary search form alert alertdialog dialog menu "
@@ -46,6 +52,8 @@ WORDS = set(
     "skip login search comment comments commentlist respond reply replies disqus discussion "
     "feedback outbrain taboola form".split()
 )
+# An element named "with-sidebar" or "hasMenu" is around such a thing.
+AROUND = set("with without has have no and".split())
 # Elements that hold the content whatever the elements around them are called.
 CONTENT = {"article", "main"}
 
@@ -59,58 +67,83 @@ def _says_other(tag, attributes, in_content):
             return True
         if name == "role" and value and value.lower() in ROLES:
             return True
+    return False
+
+
+def _named_other(tag, attributes):
+    """Whether an element's class or id sounds like no content."""
+    for name, value in attributes:
         if name in ("class", "id") and value and tag not in ("body", "html", *CONTENT):
-            names = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value)
-            if WORDS.intersection(re.split(r"[^a-z]+", names.lower())):
-                return True
+            for names in value.split():
+                names = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", names)
+                before = ""
+                for word in re.split(r"[^a-z]+", names.lower()):
+                    if word in WORDS and before not in AROUND:
+                        return True
+                    before = word
     return False
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: (text, tags, other, element)."""
+    """Lines of a page: (text, tags, other, element, elements around it named like no content)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines, self.parts, self.tags = [], [], 0
-        # Open elements: (tag, hidden, other, in content, number).
-        self.open = [("", False, False, False, 0)]
+        # Open elements: (tag, hidden, other, in content, number, named).
+        self.open = [("", False, False, False, 0, ())]
         self.counts = {}
         # Parent and tag of each element that may hold lines, by number.
         self.parents, self.names = [-1], [""]
 
     def flush(self):
         text = " ".join("".join(self.parts).split())
-        _, _, other, _, element = self.open[-1]
+        _, _, other, _, element, named = self.open[-1]
         if text:
-            self.lines.append((text, self.tags, other, element))
+            self.lines.append((text, self.tags, other, element, named))
             self.tags = 0
         self.parts = []
 
+    def _end_head(self):
+        if self.counts.get("head"):
+            self._pop_to([one[0] for one in self.open].index("head"))
+
     def handle_starttag(self, tag, attrs):
         self.tags += 1
+        if tag == "head" and any(one[0] not in ("", "html") for one in self.open):
+            return
+        if tag == "body" and not self.counts.get("template"):
+            self._end_head()
+        elif self.open[-1][0] == "head" and tag not in IN_HEAD:
+            self._end_head()
         if tag == "br":
             self.parts.append("\n")
         if tag in VOID:
             if tag == "hr":
                 self.flush()
             return
-        _, hidden, other, inside, element = self.open[-1]
+        _, hidden, other, inside, element, named = self.open[-1]
         if tag not in INLINE and not hidden:
             self.flush()
             if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
                 self._end_open(tag)
-                _, hidden, other, inside, element = self.open[-1]
+                _, hidden, other, inside, element, named = self.open[-1]
+        if tag == "body" and not self.counts.get("template"):
+            hidden = False
         hidden = hidden or tag in HIDDEN
         if tag in CONTENT and not any(one[0] in ASIDE for one in self.open):
             # An element left open before it cannot claim the content.
-            other = False
+            other, named = False, ()
         inside = inside or tag in CONTENT
         other = other or _says_other(tag, attrs, inside)
-        if tag not in INLINE:
+        sounds = _named_other(tag, attrs)
+        if tag not in INLINE or sounds:
             self.parents.append(element)
             self.names.append(tag)
             element = len(self.names) - 1
-        self.open.append((tag, hidden, other, inside, element))
+        if sounds:
+            named = (*named, element)
+        self.open.append((tag, hidden, other, inside, element, named))
         self.counts[tag] = self.counts.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
@@ -147,6 +180,8 @@ class _Lines(HTMLParser):
         self._pop_to(at)
 
     def handle_data(self, data):
+        if self.open[-1][0] == "head" and data.strip():
+            self._end_head()
         if not self.open[-1][1]:
             self.parts.append(data)
 
@@ -158,6 +193,23 @@ def smoothed(ratios: np.ndarray) -> np.ndarray:
     return np.convolve(ratios, kernel)[RADIUS : RADIUS + len(ratios)] / weights
 
 
+def _decided(lines):
+    """Lines as (text, tags, other, element): whose names count as marks is known by now."""
+    held, total = {}, 0
+    for text, _, other, _, named in lines:
+        if not other:
+            total += len(text)
+            for element in named:
+                held[element] = held.get(element, 0) + len(text)
+    counted = {element for element, letters in held.items() if letters < NEARLY_ALL * total}
+    if all(other or not counted.isdisjoint(named) for _, _, other, _, named in lines):
+        counted = set()
+    return [
+        (text, tags, other or not counted.isdisjoint(named), element)
+        for text, tags, other, element, named in lines
+    ]
+
+
 def _region(parser, mass):
     """The element of the content, from the selected letters directly in each element."""
     inner = mass.copy()
@@ -185,7 +237,7 @@ def main_text(html: str | None) -> str:
     parser.feed(html or "")
     parser.close()
     parser.flush()
-    lines = parser.lines
+    lines = _decided(parser.lines)
     ratios = np.array([0 if other else len(text) / max(tags, 1) for text, tags, other, _ in lines])
     if not ratios.any():
         return ""

@@ -166,3 +166,29 @@ def test_extract_text(spark):
         (0, "é", 1), (1, "", 0), (1, ARTICLE_TEXT, len(ARTICLE_TEXT))
     ]
     assert html_text.extract_text(table.filter(F.lit(False))).isEmpty()
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (f"<html><head><title>T</title><body><article>{ARTICLE}</article>", ARTICLE_TEXT),
+        (f"<html><head><title>T</title><noscript><link><body>{ARTICLE}", ARTICLE_TEXT),
+        (f"<head><meta charset=utf-8><title>T</title><article>{ARTICLE}</article>", ARTICLE_TEXT),
+        ("<head><title>T</title>Only words", "Only words"),
+        (f"<head><title>T</title><noscript><img src=x>no</noscript><script>p</script></head>{ARTICLE}", ARTICLE_TEXT),
+    ],
+)
+def test_a_head_ends_without_its_end_tag(html, text):
+    assert html_text.main_text(html) == text
+
+
+@pytest.mark.parametrize("name", ["layout with-sidebar", "content social", "page-has-menu", "hasSidebar", "social"])
+def test_a_name_of_what_holds_the_page_marks_nothing(name):
+    page = f"<div class='{name}'><div><div>{ARTICLE}</div></div><div class=sidebar><a href=/>x</a></div></div>"
+    assert html_text.main_text(page) == ARTICLE_TEXT
+    assert html_text.main_text(f"<nav>Home</nav><div class='{name}'><p>{ARTICLE}</div>") == ARTICLE_TEXT
+
+
+def test_names_that_leave_no_line_mark_nothing():
+    page = f"<div class='social'>{ARTICLE}</div><div id=widgets><p>{'long words ' * 8}</p></div>"
+    assert ARTICLE_TEXT in html_text.main_text(page)
