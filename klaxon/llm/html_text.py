@@ -3,8 +3,8 @@
 The standard library's parser streams a page's events into lines, one per block of text.
 A line's ratio is its letters per tag; lines in menus, adverts and the like have the ratio
 0. Ratios are smoothed by a Gaussian, and lines above a threshold, the spread of the page's
-ratios, are clustered into the element that holds most of their text: the content region
-is the innermost such element, or the article around it. All of its lines count, short
+ratios, make up the content region: the articles around them if these hold most of their
+text, or else the smallest element around all of them. All of its lines count, short
 headings too, but for those that say themselves that they are something else. A class or id
 says nothing where it follows a word like "with" or holds nearly all of the page's text, and
 none does where they leave no line.
@@ -21,7 +21,7 @@ from klaxon.llm.batches import to_batch
 
 TEXTS = "page_id bigint, url string, text string, n_chars bigint"
 RADIUS, WIDTH = 3, 1.0
-# Share of the selected text that a content region holds.
+# Share of the selected text that articles hold where they are the content.
 MOST = 0.8
 # Share of a page's text from which an element is what holds the page, whatever it is called.
 NEARLY_ALL = 0.95
@@ -210,21 +210,32 @@ def _decided(lines):
     ]
 
 
-def _region(parser, mass):
-    """The element of the content, from the selected letters directly in each element."""
-    inner = mass.copy()
-    for element in range(len(inner) - 1, 0, -1):
-        inner[parser.parents[element]] += inner[element]
-    # Children have larger numbers than their parents: the last one with enough is innermost.
-    element = int(np.flatnonzero(inner >= MOST * inner[0])[-1])
-    outermost, at = element, element
-    while at >= 0:
-        if parser.names[at] in CONTENT:
-            outermost = at
-            if parser.names[at] == "article":
-                break
-        at = parser.parents[at]
-    return outermost
+def _inside(parser, mass):
+    """Which elements are in the content, from the selected letters directly in each element.
+
+    If articles and the like hold most of them, all of these with selected letters are;
+    otherwise the smallest element around all selected letters is.
+    """
+    # The article around an element, or else the outermost main; 0 is neither.
+    content = [0] * len(mass)
+    for element in range(1, len(mass)):
+        around = content[parser.parents[element]]
+        if parser.names[element] == "article" or parser.names[element] in CONTENT and not around:
+            around = element
+        content[element] = around
+    content = np.array(content)
+    inside = np.zeros(len(mass), bool)
+    if mass[content > 0].sum() >= MOST * mass.sum():
+        inside[content[(content > 0) & (mass > 0)]] = True
+    else:
+        inner = mass.copy()
+        for element in range(len(inner) - 1, 0, -1):
+            inner[parser.parents[element]] += inner[element]
+        # Children have larger numbers than their parents: the last one with all is innermost.
+        inside[int(np.flatnonzero(inner >= inner[0])[-1])] = True
+    for element in range(1, len(inside)):
+        inside[element] |= inside[parser.parents[element]]
+    return inside
 
 
 def main_text(html: str | None) -> str:
@@ -250,11 +261,7 @@ def main_text(html: str | None) -> str:
     if not mass.any():
         for (text, _, other, element) in lines:
             mass[element] += 0 if other else len(text)
-    region = _region(parser, mass)
-    inside = np.zeros(len(parser.names), bool)
-    inside[region] = True
-    for element in range(region + 1, len(inside)):
-        inside[element] = inside[parser.parents[element]]
+    inside = _inside(parser, mass)
     return " ".join(text for text, _, other, element in lines if inside[element] and not other)
 
 

@@ -192,3 +192,22 @@ def test_a_name_of_what_holds_the_page_marks_nothing(name):
 def test_names_that_leave_no_line_mark_nothing():
     page = f"<div class='social'>{ARTICLE}</div><div id=widgets><p>{'long words ' * 8}</p></div>"
     assert ARTICLE_TEXT in html_text.main_text(page)
+
+
+WORDY = "Many words that say something about it here. "
+
+
+@pytest.mark.parametrize(
+    "html, parts",
+    [
+        ("<body><nav>Home</nav><div class=lead><p>{}</p></div><div class=body><p>{}</p></div>", (1, 9)),
+        ("<div><div><h2>Long</h2><p>{}</p></div><div><h2>Short</h2><p>{}</p></div></div><footer>f</footer>", (9, 1)),
+        ("<main><p>{}</p><article><p>{}</p></article></main>", (1, 9)),
+        ("<div><article><p>{}</p></article><div class=ad>Buy</div><article><p>{}</p></article></div>", (8, 2)),
+    ],
+)
+def test_short_parts_of_the_content_stay(html, parts):
+    one, other = [(WORDY * n).strip() for n in parts]
+    found = html_text.main_text(html.format(one, other))
+    headings = ("Long ", "Short ") if "h2" in html else ("", "")
+    assert found == f"{headings[0]}{one} {headings[1]}{other}"
