@@ -1,8 +1,8 @@
 """Class-conditional Kneser-Ney models over the letters of words, in numpy.
 
 A word is predicted letter by letter, its end included, from up to five letters before.
-Each of two classes has its own counts for the long contexts; both back off to one shared
-model of short contexts, so that what is rare in both classes tells nothing. The
+Each of two classes has its own counts for the longest contexts; both back off to one shared
+model of all texts, so that what is rare in both classes tells nothing. The
 log-likelihood ratio of a word depends on the word alone, and a text's is the sum of its
 words'.
 
@@ -13,7 +13,7 @@ keeps those of most alphabets apart; code 0 pads the start of a word and 1 ends
 import numpy as np
 
 ORDER = 6
-SHARED = 2
+SHARED = 5
 BITS = 10
 DISCOUNT = 0.75
 
@@ -75,8 +75,27 @@ def _both(one, other, missing):
     return keys, values
 
 
+def shorter(grams, counts):
+    """(n-grams, counts) of orders SHARED to 1 from those of order SHARED: below it, counts are
+    numbers of letters that an n-gram follows."""
+    order = np.argsort(grams)
+    tables = [(grams[order], counts[order])]
+    for length in range(SHARED - 1, 0, -1):
+        tables.append(np.unique(_tail(tables[-1][0], length), return_counts=True))
+    return tables
+
+
 def fit(grams, toxic, ordinary, shared, shared_counts) -> dict:
     """Tables for :func:`ratios` from counts of n-grams by class and of all texts' SHARED-grams."""
+    return fit_tables(grams, toxic, ordinary, shorter(shared, shared_counts))
+
+
+def fit_tables(grams, toxic, ordinary, tables) -> dict:
+    """As :func:`fit`, from the shared tables of :func:`shorter`.
+
+    Of a shared table only the contexts matter that end a context of either class, whole: after
+    others, both classes give a letter the same probability, whatever that is.
+    """
     order = np.argsort(grams)
     grams, toxic, ordinary = grams[order], toxic[order], ordinary[order]
     classes = [_models(grams[n > 0], n[n > 0]) for n in (toxic, ordinary)]
@@ -84,13 +103,10 @@ def fit(grams, toxic, ordinary, shared, shared_counts) -> dict:
     for one, other in zip(*classes):
         levels.append((_both(one[:2], other[:2], 0.0), _both(one[2:], other[2:], 1.0)))
     # The shared model: interpolated down to letters, then to all codes alike.
-    order = np.argsort(shared)
-    grams, counts = shared[order], shared_counts[order].astype(np.float64)
     base = []
-    for length in range(SHARED, 0, -1):
-        base.append(_level(grams, counts))
-        grams, place = np.unique(_tail(grams, length - 1), return_inverse=True)
-        counts = np.bincount(place).astype(np.float64)
+    for grams, counts in tables:
+        order = np.argsort(grams)
+        base.append(_level(grams[order], counts[order].astype(np.float64)))
     return {"levels": levels, "base": base[::-1]}
 
 

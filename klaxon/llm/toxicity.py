@@ -1,10 +1,11 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 Counts of letters in context come from two sources: a bounded sample of labelled documents
-for each class's long contexts, and all documents for the short contexts that both classes
-share. A text has two features, both normalised by its number of words: the mean of its
-words' log-likelihood ratios, and the logarithm of the mean ratio, which a few strong
-words in a long text decide. A logistic curve fitted to labelled documents that the models
+for each class's longest contexts, and all documents for the contexts that both classes
+share. The latter are Spark tables that grow with the documents; what is gathered of them are
+the letters that follow contexts of the sample. A text has two features, both normalised by
+its number of words: the mean of its words' log-likelihood ratios, and the logarithm of the
+mean ratio, which a few strong words in a long text decide. A logistic curve fitted to labelled documents that the models
 have not seen turns them into a score.
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from klaxon.llm import kneserney
 from klaxon.llm.batches import schema_of, slices
 from klaxon.llm.memory import forget, remembered
-from klaxon.session import settle
+from klaxon.session import settle, store
 
 # Labelled documents of each class that the models are fitted to, at most.
 LABELLED_PER_CLASS = 20_000
@@ -105,20 +106,37 @@ def count_grams(docs: DataFrame, sample: DataFrame) -> DataFrame:
     )
 
 
+def _last(gram, order):
+    """The last ``order`` letters of an n-gram."""
+    return F.col(gram).bitwiseAND(F.lit((1 << kneserney.BITS * order) - 1))
+
+
+def _context(gram, order):
+    """What an n-gram of ``order`` that ends a longer one has before its last letter."""
+    return F.shiftright(_last(gram, order), kneserney.BITS)
+
+
 def fit_models(docs: DataFrame, sample: DataFrame) -> dict | None:
     """Tables of both classes' models, or None where a class has no document.
 
-    What reaches the driver are the distinct n-grams of the bounded sample, and the short
-    ones of all documents, of which there are at most a million: pairs of 1024 codes.
+    What reaches the driver are the distinct n-grams of the bounded sample, and of those of all
+    documents the ones after a context that is in the sample: others favour neither class.
     """
-    counts = count_grams(docs, sample).toArrow()
-    grams, toxic, ordinary = [column.to_numpy() for column in counts.columns]
-    long = grams >= 0
-    if not toxic[long].any() or not ordinary[long].any():
+    counts = store(count_grams(docs, sample), "grams")
+    long = counts.filter("gram >= 0")
+    grams, toxic, ordinary = [column.to_numpy() for column in long.toArrow().columns]
+    if not toxic.any() or not ordinary.any():
         return None
-    return kneserney.fit(
-        grams[long], toxic[long], ordinary[long], -1 - grams[~long], toxic[~long]
-    )
+    shared = counts.filter("gram < 0").select((-1 - F.col("gram")).alias("gram"), F.col("toxic").alias("n"))
+    tables = []
+    for order in range(kneserney.SHARED, 0, -1):
+        if order < kneserney.SHARED:
+            shared = shared.groupBy(_last("gram", order).alias("gram")).agg(F.count("*").alias("n"))
+            shared = store(shared, "shared")
+        contexts = long.select(_context("gram", order).alias("context")).distinct()
+        some = shared.join(contexts, _context("gram", order) == F.col("context"), "left_semi")
+        tables.append([column.to_numpy() for column in some.toArrow().columns])
+    return kneserney.fit_tables(grams, toxic, ordinary, tables)
 
 
 class Scorer:

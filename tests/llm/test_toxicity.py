@@ -154,3 +154,38 @@ def test_empty_tables(spark):
     docs, table = documents(spark, rows), label_table(spark, labels)
     assert toxicity.score_toxicity(docs.limit(0), table).isEmpty()
     assert toxicity.without_toxic(docs, table.limit(0)).count() == 30
+
+
+def test_a_word_of_all_documents_is_not_toxic_by_chance(spark):
+    """A name that by chance stands only in toxic sampled documents, and in many others."""
+    rows, labels = corpus(1, 400)
+    rng = random.Random(3)
+    fitted = [at for at, (doc, toxic) in enumerate(labels) if toxic and not is_held_out(doc)]
+    for at in rng.sample(fitted, 4):
+        rows[at] = (rows[at][0], rows[at][1] + " zanquelo")
+    others = []
+    for n in range(200):
+        words = made_text(900_000 + n, rng.randint(20, 200)).split()
+        words.insert(rng.randrange(len(words)), "zanquelo")
+        others.append((50_000 + n, " ".join(words)))
+    docs = documents(spark, rows + others).repartition(3)
+    found = toxicity.score_toxicity(docs, label_table(spark, labels)).collect()
+    by_doc = {row["doc_id"]: row["predicted"] for row in found}
+    assert sum(by_doc[doc] for doc, _ in others) <= 10
+    unseen = [(doc, toxic) for doc, toxic in labels if is_held_out(doc)]
+    assert np.mean([by_doc[doc] == toxic for doc, toxic in unseen]) > 0.97
+
+
+def test_what_is_gathered_gives_the_ratios_of_all_counts(spark):
+    rows, labels = corpus(6, 60)
+    others = [(5000 + n, made_text(700_000 + n, 40)) for n in range(60)]
+    docs, table = documents(spark, rows + others), label_table(spark, labels)
+    sample = toxicity.labelled_sample(table)
+    counts = toxicity.count_grams(docs, sample).toArrow()
+    grams, toxic, ordinary = [column.to_numpy() for column in counts.columns]
+    long = grams >= 0
+    whole = kneserney.fit(grams[long], toxic[long], ordinary[long], -1 - grams[~long], toxic[~long])
+    model = toxicity.fit_models(docs, sample)
+    words = sorted({word for _, text in rows + others for word in text.lower().split()})
+    assert np.allclose(kneserney.ratios(model, words), kneserney.ratios(whole, words), atol=1e-9)
+    assert kneserney.SHARED >= 3 and len(model["base"][-1][0]) < len(whole["base"][-1][0])
