@@ -106,10 +106,11 @@ class Quantiser:
 
     def distances(self, rest, codes):
         """Squared distances of some residuals to coded ones."""
-        total = np.zeros((len(rest), len(codes)))
+        # A row per code, as whole rows are picked faster than columns.
+        total = np.zeros((len(codes), len(rest)))
         for at, ((a, b), book) in enumerate(zip(self.spans, self.books)):
-            total += _nearest(rest[:, a:b], book)[:, codes[:, at]]
-        return total
+            total += _nearest(book, rest[:, a:b])[codes[:, at]]
+        return total.T
 
 
 def _unit_rows(points):
