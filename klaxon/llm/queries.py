@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from klaxon.llm import (
+    anchors,
     decontamination,
     grammar,
     html_text,
@@ -79,6 +80,17 @@ def op10_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(_table(spark, sf_dir, "documents"), path)
 
 
+def op13_fixed_block_anchors(spark, sf_dir):
+    found = anchors.without_repeats(_table(spark, sf_dir, "documents"))
+    total = lambda name: F.aggregate(name, F.lit(0).cast("bigint"), lambda x, y: x + y)
+    return found.select(
+        "doc_id",
+        "n_words",
+        (total("ends") - total("starts")).alias("n_removed"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def queries():
     return {
         "op1_superminhash_dedup": op1_superminhash_dedup,
@@ -91,6 +103,7 @@ def queries():
         "op8_hash_tree_sharding": op8_hash_tree_sharding,
         "op9_greedy_string_tiling": op9_greedy_string_tiling,
         "op10_best_fit_packing": op10_best_fit_packing,
+        "op13_fixed_block_anchors": op13_fixed_block_anchors,
     }
 
 
@@ -110,7 +123,31 @@ SELECT page_id, CASE WHEN page_id % 211 = 5 THEN 'missing' ELSE 'changed' END AS
   CASE WHEN page_id % 211 != 5 THEN sha256('w' || substr(record, 2)) END AS found_digest
 FROM records WHERE page_id % 211 = 5 OR page_id % 101 = 7"""
 
+_REPEATS_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+places AS (SELECT doc_id, words, unnest(range(0, len(words) - 19)) AS place FROM texts),
+ordered AS (
+  SELECT doc_id, place, row_number() OVER (
+    PARTITION BY words[place + 1 : place + 20] ORDER BY doc_id, place) AS nth
+  FROM places),
+removed AS (
+  SELECT DISTINCT doc_id, unnest(range(place, place + 20)) AS place FROM ordered WHERE nth > 1),
+single AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(0, len(words))) AS place FROM texts),
+marked AS (
+  SELECT s.doc_id, s.word, s.place, r.place IS NOT NULL AS gone
+  FROM single s LEFT JOIN removed r ON r.doc_id = s.doc_id AND r.place = s.place),
+kept AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+    string_agg(word, ' ' ORDER BY place) FILTER (NOT gone) AS kept
+  FROM marked GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(t.words) AS BIGINT) AS n_words,
+  coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON k.doc_id = t.doc_id"""
+
 
 def oracle_sql():
     """Of the others, models, hashes and tokenizers are not within reach of SQL."""
-    return {"op2_merkle_fixity": _WARC_SQL}
+    return {"op2_merkle_fixity": _WARC_SQL, "op13_fixed_block_anchors": _REPEATS_SQL}
