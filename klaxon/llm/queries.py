@@ -12,6 +12,7 @@ from klaxon.llm import (
     minhash,
     packing,
     sharding,
+    spelling,
     toxicity,
     url_rules,
     vectors,
@@ -80,6 +81,11 @@ def op10_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(_table(spark, sf_dir, "documents"), path)
 
 
+def op12_spelling_variants(spark, sf_dir):
+    """One occurrence of about 199 has lost a letter."""
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"), every=199)
+
+
 def op13_fixed_block_anchors(spark, sf_dir):
     found = anchors.without_repeats(_table(spark, sf_dir, "documents"))
     total = lambda name: F.aggregate(name, F.lit(0).cast("bigint"), lambda x, y: x + y)
@@ -103,6 +109,7 @@ def queries():
         "op8_hash_tree_sharding": op8_hash_tree_sharding,
         "op9_greedy_string_tiling": op9_greedy_string_tiling,
         "op10_best_fit_packing": op10_best_fit_packing,
+        "op12_spelling_variants": op12_spelling_variants,
         "op13_fixed_block_anchors": op13_fixed_block_anchors,
     }
 
