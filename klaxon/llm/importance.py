@@ -13,6 +13,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ def _pieces(batches):
     """Batches of at most 256 rows and about ``BYTES_AT_ONCE`` bytes of text."""
     for batch in slices(batches):
         texts = batch.column(batch.num_columns - 1)
-        sizes = [0 if text is None else len(text.as_buffer()) for text in texts]
+        sizes = pc.binary_length(texts).fill_null(0).to_pylist()
         start, total = 0, 0
         for at, size in enumerate(sizes):
             if at > start and total + size > BYTES_AT_ONCE:
