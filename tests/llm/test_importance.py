@@ -1,0 +1,135 @@
+"""Importance sampling against a plain form, and the table of runs against dictionaries."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import pyarrow as pa
+import pytest
+import xxhash
+from data import documents, made_text, odd_rows
+
+from klaxon.llm import importance
+from klaxon.llm.ngram_table import NgramTable, crc32_of, xxhash64
+
+
+def plain_words(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lowered)
+
+
+def plain_runs(text):
+    words = plain_words(text)
+    return Counter(" ".join(words[i : i + k]) for k in (1, 2, 3) for i in range(len(words) - k + 1))
+
+
+def plain_buckets(texts):
+    found = Counter()
+    for text in texts:
+        for run, n in plain_runs(text).items():
+            found[zlib.crc32(run.encode()) % 10000] += n
+    return found
+
+
+def plain_sample(rows, target):
+    s, t = plain_buckets(text for _, text in rows), plain_buckets(target)
+    s_all, t_all = sum(s.values()), sum(t.values())
+    gain = lambda b: math.floor(
+        1000 * math.log((t[b] + 1) * (s_all + 10000) / ((s[b] + 1) * (t_all + 10000)))
+    )
+    found = []
+    for number, text in rows:
+        runs = plain_runs(text)
+        weight = sum(n * gain(zlib.crc32(run.encode()) % 10000) for run, n in runs.items())
+        key = f"42:{'' if number is None else number}"
+        u = (int(hashlib.sha256(key.encode()).hexdigest()[:8], 16) + 0.5) / 4294967296
+        score = weight + math.floor(-1000 * math.log(-math.log(u)))
+        found.append([number, sum(runs.values()), weight, score, None, len(plain_words(text))])
+    able = sorted(
+        (row for row in found if row[5] >= 20),
+        key=lambda row: (-row[3], row[0] is None, row[0] or 0, row[1]),
+    )
+    for place, row in enumerate(able[: 5 * len(able) // 100]):
+        row[4] = place + 1
+    return sorted((tuple(row[:5]) for row in found), key=str)
+
+
+def found_sample(spark, rows, target):
+    docs = documents(spark, rows).withColumnRenamed("size", "score")
+    target = spark.createDataFrame([(t, 1) for t in target], "text string, doc_id int")
+    return sorted(map(tuple, importance.importance_sample(docs, target).collect()), key=str)
+
+
+TARGET = [made_text(50, 80), made_text(1, 30), None, ""]
+
+
+def test_odd_rows(spark):
+    rows = odd_rows() + [(20 + i, made_text(i, 15 + i)) for i in range(60)]
+    found = found_sample(spark, rows, TARGET)
+    assert found == plain_sample(rows, TARGET)
+    assert sum(row[4] is not None for row in found) == 3
+
+
+def test_ties_go_to_the_smaller_id(spark):
+    """Equal texts differ in their noise only; rows that repeat come back as often."""
+    rows = [(i % 50, made_text(3, 30)) for i in range(100)]
+    assert found_sample(spark, rows, TARGET) == plain_sample(rows, TARGET)
+
+
+def test_empty_tables(spark):
+    assert found_sample(spark, [], TARGET) == []
+    rows = [(i, made_text(i, 25)) for i in range(40)]
+    assert found_sample(spark, rows, []) == plain_sample(rows, [])
+
+
+def test_small_pieces(spark, monkeypatch):
+    """A text larger than a piece has one of its own."""
+    monkeypatch.setattr(importance, "BYTES_AT_ONCE", 500)
+    rows = odd_rows()
+    assert found_sample(spark, rows, TARGET) == plain_sample(rows, TARGET)
+
+
+ALPHABET = "aB9 .é漢-_\n\x00" + "xyz" * 3
+
+
+def random_texts():
+    rng = random.Random(1)
+    texts = ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 300))) for _ in range(200)]
+    return [*texts, None, "", "a" * 100 + " " + "b" * 70 + " c d", "  ", "q" * 40, "e" * 64, "f" * 65]
+
+
+@pytest.mark.parametrize("start, rows", [(0, 207), (17, 150), (0, 0), (200, 1), (201, 1)])
+def test_table(start, rows):
+    texts = pa.array(random_texts(), pa.string()).slice(start, rows)
+    table = NgramTable(texts, 3, 10000)
+    runs = [plain_runs(text) for text in texts.to_pylist()]
+    expected = Counter()
+    for row, some in enumerate(runs):
+        for run, n in some.items():
+            expected[row, zlib.crc32(run.encode()) % 10000] += n
+    assert Counter(zip(table.row.tolist(), table.bucket[table.slot].tolist())) == expected
+    assert (table.owner >= 0).sum() == len(set().union(*runs)) if runs else True
+    assert table.count.sum() == len(table.row)
+
+
+def test_equal_keys_are_told_apart_by_bytes(monkeypatch):
+    import klaxon.llm.ngram_table as module
+
+    monkeypatch.setattr(module, "xxhash64", lambda data, eight, start, length: start.astype("u8") * 0)
+    texts = pa.array(["one two three", "two three four one", "longer words than eight bytes"])
+    table = NgramTable(texts, 3, 10000)
+    runs = set().union(*(plain_runs(text) for text in texts.to_pylist()))
+    assert (table.owner >= 0).sum() == len(runs)
+
+
+def test_hashes():
+    table = NgramTable(pa.array(random_texts()), 3, 10000)
+    words, data = table.words, table.words.data.tobytes()
+    keys = xxhash64(words.data, table.eight, table.start, table.length)
+    spans = [data[s : s + n] for s, n in zip(table.start, table.length)]
+    assert keys.tolist() == [xxhash.xxh64_intdigest(span) for span in spans]
+    sums = crc32_of(words.data, table.start, table.start + table.length)
+    assert sums.tolist() == [zlib.crc32(span) for span in spans]
