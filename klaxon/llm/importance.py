@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from klaxon.llm.batches import schema_of, slices
 from klaxon.llm.ngram_table import NgramTable
 from klaxon.llm.numbering import partitions_of, ranked
-from klaxon.session import settle
+from klaxon.session import settle, store
 
 BUCKETS = 10_000
 LONGEST = 3
@@ -116,7 +116,9 @@ def importance_sample(docs: DataFrame, target: DataFrame) -> DataFrame:
     key = F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     h = F.conv(F.substring(F.sha2(key, 256), 1, 8), 16, 10).cast("double")
     noise = F.floor(-1000 * F.ln(-F.ln((h + 0.5) / 4294967296)))
-    scored = weights(docs, gains).select(
+    # Sorting reads them twice.
+    weighed = store(weights(docs, gains), "weights")
+    scored = weighed.select(
         "*",
         (F.col("weight") + noise).alias("score"),
         (F.col("n_words") >= LEAST_WORDS).alias("eligible"),
