@@ -2,8 +2,8 @@
 
 Documents are encoded in ascending ``doc_id`` order and cut into shards of about
 ``SHARD_IDS`` ids. In each shard, frequent pairs of neighbours are replaced by nonterminals
-round after round; a round replaces all pairs that occur often enough, most frequent first
-where they overlap. A shard stores its rules, the ids that each rule stands for in number
+round after round, most frequent first where they overlap, until no pair occurs often enough
+to pay for its rule. A shard stores its rules, the ids that each rule stands for in number
 (its expansion length), the compressed sequence, and its documents' lengths. An id range
 is decoded from those symbols alone whose expansions overlap it.
 
@@ -20,16 +20,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from klaxon.llm.batches import slices, to_batch
+from klaxon.llm.batches import to_batch
 from klaxon.llm.numbering import partitions_of
-from klaxon.llm.tokens import WORD, encoder
+from klaxon.llm.tokens import WORD, encoder, pieces
 from klaxon.session import new_folder, settle
 
 SHARD_IDS = 1 << 20
-ROUNDS = 3
-SLOT_BITS = 18
-RULES_PER_ROUND = 4096
-LEAST_FREQUENCY = 64
+# A rule takes three numbers, so a pair pays from its fourth place on.
+LEAST_FREQUENCY = 4
 
 SHARDS = (
     "part int, shard int, first_id bigint, n_ids bigint, terminals bigint, "
@@ -49,71 +47,94 @@ class Grammar(NamedTuple):
     sequence: np.ndarray
 
 
-def _frequent_pairs(sequence):
-    """Pairs of neighbours that occur often: (first and second symbols of each, rank of the
-    pair at each place or -1), most frequent first.
-
-    Pairs are counted in slots. A slot counts one of the pairs that fall into it; another
-    one that is frequent finds a slot in a later round, when symbols have changed.
+def _candidates(sequence, active):
+    """Places of the active pairs of neighbours. Of a run of one symbol every other pair counts, as
+    the others overlap with it."""
+    place = np.flatnonzero(active)
+    equal = sequence[place] == sequence[place + 1]
+    if equal.any():
+        starts = np.flatnonzero(np.diff(sequence, prepend=sequence[0] + 1) != 0)
+        run = np.searchsorted(starts, place[equal], side="right") - 1
+        keep = np.ones(len(place), bool)
+        keep[equal] = (place[equal] - starts[run]) % 2 == 0
+        place = place[keep]
+    return place
+
+
+def _places_of(kinds, pairs):
+    """For each pair its place among ``kinds``, all different, or -1; by a hash table that is made
+    anew for the kinds that lost their slot."""
+    found = np.full(len(pairs), -1, np.int64)
+    left, look, factor = np.arange(len(kinds)), np.arange(len(pairs)), np.uint64(0x9E3779B97F4A7C15)
+    shift = np.uint64(60 - len(kinds).bit_length())
+    while len(left):
+        table = np.full(1 << int(64 - shift), -1, np.int32)
+        own = (kinds[left] * factor) >> shift
+        table[own] = left
+        owner = table[(pairs[look] * factor) >> shift]
+        met = np.flatnonzero(owner >= 0)
+        hit = kinds[owner[met]] == pairs[look[met]]
+        found[look[met[hit]]] = owner[met[hit]]
+        # A pair that lost its slot has met the one that has it.
+        left, look = left[table[own] != left], look[met[~hit]]
+        factor = np.uint64((int(factor) ** 2 + 2) % 2**64)
+    return found
+
+
+def _ranked(sequence, place):
+    """Places of the pairs that occur often enough, and the rank of each: 0 is the most frequent."""
+    pairs = (sequence[place].astype(np.uint64) << np.uint64(32)) | sequence[place + 1]
+    ordered = np.sort(pairs)
+    edges = np.flatnonzero(np.diff(ordered)) + 1
+    starts = np.concatenate([[0], edges])
+    count = np.diff(np.append(starts, len(ordered)))
+    often = count >= LEAST_FREQUENCY
+    kinds = ordered[starts[often]]
+    kinds = kinds[np.argsort(-count[often], kind="stable")]
+    rank = _places_of(kinds, pairs)
+    return place[rank >= 0], rank[rank >= 0]
+
+
+def compress(ids: np.ndarray) -> Grammar:
+    """Re-Pair grammar of a sequence of ids: rounds until no pair is worth a rule.
+
+    A round counts all pairs exactly and replaces those that occur ``LEAST_FREQUENCY`` times
+    or more, a pair giving way where a more frequent one overlaps it. What is replaced fewer
+    times than that waits for the next round. A pair that was rare stays rare, so only pairs
+    with a new symbol, pairs that had to give way and those of equal symbols count again.
     """
-    left, right = sequence[:-1], sequence[1:]
-    slots = (left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA6B)) >> np.uint32(32 - SLOT_BITS)
-    owner = np.zeros(1 << SLOT_BITS, np.int32)
-    owner[slots] = np.arange(len(slots), dtype=np.int32)
-    own_left, own_right = left[owner], right[owner]
-    owned = (own_left[slots] == left) & (own_right[slots] == right)
-    counts = np.bincount(slots[owned], minlength=1 << SLOT_BITS)
-    often = np.flatnonzero(counts >= LEAST_FREQUENCY)
-    often = often[np.argsort(-counts[often], kind="stable")[:RULES_PER_ROUND]]
-    rank_of = np.full(1 << SLOT_BITS, -1, np.int32)
-    rank_of[often] = np.arange(len(often), dtype=np.int32)
-    ranks = rank_of[slots]
-    ranks[~owned] = -1
-    return np.stack([own_left[often], own_right[often]], 1), ranks
-
-
-def _replaced(sequence, ranks, first_symbol):
-    """The sequence with frequent pairs as symbols, and the pairs that were replaced."""
-    place = np.flatnonzero(ranks >= 0)
-    rank = ranks[place]
-    # A pair gives way to a more frequent neighbour.
-    weak = np.zeros(len(place), bool)
-    touching = np.flatnonzero(np.diff(place) == 1)
-    weak[touching + 1] |= rank[touching] < rank[touching + 1]
-    weak[touching] |= rank[touching + 1] < rank[touching]
-    place, rank = place[~weak], rank[~weak]
-    # What still touches is a run of one pair, as in a a a a: every other one is taken.
-    starts = np.flatnonzero(np.diff(place, prepend=-2) != 1)
-    lengths = np.diff(np.append(starts, len(place)))
-    even = (np.arange(len(place)) - np.repeat(starts, lengths)) % 2 == 0
-    place, rank = place[even], rank[even]
-    out = sequence.copy()
-    out[place] = first_symbol + rank
-    keep = np.ones(len(sequence), bool)
-    keep[place + 1] = False
-    return out[keep], np.unique(rank)
-
-
-def compress(ids: np.ndarray, rounds: int = ROUNDS) -> Grammar:
-    """Re-Pair grammar of a sequence of ids."""
     sequence = ids.astype(np.uint32)
     terminals = int(sequence.max()) + 1 if len(sequence) else 0
     rules, lengths = [], np.ones(terminals, np.uint32)
-    for _ in range(rounds):
-        if len(sequence) < 2:
-            break
-        pairs, ranks = _frequent_pairs(sequence)
-        shorter, used = _replaced(sequence, ranks, len(lengths))
-        if not len(used):
+    active = np.ones(max(0, len(sequence) - 1), bool)
+    while active.any():
+        place, rank = _ranked(sequence, _candidates(sequence, active))
+        if not len(place):
             break
-        # Symbols of pairs that always gave way are left out.
-        symbols = np.zeros(len(pairs), np.uint32)
-        symbols[used] = len(lengths) + np.arange(len(used), dtype=np.uint32)
-        new = shorter >= len(lengths)
-        shorter[new] = symbols[shorter[new] - len(lengths)]
-        rules.append(pairs[used])
-        lengths = np.append(lengths, lengths[pairs[used]].sum(1, dtype=np.uint32))
-        sequence = shorter
+        weak = np.zeros(len(place), bool)
+        touching = np.flatnonzero(np.diff(place) == 1)
+        weak[touching + 1] |= rank[touching] < rank[touching + 1]
+        weak[touching] |= rank[touching + 1] < rank[touching]
+        count = np.bincount(rank[~weak], minlength=rank.max() + 1)
+        taken = ~weak & (count[rank] >= LEAST_FREQUENCY)
+        used = np.flatnonzero(count >= LEAST_FREQUENCY)
+        first = len(lengths)
+        symbol = np.zeros(len(count), np.uint32)
+        symbol[used] = first + np.arange(len(used), dtype=np.uint32)
+        at, rank = place[taken], rank[taken]
+        pairs = np.zeros((len(used), 2), np.uint32)
+        pairs[symbol[rank] - first] = np.stack([sequence[at], sequence[at + 1]], 1)
+        rules.append(pairs)
+        lengths = np.append(lengths, lengths[pairs].sum(1, dtype=np.uint32))
+        again = np.zeros(len(sequence), bool)
+        again[place[~taken]] = True
+        sequence[at] = symbol[rank]
+        keep = np.ones(len(sequence), bool)
+        keep[at + 1] = False
+        sequence, again = sequence[keep], again[keep]
+        new = sequence >= first
+        # Which pairs of a run of one symbol overlap changes with what is cut off before it.
+        active = again[:-1] | new[:-1] | new[1:] | (sequence[:-1] == sequence[1:])
     every = np.concatenate(rules) if rules else np.empty((0, 2), np.uint32)
     return Grammar(terminals, every, lengths[terminals:], sequence)
 
@@ -192,11 +213,11 @@ def write_tokens(docs: DataFrame, out: str, path: str, end_id: int = 2) -> None:
                 _bytes(grammar.sequence),
             )
 
-        for some in slices(batches, 64):
-            texts = encode(some.column(1).to_pylist())
-            for name, encoded in zip(some.column(0).to_pylist(), texts):
+        for some in pieces(batches, 1):
+            found, starts = encode(some.column(1))
+            for name, a, b in zip(some.column(0).to_pylist(), starts[:-1], starts[1:]):
                 names.append(name)
-                ids.append(encoded + end)
+                ids.append(found[a:b].astype("<u4").tobytes() + end)
                 total += len(ids[-1]) // 4
                 if total >= SHARD_IDS:
                     yield to_batch([row()], SHARDS)

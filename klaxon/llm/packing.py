@@ -14,9 +14,10 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from klaxon.llm.batches import slices, to_batch
+from klaxon.llm.batches import to_batch
 from klaxon.llm.numbering import ranked
 from klaxon.llm.tokens import BYTE, encoder
+from klaxon.llm.tokens import pieces as texts_of
 from klaxon.session import store
 
 PIECES = "doc_id bigint, piece int, start bigint, length int, ids_crc32 bigint"
@@ -42,11 +43,12 @@ def cut_documents(
 
     def cut(batches):
         encode = encoder(path, BYTE).encode
-        for batch in slices(batches):
+        end_bytes = end_id.to_bytes(4, "little")
+        for batch in texts_of(batches, 1):
             rows = []
-            docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for doc, encoded in zip(docs, encode(texts)):
-                encoded += end_id.to_bytes(4, "little")
+            ids, starts = encode(batch.column(1))
+            for doc, a, b in zip(batch.column(0).to_pylist(), starts[:-1], starts[1:]):
+                encoded = ids[a:b].astype("<u4").tobytes() + end_bytes
                 for piece, (start, end) in enumerate(pieces_of(len(encoded) // 4, length)):
                     body = encoded[4 * start : 4 * end]
                     row = (doc, piece, start, end - start, zlib.crc32(body))

@@ -1,12 +1,15 @@
-"""Token ids of whole texts by a public tokenizer, at the cost of its distinct words.
+"""Token ids of whole texts by a public tokenizer, at the cost of their distinct words.
 
 The tokenizers library cuts a text into pieces before it merges inside each piece. No piece
 reaches across a single space or line break that stands between two visible characters, so
-the text may be cut there and each part encoded once per worker. ``WORD`` suits a vocabulary
-that drops white space, ``BYTE`` one that keeps a space with the word that follows. A part
-of letters alone is one piece and goes straight to the library's merges, any other part
-through the whole tokenizer. A text with other white space next to a cut is encoded as a
-whole. Tests hold the ids against those of the library on whole texts.
+a batch of texts is cut there and each distinct part encoded once. ``WORD`` suits a
+vocabulary that drops white space, ``BYTE`` one that keeps a space with the word that follows.
+Marks that end a part are a piece of their own, and what is left, if it is letters alone, is
+one piece that goes straight to the library's merges. Any other part goes through the whole
+tokenizer. A text with other white space next to a cut, or with the string of a special
+token, is encoded as a whole. Tests hold the ids against those of the library on whole texts.
+
+Cutting, finding the distinct parts and putting ids together happen in Arrow and NumPy.
 """
 
 import os
@@ -16,18 +19,27 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 from array import array
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 from klaxon.llm.memory import remembered
 
-PARTS_KEPT = 500_000
+# Bytes of text that are encoded at once; a longer text goes alone.
+BYTES_AT_ONCE = 16 << 20
+# Bytes that a worker remembers of words without their marks, about, and what an entry takes
+# besides its key.
+WORD_BYTES = 64 << 20
+ENTRY_BYTES = 200
+
 WORD, BYTE = "word", "byte"
 
 # Both vocabularies cut between letters and these. The apostrophe is not among them, as it
 # may begin a contraction.
 _MARKS = ".,;:!?|%*#$&"
 # Letters below this have no other composed form, and the same lower-case form whatever
-# stands beside them (that of a dotted I is no letter alone).
+# stands beside them.
 _PLAIN = "ʰ"
 
 
@@ -41,22 +53,63 @@ def _byte_letters():
 _LETTERS = _byte_letters()
 
 
+class Recent(dict):
+    """What ``make`` gives for a key, remembered for keys in use within about ``most`` bytes."""
+
+    def __init__(self, make, most):
+        super().__init__()
+        self.make, self.half = make, most // 2
+        self.older, self.size = {}, 0
+
+    def __missing__(self, key):
+        found = self.older.get(key)
+        if found is None:
+            found = self.make(key)
+        self.size += ENTRY_BYTES + len(key)
+        if self.size > self.half:
+            # Keys in use come back from the older half, the rest goes with it.
+            self.older = dict(self)
+            self.clear()
+            self.size = 0
+        self[key] = found
+        return found
+
+
+class Runs:
+    """Runs of ids one behind the other."""
+
+    def __init__(self, ids, lengths):
+        self.ids, self.lengths = ids, lengths
+        self.ends = np.cumsum(lengths)
+
+    @classmethod
+    def of(cls, packed):
+        lengths = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        return cls(np.frombuffer(b"".join(packed), np.uint32), lengths)
+
+    def take(self, which):
+        """The runs of these numbers, in this order."""
+        lengths = self.lengths[which]
+        ends = np.cumsum(lengths)
+        place = np.repeat(self.ends[which] - ends, lengths)
+        place += np.arange(len(place))
+        return Runs(self.ids[place], lengths)
+
+
 def _packed(ids):
     return array("I", ids).tobytes()
 
 
-class Encoder(dict):
-    """Ids of texts as uint32 bytes, little-endian on all usual machines; as a dict, those of a bounded number of
-    parts."""
+class Encoder:
+    """Ids of texts by the tokenizer of a file."""
 
     def __init__(self, path, kind):
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        # The strings of special tokens are ordinary text here.
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.kind = kind
-        self.marks, self.older = {}, {}
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [token.content for token in added]
+        self.words = Recent(self._word, WORD_BYTES)
 
     def whole(self, text):
         """Ids of one text as the library gives them."""
@@ -64,52 +117,110 @@ class Encoder(dict):
 
     def _piece(self, piece):
         """Ids of what the library's own cutting leaves in one piece."""
-        letters = piece.encode().decode("latin-1").translate(_LETTERS)
-        return [token.id for token in self.model.tokenize(letters)]
-
-    def _ids(self, part):
-        stem = part.rstrip(_MARKS)
-        if stem != part and stem.isalpha() and max(stem) < _PLAIN:
-            marks = part[len(stem) :]
-            if marks not in self.marks:
-                self.marks[marks] = _packed(self._piece(marks))
-            return self[stem] + self.marks[marks]
-        space = "" if self.kind == WORD else " "
-        if part.isalpha() and max(part) < _PLAIN and part.lower().isalpha():
-            return _packed(self._piece(part.lower() if self.kind == WORD else space + part))
-        if part[0] == "\n":
-            return self.whole(part)
-        return self.whole(space + part)
-
-    def __missing__(self, part):
-        if len(self) >= PARTS_KEPT // 2:
-            # Parts in use come back from the older half, the rest goes with it.
-            self.older = dict(self)
-            self.clear()
-        if part in self.older:
-            self[part] = self.older[part]
-            return self[part]
-        body = part[1:] if part[:1] == "\n" else part
-        if self.kind == BYTE and (not body or body[0].isspace() or body[-1].isspace()):
-            ids = None
-        else:
-            ids = self._ids(part) if part else b""
-        self[part] = ids
-        return ids
-
-    def _encode(self, text):
+        if not (piece.isascii() and piece.isalpha()):
+            piece = piece.encode().decode("latin-1").translate(_LETTERS)
+        return _packed([token.id for token in self.model.tokenize(piece)])
+
+    def _word(self, word):
+        """Ids of a part without its marks if it is letters alone, else None."""
+        body = word[1:] if self.kind == BYTE and word[:1] == "\n" else word
+        # A dotted I becomes two characters in lower case, of which one is no letter.
+        if body.isalpha() and (body.isascii() or (max(body) < _PLAIN and body.lower().isalpha())):
+            if self.kind == WORD:
+                return self._piece(body.lower())
+            if body is word:
+                return self._piece(" " + body)
+            return self._piece("\n") + self._piece(body)
+        return None
+
+    def _other(self, part):
+        """Ids of a part that is not letters and marks; None if it has to be seen with its
+        neighbours."""
+        if self.kind == WORD:
+            return self.whole(part) if part else b""
+        line = part[:1] == "\n"
+        body = part[1:] if line else part
+        if not body or body[0].isspace() or body[-1].isspace():
+            return None
+        return self.whole(part if line else " " + part)
+
+    def _parts(self, parts):
+        """Ids of distinct parts, and which of them have to be seen with their neighbours."""
+        trimmed = pc.utf8_rtrim(parts, characters=_MARKS)
+        cut = pc.subtract(pc.utf8_length(parts), pc.utf8_length(trimmed)).to_numpy()
         if self.kind == WORD:
-            return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
-        # After the first, a part begins with its line break or has lost its space.
-        first, *rest = text.replace("\n", " \n").split(" ")
-        found = list(map(self.__getitem__, rest))
-        if None in found or first[-1:].isspace():
-            return self.whole(text)
-        return b"".join([self.whole(first) if first else b"", *found])
+            # The vocabulary has no capitals; other letters wait for their own test.
+            trimmed = pc.ascii_lower(trimmed)
+        stems = trimmed.dictionary_encode()
+        found = [self.words[stem] for stem in stems.dictionary.to_pylist()]
+        plain = np.fromiter((ids is not None for ids in found), bool, len(found))
+        stem = stems.indices.to_numpy().astype(np.int64)
+        plain = plain[stem]
+        found = [ids or b"" for ids in found]
+        # A part is one run and that of its marks, here as yet none.
+        tail = np.full(len(parts), len(found))
+        found.append(b"")
+        marked = np.flatnonzero(plain & (cut > 0))
+        texts = [part[-n:] for part, n in zip(parts.take(marked).to_pylist(), cut[marked].tolist())]
+        marks = pa.array(texts, pa.string()).dictionary_encode()
+        tail[marked] = len(found) + marks.indices.to_numpy()
+        found += map(self._piece, marks.dictionary.to_pylist())
+        apart = np.zeros(len(parts), bool)
+        odd = np.flatnonzero(~plain)
+        stem[odd] = len(found) + np.arange(len(odd))
+        for at, part in zip(odd, parts.take(odd).to_pylist()):
+            ids = self._other(part)
+            apart[at] = ids is None
+            found.append(ids or b"")
+        taken = Runs.of(found).take(np.stack([stem, tail], 1).ravel())
+        return Runs(taken.ids, taken.lengths.reshape(-1, 2).sum(1)), apart
 
     def encode(self, texts):
-        """One bytes object per text; None counts as empty."""
-        return [self._encode(text) if text else b"" for text in texts]
+        """(ids, starts) of an Arrow array of strings: those of text i are ids[starts[i] : starts[i
+        + 1]], as uint32. Null counts as empty."""
+        texts = texts.fill_null("")
+        alone = np.zeros(len(texts), bool)
+        for special in self.special:
+            alone |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        cut = pc.replace_substring(texts, "\n", " " if self.kind == WORD else " \n")
+        lists = pc.split_pattern(cut, " ")
+        bounds = lists.offsets.to_numpy().astype(np.int64)
+        words = lists.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
+        bounds -= bounds[0]
+        runs, apart = self._parts(words.dictionary)
+        which = words.indices.to_numpy().astype(np.int64)
+        if self.kind == BYTE:
+            # A text's first part has no space before it.
+            firsts = pc.list_element(lists, 0).to_pylist()
+            which[bounds[:-1]] = len(runs.lengths) + np.arange(len(firsts))
+            blank = [first[-1:].isspace() for first in firsts]
+            own = Runs.of([b"" if no or not first else self.whole(first) for first, no in zip(firsts, blank)])
+            runs = Runs(np.concatenate([runs.ids, own.ids]), np.concatenate([runs.lengths, own.lengths]))
+            apart = np.concatenate([apart, blank])
+        sums = np.concatenate([[0], np.cumsum(apart[which])])
+        alone |= sums[bounds[1:]] > sums[bounds[:-1]]
+        taken = runs.take(which)
+        starts = np.concatenate([[0], taken.ends])[bounds]
+        if not alone.any():
+            return taken.ids, starts
+        pieces = [taken.ids[a:b] for a, b in zip(starts[:-1], starts[1:])]
+        for at in np.flatnonzero(alone):
+            pieces[at] = np.frombuffer(self.whole(texts[at].as_py()), np.uint32)
+        starts = np.concatenate([[0], np.cumsum([len(one) for one in pieces])])
+        return np.concatenate(pieces), starts
+
+
+def pieces(batches, column):
+    """Parts of batches with about ``BYTES_AT_ONCE`` of text in a column."""
+    for batch in batches:
+        sizes = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy())
+        start = 0
+        while start < len(batch):
+            before = sizes[start - 1] if start else 0
+            end = int(np.searchsorted(sizes, before + BYTES_AT_ONCE, side="right"))
+            end = max(start + 1, end)
+            yield batch.slice(start, end - start)
+            start = end
 
 
 def encoder(path, kind):

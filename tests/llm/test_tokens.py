@@ -1,10 +1,12 @@
 """Ids, shards and packed sequences against the library and plain forms."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from data import documents, made_text, odd_rows
 from tokenizers import Tokenizer
@@ -23,18 +25,57 @@ ODD_TEXTS = [
 
 
 def library_ids(path, text):
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer.encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids
+
+
+def encoded(encoder, texts):
+    ids, starts = encoder.encode(pa.array(texts, pa.string()))
+    assert len(starts) == len(texts) + 1 and ids.dtype == np.uint32
+    return [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])]
 
 
 @pytest.mark.parametrize("path, kind", [(WORD, tokens.WORD), (BYTE, tokens.BYTE)])
 def test_ids_are_those_of_whole_texts(path, kind, monkeypatch):
-    monkeypatch.setattr(tokens, "PARTS_KEPT", 300)
+    monkeypatch.setattr(tokens, "WORD_BYTES", 3000)
     encoder = tokens.Encoder(path, kind)
     texts = [*ODD_TEXTS, *[text for _, text in odd_rows()], *[made_text(i, 200) for i in range(20)]]
-    for text, found in zip(texts, encoder.encode(texts)):
-        assert np.frombuffer(found, "<u4").tolist() == library_ids(path, text), repr(text)
+    for text, found in zip(texts, encoded(encoder, texts)):
+        assert found == library_ids(path, text), repr(text)
+    # One by one, without others that may lead to the whole tokenizer.
+    for text in texts:
+        assert encoded(encoder, [text]) == [library_ids(path, text)], repr(text)
+
+
+@pytest.mark.parametrize("path, kind", [(WORD, tokens.WORD), (BYTE, tokens.BYTE)])
+def test_ids_of_random_texts(path, kind):
+    rng = random.Random(3)
+    signs = [*"aabBzéÉİıßΣʰ1 9' \n\n\t\r\x0b\x85\u00a0\u2028\u0301漢😀_-<>|", *tokens._MARKS, *"      "]
+    signs += ["<|endoftext|>", "<|startoftext|>", "İ!", "GELDİ.", "'s", "it's", "\r\n", "...", " word"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 14))) for _ in range(6000)]
+    library, encoder = Tokenizer.from_file(path), tokens.Encoder(path, kind)
+    found = [ids for at in range(0, len(texts), 40) for ids in encoded(encoder, texts[at : at + 40])]
+    for text, ids in zip(texts, found):
+        assert ids == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_ids_of_a_slice_and_of_nothing():
+    encoder = tokens.Encoder(BYTE, tokens.BYTE)
+    texts = pa.array(["one two", None, "three\nfour", "", "five"])
+    ids, starts = encoder.encode(texts.slice(1, 3))
+    assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])] == [
+        [], library_ids(BYTE, "three\nfour"), []
+    ]
+    ids, starts = encoder.encode(texts.slice(0, 0))
+    assert len(ids) == 0 and starts.tolist() == [0]
+
+
+def test_pieces_hold_all_rows_in_order(monkeypatch):
+    monkeypatch.setattr(tokens, "BYTES_AT_ONCE", 10)
+    column = pa.array(["a" * n for n in (3, 3, 4, 30, 0, 0, 9, 2)] + [None])
+    batch = pa.RecordBatch.from_arrays([column], names=["text"])
+    found = [piece.column(0).to_pylist() for piece in tokens.pieces([batch, batch.slice(0, 0)], 0)]
+    assert sum(found, []) == column.to_pylist()
+    assert all(len(one) == 1 or sum(len(t or "") for t in one) <= 10 for one in found)
 
 
 def test_grammar_gives_back_every_range():
@@ -50,9 +91,31 @@ def test_grammar_gives_back_every_range():
 
 
 def test_grammar_shortens_what_repeats():
-    made = grammar.compress(np.tile(np.arange(10, dtype=np.uint32), 2000), rounds=12)
-    assert len(made.sequence) < 4000
-    assert made.expansions.max() >= 8
+    rng = np.random.default_rng(2)
+    for length, times in [(10, 2000), (1000, 60), (200, 5000)]:
+        passage = rng.integers(0, 49_000, length).astype(np.uint32)
+        made = grammar.compress(np.tile(passage, times))
+        assert len(made.sequence) + 3 * len(made.rules) < 4000
+
+
+def test_no_pair_is_left_that_pays():
+    rng = np.random.default_rng(4)
+    for kinds in (1, 2, 5, 300):
+        made = grammar.compress(rng.integers(0, kinds, 20_000).astype(np.uint32))
+        pairs = Counter()
+        before = None
+        for pair in zip(made.sequence[:-1].tolist(), made.sequence[1:].tolist()):
+            # A run of one symbol holds half as many pairs as places.
+            before = None if pair == before else pair
+            pairs[pair] += before is not None
+        assert max(pairs.values(), default=0) < grammar.LEAST_FREQUENCY
+
+
+def test_pairs_that_share_a_slot():
+    kinds = np.unique(np.random.default_rng(7).integers(0, 1 << 40, 5000).astype(np.uint64))
+    pairs = np.concatenate([kinds[::-1], np.arange(5000, dtype=np.uint64)])
+    where = {kind: at for at, kind in enumerate(kinds.tolist())}
+    assert grammar._places_of(kinds, pairs).tolist() == [where.get(p, -1) for p in pairs.tolist()]
 
 
 def test_token_table(spark, monkeypatch):
