@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from klaxon.llm.batches import schema_of, slices, to_batch
 from klaxon.llm.components import connected_components
+from klaxon.llm.numbering import partitions_of, ranked
 from klaxon.llm.superminhash import band_numbers, signatures
 from klaxon.llm.words import mixed, shingle_set
+from klaxon.operators.joins import left_join_measured
 from klaxon.session import settle, store
 
 TILE = 128
@@ -34,17 +36,23 @@ STEPS = 20
 # Rows of tiles sent to all tasks, of 32 bytes each.
 MOST_SENT = 500_000
 
-PRINTS = "doc_id bigint, n_shingles bigint, digest bigint, check bigint, bands array<bigint>"
+PRINTS = "doc_id bigint, key bigint, n_shingles bigint, digest bigint, check bigint, bands array<bigint>"
 LINKS = "bucket bigint, a bigint, b bigint, similarity double"
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    number = F.col("doc_id").cast("bigint").alias("doc_id")
+    return docs.select(number, F.xxhash64("text").alias("key"), "text")
+
+
 def fingerprints(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """Size, digest and bands of the shingle set of every text; no bands for an empty set."""
+    """Size, digest and bands of the shingle set of every text; no bands for an empty set. The key
+    tells texts of one doc_id apart."""
     salt = np.uint64(0xD6E8FEB86659FD93)
 
     def prints(batches):
         for some in slices(batches):
-            sets = [shingle_set(text, width) for text in some.column(1).to_pylist()]
+            sets = [shingle_set(text, width) for text in some.column(2).to_pylist()]
             numbers = band_numbers(signatures(sets, bands * rows), bands, rows)
             digests = [int(mixed(one).sum(dtype=np.uint64).view(np.int64)) for one in sets]
             checks = [int(mixed(one ^ salt).sum(dtype=np.uint64).view(np.int64)) for one in sets]
@@ -54,6 +62,7 @@ def fingerprints(docs: DataFrame, width: int, bands: int, rows: int) -> DataFram
             yield pa.RecordBatch.from_arrays(
                 [
                     some.column(0),
+                    some.column(1),
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.int64()),
                     pa.array(checks, pa.int64()),
@@ -64,8 +73,7 @@ def fingerprints(docs: DataFrame, width: int, bands: int, rows: int) -> DataFram
                 schema=schema_of(PRINTS),
             )
 
-    chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return chosen.mapInArrow(prints, PRINTS)
+    return _keyed(docs).mapInArrow(prints, PRINTS)
 
 
 # -- comparing the nodes of a tile ------------------------------------------------------
@@ -238,18 +246,8 @@ def _rest_tiles(seen: DataFrame, joined: DataFrame, reach: float) -> DataFrame:
     )
 
 
-def near_duplicates(
-    docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 30, rows: int = 4
-) -> DataFrame:
-    """Groups of documents linked by a Jaccard similarity of ``percent`` of their shingles.
-
-    Returns doc_id, n_shingles, component_id (smallest doc_id that links reach) and kept
-    (doc_id is that smallest one) for every row of ``docs``; other columns play no part.
-    Documents without words are linked with nothing, rows without doc_id too: their
-    component is null and they are kept. ``doc_id`` is expected to be unique; repeated rows
-    come back as often as they occur.
-    """
-    prints = store(fingerprints(docs, width, bands, rows), "fingerprints")
+def _linked(docs, prints, width, percent) -> DataFrame:
+    """(doc_id, key, n_shingles, component) for every row; each doc_id has one text."""
     same = ["n_shingles", "digest", "check"]
     filled = prints.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     nodes = filled.groupBy(*same).agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
@@ -264,42 +262,101 @@ def near_duplicates(
         more = _compare(rest, texts, width, percent).select("a", "b")
         joined = connected_components(links.select("a", "b").unionByName(more))
     labels = nodes.join(joined, nodes["node"] == joined["id"], "left").select(
-        *same, F.coalesce("component", "node").alias("component_id")
+        *same, F.coalesce("component", "node").alias("component")
     )
-    found = prints.join(labels, same, "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    component = F.when(F.col("doc_id").isNotNull(), component)
+    # Equal texts of any number have one label.
+    found = left_join_measured(prints.drop("bands"), labels, same)
+    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
     return found.select(
         "doc_id",
+        "key",
+        "n_shingles",
+        F.when(F.col("doc_id").isNotNull(), component).alias("component"),
+    )
+
+
+def _judged(docs, width, percent, bands, rows) -> DataFrame:
+    """(doc_id, key, n_shingles, component_id, kept) for every row of ``docs``."""
+    prints = store(fingerprints(docs, width, bands, rows), "fingerprints")
+    keys = prints.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min("key").alias("least"), F.max("key").alias("most")
+    )
+    if keys.filter("least != most").isEmpty():
+        found = _linked(docs, prints, width, percent)
+        return found.select(
+            "doc_id",
+            "key",
+            "n_shingles",
+            F.col("component").alias("component_id"),
+            F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"),
+        )
+    # Different texts of one doc_id take numbers of their own, in the order of their ids.
+    order = ["doc_id", "key"]
+    numbers = prints.filter("doc_id IS NOT NULL").select(*order).distinct()
+    parts = partitions_of(docs.sparkSession)
+    placed = settle(numbers.repartitionByRange(parts, *order).sortWithinPartitions(*order))
+    numbers = store(ranked(placed, [], "number"), "numbers")
+
+    def numbered(some: DataFrame) -> DataFrame:
+        with_number = left_join_measured(some, numbers, order)
+        return with_number.drop("doc_id").withColumnRenamed("number", "doc_id")
+
+    found = _linked(numbered(_keyed(docs)), store(numbered(prints), "fingerprints"), width, percent)
+    own = numbers.select(F.col("number").alias("doc_id"), F.col("doc_id").alias("own_id"))
+    to = numbers.select(F.col("number").alias("component"), F.col("doc_id").alias("component_id"))
+    found = left_join_measured(left_join_measured(found, own, ["doc_id"]), to, ["component"])
+    return found.select(
+        F.col("own_id").alias("doc_id"),
+        "key",
         "n_shingles",
-        component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        "component_id",
+        F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"),
     )
 
 
+def near_duplicates(
+    docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 30, rows: int = 4
+) -> DataFrame:
+    """Groups of documents linked by a Jaccard similarity of ``percent`` of their shingles.
+
+    Returns doc_id, n_shingles, component_id (smallest doc_id that links reach) and kept
+    (the row stands for its group) for every row of ``docs``; other columns play no part.
+    Documents without words are linked with nothing, rows without doc_id too: their
+    component is null and they are kept. Rows of one doc_id with different texts are
+    judged each by its text: kept is then the first of its group in the order of ids, of one
+    id in that of a hash of its text. Equal rows come back as often as they occur.
+    """
+    return _judged(docs, width, percent, bands, rows).drop("key")
+
+
 def without_near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 30, rows: int = 4
 ) -> DataFrame:
     """One row of each group of ``docs``, all columns as they are: that of the smallest doc_id.
 
-    Rows that repeat a doc_id are copies of one document, of which that with the smallest
-    text stays. Rows without doc_id stay, as they cannot be told apart.
+    Rows are judged by doc_id and text, so a text never goes because another one has its
+    doc_id. Of rows with the same doc_id and text one stays, the first by its other columns.
+    Rows without doc_id stay, as they cannot be told apart.
     """
-    groups = near_duplicates(docs, width, percent, bands, rows)
-    per_id = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.count("*").alias("n"), F.bool_and("kept").alias("kept")
+    groups = _judged(docs, width, percent, bands, rows).filter("doc_id IS NOT NULL")
+    judged = groups.groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(
+        F.count("*").alias("_n"), F.bool_and("kept").alias("_kept")
     )
-    marked = store(per_id.filter("n > 1 OR NOT kept"), "marked")
-    gone = _sendable(marked.filter("NOT kept").select(F.col("doc_id").alias("_gone")))
-    docs = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    repeated = marked.filter("kept").select(F.col("doc_id").alias("_repeated"))
+    marked = store(judged.filter("_n > 1 OR NOT _kept"), "marked")
+    match = [docs["doc_id"] == F.col("_id"), F.xxhash64(docs["text"]) == F.col("_key")]
+    gone = _sendable(marked.filter("NOT _kept").select("_id", "_key"))
+    repeated = marked.filter("_kept").select("_id", "_key")
     if repeated.isEmpty():
-        return docs
+        return docs.join(gone, match, "left_anti")
     repeated = _sendable(repeated)
-    match = docs["doc_id"] == repeated["_repeated"]
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    some = docs.join(repeated, match, "left_semi").withColumn("_n", first).filter("_n = 1")
-    return docs.join(repeated, match, "left_anti").unionByName(some.drop("_n"))
+    others = docs.join(_sendable(marked.select("_id", "_key")), match, "left_anti")
+    # The first of each task first, so that no task takes all copies of a row.
+    some = docs.join(repeated, match).withColumn("_part", F.spark_partition_id())
+    by = [F.col(name) for name, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    in_part, in_all = Window.partitionBy("_id", "_key", "_part"), Window.partitionBy("_id", "_key")
+    for window in (in_part, in_all):
+        some = some.withColumn("_n", F.row_number().over(window.orderBy(*by))).filter("_n = 1")
+    return others.unionByName(some.select(*docs.columns))
 
 
 def _sendable(ids: DataFrame) -> DataFrame:

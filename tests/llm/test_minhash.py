@@ -66,6 +66,30 @@ def test_stage_keeps_one_row_of_each_group(spark):
     assert sorted(i or 0 for i in ids) == [0, 1, 4, 5, 6, 7, 9, 10, 11, 14]
 
 
+def test_rows_of_one_id_are_judged_by_their_texts(spark):
+    a, b, c = made_text(31, 60), made_text(32, 60), made_text(33, 60)
+    rows = [(1, a), (1, b), (2, b + " end"), (3, c), (3, c), (None, b), (4, None), (4, a)]
+    docs = documents(spark, rows)
+    kept = sorted(((r["doc_id"], r["text"]) for r in minhash.without_near_duplicates(docs).collect()), key=str)
+    some = [row for row in kept if row[1] in (b, b + " end") and row[0]]
+    assert some == [(1, b)]
+    assert kept == sorted([(1, a), (1, b), (3, c), (None, b), (4, None)], key=str)
+    found = minhash.near_duplicates(docs).collect()
+    assert len(found) == len(rows)
+    expected_rows = {
+        (1, 1, True), (2, 1, False), (3, 3, True), (None, None, True), (4, 4, True), (4, 1, False)
+    }
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in found} == expected_rows
+
+
+def test_equal_rows_leave_the_first_by_other_columns(spark):
+    text = made_text(34, 30)
+    rows = [(1, text, lang, [k]) for k, lang in enumerate("dcba")] * 20 + [(2, "other words", "x", [9])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, more array<int>")
+    kept = minhash.without_near_duplicates(docs.repartition(7)).collect()
+    assert sorted((r["doc_id"], r["lang"], r["more"]) for r in kept) == [(1, "a", [3]), (2, "x", [9])]
+
+
 def test_empty_table(spark):
     docs = documents(spark, [])
     assert minhash.near_duplicates(docs).isEmpty()
