@@ -7,12 +7,18 @@ from klaxon.functions.conversions import (
     is_normal,
     is_spike,
 )
-from klaxon.functions.payload import decode_alerts, encode_alerts, payloads_mentioning
+from klaxon.functions.payload import (
+    checked_alerts,
+    decode_alerts,
+    encode_alerts,
+    payloads_mentioning,
+)
 
 __all__ = [
     "as_count",
     "as_window_date",
     "as_window_time",
+    "checked_alerts",
     "decode_alerts",
     "encode_alerts",
     "event_time",

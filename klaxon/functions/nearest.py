@@ -162,3 +162,42 @@ def common_runs(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarra
             left_order[left_starts[i]:left_starts[i] + left_sizes[i]],
             right_order[right_starts[j]:right_starts[j] + right_sizes[j]],
         )
+
+
+class NearestInBuckets:
+    """The ``k`` nearest corpus vectors of every query row among those of its bucket.
+
+    Small buckets are measured together, pair by pair in blocks of bounded size; a bucket
+    of many pairs by itself, where a product of matrices rules most pairs out.
+    """
+
+    def __init__(self, queries, corpus, ids, query_buckets, corpus_buckets, k: int):
+        small, parts = [], [(np.empty(0, np.int64), np.empty(0), ids[:0])]
+        pairs = 0
+        for q_rows, c_rows in common_runs(query_buckets, corpus_buckets):
+            size = len(q_rows) * len(c_rows)
+            if size > PAIR_BLOCK // 16:
+                nearest = Nearest(queries[q_rows], k)
+                nearest.add(ids[c_rows], corpus[c_rows])
+                parts.append((q_rows[nearest.rows], nearest.distances, nearest.ids))
+                continue
+            small.append((np.repeat(q_rows, len(c_rows)), np.tile(c_rows, len(q_rows))))
+            pairs += size
+            if pairs >= PAIR_BLOCK:
+                parts.append(_measured(queries, corpus, ids, small, k))
+                small, pairs = [], 0
+        if small:
+            parts.append(_measured(queries, corpus, ids, small, k))
+        self.rows, self.distances, self.ids = (np.concatenate(one) for one in zip(*parts))
+        # A query row is in one bucket, so its neighbours lie together.
+        self.ranks = (_place_in_run(self.rows) + 1).astype(np.int32)
+
+
+def _measured(queries, corpus, ids, pairs, k):
+    """(query row, distance, id) of the best ``k`` per query row among pairs of rows."""
+    rows, columns = (np.concatenate(one) for one in zip(*pairs))
+    gap = queries[rows].astype(np.float64) - corpus[columns]
+    distances, found = np.einsum("ij,ij->i", gap, gap), ids[columns]
+    order = np.lexsort((found, distances, rows))
+    order = order[_place_in_run(rows[order]) < k]
+    return rows[order], distances[order], found[order]

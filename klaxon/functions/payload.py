@@ -36,6 +36,26 @@ def decode_alerts(
     return alerts
 
 
+def checked_alerts(raw: DataFrame, fraction: str = "required", value: str = "value") -> DataFrame:
+    """Alerts with ``payload``, the text they came from, and ``problem``, NULL for sound ones.
+
+    ``not JSON`` has no alert in it: text that is no JSON, or JSON other than an object, or no
+    payload at all. ``no event time`` is an alert whose time is missing or in another form;
+    no window would count it.
+    """
+    corrupt = "_corrupt_record"
+    schema = T.StructType([*ALERT.fields, T.StructField(corrupt, T.StringType())])
+    payload = F.col(value).cast("string")
+    parsed = F.from_json(payload, schema, {"columnNameOfCorruptRecord": corrupt})
+    rows = raw.select(payload.alias("payload"), F.inline(F.array(parsed)))
+    rows = rows.withColumn("timestamp", event_time("timestamp", fraction))
+    # A top-level array of one object would be read as that object.
+    is_object = F.coalesce(F.regexp_like("payload", F.lit(r"^\s*\{")), F.lit(False))
+    bad = F.col(corrupt).isNotNull() | ~is_object
+    problem = F.when(bad, "not JSON").when(F.col("timestamp").isNull(), "no event time")
+    return rows.select(*ALERT.fieldNames(), "payload", problem.alias("problem"))
+
+
 def payloads_mentioning(raw: DataFrame, text: str, value: str = "value") -> DataFrame:
     """Payloads in which some field may equal ``text``, found without parsing them.
 

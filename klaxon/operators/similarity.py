@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from klaxon.functions.nearest import Nearest, common_runs, matrix, sortable_ids
+from klaxon.functions.nearest import Nearest, NearestInBuckets, matrix, sortable_ids
 from klaxon.operators.joins import fits_broadcast, left_join_settled
 from klaxon.session import settle, store
 
@@ -130,7 +130,20 @@ def knn_lsh(
         ]
         return store(rows.select(*df.columns, F.array(*buckets).alias("_buckets")), "hashed")
 
-    queries, corpus = hashed(queries), hashed(corpus)
+    found = compare_shared(hashed(queries), hashed(corpus), k, dim, schema, cell_rows)
+    # A pair that shares several buckets comes once for each.
+    return _best(found.drop("rank").distinct(), k, query_id, corpus_id)
+
+
+def compare_shared(
+    queries: DataFrame, corpus: DataFrame, k: int, dim: int, schema: T.StructType, cell_rows: int
+) -> DataFrame:
+    """Best ``k`` corpus rows of every query within each bucket that both have.
+
+    Both sides are stored and have an id, a vector and ``_buckets``, an array of numbers.
+    Full buckets are cut into cells of ``cell_rows`` on both sides.
+    """
+    query_id, corpus_id, vector = *schema.names[:2], queries.columns[1]
     bucket = F.explode("_buckets").alias("_bucket")
     sizes = (
         queries.select(bucket, F.lit(1).alias("_q"), F.lit(0).alias("_c"))
@@ -143,12 +156,17 @@ def knn_lsh(
 
     shared = settle(
         sizes.filter((F.col("_q") > 0) & (F.col("_c") > 0)).select(
-            "_bucket", cells("_q").alias("_q_cells"), cells("_c").alias("_c_cells")
+            "_bucket",
+            cells("_q").alias("_q_cells"),
+            cells("_c").alias("_c_cells"),
+            (F.col("_q") + F.col("_c")).alias("_rows"),
         )
     )
+    placed_rows = shared.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+    shared = shared.drop("_rows")
     few = fits_broadcast(shared)
     full = shared.filter((F.col("_q_cells") > 1) | (F.col("_c_cells") > 1))
-    slots = max(1, math.ceil(tables * (queries.count() + corpus.count()) / cell_rows))
+    slots = max(1, math.ceil(placed_rows / cell_rows))
 
     def placed(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
         rows = df.select(key, vector, bucket)
@@ -168,14 +186,12 @@ def knn_lsh(
             F.explode(F.sequence(F.lit(0), other_cells - 1)).alias(other),
         )
 
-    found = _cogroup(
+    return _cogroup(
         placed(queries, query_id, "_q_cell", "_c_cell"),
         placed(corpus, corpus_id, "_c_cell", "_q_cell"),
         ["_slot", "_q_cell", "_c_cell"],
         k, dim, schema, (query_id, corpus_id, vector, "_bucket"),
     )
-    # A pair that shares several buckets comes once for each.
-    return _best(found.drop("rank").distinct(), k, query_id, corpus_id)
 
 
 def _rows_within(size: int, dim: int) -> int:
@@ -294,14 +310,12 @@ def _cogroup(queries, corpus, cell, k, dim, schema, columns) -> DataFrame:
             q_vectors = matrix(left.column("_q_vector"), dim)
             c_vectors = matrix(right.column("_c_vector"), dim)
             if bucket is None:
-                runs = [(slice(None), slice(None))]
+                nearest = Nearest(q_vectors, k)
+                nearest.add(ids, c_vectors)
             else:
-                runs = common_runs(left.column(bucket).to_numpy(), right.column(bucket).to_numpy())
-            for q_rows, c_rows in runs:
-                nearest = Nearest(q_vectors[q_rows], k)
-                nearest.add(ids[c_rows], c_vectors[c_rows])
-                some = query_ids if bucket is None else query_ids.take(pa.array(q_rows))
-                batches.append(_answer(nearest, some, corpus_ids.type, names))
+                buckets = left.column(bucket).to_numpy(), right.column(bucket).to_numpy()
+                nearest = NearestInBuckets(q_vectors, c_vectors, ids, *buckets, k)
+            batches.append(_answer(nearest, query_ids, corpus_ids.type, names))
         if not batches:
             nothing = Nearest(np.empty((0, dim)), k)
             batches.append(_answer(nothing, query_ids, corpus_ids.type, names))

@@ -18,12 +18,15 @@ def counts_of_stream(
     severity: str = "HIGH",
     watermark: str = "1 minute",
     fraction: str = "required",
+    time_of: str = "chosen",
 ) -> DataFrame:
     """Window counts of JSON payloads; also takes a bounded frame."""
     require_utc(raw.sparkSession)
-    # Alerts of other severities count for nothing, so most of them need no parsing.
-    alerts = decode_alerts(payloads_mentioning(raw, severity), fraction, COUNTED)
-    return severity_counts(alerts, window, severity, watermark)
+    if time_of == "chosen":
+        # Alerts of other severities count for nothing, so most of them need no parsing.
+        raw = payloads_mentioning(raw, severity)
+    alerts = decode_alerts(raw, fraction, COUNTED)
+    return severity_counts(alerts, window, severity, watermark, time_of)
 
 
 def count_stream(

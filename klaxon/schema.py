@@ -68,3 +68,12 @@ HISTORY = _struct(
     resolution=_TEXT,
     mean_time_to_fix=T.IntegerType(),
 )
+
+# Groups of alerts that a batch of a stream dropped as late.
+DROPPED = _struct(
+    query_id=_TEXT,
+    query_name=_TEXT,
+    batch_id=T.LongType(),
+    watermark=_TEXT,
+    dropped=T.LongType(),
+)

@@ -95,6 +95,43 @@ def start_both(
     return _writer(stream, checkpoint, trigger, name).foreachBatch(write).start()
 
 
+def start_checked(
+    checked: DataFrame,
+    path: str,
+    quarantine: str,
+    checkpoint: str,
+    trigger: str | None = TRIGGER,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Append sound alerts of a stream (``checked_alerts``) to ``path``, the others to ``quarantine``.
+
+    Both are Parquet tables with a folder ``batch_id=N`` for each batch, which a batch that runs
+    again replaces, so a restart neither loses nor repeats rows on either side. The folders
+    belong to one query, as those of :func:`start_both`. The quarantine keeps payload and
+    problem, from which the alerts can be sent again once mended; a batch without such
+    payloads leaves no folder there.
+    """
+    owned = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if not owned:
+            owned.extend([_own(spark, path), _own(spark, quarantine)])
+        # Parsed once for both; what an executor loses with its cache is parsed again.
+        batch = batch.persist()
+        try:
+            sound = batch.filter("problem IS NULL").drop("payload", "problem")
+            sound.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+            others = batch.filter("problem IS NOT NULL").select("payload", "problem")
+            target = f"{quarantine.rstrip('/')}/batch_id={batch_id}"
+            if not others.isEmpty():
+                others.write.mode("overwrite").parquet(target)
+        finally:
+            batch.unpersist()
+
+    return _writer(checked, checkpoint, trigger, name).foreachBatch(write).start()
+
+
 def _own(spark, path: str) -> str:
     """Claim an output folder for the running query, or fail if another one has it."""
     query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
