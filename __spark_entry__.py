@@ -16,19 +16,27 @@ from io import StringIO
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from klaxon import operators, plans, sinks, sources, streaming
-from klaxon.functions import decode_alerts, encode_alerts, event_time, incident_text, is_normal
-from klaxon.operators.embedding import embed, embed_with
+from klaxon.functions import (
+    checked_alerts,
+    decode_alerts,
+    encode_alerts,
+    event_time,
+    incident_text,
+    is_normal,
+)
+from klaxon.operators.embedding import embed, embed_weighted, embed_with, word_frequencies
+from klaxon.operators.pivots import knn_pivots
+from klaxon.operators.probing import ProbingIndex
 from klaxon.operators.similarity import knn_exact, knn_lsh
 from klaxon.session import new_folder, store
 
 WINDOW = "6 hours"
 DAY = date(2024, 1, 2)
+LAST_DAY = date(2024, 1, 28)
 NTZ = "timestamp_ntz"
 
 
@@ -257,13 +265,13 @@ def _closed_counts(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def _send(spark: SparkSession, alerts: DataFrame, inbox: str) -> None:
-    """One more file of JSON payloads for a stream of files."""
-    sinks.write_alerts(alerts.coalesce(1), "text", inbox)
+    """More files of JSON payloads for a stream of files, one per task."""
+    sinks.write_alerts(alerts, "text", inbox)
 
 
 def _count_inbox(spark: SparkSession, inbox: str, path: str, progress: str, **options) -> None:
-    """Work off the files of an inbox, one per batch, into Parquet and onto the console."""
-    raw = sources.stream_alerts(spark, "text", inbox, maxFilesPerTrigger="1")
+    """Work off what is new in an inbox, in one batch, into Parquet and onto the console."""
+    raw = sources.stream_alerts(spark, "text", inbox)
     # The console sink prints; whoever runs this query reads other things there.
     with redirect_stdout(StringIO()):
         query = plans.count_stream(raw, path, progress, trigger=None, window=WINDOW, **options)
@@ -305,10 +313,11 @@ def stream_json_counts(spark, sf_dir):
 def stream_late(spark, sf_dir):
     """The first third of the alerts comes again after all others, too late to count."""
     inbox, path = new_folder(spark, "inbox"), new_folder(spark, "run")
+    progress = new_folder(spark, "progress")
     thirds = _thirds(spark, sf_dir)
     for part in (*thirds, thirds[0]):
         _send(spark, part, inbox)
-    _count_inbox(spark, inbox, path, new_folder(spark, "progress"), console_rows=0)
+        _count_inbox(spark, inbox, path, progress, console_rows=0)
     return _closed_counts(spark, path)
 
 
@@ -340,6 +349,116 @@ def stream_to_day(spark, sf_dir):
     return stats.withColumn("avg_per_window", _rounded("avg_per_window"))
 
 
+def stream_all_windows(spark, sf_dir):
+    """What the stream has written and what it still holds when it ends: all windows."""
+    inbox, path = new_folder(spark, "inbox"), new_folder(spark, "run")
+    progress = new_folder(spark, "progress")
+    _send(spark, _all_alerts(spark, sf_dir), inbox)
+    _count_inbox(spark, inbox, path, progress, console_rows=0)
+    closed = _closed_counts(spark, path).withColumn("open", F.lit(False))
+    left = _bounds_as_ntz(streaming.open_windows(spark, progress))
+    return closed.unionByName(left.withColumn("open", F.lit(True)))
+
+
+def stream_time_of_all(spark, sf_dir):
+    """Alerts of every severity close windows; the last day's are LOW ones here."""
+    alerts = _all_alerts(spark, sf_dir)
+    last = F.col("timestamp") >= F.lit(LAST_DAY.isoformat()).cast(NTZ)
+    alerts = alerts.withColumn("severity", F.when(last, "LOW").otherwise(F.col("severity")))
+    inbox, path = new_folder(spark, "inbox"), new_folder(spark, "run")
+    _send(spark, alerts, inbox)
+    progress = new_folder(spark, "progress")
+    _count_inbox(spark, inbox, path, progress, console_rows=0, time_of="all")
+    return _closed_counts(spark, path)
+
+
+def stream_triggered(spark, sf_dir):
+    """Batches by processing time instead of all at once."""
+    inbox, path = new_folder(spark, "inbox"), new_folder(spark, "run")
+    _send(spark, _all_alerts(spark, sf_dir), inbox)
+    raw = sources.stream_alerts(spark, "text", inbox)
+    query = plans.count_stream(
+        raw, path, new_folder(spark, "progress"), "1 second", console_rows=0, window=WINDOW
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return _closed_counts(spark, path)
+
+
+def stream_dropped(spark, sf_dir):
+    """Groups of alerts that a stream dropped, as its listener wrote them: those of a day that
+    comes again behind all others."""
+    alerts = _all_alerts(spark, sf_dir)
+    day = operators.alerts_between(alerts, DAY, DAY + timedelta(days=1))
+    inbox, path = new_folder(spark, "inbox"), new_folder(spark, "run")
+    progress, dropped = new_folder(spark, "progress"), new_folder(spark, "dropped")
+    listener = streaming.DroppedRows(spark, dropped)
+    spark.streams.addListener(listener)
+    try:
+        # The watermark that drops is that of the batch before the last.
+        for part in (alerts, day.filter("severity != 'HIGH'"), day):
+            _send(spark, part, inbox)
+            _count_inbox(spark, inbox, path, progress, console_rows=0)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(listener)
+    return streaming.read_dropped(spark, dropped).agg(F.sum("dropped").alias("dropped"))
+
+
+def _quarantined(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Folders of sound alerts and of payloads with a problem; every thirteenth alert is no JSON,
+    the one behind it has no time."""
+    alerts = _all_alerts(spark, sf_dir)
+    number = F.substring("key", 2, 20).cast("bigint") % 13
+    lost = F.concat(F.lit('{"incident_id":"'), "key", F.lit('","severity":"HIGH"}'))
+    payload = F.when(number == 5, F.concat(F.lit("broken {"), "key")).when(number == 6, lost)
+    payloads = encode_alerts(alerts, key="incident_id")
+    inbox = new_folder(spark, "inbox")
+    payloads.select(F.coalesce(payload, "value").alias("value")).write.text(inbox)
+    sound, others = new_folder(spark, "sound"), new_folder(spark, "quarantine")
+    checked = checked_alerts(sources.stream_alerts(spark, "text", inbox))
+    query = streaming.start_checked(checked, sound, others, new_folder(spark, "progress"), None)
+    query.awaitTermination()
+    return sound, others
+
+
+def quarantine(spark, sf_dir):
+    return spark.read.parquet(_quarantined(spark, sf_dir)[1]).select("payload", "problem")
+
+
+def quarantine_counts(spark, sf_dir):
+    alerts = spark.read.parquet(_quarantined(spark, sf_dir)[0])
+    return _bounds_as_ntz(operators.severity_counts(alerts, WINDOW))
+
+
+def metrics_rerun(spark, sf_dir):
+    """Metrics by day, of which one day is computed again and replaced alone."""
+    counts = store(_counts(spark, sf_dir), "counts")
+    path = new_folder(spark, "metrics")
+    sinks.write_metrics(counts, path, "parquet", ["window_date"])
+    again = operators.for_day(counts, DAY)
+    again = again.withColumn("high_severity_count", F.col("high_severity_count") * 10)
+    sinks.write_metrics(again, path, "parquet", ["window_date"], replace="partitions")
+    return spark.read.parquet(path).drop("window_date")
+
+
+def empty_run(spark, sf_dir):
+    """A run that has written nothing yet adds nothing to another one."""
+    counts = store(_counts(spark, sf_dir), "counts")
+    path = new_folder(spark, "run")
+    sinks.write_metrics(counts.limit(0), path)
+    nothing = _bounds_as_ntz(sources.read_metrics(spark, path)).select(*counts.columns)
+    return sources.union_runs(counts, nothing)
+
+
+def series_order(spark, sf_dir):
+    """Points in the order of time with their place in it."""
+    points = operators.series(_counts(spark, sf_dir), threshold=10)
+    return operators.with_places(operators.in_time_order(points))
+
+
 # -- similarity -----------------------------------------------------------------------
 
 
@@ -370,46 +489,74 @@ def _vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return queries, vectors.select(F.col("vec_id").alias("id"), "embedding")
 
 
-def _centres(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean vector of each label: queries whose number does not grow with the table."""
-    mean = Summarizer.mean(array_to_vector("embedding"))
-    centres = _table(spark, sf_dir, "embeddings").groupBy("label").agg(mean.alias("mean"))
-    vector = vector_to_array("mean").alias("embedding")
-    return store(centres.select(F.col("label").alias("query_id"), vector), "centres")
+def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fiftieth vector as a query."""
+    return _vectors(spark, sf_dir)[0].filter("query_id % 50 = 0")
+
+
+def _few(spark: SparkSession, sf_dir: str) -> int:
+    """A bound that the queries keep and the corpus does not; it stands for a corpus as large as
+    the small tables do not have."""
+    return 8 * 64 * max(1, _asked(spark, sf_dir).count())
 
 
 def knn(spark, sf_dir):
-    """The vectors nearest to the centre of each label."""
-    found = knn_exact(_centres(spark, sf_dir), _vectors(spark, sf_dir)[1], 5)
+    """The vectors nearest to every fiftieth one."""
+    found = knn_exact(_asked(spark, sf_dir), _vectors(spark, sf_dir)[1], 5)
     return found.withColumn("l2", _rounded("l2"))
 
 
 def knn_sent(spark, sf_dir):
-    """As above by the route for few queries on a large corpus: bounds as low as these stand
-    for a corpus as large as the small tables do not have."""
-    corpus = _vectors(spark, sf_dir)[1]
-    found = knn_exact(_centres(spark, sf_dir), corpus, 5, ship_bytes=8 * 64 * 50)
+    """As above by the route for few queries on a large corpus."""
+    corpus, few = _vectors(spark, sf_dir)[1], _few(spark, sf_dir)
+    found = knn_exact(_asked(spark, sf_dir), corpus, 5, ship_bytes=few)
     return found.withColumn("l2", _rounded("l2"))
 
 
 def knn_cells(spark, sf_dir):
-    """As above by the route for two large sides."""
+    """As above by the route that compares two large sides whole."""
     corpus = _vectors(spark, sf_dir)[1]
-    found = knn_exact(_centres(spark, sf_dir), corpus, 5, ship_bytes=0, cell_bytes=8 * 64 * 256, all_pairs=True)
+    found = knn_exact(_asked(spark, sf_dir), corpus, 5, ship_bytes=0, cell_bytes=8 * 64 * 256, all_pairs=True)
     return found.withColumn("l2", _rounded("l2"))
 
 
+def knn_by_pivots(spark, sf_dir):
+    """As above by cells around pivots, of which a query visits those that its bound allows."""
+    found = knn_pivots(_asked(spark, sf_dir), _vectors(spark, sf_dir)[1], 5)
+    return found.withColumn("l2", _rounded("l2"))
+
+
+def knn_recall(spark, sf_dir):
+    """Probed against exact neighbours of every fiftieth vector: how many there are, the sum of
+    their distances, whether nine tenths were found, and by comparing less than a fifth."""
+    everything, corpus = _vectors(spark, sf_dir)
+    asked = store(_asked(spark, sf_dir), "asked")
+    index = ProbingIndex(corpus)
+    plan = index.plan(everything, 5)
+    exact = store(knn_exact(asked, corpus, 5), "exact")
+    found = index.search(asked, 5, plan).select("query_id", "id", F.lit(1).alias("hit"))
+    hits = exact.join(found, ["query_id", "id"], "left").select("query_id", "l2", "hit")
+    compared = index.probes(asked, plan).select(F.col("_compared").alias("compared"))
+    pairs = F.count_distinct("query_id") * index.rows
+    return hits.unionByName(compared, allowMissingColumns=True).agg(
+        F.count("l2").alias("neighbours"),
+        F.round(F.sum("l2"), 6).alias("l2"),
+        (F.count("hit") >= 0.9 * F.count("l2")).alias("recalled"),
+        (F.sum("compared") < 0.2 * pairs).alias("below_a_fifth"),
+    )
+
+
 def knn_repeated_ids(spark, sf_dir):
     """A corpus in which every id names two vectors, by all three routes."""
     corpus = _vectors(spark, sf_dir)[1].withColumn("id", F.floor(F.col("id") / 2))
-    centres = _centres(spark, sf_dir)
+    asked, few = _asked(spark, sf_dir), _few(spark, sf_dir)
     routes = {
         "corpus sent": {},
-        "queries sent": {"ship_bytes": 8 * 64 * 50},
+        "queries sent": {"ship_bytes": few},
         "cells": {"ship_bytes": 0, "cell_bytes": 8 * 64 * 256, "all_pairs": True},
     }
     found = [
-        knn_exact(centres, corpus, 5, **options).withColumn("route", F.lit(route))
+        knn_exact(asked, corpus, 5, **options).withColumn("route", F.lit(route))
         for route, options in routes.items()
     ]
     return reduce(DataFrame.unionByName, found).withColumn("l2", _rounded("l2"))
@@ -445,6 +592,14 @@ def embed_text(spark, sf_dir):
     return facts.join(same, "digest").select("doc_id", "length", "sparse", "one_vector")
 
 
+def weighted_text(spark, sf_dir):
+    """Sum of a text's word weights, by how rare the words are in all documents."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    frequencies = store(word_frequencies(documents), "frequencies")
+    vectors = embed_weighted(documents, frequencies, documents.count())
+    return vectors.select("doc_id", _rounded("weight", 4), F.size("embedding").alias("dimension"))
+
+
 def embed_model(spark, sf_dir):
     """A model of the caller's; here characters and lines of a text stand in for one."""
 
@@ -467,6 +622,16 @@ def vector_table(spark, sf_dir):
     return spark.read.parquet(path).select("vec_id", "label", F.size("embedding").alias("dimension"))
 
 
+def vector_upkeep(spark, sf_dir):
+    """A corpus to which every fiftieth vector comes again with another label."""
+    vectors, path = _table(spark, sf_dir, "embeddings"), new_folder(spark, "vectors")
+    sinks.upsert_vectors(vectors, path, key="vec_id", buckets=64)
+    changed = vectors.filter("vec_id % 50 = 0").withColumn("label", F.col("label") + 100)
+    sinks.upsert_vectors(changed, path, key="vec_id")
+    found = sinks.read_vectors(spark, path)
+    return found.select("vec_id", "label", F.size("embedding").alias("dimension"))
+
+
 def indexed_count(spark, sf_dir):
     path = new_folder(spark, "vectors")
     sinks.write_vectors(_table(spark, sf_dir, "embeddings"), path, key="vec_id")
@@ -562,16 +727,29 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_restart": stream_restart,
         "replayed_runs": replayed_runs,
         "stream_to_day": stream_to_day,
+        "stream_all_windows": stream_all_windows,
+        "stream_time_of_all": stream_time_of_all,
+        "stream_triggered": stream_triggered,
+        "stream_dropped": stream_dropped,
+        "quarantine": quarantine,
+        "quarantine_counts": quarantine_counts,
+        "metrics_rerun": metrics_rerun,
+        "empty_run": empty_run,
+        "series_order": series_order,
         "incident_text": incident_texts,
         "history_csv": history_csv,
         "knn_exact": knn,
         "knn_sent": knn_sent,
         "knn_cells": knn_cells,
         "knn_repeated_ids": knn_repeated_ids,
+        "knn_pivots": knn_by_pivots,
+        "knn_recall": knn_recall,
         "knn_lsh": knn_near,
         "embed_text": embed_text,
+        "weighted_text": weighted_text,
         "embed_model": embed_model,
         "vector_table": vector_table,
+        "vector_upkeep": vector_upkeep,
         "indexed_count": indexed_count,
         "similar_incidents": similar_incidents,
     }
@@ -605,6 +783,7 @@ def oracle_sql() -> dict[str, str]:
     """SQL with the same result. Hashed vectors, hash buckets and what follows from them
     cannot be expressed and have none; tests check them against brute force."""
     alerts, counts, short = f"WITH {_ALERTS}", f"WITH {_counts_sql()}", f"WITH {_counts_sql('10 seconds')}"
+    early = f"\"timestamp\" < TIMESTAMP '{LAST_DAY}'"
     day = "window_start >= TIMESTAMP '2024-01-02' AND window_start < TIMESTAMP '2024-01-03'"
     total = "CAST(sum(high_severity_count) AS BIGINT)"
     average = "round(avg(high_severity_count), 6)"
@@ -617,16 +796,12 @@ def oracle_sql() -> dict[str, str]:
            system, window_start, window_end, high_severity_count FROM counts"""
     closed = f"""{counts} SELECT * FROM counts WHERE window_end <=
       (SELECT max("timestamp") - INTERVAL '1 minute' FROM alerts WHERE severity = 'HIGH')"""
-    pairs = """WITH elements AS (
-      SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding) AS x
-      FROM embeddings), means AS (
-      SELECT label, i, avg(CAST(x AS DOUBLE)) AS x FROM elements GROUP BY label, i), centres AS (
-      SELECT label AS query_id, list(x ORDER BY i) AS centre FROM means GROUP BY label), pairs AS (
-      SELECT q.query_id, c.vec_id AS id,
+    pairs = """WITH pairs AS (
+      SELECT q.vec_id AS query_id, c.vec_id AS id,
              list_sum(list_transform(
-               list_zip(q.centre, CAST(c.embedding AS DOUBLE[])),
+               list_zip(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])),
                lambda s: (s[1] - s[2]) * (s[1] - s[2]))) AS l2
-      FROM centres q CROSS JOIN embeddings c), ranked AS (
+      FROM embeddings q CROSS JOIN embeddings c WHERE q.vec_id % 50 = 0), ranked AS (
       SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY l2, id) AS place FROM pairs)"""
     neighbours = f"""{pairs} SELECT query_id, id, round(l2, 6) AS l2, CAST(place AS INTEGER) AS rank
       FROM ranked WHERE place <= 5"""
@@ -692,6 +867,43 @@ def oracle_sql() -> dict[str, str]:
         "stream_to_day": f"""WITH closed AS ({closed})
              SELECT system, {total} AS total_high_severity, {average} AS avg_per_window
              FROM closed WHERE {day} GROUP BY system""",
+        "stream_all_windows": f"""{counts} SELECT *, window_end >
+             (SELECT max("timestamp") - INTERVAL '1 minute' FROM alerts WHERE severity = 'HIGH') AS open
+             FROM counts""",
+        "stream_time_of_all": f"""{counts.replace("severity = 'HIGH' AND", f"severity = 'HIGH' AND {early} AND")}
+             SELECT * FROM counts WHERE window_end <=
+             (SELECT max("timestamp") - INTERVAL '1 minute' FROM alerts)""",
+        "stream_triggered": closed,
+        "stream_dropped": f"""{counts} SELECT CAST(count(*) AS BIGINT) AS dropped
+             FROM counts WHERE {day}""",
+        "quarantine": f"""{alerts} SELECT CASE WHEN substr(incident_id, 2)::BIGINT % 13 = 5
+               THEN 'broken {{' || incident_id
+               ELSE '{{"incident_id":"' || incident_id || '","severity":"HIGH"}}' END AS payload,
+             CASE WHEN substr(incident_id, 2)::BIGINT % 13 = 5 THEN 'not JSON'
+               ELSE 'no event time' END AS problem
+             FROM alerts WHERE substr(incident_id, 2)::BIGINT % 13 IN (5, 6)""",
+        "quarantine_counts": f"""{counts.replace('"timestamp" IS NOT NULL', "substr(incident_id, 2)::BIGINT % 13 NOT IN (5, 6)")}
+             SELECT * FROM counts""",
+        "metrics_rerun": f"""{counts} SELECT * REPLACE (CASE WHEN {day}
+             THEN 10 * high_severity_count ELSE high_severity_count END AS high_severity_count)
+             FROM counts""",
+        "empty_run": f"{counts} SELECT * FROM counts",
+        "series_order": f"""{counts}, points AS ({points})
+             SELECT *, row_number() OVER (ORDER BY window_start, window_end, system) AS place
+             FROM points""",
+        "knn_pivots": neighbours,
+        "knn_recall": f"""{pairs} SELECT count(*) AS neighbours, round(sum(l2), 6) AS l2,
+             true AS recalled, true AS below_a_fifth FROM ranked WHERE place <= 5""",
+        "weighted_text": r"""WITH words AS (
+             SELECT doc_id, unnest(regexp_extract_all(lower(text), '[^\s\x0b]+')) AS word FROM documents),
+             counted AS (SELECT doc_id, word, count(*) AS n FROM words GROUP BY ALL),
+             known AS (SELECT word, count(*) AS m FROM counted GROUP BY word),
+             weights AS (SELECT doc_id, sum(n * ln(((SELECT count(*) FROM documents) + 1.0::DOUBLE)
+               / (m + 1.0::DOUBLE))) AS weight FROM counted JOIN known USING (word) GROUP BY doc_id)
+             SELECT doc_id, round(coalesce(weight, 0), 4) AS weight, 256::INTEGER AS dimension
+             FROM documents LEFT JOIN weights USING (doc_id)""",
+        "vector_upkeep": """SELECT vec_id, CAST(label + CASE WHEN vec_id % 50 = 0 THEN 100 ELSE 0 END
+             AS INTEGER) AS label, CAST(len(embedding) AS INTEGER) AS dimension FROM embeddings""",
         "unknown_times": f"""{counts.replace('"timestamp" IS NOT NULL', "CAST(substr(incident_id, 2) AS BIGINT) % 7 != 0")}
              SELECT * FROM counts""",
         "incident_text": f"""{alerts} SELECT incident_id,

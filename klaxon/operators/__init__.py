@@ -18,6 +18,7 @@ from klaxon.operators.summary import (
     series,
     system_list,
     system_summary,
+    with_places,
 )
 from klaxon.operators.windows import alerts_between, severity_counts
 
@@ -41,4 +42,5 @@ __all__ = [
     "system_summary",
     "totals",
     "typed_counts",
+    "with_places",
 ]

@@ -7,10 +7,13 @@ import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from klaxon.operators.joins import left_join_measured
+from klaxon.session import store
+
 DIMENSION = 256
 
 
@@ -35,6 +38,72 @@ def embed(
     return hashed.select(*df.columns, vector.alias(output))
 
 
+def word_frequencies(df: DataFrame, text: str = "text") -> DataFrame:
+    """(word, documents): in how many texts of ``df`` each word occurs, words as 64-bit hashes.
+
+    One row per text and distinct word shuffles at most, combined on the map side.
+    """
+    words = df.select(F.explode(F.array_distinct(_word_hashes(text))).alias("word"))
+    return words.groupBy("word").agg(F.count("*").alias("documents"))
+
+
+def embed_weighted(
+    df: DataFrame,
+    frequencies: DataFrame,
+    documents: int,
+    text: str = "text",
+    output: str = "embedding",
+    dimension: int = DIMENSION,
+) -> DataFrame:
+    """Word frequencies weighted by rarity, hashed to ``dimension`` numbers, of unit length.
+
+    ``frequencies`` (:func:`word_frequencies`) come from a corpus of so many ``documents``. A word
+    that occurs ``n`` times in a text and in ``m`` documents weighs n * ln((documents + 1) / (m +
+    1)); a word unknown to the corpus weighs as if m were 0. So words that all incidents share,
+    which lead an unweighted search astray, count for little.
+
+    The frequencies grow with the vocabulary and are joined to the words of the texts: sent if
+    they are measured to be few, else by a shuffle in which frequent words are cut up. Every
+    row is weighed by itself, repeated keys included. Returns ``df`` with the vector and
+    ``weight``, the sum of a text's weights; both NULL for NULL text. A text without words, or
+    of words alone that all documents have, has length 0.
+    """
+    row = "_row"
+    # Stored, as a row's number has to be the same on both ways.
+    given = store(df.withColumn(row, F.monotonically_increasing_id()), "texts")
+    words = given.select(row, F.explode(_word_hashes(text)).alias("word"))
+    words = words.groupBy(row, "word").agg(F.count("*").alias("n"))
+    known = left_join_measured(words, frequencies.select("word", "documents"), ["word"])
+    rarity = F.ln((F.lit(documents) + 1.0) / (F.coalesce("documents", F.lit(0)) + 1.0))
+    place = F.pmod("word", F.lit(dimension)).cast("int").alias("place")
+    weighed = known.select(row, place, (F.col("n") * rarity).alias("w"))
+    # At most ``dimension`` numbers per text come together.
+    places = weighed.groupBy(row, "place").agg(F.sum("w").alias("w"))
+    entry = F.struct("place", "w")
+    texts = places.groupBy(row).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("_entries"),
+        F.sum("w").alias("weight"),
+        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_length"),
+    )
+    numbers = F.transform(
+        F.sequence(F.lit(0), F.lit(dimension - 1)),
+        lambda at: F.coalesce(F.try_divide(F.col("_entries")[at], F.col("_length")), F.lit(0.0)),
+    )
+    zeros = F.array_repeat(F.lit(0.0), dimension)
+    joined = given.join(texts, row, "left")
+    vector = F.coalesce(F.when(F.col("_entries").isNotNull(), numbers), zeros)
+    return joined.select(
+        *df.columns,
+        F.when(F.col(text).isNotNull(), vector.cast("array<float>")).alias(output),
+        F.when(F.col(text).isNotNull(), F.coalesce("weight", F.lit(0.0))).alias("weight"),
+    )
+
+
+def _word_hashes(text: str) -> Column:
+    words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+")
+    return F.transform(F.array_remove(words, ""), lambda word: F.xxhash64(word))
+
+
 def embed_with(
     df: DataFrame,
     load_model: Callable[[], Callable[[Sequence[str]], np.ndarray]],

@@ -4,10 +4,11 @@ Here a window without system belongs to no system, but counts in the grand total
 sum over nothing is 0.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from klaxon.functions.conversions import SPIKE_THRESHOLD, is_normal, is_spike
+from klaxon.session import settle
 
 COUNT = "high_severity_count"
 ALL_SYSTEMS = "All"
@@ -80,3 +81,21 @@ def in_time_order(counts: DataFrame) -> DataFrame:
         .orderBy(*[F.asc_nulls_last(key) for key in keys], "_part")
         .drop("_part")
     )
+
+
+def with_places(ordered: DataFrame, place: str = "place") -> DataFrame:
+    """A frame in global order with the place of each row from 1, without gathering its rows.
+
+    The rows are kept partition by partition; a row's place is its own in its partition
+    behind those of the partitions before, of which only the sizes come together.
+    """
+    number = F.monotonically_increasing_id()
+    kept = settle(ordered).withColumn("_id", number).withColumn("_in", F.shiftright("_id", 33))
+    before = Window.orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = settle(kept.groupBy("_in").count()).select(
+        "_in", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before")
+    )
+    # A row per partition.
+    placed = kept.join(F.broadcast(sizes), "_in")
+    own = F.row_number().over(Window.partitionBy("_in").orderBy("_id"))
+    return placed.select(*ordered.columns, (F.col("_before") + own).cast("bigint").alias(place))
