@@ -29,6 +29,9 @@ SHARD_IDS = 1 << 20
 # A rule takes three numbers, so a pair pays from its fourth place on.
 LEAST_FREQUENCY = 4
 
+# Text that is encoded at once.
+TEXT_BYTES = 16 << 20
+
 SHARDS = (
     "part int, shard int, first_id bigint, n_ids bigint, terminals bigint, "
     "doc_ids binary, doc_missing binary, doc_lengths binary, "
@@ -213,7 +216,7 @@ def write_tokens(docs: DataFrame, out: str, path: str, end_id: int = 2) -> None:
                 _bytes(grammar.sequence),
             )
 
-        for some in pieces(batches, 1):
+        for some in pieces(batches, 1, TEXT_BYTES):
             found, starts = encode(some.column(1))
             for name, a, b in zip(some.column(0).to_pylist(), starts[:-1], starts[1:]):
                 names.append(name)

@@ -5,13 +5,15 @@ next tasks work; it goes when a task of another kind begins, so that a worker ne
 more than one kind.
 """
 
+import pyarrow as pa
+
 _kept = {}
 
 
 def remembered(key, make):
     """The object that ``make`` gave for ``key`` in this process, or a new one."""
     if key not in _kept:
-        _kept.clear()
+        forget()
         _kept[key] = make()
     return _kept[key]
 
@@ -19,3 +21,4 @@ def remembered(key, make):
 def forget():
     """Let go of everything, at the start of a task that remembers nothing."""
     _kept.clear()
+    pa.default_memory_pool().release_unused()

@@ -35,6 +35,8 @@ TILE = 128
 STEPS = 20
 # Rows of tiles sent to all tasks, of 32 bytes each.
 MOST_SENT = 500_000
+# Bytes of labels sent to all tasks.
+LABEL_BYTES = 16 << 20
 
 PRINTS = "doc_id bigint, key bigint, n_shingles bigint, digest bigint, check bigint, bands array<bigint>"
 LINKS = "bucket bigint, a bigint, b bigint, similarity double"
@@ -265,7 +267,7 @@ def _linked(docs, prints, width, percent) -> DataFrame:
         *same, F.coalesce("component", "node").alias("component")
     )
     # Equal texts of any number have one label.
-    found = left_join_measured(prints.drop("bands"), labels, same)
+    found = left_join_measured(prints.drop("bands"), labels, same, max_bytes=LABEL_BYTES)
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
     return found.select(
         "doc_id",

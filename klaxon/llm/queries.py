@@ -19,10 +19,11 @@ from klaxon.llm import (
     vectors,
     warc,
 )
-from klaxon.session import new_folder
+from klaxon.session import bound_batches, new_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

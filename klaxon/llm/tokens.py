@@ -26,8 +26,8 @@ from tokenizers import Tokenizer
 
 from klaxon.llm.memory import remembered
 
-# Bytes of text that are encoded at once; a longer text goes alone.
-BYTES_AT_ONCE = 16 << 20
+# Bytes of text that are encoded at once; a longer text goes alone. More spare more words.
+BYTES_AT_ONCE = 8 << 20
 # Bytes that a worker remembers of words without their marks, about, and what an entry takes
 # besides its key.
 WORD_BYTES = 64 << 20
@@ -210,17 +210,26 @@ class Encoder:
         return np.concatenate(pieces), starts
 
 
-def pieces(batches, column):
-    """Parts of batches with about ``BYTES_AT_ONCE`` of text in a column."""
+def pieces(batches, column, most=BYTES_AT_ONCE):
+    """Rows of batches, divided and put together so that each piece has about ``most`` bytes of text
+    in a column."""
+    held, size = [], 0
     for batch in batches:
-        sizes = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy())
+        lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start = 0
-        while start < len(batch):
-            before = sizes[start - 1] if start else 0
-            end = int(np.searchsorted(sizes, before + BYTES_AT_ONCE, side="right"))
-            end = max(start + 1, end)
-            yield batch.slice(start, end - start)
-            start = end
+        for at, length in enumerate(lengths):
+            if size and size + length > most:
+                yield _joined([*held, batch.slice(start, at - start)])
+                held, size, start = [], 0, at
+            size += length
+        held.append(batch.slice(start))
+    if held:
+        yield _joined(held)
+
+
+def _joined(batches):
+    whole = [batch for batch in batches if len(batch)] or batches[:1]
+    return whole[0] if len(whole) == 1 else pa.concat_batches(whole)
 
 
 def encoder(path, kind):

@@ -10,7 +10,7 @@ import xxhash
 
 from klaxon.llm.memory import remembered
 
-WORDS_KEPT = 300_000
+WORDS_KEPT = 150_000
 
 
 class WordNumbers(dict):
