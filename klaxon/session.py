@@ -26,6 +26,16 @@ ENGINE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# Texts may be long, and a batch of 64 MB takes several times that on its way to Python.
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+ENGINE_CONF[ARROW_BYTES] = str(BATCH_BYTES)
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let a session of someone else's send rows to Python in batches of a few megabytes."""
+    spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
+
 
 def engine_session(app_name: str = "klaxon", **conf: str) -> SparkSession:
     """Session with the engine's settings; ``conf`` adds to or overrides them.
