@@ -12,6 +12,7 @@ none does where they leave no line.
 
 import re
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -21,6 +22,8 @@ from klaxon.llm.batches import to_batch
 
 TEXTS = "page_id bigint, url string, text string, n_chars bigint"
 RADIUS, WIDTH = 3, 1.0
+# Letters per tag that links in a list do not have.
+PLAIN = 10
 # Share of the selected text that articles hold where they are the content.
 MOST = 0.8
 # Share of a page's text from which an element is what holds the page, whatever it is called.
@@ -38,7 +41,9 @@ HIDDEN = set(
 )
 # What a head may hold; everything else ends it, as its end tag may be left out.
 IN_HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())
-ASIDE = set("nav aside footer form menu fieldset".split())
+# Of these, what hides to its end tag only, and all else that follows if it has none not.
+ENDED = set("object svg math canvas audio video button select option datalist dialog".split())
+ASIDE = set("nav aside footer menu fieldset".split())
 ROLES = set(
     "navigation banner contentinfo complementary search form alert alertdialog dialog menu "
     "menubar toolbar status note".split()
@@ -52,12 +57,23 @@ WORDS = set(
     "skip login search comment comments commentlist respond reply replies disqus discussion "
     "feedback outbrain taboola form".split()
 )
+# Those of readers' comments.
+COMMENTS = set(
+    "comment comments commentlist respond reply replies disqus discussion feedback".split()
+)
+# A line from which a form around all is a page's frame.
+LONG_LINE = 80
 # An element named "with-sidebar" or "hasMenu" is around such a thing.
 AROUND = set("with without has have no and".split())
 # Elements that hold the content whatever the elements around them are called.
 CONTENT = {"article", "main"}
 
 
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+# What an element says of itself.
+NOTHING, SAID, FORM, NAMED, TALK = range(5)
+
+
 def _says_other(tag, attributes, in_content):
     """Whether an element says of itself that it is no content."""
     if tag in ASIDE or tag == "header" and not in_content:
@@ -70,38 +86,55 @@ def _says_other(tag, attributes, in_content):
     return False
 
 
-def _named_other(tag, attributes):
-    """Whether an element's class or id sounds like no content."""
+def _sounds_other(tag, attributes):
+    """NAMED or TALK if an element's class or id sounds like no content, else NOTHING."""
+    found = NOTHING
     for name, value in attributes:
         if name in ("class", "id") and value and tag not in ("body", "html", *CONTENT):
             for names in value.split():
                 names = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", names)
                 before = ""
                 for word in re.split(r"[^a-z]+", names.lower()):
+                    if word in COMMENTS and before not in AROUND:
+                        return TALK
                     if word in WORDS and before not in AROUND:
-                        return True
+                        found = NAMED
                     before = word
-    return False
+    return found
+
+
+class _Element(NamedTuple):
+    """An element that may hold lines. ``clears``: it holds content whatever is around it."""
+
+    parent: int
+    tag: str
+    mark: int
+    clears: bool
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: (text, tags, other, element, elements around it named like no content)."""
+    """Lines of a page, (text, tags, element, hider), and its elements, by number.
+
+    A line's element is the innermost one around it, ``hider`` the outermost one that hides
+    it, or 0. An element stands after the ones around it.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines, self.parts, self.tags = [], [], 0
-        # Open elements: (tag, hidden, other, in content, number, named).
-        self.open = [("", False, False, False, 0, ())]
+        self.elements = [_Element(-1, "", NOTHING, False)]
+        self.ended = set()
+        # Open elements: (tag, number, hider, in content).
+        self.open = [("", 0, 0, False)]
         self.counts = {}
-        # Parent and tag of each element that may hold lines, by number.
-        self.parents, self.names = [-1], [""]
 
     def flush(self):
         text = " ".join("".join(self.parts).split())
-        _, _, other, _, element, named = self.open[-1]
+        _, element, hider, _ = self.open[-1]
         if text:
-            self.lines.append((text, self.tags, other, element, named))
-            self.tags = 0
+            self.lines.append((text, self.tags, element, hider))
+            if not hider:
+                self.tags = 0
         self.parts = []
 
     def _end_head(self):
@@ -122,28 +155,27 @@ class _Lines(HTMLParser):
             if tag == "hr":
                 self.flush()
             return
-        _, hidden, other, inside, element, named = self.open[-1]
-        if tag not in INLINE and not hidden:
+        if tag not in INLINE:
             self.flush()
             if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
                 self._end_open(tag)
-                _, hidden, other, inside, element, named = self.open[-1]
+        _, element, hider, inside = self.open[-1]
         if tag == "body" and not self.counts.get("template"):
-            hidden = False
-        hidden = hidden or tag in HIDDEN
-        if tag in CONTENT and not any(one[0] in ASIDE for one in self.open):
-            # An element left open before it cannot claim the content.
-            other, named = False, ()
+            hider = 0
         inside = inside or tag in CONTENT
-        other = other or _says_other(tag, attrs, inside)
-        sounds = _named_other(tag, attrs)
-        if tag not in INLINE or sounds:
-            self.parents.append(element)
-            self.names.append(tag)
-            element = len(self.names) - 1
-        if sounds:
-            named = (*named, element)
-        self.open.append((tag, hidden, other, inside, element, named))
+        mark = _sounds_other(tag, attrs)
+        if _says_other(tag, attrs, inside):
+            mark = SAID
+        elif tag == "form" and mark != TALK:
+            mark = FORM
+        if tag not in INLINE or mark:
+            # An element left open before the content cannot claim it.
+            clears = tag in CONTENT and not any(self.counts.get(one) for one in ASIDE)
+            self.elements.append(_Element(element, tag, mark, clears))
+            element = len(self.elements) - 1
+        if tag in HIDDEN and not hider:
+            hider = element
+        self.open.append((tag, element, hider, inside))
         self.counts[tag] = self.counts.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
@@ -169,7 +201,7 @@ class _Lines(HTMLParser):
         self.tags += 1
         if not self.counts.get(tag):
             return
-        if tag not in INLINE and not self.open[-1][1]:
+        if tag not in INLINE:
             self.flush()
         at = len(self.open) - 1
         while self.open[at][0] != tag:
@@ -177,13 +209,22 @@ class _Lines(HTMLParser):
             if tag in INLINE and self.open[at][0] not in INLINE:
                 return
             at -= 1
+        self.ended.add(self.open[at][1])
         self._pop_to(at)
 
     def handle_data(self, data):
         if self.open[-1][0] == "head" and data.strip():
             self._end_head()
-        if not self.open[-1][1]:
-            self.parts.append(data)
+        self.parts.append(data)
+
+    def seen(self):
+        """Lines (text, tags, element) that nothing hides."""
+        return [
+            (text, max(tags, 1), element)
+            for text, tags, element, hider in self.lines
+            if not hider
+            or self.elements[hider].tag in ENDED and hider not in self.ended
+        ]
 
 
 def smoothed(ratios: np.ndarray) -> np.ndarray:
@@ -193,24 +234,78 @@ def smoothed(ratios: np.ndarray) -> np.ndarray:
     return np.convolve(ratios, kernel)[RADIUS : RADIUS + len(ratios)] / weights
 
 
-def _decided(lines):
-    """Lines as (text, tags, other, element): whose names count as marks is known by now."""
-    held, total = {}, 0
-    for text, _, other, _, named in lines:
-        if not other:
-            total += len(text)
-            for element in named:
-                held[element] = held.get(element, 0) + len(text)
-    counted = {element for element, letters in held.items() if letters < NEARLY_ALL * total}
-    if all(other or not counted.isdisjoint(named) for _, _, other, _, named in lines):
-        counted = set()
-    return [
-        (text, tags, other or not counted.isdisjoint(named), element)
-        for text, tags, other, element, named in lines
-    ]
-
-
-def _inside(parser, mass):
+def clusters(ratios: np.ndarray, headings: np.ndarray) -> np.ndarray:
+    """Lines of the clusters in which the smoothed ratio is above the threshold, its spread.
+
+    Smoothing lifts the neighbours of long lines, so a cluster is cut back to lines that are
+    above the threshold themselves or have ``PLAIN`` letters a tag, and to headings; short
+    ones between them stay, and so do headings directly before.
+    """
+    smooth = smoothed(ratios)
+    threshold = min(smooth.std(), smooth.max())
+    high = smooth >= threshold
+    firm = high & (ratios >= min(threshold, PLAIN)) & ~headings
+    if not firm.any():
+        return high
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], high, [False]]).astype(np.int8)))
+    chosen = np.zeros(len(ratios), bool)
+    for start, end in zip(edges[::2], edges[1::2]):
+        if firm[start:end].any():
+            kept = start + np.flatnonzero((firm | headings)[start:end])
+            first = kept[0]
+            while first and headings[first - 1]:
+                first -= 1
+            chosen[first : kept[-1] + 1] = True
+    return chosen
+
+
+def _other(elements, lines):
+    """Whether each element is no content, and so the lines in it.
+
+    What an element says holds for all in it up to the next content. What its name says does so
+    if it holds less than nearly all letters, that of comments even for content in it.
+    """
+    said = _spread(elements, {at for at, one in enumerate(elements) if one.mark == SAID})
+    letters, longest = np.zeros(len(elements)), np.zeros(len(elements))
+    for text, _, element in lines:
+        if not said[element]:
+            letters[element] += len(text)
+            longest[element] = max(longest[element], len(text))
+    most = NEARLY_ALL * letters.sum()
+    # Letters in each element, and those not in content within it.
+    whole, outside = letters.copy(), letters.copy()
+    for at in range(len(elements) - 1, 0, -1):
+        one = elements[at]
+        whole[one.parent] += whole[at]
+        longest[one.parent] = max(longest[one.parent], longest[at])
+        if not one.clears:
+            outside[one.parent] += outside[at]
+    marks = np.array([one.mark for one in elements])
+    forms = (marks == FORM) & ((outside < most) | (longest < LONG_LINE))
+    named = (marks == NAMED) & (outside < most)
+    talk = (marks == TALK) & (whole < most)
+    for names in (True, False):
+        marked = (marks == SAID) | forms | (named if names else False)
+        other = _spread(elements, set(np.flatnonzero(marked)))
+        if names:
+            below = _spread(elements, set(np.flatnonzero(talk)), through=True)
+            other = [one or two for one, two in zip(other, below)]
+        # Names that leave no line say nothing.
+        if not names or not all(other[element] for _, _, element in lines):
+            return other
+
+
+def _spread(elements, marked, through=False):
+    """Which elements are marked or below a marked one, content between them cleared unless
+    ``through``."""
+    found = []
+    for at, one in enumerate(elements):
+        below = at > 0 and found[one.parent] and (through or not one.clears)
+        found.append(below or at in marked)
+    return found
+
+
+def _inside(elements, mass):
     """Which elements are in the content, from the selected letters directly in each element.
 
     If articles and the like hold most of them, all of these with selected letters are;
@@ -219,8 +314,9 @@ def _inside(parser, mass):
     # The article around an element, or else the outermost main; 0 is neither.
     content = [0] * len(mass)
     for element in range(1, len(mass)):
-        around = content[parser.parents[element]]
-        if parser.names[element] == "article" or parser.names[element] in CONTENT and not around:
+        around = content[elements[element].parent]
+        tag = elements[element].tag
+        if tag == "article" or tag in CONTENT and not around:
             around = element
         content[element] = around
     content = np.array(content)
@@ -230,11 +326,11 @@ def _inside(parser, mass):
     else:
         inner = mass.copy()
         for element in range(len(inner) - 1, 0, -1):
-            inner[parser.parents[element]] += inner[element]
+            inner[elements[element].parent] += inner[element]
         # Children have larger numbers than their parents: the last one with all is innermost.
         inside[int(np.flatnonzero(inner >= inner[0])[-1])] = True
     for element in range(1, len(inside)):
-        inside[element] |= inside[parser.parents[element]]
+        inside[element] |= inside[elements[element].parent]
     return inside
 
 
@@ -245,24 +341,28 @@ def main_text(html: str | None) -> str:
     without content gives an empty text. Nothing of the content is dropped or cut.
     """
     parser = _Lines()
-    parser.feed(html or "")
+    html = html or ""
+    # A comment that is never closed reaches to the end.
+    open_comment = html.rfind("<!--") > html.rfind("-->")
+    parser.feed(html + "-->" if open_comment else html)
     parser.close()
     parser.flush()
-    lines = _decided(parser.lines)
-    ratios = np.array([0 if other else len(text) / max(tags, 1) for text, tags, other, _ in lines])
+    elements, lines = parser.elements, parser.seen()
+    other = _other(elements, lines)
+    ratios = np.array([0 if other[element] else len(text) / tags for text, tags, element in lines])
     if not ratios.any():
         return ""
-    smooth = smoothed(ratios)
-    chosen = (smooth >= min(smooth.std(), smooth.max())) & (ratios > 0)
-    mass = np.zeros(len(parser.names))
-    for (text, _, _, element), taken in zip(lines, chosen):
+    headings = [elements[element].tag in HEADINGS for _, _, element in lines]
+    chosen = clusters(ratios, np.array(headings)) & (ratios > 0)
+    mass = np.zeros(len(elements))
+    for (text, _, element), taken in zip(lines, chosen):
         if taken:
             mass[element] += len(text)
     if not mass.any():
-        for (text, _, other, element) in lines:
-            mass[element] += 0 if other else len(text)
-    inside = _inside(parser, mass)
-    return " ".join(text for text, _, other, element in lines if inside[element] and not other)
+        for text, _, element in lines:
+            mass[element] += 0 if other[element] else len(text)
+    inside = _inside(elements, mass)
+    return " ".join(text for text, _, element in lines if inside[element] and not other[element])
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

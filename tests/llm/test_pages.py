@@ -1,7 +1,10 @@
 """URLs and page texts against plain forms."""
 
+import random
+import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,3 +214,90 @@ def test_short_parts_of_the_content_stay(html, parts):
     found = html_text.main_text(html.format(one, other))
     headings = ("Long ", "Short ") if "h2" in html else ("", "")
     assert found == f"{headings[0]}{one} {headings[1]}{other}"
+
+
+COMMENT = "<p>I read this with care and I agree with every word of it, all of them. </p>" * 3
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        # A form around the whole page, with and without an article.
+        (f"<body><form action=/><div><nav>Home</nav><article>{ARTICLE}</article></div></form>", ARTICLE_TEXT),
+        (f"<body><form><div class=head><a href=/>Home</a></div><div><p>{WORDY * 4}</p></div></form>", None),
+        # A form of its own.
+        (f"<article>{ARTICLE}</article><form><p>{WORDY * 3}<input></form>", ARTICLE_TEXT),
+        (f"<div>{ARTICLE}<form><label>Your name <input></label><button>Send</button></form></div>", ARTICLE_TEXT),
+        ("<body><form>Name <input><button>Send</button></form>", ""),
+        # Readers' comments as articles.
+        (f"<article>{ARTICLE}</article><div id=disqus_thread><article>{COMMENT}</article></div>", ARTICLE_TEXT),
+        (f"<article>{ARTICLE}<section class=comments><article>{COMMENT}</article></section></article>", ARTICLE_TEXT),
+        # What is never closed hides nothing, what is closed hides what is in it.
+        (f"<body><button>Menu<article>{ARTICLE}</article>", ARTICLE_TEXT),
+        (f"<body><video src=x><article>{ARTICLE}</article>", ARTICLE_TEXT),
+        (f"<body><svg><path d=m><article>{ARTICLE}</article>", ARTICLE_TEXT),
+        (f"<article>{ARTICLE}<object>old player</object><canvas>no canvas</canvas></article>", ARTICLE_TEXT),
+        (f"<article>{ARTICLE}<select><option>one<option>two</select></article>", ARTICLE_TEXT),
+        # A comment without an end.
+        (f"<article>{ARTICLE}</article><!-- <p>{WORDY}</p> <b>more", ARTICLE_TEXT),
+        (f"<!-- a --><article>{ARTICLE}<!-- <p>{WORDY}</p>", ARTICLE_TEXT),
+    ],
+)
+def test_frames_comments_and_elements_without_end(html, text):
+    found = html_text.main_text(html)
+    assert found == (text if text is not None else (WORDY * 4).strip())
+
+
+@pytest.mark.parametrize("tag", ["div class=comment", "div", "section class=ad", "b", "article", "form", "ul", "svg"])
+def test_deep_pages(tag):
+    """Depth costs neither time nor memory in proportion to its square."""
+    page = f"<p>{WORDY * 5}</p>" + f"<{tag}>x " * 50_000
+    assert html_text.main_text(page).startswith("x x" if tag == "article" else WORDY.strip())
+
+
+def plain_clusters(ratios):
+    """The threshold and its clusters by hand, for lines without headings."""
+    smooth = []
+    for i in range(len(ratios)):
+        near = range(max(0, i - 3), min(len(ratios), i + 4))
+        weight = {j: 2.718281828459045 ** (-((i - j) ** 2) / 2) for j in near}
+        smooth.append(sum(ratios[j] * weight[j] for j in near) / sum(weight.values()))
+    mean = sum(smooth) / len(smooth)
+    threshold = min((sum((x - mean) ** 2 for x in smooth) / len(smooth)) ** 0.5, max(smooth))
+    chosen, run = set(), []
+    for i, x in enumerate([*smooth, -1]):
+        if x >= threshold:
+            run.append(i)
+            continue
+        firm = [j for j in run if ratios[j] >= min(threshold, 10)]
+        chosen.update(range(firm[0], firm[-1] + 1) if firm else ())
+        run = []
+    return [i in chosen for i in range(len(ratios))]
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_ratios_decide_without_names(seed):
+    """Pages of bare blocks: neither article nor class says where the text is."""
+    rng = random.Random(seed)
+
+    def links():
+        return "".join(f"<li><a href=/{i}>Go {i}</a></li>" for i in range(rng.randint(5, 20)))
+
+    paragraphs = [(WORDY * rng.randint(2, 9)).strip() for _ in range(rng.randint(2, 9))]
+    body = "<h1>A title</h1>" + "".join(f"<p>{text}</p>" for text in paragraphs)
+    if seed % 2:
+        # The title stands beside the text.
+        body = body.replace("</h1>", "</h1><div>") + "</div>"
+    page = f"<body><div><ul>{links()}</ul></div><div>{body}</div><div><ul>{links()}</ul></div></body>"
+    assert html_text.main_text(page) == " ".join(["A title", *paragraphs])
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_clusters(seed):
+    rng = random.Random(seed)
+    ratios = [rng.choice([0, 1, 2, 40, 100]) * rng.random() for _ in range(rng.randint(1, 60))]
+    if not any(ratios):
+        return
+    found = html_text.clusters(np.array(ratios), np.zeros(len(ratios), bool))
+    plain = plain_clusters(ratios)
+    assert found.tolist() == plain or not any(plain)

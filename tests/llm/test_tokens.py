@@ -69,13 +69,16 @@ def test_ids_of_a_slice_and_of_nothing():
     assert len(ids) == 0 and starts.tolist() == [0]
 
 
-def test_pieces_hold_all_rows_in_order(monkeypatch):
-    monkeypatch.setattr(tokens, "BYTES_AT_ONCE", 10)
+def test_pieces_hold_all_rows_in_order():
     column = pa.array(["a" * n for n in (3, 3, 4, 30, 0, 0, 9, 2)] + [None])
     batch = pa.RecordBatch.from_arrays([column], names=["text"])
-    found = [piece.column(0).to_pylist() for piece in tokens.pieces([batch, batch.slice(0, 0)], 0)]
+    batches = [batch.slice(0, 5), batch.slice(0, 0), batch.slice(5)]
+    found = [piece.column(0).to_pylist() for piece in tokens.pieces(batches, 0, 10)]
     assert sum(found, []) == column.to_pylist()
-    assert all(len(one) == 1 or sum(len(t or "") for t in one) <= 10 for one in found)
+    # A text that is longer goes alone, but for empty ones.
+    sizes = [[len(text) for text in one if text] for one in found]
+    assert all(len(one) == 1 or sum(one) <= 10 for one in sizes) and len(found) == 4
+    assert list(tokens.pieces([], 0)) == []
 
 
 def test_grammar_gives_back_every_range():
