@@ -3,7 +3,9 @@
 URLs that a given rule decides are the labelled ones. Their tokens, together with the
 verdict, are the baskets of Spark's FP-growth; token sets that go with a verdict often
 enough become association rules and judge the other URLs. A rule is found by the rarest of
-its tokens in an inverted index.
+its tokens in an inverted index. Tokens that occur in the same labelled URLs are one item, so
+that FP-growth does not list all sets of them; sets that merely almost always occur
+together it does list, each of them once.
 """
 
 from typing import NamedTuple
@@ -12,6 +14,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from klaxon.operators.joins import left_join_measured
 from klaxon.session import store
 
 MIN_SUPPORT = 0.002
@@ -94,14 +97,67 @@ def tokens_of(url: str = "url") -> Column:
     return F.coalesce(F.array_sort(F.array_distinct(plain)), F.array().cast("array<string>"))
 
 
-def mine_rules(labelled: DataFrame, support: float, confidence: float) -> DataFrame:
-    """(tokens, verdict, hits, confidence) mined from (tokens, verdict).
+def items_of(labelled: DataFrame, support: float) -> DataFrame:
+    """(token, item, n, verdict) of the tokens that occur often enough in (tokens, verdict).
+
+    Tokens that occur in exactly the same rows are one item, named by the first of them: a
+    rule on one of them is a rule on each. ``verdict`` is that of all rows with the token if it
+    is one verdict; a rule on the token alone then says all that a rule on more could say.
+    """
+    sets = labelled.groupBy("tokens", "verdict").agg(F.count("*").alias("n"))
+    least = F.lit(support) * labelled.count()
+    row = F.xxhash64("tokens", "verdict")
+    tokens = sets.select(F.explode("tokens").alias("token"), row.alias("row"), "n", "verdict")
+    tokens = tokens.groupBy("token").agg(
+        F.sum("n").alias("n"),
+        F.bit_xor("row").alias("x"),
+        F.bit_xor(F.xxhash64("row", F.lit(1))).alias("y"),
+        F.when(F.min("verdict") == F.max("verdict"), F.min("verdict")).alias("verdict"),
+    ).filter(F.col("n") >= least)
+    same = ["n", "x", "y"]
+    names = tokens.groupBy(*same).agg(F.min("token").alias("item"))
+    return store(tokens.join(names, same).select("token", "item", "n", "verdict"), "items")
+
+
+def as_items(sets: DataFrame, items: DataFrame) -> DataFrame:
+    """(tokens, items) of distinct token sets: the items that their tokens stand for, in order."""
+    names = items.select("token", "item")
+    held = sets.select("tokens", F.explode("tokens").alias("token"))
+    held = left_join_measured(held, names, ["token"]).filter("item IS NOT NULL")
+    held = held.groupBy("tokens").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    nothing = F.array().cast("array<string>")
+    joined = left_join_measured(sets, held, ["tokens"])
+    return joined.select(*sets.columns, F.coalesce("items", nothing).alias("items"))
+
+
+def mine_rules(
+    labelled: DataFrame, support: float, confidence: float, items: DataFrame | None = None
+) -> DataFrame:
+    """(tokens, verdict, hits, confidence) mined from (tokens, verdict); the tokens are items.
 
     A rule is left out if a part of its tokens gives the same verdict with at least its
     confidence. Supports are counted over all rows.
+
+    FP-growth lists every frequent set, and n tokens that always occur together would have 2**n
+    of them. Here they are one item; and tokens that always go with one verdict, whose own
+    rules nothing longer can better, are left out of its baskets.
     """
+    items = items_of(labelled, support) if items is None else items
+    single = items.filter("verdict IS NOT NULL AND token = item").select(
+        F.array("item").alias("tokens"),
+        "verdict",
+        F.col("n").alias("hits"),
+        F.lit(1.0).alias("confidence"),
+    )
+    mixed = items.filter("verdict IS NULL")
+    sets = store(as_items(labelled.select("tokens").distinct(), mixed), "baskets")
+    rows = left_join_measured(labelled, sets, ["tokens"])
     # A token of a URL cannot begin with a space.
-    baskets = labelled.select(F.concat("tokens", F.array(F.concat(F.lit(" "), "verdict"))).alias("items"))
+    baskets = rows.select(F.concat("items", F.array(F.concat(F.lit(" "), "verdict"))).alias("items"))
+    return store(_mined(baskets, support, confidence).unionByName(single), "kept")
+
+
+def _mined(baskets: DataFrame, support: float, confidence: float) -> DataFrame:
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
     sets = store(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
     verdicts = F.filter("items", lambda item: F.startswith(item, F.lit(" ")))
@@ -130,7 +186,8 @@ def mine_rules(labelled: DataFrame, support: float, confidence: float) -> DataFr
         F.col("tokens").alias("part"), "verdict", F.col("confidence").alias("before")
     )
     needless = parts.join(smaller, ["part", "verdict"]).filter("before >= confidence")
-    return store(rules.join(needless.select("tokens", "verdict"), ["tokens", "verdict"], "left_anti"), "kept")
+    needless = needless.select("tokens", "verdict")
+    return rules.join(needless, ["tokens", "verdict"], "left_anti")
 
 
 def judge(sets: DataFrame, rules: DataFrame, frequencies: DataFrame) -> DataFrame:
@@ -180,12 +237,20 @@ def filter_urls(
         judged = rows.select("tokens", F.lit(None).cast("string").alias("judged")).limit(0)
         judged = judged.withColumn("confidence", F.lit(None).cast("double"))
     else:
-        mined = mine_rules(labelled, support, confidence)
-        frequencies = sets.select("n", F.explode("tokens").alias("token"))
+        items = items_of(labelled, support)
+        mined = mine_rules(labelled, support, confidence, items)
+        open_sets = sets.filter("verdict IS NULL").select("tokens", "n")
+        open_sets = store(as_items(open_sets, items), "open_sets")
+        held = open_sets.groupBy(F.col("items").alias("tokens")).agg(F.sum("n").alias("n"))
+        held = store(held, "item_sets")
+        frequencies = held.select("n", F.explode("tokens").alias("token"))
         frequencies = frequencies.groupBy("token").agg(F.sum("n").alias("n"))
-        open_sets = sets.filter("verdict IS NULL").select("tokens")
-        judged = store(judge(open_sets, mined, frequencies), "judged")
-    found = rows.join(judged, "tokens", "left")
+        decided = judge(held.select("tokens"), mined, frequencies)
+        decided = store(decided.withColumnRenamed("tokens", "items"), "decided")
+        judged = left_join_measured(open_sets, decided, ["items"])
+        judged = store(judged.filter("judged IS NOT NULL").select("tokens", "judged", "confidence"), "judged")
+    # Many URLs may have the same tokens.
+    found = left_join_measured(rows, judged, ["tokens"])
     return found.select(
         "page_id",
         "host",
