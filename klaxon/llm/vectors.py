@@ -25,6 +25,8 @@ from pyspark.sql import types as T
 
 from klaxon.llm.batches import to_batch
 from klaxon.llm.components import connected_components
+from klaxon.llm.numbering import partitions_of, ranked
+from klaxon.operators.joins import left_join_measured
 from klaxon.session import settle, store
 
 # Vectors that the quantisers are fitted to, at most.
@@ -313,6 +315,20 @@ def _linked(nodes: DataFrame, dimension: int, cosine: float, lists: int, aim: fl
     return _links(entries, sent, cosine, reach, given.dtype)
 
 
+def _numbered(nodes: DataFrame) -> DataFrame:
+    """Nodes with numbers of their own as ``node``, in the order of their smallest ``id``; one id
+    may name several vectors."""
+    nodes = nodes.withColumn("id", F.col("node"))
+    if nodes.groupBy("node").count().filter("count > 1").isEmpty():
+        return nodes
+    order = ["node", "h1", "h2"]
+    parts = partitions_of(nodes.sparkSession)
+    placed = nodes.select(*order).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    numbers = ranked(settle(placed), [], "number").select("h1", "h2", "number")
+    joined = nodes.drop("node").join(numbers, ["h1", "h2"])
+    return store(joined.withColumnRenamed("number", "node"), "vectors")
+
+
 def near_duplicate_vectors(
     vectors: DataFrame, cosine: float = 0.9, lists: int = LISTS, aim: float | None = None
 ) -> DataFrame:
@@ -322,7 +338,9 @@ def near_duplicate_vectors(
     the reach of the search; those of different dimensions, and
     null, zero or not finite ones, are linked with nothing. Equal vectors are one node while
     lists are searched and count as so many links. Rows without vec_id are linked with
-    nothing, their component is null and they are kept. Other columns play no part.
+    nothing, their component is null and they are kept. Rows of one vec_id with different
+    vectors are searched each by its vector, and each counts as kept or not by itself. Other
+    columns play no part.
     """
     vector = F.col("embedding")
     if vectors.schema["embedding"].dataType != T.ArrayType(T.FloatType()):
@@ -342,7 +360,7 @@ def near_duplicate_vectors(
         F.count("*").alias("copies"),
         F.first("embedding").alias("embedding"),
     )
-    nodes = store(nodes, "vectors")
+    nodes = _numbered(store(nodes, "vectors"))
     # One row per dimension.
     dimensions = [row[0] for row in nodes.select(F.size("embedding")).distinct().collect()]
     found = vectors.sparkSession.createDataFrame([], FOUND)
@@ -352,21 +370,25 @@ def near_duplicate_vectors(
     found = store(found, "links")
     joined = connected_components(found.select(F.col("node").alias("a"), F.col("to").alias("b")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    labels = nodes.select("h1", "h2", "node", "copies").join(links, "node", "left")
-    labels = labels.join(joined.withColumnRenamed("id", "node"), "node", "left").select(
+    labels = nodes.select("h1", "h2", "node", "id", "copies").join(links, "node", "left")
+    labels = labels.join(joined.withColumnRenamed("id", "node"), "node", "left")
+    to = nodes.select(F.col("node").alias("component"), F.col("id").alias("component_id"))
+    labels = labels.withColumn("component", F.coalesce("component", "node"))
+    labels = labels.join(to, "component").select(
         "h1",
         "h2",
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "node").alias("component_id"),
+        "component_id",
+        # The smallest id of the component's first vector stands for it.
+        (F.col("node") == F.col("component")).alias("first"),
     )
+    # A vector may have a third of all rows, and unusable ones have no key at all.
+    found = left_join_measured(rows.select("vec_id", "h1", "h2"), labels, ["h1", "h2"])
     component = F.coalesce("component_id", "vec_id")
-    return (
-        rows.select("vec_id", "h1", "h2")
-        .join(labels, ["h1", "h2"], "left")
-        .select(
-            "vec_id",
-            F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-            component.alias("component_id"),
-            F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
-        )
+    kept = F.coalesce("first", F.lit(True)) & (F.col("vec_id") == component)
+    return found.select(
+        "vec_id",
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        component.alias("component_id"),
+        F.coalesce(kept, F.lit(True)).alias("kept"),
     )

@@ -70,6 +70,15 @@ def test_rows_without_id(spark):
     ]
 
 
+def test_one_id_with_several_vectors(spark):
+    """Each row is judged by its vector; equal ids do not link."""
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 1.5]), (3, [1.0, 0.01]), (3, [1.0, 1.0]), (1, [1.0, 0.0])]
+    found = vectors.near_duplicate_vectors(table(spark, rows)).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in found) == sorted([
+        (1, 2, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 2, 1, False), (3, 0, 3, True), (1, 2, 1, True)
+    ])
+
+
 def test_empty_table(spark):
     assert vectors.near_duplicate_vectors(table(spark, [])).isEmpty()
 
