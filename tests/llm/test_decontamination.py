@@ -1,6 +1,7 @@
 """Tiles and contaminated documents against plain forms."""
 
 import random
+import time
 
 import numpy as np
 from data import documents, made_text, odd_rows
@@ -112,6 +113,56 @@ def test_stage_keeps_clean_rows_as_they_are(spark):
     assert sorted(kept.collect(), key=key) == sorted(expected, key=key)
 
 
+def test_stage_with_many_blocks(spark, monkeypatch):
+    docs, benchmark = table(spark)
+    key = lambda row: (row["doc_id"] or 0, row["text"] or "")
+    whole = sorted(decontamination.without_contaminated(docs, benchmark).collect(), key=key)
+    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 30)
+    assert sorted(decontamination.without_contaminated(docs, benchmark).collect(), key=key) == whole
+
+
+def found_items(spark, texts, items):
+    docs = spark.createDataFrame(enumerate(texts), "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(enumerate(items), "item_id bigint, text string")
+    found = decontamination.contaminated(docs, benchmark).collect()
+    return sorted((row["doc_id"], row["item_id"], row["covered"]) for row in found)
+
+
+def test_short_items_match_whole(spark):
+    items = ["Ohm's law?", "who wrote Faust", "What is it, then", "", "..."]
+    texts = [
+        "ohm's law", "He asked: who wrote Faust? Nobody knew.", "who wrote the Faust", "we know Ohm's law well",
+        "so what is it then now", "what is it. Then", None, "", "...",
+    ]
+    assert found_items(spark, texts, items) == [(0, 0, 2), (1, 1, 3), (4, 2, 4), (5, 2, 4)]
+
+
+def test_scripts_without_spaces(spark):
+    item = "水在标准大气压下的沸点是多少度"
+    texts = ["前言。" + item + "?后文继续写下去。", "水在山上的沸点是多少", "Thai " + item[:9] + " " + item[9:]]
+    assert [(doc, covered) for doc, _, covered in found_items(spark, texts, [item])] == [(0, 15), (2, 15)]
+
+
+def test_items_that_share_a_sentence():
+    """Thousands of items with one instruction cost a text that quotes it next to nothing."""
+    instruction = "choose the one best answer to the following question and explain your choice"
+    items = [(i, f"{instruction} {made_text(1000 + i, 30)}") for i in range(3000)]
+    seeds = decontamination.Seeds(items)
+    texts = [f"{made_text(i, 100)} {instruction} {made_text(50 + i, 100)}" for i in range(20)]
+    began = time.process_time()
+    assert [seeds.matches(text) for text in texts] == [[]] * 20
+    assert time.process_time() - began < 2
+    found = seeds.matches(f"{made_text(1, 100)} {items[17][1]} {made_text(2, 50)}")
+    assert [(item, covered) for item, _, covered, _ in found] == [(17, 43)]
+
+
+def test_seeds_that_come_many_times():
+    """A text of one repeated word, and an item that repeats itself."""
+    seeds = decontamination.Seeds([(1, "go " * 40), (2, "go " * 10 + made_text(3, 10))])
+    found = {item: covered for item, _, covered, _ in seeds.matches("go " * 5000)}
+    assert found == {1: 40, 2: 10}
+
+
 def test_empty_tables(spark):
     docs, benchmark = table(spark)
     assert decontamination.contaminated(docs.limit(0), benchmark).isEmpty()
