@@ -28,10 +28,8 @@ from klaxon.llm.memory import remembered
 
 # Bytes of text that are encoded at once; a longer text goes alone. More spare more words.
 BYTES_AT_ONCE = 8 << 20
-# Bytes that a worker remembers of words without their marks, about, and what an entry takes
-# besides its key.
-WORD_BYTES = 64 << 20
-ENTRY_BYTES = 200
+# Words without their marks that a worker remembers, of 200 bytes each or so.
+WORDS_KEPT = 250_000
 
 WORD, BYTE = "word", "byte"
 
@@ -51,27 +49,28 @@ def _byte_letters():
 
 
 _LETTERS = _byte_letters()
+_SPACE = _LETTERS[32]
 
 
-class Recent(dict):
-    """What ``make`` gives for a key, remembered for keys in use within about ``most`` bytes."""
+class Recent:
+    """What ``make`` gives for keys, remembered for those in use: about ``most`` of them besides those
+    of the last call."""
 
     def __init__(self, make, most):
-        super().__init__()
-        self.make, self.half = make, most // 2
-        self.older, self.size = {}, 0
-
-    def __missing__(self, key):
-        found = self.older.get(key)
-        if found is None:
-            found = self.make(key)
-        self.size += ENTRY_BYTES + len(key)
-        if self.size > self.half:
+        self.make, self.most = make, most
+        self.newer, self.older = {}, {}
+
+    def of(self, keys):
+        if len(self.newer) >= self.most // 2:
             # Keys in use come back from the older half, the rest goes with it.
-            self.older = dict(self)
-            self.clear()
-            self.size = 0
-        self[key] = found
+            self.newer, self.older = {}, self.newer
+        newer, older, make = self.newer, self.older.get, self.make
+        found = list(map(newer.get, keys))
+        for at, one in enumerate(found):
+            if one is None:
+                key = keys[at]
+                one = older(key)
+                found[at] = newer[key] = make(key) if one is None else one
         return found
 
 
@@ -109,7 +108,7 @@ class Encoder:
         self.kind = kind
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [token.content for token in added]
-        self.words = Recent(self._word, WORD_BYTES)
+        self.words = Recent(self._word, WORDS_KEPT)
 
     def whole(self, text):
         """Ids of one text as the library gives them."""
@@ -122,16 +121,19 @@ class Encoder:
         return _packed([token.id for token in self.model.tokenize(piece)])
 
     def _word(self, word):
-        """Ids of a part without its marks if it is letters alone, else None."""
+        """Ids of a part without its marks if it is letters alone, else nothing."""
+        if word.isascii() and word.isalpha():
+            word = _SPACE + word if self.kind == BYTE else word.lower()
+            return array("I", [token.id for token in self.model.tokenize(word)]).tobytes()
         body = word[1:] if self.kind == BYTE and word[:1] == "\n" else word
         # A dotted I becomes two characters in lower case, of which one is no letter.
-        if body.isalpha() and (body.isascii() or (max(body) < _PLAIN and body.lower().isalpha())):
+        if body.isalpha() and max(body) < _PLAIN and body.lower().isalpha():
             if self.kind == WORD:
                 return self._piece(body.lower())
             if body is word:
                 return self._piece(" " + body)
             return self._piece("\n") + self._piece(body)
-        return None
+        return b""
 
     def _other(self, part):
         """Ids of a part that is not letters and marks; None if it has to be seen with its
@@ -152,11 +154,10 @@ class Encoder:
             # The vocabulary has no capitals; other letters wait for their own test.
             trimmed = pc.ascii_lower(trimmed)
         stems = trimmed.dictionary_encode()
-        found = [self.words[stem] for stem in stems.dictionary.to_pylist()]
-        plain = np.fromiter((ids is not None for ids in found), bool, len(found))
+        found = self.words.of(stems.dictionary.to_pylist())
+        plain = np.fromiter(map(bool, found), bool, len(found))
         stem = stems.indices.to_numpy().astype(np.int64)
         plain = plain[stem]
-        found = [ids or b"" for ids in found]
         # A part is one run and that of its marks, here as yet none.
         tail = np.full(len(parts), len(found))
         found.append(b"")
