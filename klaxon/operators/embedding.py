@@ -5,8 +5,9 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import HashingTF, Normalizer
+from pyspark.ml.feature import HashingTF, Normalizer, OneHotEncoder
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,26 +76,23 @@ def embed_weighted(
     words = words.groupBy(row, "word").agg(F.count("*").alias("n"))
     known = left_join_measured(words, frequencies.select("word", "documents"), ["word"])
     rarity = F.ln((F.lit(documents) + 1.0) / (F.coalesce("documents", F.lit(0)) + 1.0))
-    place = F.pmod("word", F.lit(dimension)).cast("int").alias("place")
-    weighed = known.select(row, place, (F.col("n") * rarity).alias("w"))
-    # At most ``dimension`` numbers per text come together.
-    places = weighed.groupBy(row, "place").agg(F.sum("w").alias("w"))
-    entry = F.struct("place", "w")
-    texts = places.groupBy(row).agg(
-        F.map_from_entries(F.collect_list(entry)).alias("_entries"),
-        F.sum("w").alias("weight"),
-        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_length"),
+    place = F.pmod("word", F.lit(dimension)).cast("double").alias("_place")
+    weight = (F.col("n") * F.greatest(rarity, F.lit(0.0))).alias("_weight")
+    weighed = known.select(row, place, weight).filter("_weight > 0")
+    one_hot = OneHotEncoder(inputCol="_place", outputCol="_one", dropLast=False)
+    places = df.sparkSession.range(dimension).select(F.col("id").cast("double").alias("_place"))
+    # A sum of so many numbers for each text, whatever the number of its words.
+    texts = one_hot.fit(places).transform(weighed).groupBy(row).agg(
+        Summarizer.sum(F.col("_one"), F.col("_weight")).alias("_sums"),
+        F.sum("_weight").alias("weight"),
     )
-    numbers = F.transform(
-        F.sequence(F.lit(0), F.lit(dimension - 1)),
-        lambda at: F.coalesce(F.try_divide(F.col("_entries")[at], F.col("_length")), F.lit(0.0)),
-    )
-    zeros = F.array_repeat(F.lit(0.0), dimension)
-    joined = given.join(texts, row, "left")
-    vector = F.coalesce(F.when(F.col("_entries").isNotNull(), numbers), zeros)
+    unit = Normalizer(inputCol="_sums", outputCol="_unit", p=2.0).transform(texts)
+    unit = unit.select(row, "weight", vector_to_array("_unit", "float32").alias("_numbers"))
+    joined = given.join(unit, row, "left")
+    zeros = F.array_repeat(F.lit(0.0).cast("float"), dimension)
     return joined.select(
         *df.columns,
-        F.when(F.col(text).isNotNull(), vector.cast("array<float>")).alias(output),
+        F.when(F.col(text).isNotNull(), F.coalesce("_numbers", zeros)).alias(output),
         F.when(F.col(text).isNotNull(), F.coalesce("weight", F.lit(0.0))).alias("weight"),
     )
 
