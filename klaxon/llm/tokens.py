@@ -95,6 +95,11 @@ class Runs:
         return Runs(self.ids[place], lengths)
 
 
+def _texts(array):
+    """Strings of an Arrow array as a list, by NumPy, which is several times faster."""
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
 def _packed(ids):
     return array("I", ids).tobytes()
 
@@ -154,7 +159,7 @@ class Encoder:
             # The vocabulary has no capitals; other letters wait for their own test.
             trimmed = pc.ascii_lower(trimmed)
         stems = trimmed.dictionary_encode()
-        found = self.words.of(stems.dictionary.to_pylist())
+        found = self.words.of(_texts(stems.dictionary))
         plain = np.fromiter(map(bool, found), bool, len(found))
         stem = stems.indices.to_numpy().astype(np.int64)
         plain = plain[stem]
@@ -162,14 +167,14 @@ class Encoder:
         tail = np.full(len(parts), len(found))
         found.append(b"")
         marked = np.flatnonzero(plain & (cut > 0))
-        texts = [part[-n:] for part, n in zip(parts.take(marked).to_pylist(), cut[marked].tolist())]
+        texts = [part[-n:] for part, n in zip(_texts(parts.take(marked)), cut[marked].tolist())]
         marks = pa.array(texts, pa.string()).dictionary_encode()
         tail[marked] = len(found) + marks.indices.to_numpy()
-        found += map(self._piece, marks.dictionary.to_pylist())
+        found += map(self._piece, _texts(marks.dictionary))
         apart = np.zeros(len(parts), bool)
         odd = np.flatnonzero(~plain)
         stem[odd] = len(found) + np.arange(len(odd))
-        for at, part in zip(odd, parts.take(odd).to_pylist()):
+        for at, part in zip(odd, _texts(parts.take(odd))):
             ids = self._other(part)
             apart[at] = ids is None
             found.append(ids or b"")
@@ -192,7 +197,7 @@ class Encoder:
         which = words.indices.to_numpy().astype(np.int64)
         if self.kind == BYTE:
             # A text's first part has no space before it.
-            firsts = pc.list_element(lists, 0).to_pylist()
+            firsts = _texts(pc.list_element(lists, 0))
             which[bounds[:-1]] = len(runs.lengths) + np.arange(len(firsts))
             blank = [first[-1:].isspace() for first in firsts]
             own = Runs.of([b"" if no or not first else self.whole(first) for first, no in zip(firsts, blank)])
