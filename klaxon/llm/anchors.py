@@ -19,11 +19,13 @@ A word counts by its 64-bit number, a window by 96 bits of two independent chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from klaxon.llm.batches import schema_of, to_batch
-from klaxon.llm.words import mixed, numbers_of
+from klaxon.llm.words import mixed
 
 WINDOW = 20
 # Bytes of text in a batch and behind a part of the index.
@@ -67,18 +69,29 @@ def rolling(numbers, width):
 
 
 class Batch:
-    """Documents of a batch as one row of word numbers, with the places where windows may start."""
+    """Documents of a batch as one row of words and their numbers, with ``row``, the document of each,
+    and ``starts``, the place where each document begins."""
 
-    def __init__(self, ids, texts, window):
+    def __init__(self, table, window):
         self.window, self.block = window, window // 2
-        ids = [NO_ID if one is None else one for one in ids]
-        self.words = [text.encode().split() if text else [] for text in texts]
-        lengths = np.array([len(words) for words in self.words], np.int64)
-        self.ids, self.lengths = np.array(ids, np.int64), lengths
-        self.starts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-        self.row = np.repeat(np.arange(len(lengths)), lengths)
-        found = [numbers_of(words) for words in self.words]
-        self.numbers = np.concatenate(found) if found else np.empty(0, np.uint64)
+        table = table.combine_chunks()
+        ids, texts = (_one(table.column(name)) for name in ("doc_id", "text"))
+        self.ids = ids.fill_null(NO_ID).to_numpy()
+        # Arrow's white space in ASCII is space and tab to carriage return.
+        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        words, row = lists.flatten(), pc.list_parent_indices(lists)
+        # White space at the ends leaves empty words.
+        full = pc.greater(pc.binary_length(words), 0)
+        self.words, self.row = words.filter(full), row.filter(full).to_numpy()
+        self.lengths = np.bincount(self.row, minlength=len(ids)).astype(np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.lengths)])
+        found = self.words.dictionary_encode()
+        each = np.fromiter(
+            map(xxhash.xxh3_64_intdigest, found.dictionary.to_numpy(zero_copy_only=False)),
+            np.uint64,
+            len(found.dictionary),
+        )
+        self.numbers = each[found.indices.to_numpy()]
 
     def _whole(self, width):
         """Whether the run of ``width`` words from each place stays in its document."""
@@ -117,6 +130,11 @@ class Batch:
         return places, high, (low >> np.uint64(32)).astype(np.uint32)
 
 
+def _one(column):
+    """A column of a table as one array."""
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+
+
 def _by_part(parts_of):
     """(part, from, to) of the runs of equal parts."""
     edges = np.flatnonzero(np.diff(parts_of)) + 1
@@ -135,7 +153,7 @@ def _flags(bits, size):
 
 def _send_probes(window, parts):
     def send(table: pa.Table) -> pa.Table:
-        batch = Batch(table["doc_id"].to_pylist(), table["text"].to_pylist(), window)
+        batch = Batch(table, window)
         number = table["batch"][0].as_py()
         keys, place = batch.probes(parts)
         used = place >= 0
@@ -208,7 +226,7 @@ def _send_windows(window, parts):
     def send(table: pa.Table, answers: pa.Table) -> pa.Table:
         rows = []
         if len(table) and len(answers):
-            batch = Batch(table["doc_id"].to_pylist(), table["text"].to_pylist(), window)
+            batch = Batch(table, window)
             number = table["batch"][0].as_py()
             places, high, low = batch.windows(_hits(batch, answers, parts))
             order, first, part = _distinct_windows(batch, places, high, low, parts)
@@ -261,24 +279,35 @@ def _keep(window, parts):
     def keep(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not len(table):
             return pa.Table.from_batches([], schema=schema_of(KEPT))
-        batch = Batch(table["doc_id"].to_pylist(), table["text"].to_pylist(), window)
+        batch = Batch(table, window)
         change = np.zeros(len(batch.row) + 1, np.int64)
         if len(answers):
             places = repeated_places(batch, answers, parts)
             np.add.at(change, places, 1)
             np.add.at(change, places + window, -1)
         gone = np.cumsum(change[:-1]) > 0
-        rows = []
-        for at, (words, start) in enumerate(zip(batch.words, batch.starts)):
-            mask = gone[start : start + len(words)]
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], mask, [0]]).astype(np.int8)))
-            if len(edges):
-                words = [word for word, out in zip(words, mask.tolist()) if not out]
-            kept = b" ".join(words).decode()
-            rows.append((None, len(mask), edges[::2].tolist(), edges[1::2].tolist(), kept))
-        out = to_batch(rows, KEPT)
-        out = out.set_column(0, "doc_id", table["doc_id"].combine_chunks())
-        return pa.Table.from_batches([out])
+        # Runs of removed words, none across documents.
+        own = batch.starts[:-1][batch.lengths > 0]
+        first, last = gone.copy(), gone.copy()
+        first[1:] &= ~gone[:-1]
+        first[own] = gone[own]
+        last[:-1] &= ~gone[1:]
+        last[own[1:] - 1] = gone[own[1:] - 1]
+        first, last = np.flatnonzero(first), np.flatnonzero(last)
+        runs = np.concatenate([[0], np.cumsum(np.bincount(batch.row[first], minlength=len(batch.ids)))])
+        left = np.concatenate([[0], np.cumsum(~gone)])[batch.starts]
+        kept = pa.ListArray.from_arrays(
+            pa.array(left, pa.int32()), batch.words.filter(pa.array(~gone, pa.bool_()))
+        )
+        begin = batch.starts[batch.row]
+        columns = [
+            _one(table.column("doc_id")),
+            pa.array(batch.lengths),
+            pa.ListArray.from_arrays(pa.array(runs, pa.int32()), pa.array(first - begin[first])),
+            pa.ListArray.from_arrays(pa.array(runs, pa.int32()), pa.array(last + 1 - begin[last])),
+            pc.binary_join(kept, " "),
+        ]
+        return pa.Table.from_arrays(columns, schema=schema_of(KEPT))
 
     return keep
 
