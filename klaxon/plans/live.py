@@ -6,7 +6,7 @@ from pyspark.sql.streaming import StreamingQuery
 from klaxon.functions.payload import decode_alerts, payloads_mentioning
 from klaxon.operators.windows import severity_counts
 from klaxon.session import require_utc
-from klaxon.streaming.queries import FILES, TRIGGER, start_both
+from klaxon.streaming.queries import TRIGGER, start_both
 
 # The fields a count needs; the others are not parsed.
 COUNTED = ("incident_id", "system", "severity", "timestamp")
@@ -36,13 +36,13 @@ def count_stream(
     trigger: str | None = TRIGGER,
     console_rows: int = 20,
     sink: str = "parquet",
-    files: int = FILES,
+    files: int | None = None,
     **options: str,
 ) -> StreamingQuery:
     """Count a stream of payloads into files and onto the console.
 
     The files are a Parquet table by ``window_date``, of which the metrics of a day read
-    only that day, with at most ``files`` files per batch and day; ``sink="csv"`` exports.
+    only that day, with few files per batch and day (``files`` sets their number); ``sink="csv"`` exports.
     """
     counts = counts_of_stream(raw, **options)
     return start_both(

@@ -16,8 +16,6 @@ from klaxon.schema import CSV
 from klaxon.sinks.tables import with_window_date
 
 TRIGGER = "10 seconds"
-# Files that a batch leaves in each folder, at most.
-FILES = 1
 
 
 def start_stream(
@@ -57,7 +55,7 @@ def start_both(
     trigger: str | None = TRIGGER,
     console_rows: int = 20,
     name: str | None = None,
-    files: int = FILES,
+    files: int | None = None,
     sink: str = "parquet",
 ) -> StreamingQuery:
     """Append a stream of window counts to files and show it, from one read and one state store.
@@ -68,7 +66,8 @@ def start_both(
     fails on its first batch rather than replace foreign ones. Parquet, the default, keeps
     every text as it is and is partitioned by ``window_date``; CSV is for export.
 
-    A batch leaves at most ``files`` files per day. The console is a display only: it gets
+    A batch is written in as many tasks as its size asks for, which is one file per day unless it
+    is large; ``files`` sets their number. The console is a display only: it gets
     the first ``console_rows`` rows of a batch, if any, and all rows are in the files.
     """
     owned = []
@@ -78,7 +77,8 @@ def start_both(
         if not owned:
             owned.append(_own(spark, path))
         target = f"{path.rstrip('/')}/batch_id={batch_id}"
-        rows = batch.repartition(files)
+        # Without a number Spark joins the partitions of small batches and splits large ones.
+        rows = batch.hint("rebalance") if files is None else batch.repartition(files)
         if sink == "csv":
             rows.write.mode("overwrite").options(**CSV).csv(target)
         else:
