@@ -92,7 +92,7 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--once", action="store_true", help="end when all input is read")
     stream.add_argument("--fraction", default="required", choices=["required", "optional"])
     stream.add_argument("--format", default="parquet", choices=["parquet", "csv"])
-    stream.add_argument("--files", type=int, default=1, help="files per batch and day, at most")
+    stream.add_argument("--files", type=int, help="tasks that write a batch; by default as its size asks for")
 
     metrics = command("metrics", _metrics, "input", "output")
     metrics.add_argument("--as-of", help="day as YYYY-MM-DD, by default today")
