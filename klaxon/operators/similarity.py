@@ -48,7 +48,8 @@ def knn_exact(
     Otherwise queries within bounds go to the tasks that read the corpus, of which each
     returns its best ``k`` per query. With both sides large, cells of bounded size are
     compared. That takes work in proportion to queries x corpus and happens only with
-    ``all_pairs``; without it such sides are an error, and :func:`knn_lsh` is the way.
+    ``all_pairs``; without it such sides are an error, and ``knn_pivots`` or ``knn_probed`` are
+    the way.
     """
     if k < 1:
         raise ValueError(f"k must be at least 1, not {k}")
@@ -68,7 +69,7 @@ def knn_exact(
     elif not all_pairs:
         raise ValueError(
             f"queries and corpus both exceed {ship_bytes} bytes: pass all_pairs=True to compare"
-            " every pair, or use knn_lsh"
+            " every pair, or use knn_pivots or knn_probed"
         )
     else:
         cell_rows = _rows_within(cell_bytes, dim)

@@ -36,8 +36,8 @@ def similar_incidents(
     An alert without a complete text keeps one row without neighbour.
 
     Where both the distinct texts and the corpus are too many to send, the search fails
-    rather than compare all pairs: pass ``functools.partial(knn_lsh, bucket_length=...)`` as
-    ``search``, or ``functools.partial(knn_exact, all_pairs=True)`` to insist.
+    rather than compare all pairs: pass ``knn_pivots`` as ``search`` for the exact neighbours of two
+    large sides, or ``knn_probed`` for nine tenths of them at less work.
     """
     digest = F.sha2("text", 256).alias("_digest")
     texts = alerts.select(incident_text("message").alias("text"))
