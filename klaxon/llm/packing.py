@@ -20,6 +20,11 @@ from klaxon.llm.tokens import BYTE, encoder
 from klaxon.llm.tokens import pieces as texts_of
 from klaxon.session import store
 
+# Text that is encoded at once, and words that a worker remembers: packing comes last in a
+# pipeline, when executors have grown.
+TEXT_BYTES = 4 << 20
+WORDS_KEPT = 100_000
+
 PIECES = "doc_id bigint, piece int, start bigint, length int, ids_crc32 bigint"
 PLAN = "size int, first bigint, last bigint, sequence bigint, each int, place int"
 
@@ -42,9 +47,9 @@ def cut_documents(
     schema = PIECES + (", ids binary" if keep_ids else "")
 
     def cut(batches):
-        encode = encoder(path, BYTE).encode
+        encode = encoder(path, BYTE, WORDS_KEPT).encode
         end_bytes = end_id.to_bytes(4, "little")
-        for batch in texts_of(batches, 1):
+        for batch in texts_of(batches, 1, TEXT_BYTES):
             rows = []
             ids, starts = encode(batch.column(1))
             for doc, a, b in zip(batch.column(0).to_pylist(), starts[:-1], starts[1:]):

@@ -107,13 +107,13 @@ def _packed(ids):
 class Encoder:
     """Ids of texts by the tokenizer of a file."""
 
-    def __init__(self, path, kind):
+    def __init__(self, path, kind, words_kept=WORDS_KEPT):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.kind = kind
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [token.content for token in added]
-        self.words = Recent(self._word, WORDS_KEPT)
+        self.words = Recent(self._word, words_kept)
 
     def whole(self, text):
         """Ids of one text as the library gives them."""
@@ -238,6 +238,6 @@ def _joined(batches):
     return whole[0] if len(whole) == 1 else pa.concat_batches(whole)
 
 
-def encoder(path, kind):
+def encoder(path, kind, words_kept=WORDS_KEPT):
     """The encoder of this worker process for a file."""
-    return remembered((path, kind), lambda: Encoder(path, kind))
+    return remembered((path, kind), lambda: Encoder(path, kind, words_kept))

@@ -35,9 +35,8 @@ def encoded(encoder, texts):
 
 
 @pytest.mark.parametrize("path, kind", [(WORD, tokens.WORD), (BYTE, tokens.BYTE)])
-def test_ids_are_those_of_whole_texts(path, kind, monkeypatch):
-    monkeypatch.setattr(tokens, "WORDS_KEPT", 10)
-    encoder = tokens.Encoder(path, kind)
+def test_ids_are_those_of_whole_texts(path, kind):
+    encoder = tokens.Encoder(path, kind, 10)
     texts = [*ODD_TEXTS, *[text for _, text in odd_rows()], *[made_text(i, 200) for i in range(20)]]
     for text, found in zip(texts, encoded(encoder, texts)):
         assert found == library_ids(path, text), repr(text)
