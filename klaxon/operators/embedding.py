@@ -1,21 +1,25 @@
 """Vectors of texts, computed where the rows are."""
 
 from collections.abc import Callable, Iterator, Sequence
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import HashingTF, Normalizer, OneHotEncoder
+from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from klaxon.operators.joins import left_join_measured
 from klaxon.session import store
 
 DIMENSION = 256
+# Neighbouring rows, 4096 at most, share one list of words while they are weighed.
+BLOCK_BITS = 12
+# Numbers of vectors that a task makes at once.
+NUMBERS_AT_ONCE = 1 << 18
 
 
 def embed(
@@ -63,38 +67,97 @@ def embed_weighted(
     1)); a word unknown to the corpus weighs as if m were 0. So words that all incidents share,
     which lead an unweighted search astray, count for little.
 
-    The frequencies grow with the vocabulary and are joined to the words of the texts: sent if
-    they are measured to be few, else by a shuffle in which frequent words are cut up. Every
-    row is weighed by itself, repeated keys included. Returns ``df`` with the vector and
-    ``weight``, the sum of a text's weights; both NULL for NULL text. A text without words, or
-    of words alone that all documents have, has length 0.
+    Rows are numbered and dealt in blocks of neighbours. Each block asks for the frequencies of
+    its distinct words, which meet those of the corpus by a shuffle, and gets them sent ahead
+    of its texts, so that a text moves once, whatever the vocabulary and however frequent a
+    word. Every row is weighed by itself, repeated keys included. Returns ``df`` with the
+    vector and ``weight``, the sum of a text's weights; both NULL for NULL text. A text without
+    words, or of words alone that all documents have, has length 0.
     """
-    row = "_row"
-    # Stored, as a row's number has to be the same on both ways.
-    given = store(df.withColumn(row, F.monotonically_increasing_id()), "texts")
-    words = given.select(row, F.explode(_word_hashes(text)).alias("word"))
-    words = words.groupBy(row, "word").agg(F.count("*").alias("n"))
-    known = left_join_measured(words, frequencies.select("word", "documents"), ["word"])
+    # Stored, as a row's block has to be the same on both ways.
+    block = F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS).alias("_block")
+    given = store(df.select(block, "*"), "texts")
+    distinct = F.explode(F.array_distinct(_word_hashes(text))).alias("word")
+    # A word comes once for each block, so no word is too frequent for a task.
+    asked = given.select("_block", distinct).distinct()
     rarity = F.ln((F.lit(documents) + 1.0) / (F.coalesce("documents", F.lit(0)) + 1.0))
-    place = F.pmod("word", F.lit(dimension)).cast("double").alias("_place")
-    weight = (F.col("n") * F.greatest(rarity, F.lit(0.0))).alias("_weight")
-    weighed = known.select(row, place, weight).filter("_weight > 0")
-    one_hot = OneHotEncoder(inputCol="_place", outputCol="_one", dropLast=False)
-    places = df.sparkSession.range(dimension).select(F.col("id").cast("double").alias("_place"))
-    # A sum of so many numbers for each text, whatever the number of its words.
-    texts = one_hot.fit(places).transform(weighed).groupBy(row).agg(
-        Summarizer.sum(F.col("_one"), F.col("_weight")).alias("_sums"),
-        F.sum("_weight").alias("weight"),
-    )
-    unit = Normalizer(inputCol="_sums", outputCol="_unit", p=2.0).transform(texts)
-    unit = unit.select(row, "weight", vector_to_array("_unit", "float32").alias("_numbers"))
-    joined = given.join(unit, row, "left")
-    zeros = F.array_repeat(F.lit(0.0).cast("float"), dimension)
-    return joined.select(
-        *df.columns,
-        F.when(F.col(text).isNotNull(), F.coalesce("_numbers", zeros)).alias(output),
-        F.when(F.col(text).isNotNull(), F.coalesce("weight", F.lit(0.0))).alias("weight"),
+    known = asked.join(frequencies.select("word", "documents"), "word", "left")
+    known = known.select("_block", F.col("word").alias("_word"), rarity.alias("_rarity"))
+    both = known.filter("_rarity > 0").unionByName(given, allowMissingColumns=True)
+    # Within a block, its words in ascending order and then its texts.
+    dealt = both.repartition("_block").sortWithinPartitions("_block", F.asc_nulls_last("_word"))
+    # Hashed again behind the shuffle, as a text is smaller than its hashes.
+    hashes = _word_hashes(text).alias("_hashes")
+    dealt = dealt.select("_block", "_word", "_rarity", hashes, *df.columns)
+    schema = T.StructType(
+        [
+            *df.schema.fields,
+            T.StructField(output, T.ArrayType(T.FloatType())),
+            T.StructField("weight", T.DoubleType()),
+        ]
     )
+    at = df.columns.index(text)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = max(1, NUMBERS_AT_ONCE // dimension)
+        last, words, rarities = None, [], []
+        for some, block, is_text in _runs(batches, rows):
+            if block != last:
+                last, words, rarities = block, [np.empty(0, np.int64)], [np.empty(0)]
+            if not is_text:
+                words.append(some.column(1).to_numpy())
+                rarities.append(some.column(2).to_numpy())
+                continue
+            if len(words) > 1:
+                words, rarities = _totals(np.concatenate(words), np.concatenate(rarities))
+            vectors, weights = _weighed(some.column(3), words[0], rarities[0], dimension)
+            columns = some.columns[4:]
+            missing = columns[at].is_null()
+            gone = missing.to_numpy(zero_copy_only=False)
+            ends = np.arange(len(some) + 1, dtype=np.int32) * dimension
+            listed = pa.ListArray.from_arrays(ends, vectors.ravel(), mask=missing)
+            columns += [listed, pa.array(weights, pa.float64(), mask=gone)]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return dealt.mapInArrow(weigh, schema)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], rows: int):
+    """(rows, block, whether they are texts) for neighbours of one block and kind; of texts so many
+    ``rows`` at most."""
+    for batch in batches:
+        blocks = batch.column(0).to_numpy()
+        texts = batch.column(1).is_null().to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero((np.diff(blocks) != 0) | (texts[1:] != texts[:-1])) + 1
+        for start, end in pairwise([0, *cuts.tolist(), len(batch)]):
+            step = rows if end > start and texts[start] else max(1, end - start)
+            for at in range(start, end, step):
+                yield batch.slice(at, min(step, end - at)), blocks[at], texts[at]
+
+
+def _totals(words: np.ndarray, rarities: np.ndarray) -> tuple[list, list]:
+    """The words, which ascend, each once; one that frequencies name twice weighs both times."""
+    starts = np.flatnonzero(np.diff(words, prepend=words[:1] - 1))
+    if len(starts) == len(words):
+        return [words], [rarities]
+    return [words[starts]], [np.add.reduceat(rarities, starts)]
+
+
+def _weighed(hashes: pa.ListArray, words: np.ndarray, rarities: np.ndarray, dimension: int):
+    """(unit vectors, sums of weights) of texts given as their words' hashes; ``words`` ascend, and
+    one that is not among them weighs nothing."""
+    flat = pc.list_flatten(hashes).to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(hashes)), pc.list_value_length(hashes).to_numpy())
+    if len(words):
+        found = np.minimum(np.searchsorted(words, flat), len(words) - 1)
+        weight = np.where(words[found] == flat, rarities[found], 0.0)
+    else:
+        weight = np.zeros(len(flat))
+    place = row * dimension + flat % dimension
+    sums = np.bincount(place, weight, len(hashes) * dimension).reshape(-1, dimension)
+    length = np.sqrt(np.einsum("ij,ij->i", sums, sums))
+    vectors = (sums / np.where(length > 0, length, 1)[:, None]).astype(np.float32)
+    return vectors, np.bincount(row, weight, len(hashes))
 
 
 def _word_hashes(text: str) -> Column:

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from klaxon import sinks
+from klaxon.operators import embedding
 from klaxon.operators.embedding import embed_weighted, word_frequencies
 from klaxon.operators.similarity import knn_exact
 
@@ -152,6 +153,30 @@ def test_weights(spark):
     assert sum(x > 0 for x in full) == len("disk full on node".split())
 
 
+def test_weights_in_many_blocks_move_a_text_once(spark, monkeypatch):
+    monkeypatch.setattr(embedding, "BLOCK_BITS", 1)
+    monkeypatch.setattr(embedding, "NUMBERS_AT_ONCE", 256)
+    texts = [None if n % 9 == 4 else " ".join(f"w{n * m % 23}" for m in range(n % 7)) for n in range(60)]
+    corpus = spark.createDataFrame([(n, t, n / 2) for n, t in enumerate(texts)], "id int, text string, more double")
+    frequencies = word_frequencies(corpus)
+    found = embed_weighted(corpus.repartition(3), frequencies, len(texts))
+    assert found.columns == ["id", "text", "more", "embedding", "weight"]
+    rows = {row["id"]: row for row in found.collect()}
+    assert len(rows) == found.count() == len(texts)
+    for n, (text, weight) in enumerate(zip(texts, plain_weights(texts, texts))):
+        assert (rows[n]["text"], rows[n]["more"]) == (text, n / 2)
+        assert rows[n]["weight"] == (None if text is None else pytest.approx(weight))
+    # Words shuffle for each block and not for each row, and no sums of a text are put together.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "_row" not in plan and "ObjectHashAggregate" not in plan
+    assert "hashpartitioning(_block" in plan
+    # A word that the frequencies name twice weighs both times.
+    twice = embed_weighted(corpus, frequencies.union(frequencies), len(texts)).collect()
+    assert [row["weight"] for row in sorted(twice, key=lambda row: row["id"])] == [
+        None if rows[n]["weight"] is None else pytest.approx(2 * rows[n]["weight"]) for n in range(60)
+    ]
+
+
 def test_rare_words_decide(spark):
     texts = [f"alarm on host in rack {n} today kernel" for n in range(20)] + ["alarm on host in rack 99 today zpmon"]
     corpus = spark.createDataFrame(enumerate(texts), "id int, text string")
