@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 
 # Block of the distance matrix that is held at a time, and pairs measured exactly at once.
 QUERY_BLOCK = 512
-CORPUS_BLOCK = 8192
+CORPUS_BLOCK = 2048
 PAIR_BLOCK = 1 << 16
 
 

@@ -31,6 +31,11 @@ BUCKETS = 1 << 16
 BITS = 32
 # Queries whose exact neighbours are searched to choose the plan.
 SAMPLE = 200
+# Distances between queries and buckets that are held at once.
+SCORES_AT_ONCE = 1 << 19
+# Queries that a task probes at once, and numbers of buckets that it lists for them.
+QUERIES_AT_ONCE = 64
+LISTED_AT_ONCE = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -120,11 +125,13 @@ class ProbingIndex:
         # Share of the corpus up to each wanted row's bucket, by table.
         need = np.empty(given.shape)
         for table in range(TABLES):
-            buckets, counts, scores = _scores(self, table, asked)
-            order = np.argsort(scores, axis=1, kind="stable")
-            shares = np.empty(scores.shape)
-            np.put_along_axis(shares, order, np.cumsum(counts[order], axis=1) / self.rows, axis=1)
-            need[:, table] = shares[rows, np.searchsorted(buckets, given[:, table])]
+            for first, buckets, counts, scores in _scores(self, table, asked):
+                order = np.argsort(scores, axis=1, kind="stable")
+                shares = np.empty(scores.shape)
+                np.put_along_axis(shares, order, np.cumsum(counts[order], axis=1) / self.rows, axis=1)
+                here = np.flatnonzero((rows >= first) & (rows < first + len(scores)))
+                at = np.searchsorted(buckets, given[here, table])
+                need[here, table] = shares[rows[here] - first, at]
         n = len(need)
         aim = min(1.0, recall + 2 * (recall * (1 - recall) / n) ** 0.5)
         plans = []
@@ -145,8 +152,8 @@ class ProbingIndex:
 
         def probe(batches):
             for batch in batches:
-                for at in range(0, len(batch), 64):
-                    yield small.probed(batch.slice(at, 64), plan)
+                for at in range(0, len(batch), QUERIES_AT_ONCE):
+                    yield from small.probed(batch.slice(at, QUERIES_AT_ONCE), plan)
 
         fields = [
             *queries.schema.fields,
@@ -205,17 +212,25 @@ def _planes(rng, dim, bits):
 
 
 def _scores(index, table, vectors):
-    """(buckets, counts, squared distance of every vector to every bucket) of a table."""
+    """(first vector, buckets, counts, squared distance of each vector to every bucket) of a table,
+    for so many vectors at a time that their distances stay within ``SCORES_AT_ONCE``."""
     first, last = np.searchsorted(index.buckets, [table << BITS, (table + 1) << BITS])
     buckets, counts = index.buckets[first:last], index.counts[first:last]
     planes = index.planes[table]
-    sides = ((buckets[:, None] >> np.arange(planes.shape[1])) & 1).astype(bool)
     gap = vectors @ planes - index.offsets[table]
     square = gap**2
     # Planes between: those on whose other side the bucket lies.
     above = np.where(gap > 0, square, 0)
-    scores = above.sum(axis=1)[:, None] + (square - 2 * above) @ sides.T.astype(np.float64)
-    return buckets, counts, scores
+    either = square - 2 * above
+    sides = np.empty((planes.shape[1], len(buckets)))
+    for bit, side in enumerate(sides):
+        side[:] = (buckets >> bit) & 1
+    step = max(1, SCORES_AT_ONCE // max(1, len(buckets)))
+    for at in range(0, len(vectors), step):
+        some = slice(at, at + step)
+        scores = either[some] @ sides
+        scores += above[some].sum(axis=1)[:, None]
+        yield at, buckets, counts, scores
 
 
 class _Directory:
@@ -230,18 +245,25 @@ class _Directory:
         vectors = matrix(batch.column(1), self.dim)
         chosen, compared = [[] for _ in range(len(batch))], np.zeros(len(batch), np.int64)
         for table in range(plan.tables):
-            buckets, counts, scores = _scores(self, table, vectors)
-            order = np.argsort(scores, axis=1, kind="stable")
-            sums = np.cumsum(counts[order], axis=1)
-            # The bucket that reaches the share is the last.
-            last = np.count_nonzero(sums < plan.share * self.rows * (1 - 1e-12), axis=1)
-            last = np.minimum(last, len(buckets) - 1)
-            compared += sums[np.arange(len(batch)), last]
-            for row, end in enumerate(last):
-                chosen[row].append(buckets[order[row, : end + 1]])
-        lists = [np.concatenate(one) for one in chosen]
-        ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
-        listed = pa.ListArray.from_arrays(ends, np.concatenate(lists))
+            for first, buckets, counts, scores in _scores(self, table, vectors):
+                order = np.argsort(scores, axis=1, kind="stable")
+                sums = np.cumsum(counts[order], axis=1)
+                # The bucket that reaches the share is the last.
+                last = np.count_nonzero(sums < plan.share * self.rows * (1 - 1e-12), axis=1)
+                last = np.minimum(last, len(buckets) - 1)
+                compared[first : first + len(last)] += sums[np.arange(len(last)), last]
+                for row, end in enumerate(last):
+                    chosen[first + row].append(buckets[order[row, : end + 1]])
         names = [*batch.schema.names, "_buckets", "_compared"]
-        columns = [*batch.columns, listed, pa.array(compared)]
-        return pa.RecordBatch.from_arrays(columns, names=names)
+        ends = np.cumsum([sum(map(len, one)) for one in chosen])
+        start = 0
+        while start < len(batch):
+            # As many queries as fit, at least one.
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + LISTED_AT_ONCE, "right")))
+            listed = [one for some in chosen[start:end] for one in some]
+            bounds = np.concatenate([[0], ends[start:end] - before]).astype(np.int32)
+            found = pa.ListArray.from_arrays(bounds, np.concatenate(listed))
+            columns = [*batch.slice(start, end - start).columns, found, pa.array(compared[start:end])]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+            start = end

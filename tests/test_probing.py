@@ -1,8 +1,11 @@
 """Probed and pivoted searches against brute force."""
 
 import os
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_similarity import answers, brute_force, frames, vectors
@@ -145,6 +148,36 @@ def test_few_bits_for_a_large_corpus(spark, monkeypatch):
     assert measured(queries, corpus, index.search(left, 4, index.plan(left, 4)), 4) >= 0.9
 
 
+def test_few_distances_and_buckets_at_once(spark, monkeypatch):
+    corpus, queries = vectors(300, 8, seed=2), vectors(90, 8, seed=3)
+    left, right = frames(spark, queries, corpus)
+    index = ProbingIndex(right)
+    plan = index.plan(left, 4)
+    key = lambda row: row["query_id"]
+    found = sorted(index.probes(left, plan).collect(), key=key)
+    monkeypatch.setattr(probing, "SCORES_AT_ONCE", 700)
+    monkeypatch.setattr(probing, "LISTED_AT_ONCE", 50)
+    assert index.plan(left, 4) == plan
+    assert sorted(index.probes(left, plan).collect(), key=key) == found
+
+
+def test_memory_of_probing_does_not_grow_with_queries_times_buckets():
+    rng = np.random.default_rng(1)
+    directory = np.arange(1 << 16), np.ones(1 << 16, np.int64)
+    index = SimpleNamespace(planes=[rng.normal(size=(16, 16))], offsets=[np.zeros(16)], dim=16, rows=1 << 16)
+    small = probing._Directory(index, SimpleNamespace(value=directory))
+    asked = pa.array(rng.normal(size=(64, 16)).astype(np.float32).tolist(), pa.list_(pa.float32()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(64)), asked], names=["query_id", "embedding"])
+    tracemalloc.start()
+    found = list(small.probed(batch, ProbingPlan(1, 0.1, 1.0)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 << 20
+    assert sum(map(len, found)) == 64
+    for one in found:
+        assert one.column("_compared").to_pylist() == [len(some) for some in one.column("_buckets").to_pylist()]
+
+
 def test_probing_without_corpus_or_queries(spark):
     left, right = frames(spark, vectors(3), vectors(3))
     assert knn_probed(left, right.limit(0), 2).isEmpty()
