@@ -51,16 +51,15 @@ class Grammar(NamedTuple):
 
 
 def _candidates(sequence, active):
-    """Places of the active pairs of neighbours. Of a run of one symbol every other pair counts, as
-    the others overlap with it."""
+    """Places of the active pairs of neighbours. Of a run of one symbol, whose pairs are all active,
+    every other pair counts, as the others overlap with it."""
     place = np.flatnonzero(active)
-    equal = sequence[place] == sequence[place + 1]
-    if equal.any():
-        starts = np.flatnonzero(np.diff(sequence, prepend=sequence[0] + 1) != 0)
-        run = np.searchsorted(starts, place[equal], side="right") - 1
-        keep = np.ones(len(place), bool)
-        keep[equal] = (place[equal] - starts[run]) % 2 == 0
-        place = place[keep]
+    equal = np.flatnonzero(sequence[place] == sequence[place + 1])
+    if len(equal):
+        at = place[equal]
+        first = np.diff(at, prepend=-2) != 1
+        start = at[first][np.cumsum(first) - 1]
+        place = np.delete(place, equal[(at - start) % 2 == 1])
     return place
 
 
@@ -85,17 +84,34 @@ def _places_of(kinds, pairs):
 
 
 def _ranked(sequence, place):
-    """Places of the pairs that occur often enough, and the rank of each: 0 is the most frequent."""
-    pairs = (sequence[place].astype(np.uint64) << np.uint64(32)) | sequence[place + 1]
-    ordered = np.sort(pairs)
-    edges = np.flatnonzero(np.diff(ordered)) + 1
-    starts = np.concatenate([[0], edges])
+    """Places of the pairs that occur often enough, the rank of each, 0 for the most frequent, and
+    the pairs by rank."""
+    bits, places = int(sequence.max()).bit_length(), len(place).bit_length()
+    together = 2 * bits + places <= 64
+    if not together:
+        bits, places = 32, 0
+    pairs = (sequence[place].astype(np.uint64) << np.uint64(bits)) | sequence[place + 1]
+    # With its number behind it, where there is room, a pair is found again when they are sorted.
+    ordered = pairs << np.uint64(places)
+    if together:
+        ordered |= np.arange(len(place), dtype=np.uint64)
+    ordered.sort()
+    kind = ordered >> np.uint64(places)
+    starts = np.concatenate([[0], np.flatnonzero(kind[1:] != kind[:-1]) + 1])
     count = np.diff(np.append(starts, len(ordered)))
-    often = count >= LEAST_FREQUENCY
-    kinds = ordered[starts[often]]
-    kinds = kinds[np.argsort(-count[often], kind="stable")]
-    rank = _places_of(kinds, pairs)
-    return place[rank >= 0], rank[rank >= 0]
+    often = np.flatnonzero(count >= LEAST_FREQUENCY)
+    often = often[np.argsort(-count[often], kind="stable")]
+    kinds, count = kind[starts[often]], count[often]
+    if together:
+        rank = np.full(len(place), -1)
+        from_start = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        numbers = ordered[np.repeat(starts[often], count) + from_start]
+        rank[numbers & np.uint64((1 << places) - 1)] = np.repeat(np.arange(len(kinds)), count)
+    else:
+        rank = _places_of(kinds, pairs)
+    found = rank >= 0
+    right = kinds & np.uint64((1 << bits) - 1)
+    return place[found], rank[found], np.stack([kinds >> np.uint64(bits), right], 1).astype(np.uint32)
 
 
 def compress(ids: np.ndarray) -> Grammar:
@@ -111,22 +127,20 @@ def compress(ids: np.ndarray) -> Grammar:
     rules, lengths = [], np.ones(terminals, np.uint32)
     active = np.ones(max(0, len(sequence) - 1), bool)
     while active.any():
-        place, rank = _ranked(sequence, _candidates(sequence, active))
+        place, rank, pairs = _ranked(sequence, _candidates(sequence, active))
         if not len(place):
             break
         weak = np.zeros(len(place), bool)
-        touching = np.flatnonzero(np.diff(place) == 1)
-        weak[touching + 1] |= rank[touching] < rank[touching + 1]
-        weak[touching] |= rank[touching + 1] < rank[touching]
+        touching = np.diff(place) == 1
+        weak[1:] |= touching & (rank[:-1] < rank[1:])
+        weak[:-1] |= touching & (rank[1:] < rank[:-1])
         count = np.bincount(rank[~weak], minlength=rank.max() + 1)
         taken = ~weak & (count[rank] >= LEAST_FREQUENCY)
         used = np.flatnonzero(count >= LEAST_FREQUENCY)
         first = len(lengths)
         symbol = np.zeros(len(count), np.uint32)
         symbol[used] = first + np.arange(len(used), dtype=np.uint32)
-        at, rank = place[taken], rank[taken]
-        pairs = np.zeros((len(used), 2), np.uint32)
-        pairs[symbol[rank] - first] = np.stack([sequence[at], sequence[at + 1]], 1)
+        at, rank, pairs = place[taken], rank[taken], pairs[used]
         rules.append(pairs)
         lengths = np.append(lengths, lengths[pairs].sum(1, dtype=np.uint32))
         again = np.zeros(len(sequence), bool)

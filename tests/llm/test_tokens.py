@@ -219,3 +219,17 @@ def test_empty_table(spark):
     docs = documents(spark, [])
     assert grammar.token_table(docs, WORD).isEmpty()
     assert packing.pack_documents(docs, BYTE).isEmpty()
+
+
+def test_pairs_are_found_again_by_their_numbers(monkeypatch):
+    small = np.random.default_rng(3).integers(0, 9, 3000).astype(np.uint32)
+    place = grammar._candidates(small, np.ones(2999, bool))
+    # So large ids leave no room for numbers behind the pairs.
+    shift = np.uint32(1 << 27)
+    places, ranks, pairs = grammar._ranked(small + shift, place)
+    monkeypatch.setattr(grammar, "_places_of", None)
+    found = grammar._ranked(small, place)
+    assert np.array_equal(found[0], places) and np.array_equal(found[1], ranks)
+    assert np.array_equal(found[2] + shift, pairs)
+    assert np.array_equal(found[2][found[1]], np.stack([small[found[0]], small[found[0] + 1]], 1))
+    assert np.array_equal(grammar.decode(grammar.compress(small), 0, 3000), small)
